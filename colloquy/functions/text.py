@@ -131,9 +131,9 @@ def percent(n, total, digits: int | None = None) -> Column:
 
 def elapsed_seconds(start, end) -> Column:
     """M3: whole seconds between two timestamps."""
-    return F.timestampdiff("SECOND", _c(start), _c(end))
+    return F.timestamp_diff("SECOND", _c(start), _c(end))
 
 
 def elapsed_seconds_exact(start, end) -> Column:
     """Seconds with microsecond precision between two timestamps."""
-    return F.timestampdiff("MICROSECOND", _c(start), _c(end)) / F.lit(1e6)
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1e6)

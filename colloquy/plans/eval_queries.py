@@ -363,3 +363,54 @@ def q_size_order(spark, d):
     ranked = dense_index(evals.order_by_size(docs, "n_chars", "doc_id"),
                          [F.desc("n_chars"), F.desc("doc_id")], "rank")
     return ranked.withColumn("rank", F.col("rank") + 1)
+
+
+# ----------------------------------------------------------------- A14-A16, M4
+from colloquy.plans.polysql import horner, moments_sql  # noqa: E402
+
+
+@register("poly_time", f"""WITH {moments_sql('lineitem', 'l_returnflag', 'l_quantity', 'l_extendedprice')},
+tg AS (SELECT DISTINCT l_returnflag, l_quantity FROM lineitem)
+SELECT l_returnflag, l_quantity,
+       round(CASE WHEN coalesce(m_n, 0) >= 2 THEN {horner('l_quantity / x_scale')} ELSE 1.0 END, 2) AS predicted
+FROM tg LEFT JOIN cf USING (l_returnflag)""")
+def q_poly_time(spark, d):
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
+    targets = li.select("l_returnflag", "l_quantity").distinct()
+    p = evals.predict_time(li, targets, ["l_returnflag"], "l_quantity", "l_extendedprice")
+    return p.select("l_returnflag", "l_quantity", F.round("predicted", 2).alias("predicted"))
+
+
+@register("fallback_time", """
+WITH r AS (SELECT CASE WHEN sum(l_quantity) > 0 THEN sum(l_extendedprice) / sum(l_quantity) END AS rate FROM lineitem),
+tg AS (SELECT DISTINCT l_quantity FROM lineitem)
+SELECT l_quantity, round(coalesce((SELECT rate FROM r) * l_quantity, 1.0), 2) AS predicted FROM tg""")
+def q_fallback_time(spark, d):
+    li = table(spark, d, "lineitem").select("l_quantity", "l_extendedprice")
+    p = evals.fallback_time(li, li.select("l_quantity").distinct(), "l_quantity", "l_extendedprice")
+    return p.select("l_quantity", F.round("predicted", 2).alias("predicted"))
+
+
+def model_sizes(spark, d):
+    """Model dimension with a size: the customer balance of the same key."""
+    ev = table(spark, d, "events").select("user_id").distinct()
+    cu = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("size"))
+    return ev.join(cu, "user_id").select(model_col().alias("model"), "size")
+
+
+@register("model_eta", f"""WITH {RESULTS_CTE},
+sz AS (SELECT DISTINCT {MODEL_SQL} AS model, c_acctbal AS size FROM events JOIN customer ON c_custkey = user_id),
+pairs AS (SELECT model, size, task FROM sz JOIN tsk ON true),
+pts AS (SELECT res.task, sz.size AS x, res.seconds::DOUBLE AS y FROM res JOIN sz USING (model)),
+rate AS (SELECT CASE WHEN sum(x) > 0 THEN sum(y) / sum(x) END AS r FROM pts),
+{moments_sql('pts', 'task', 'x', 'y')},
+pred AS (SELECT pairs.model, pairs.task,
+           CASE WHEN coalesce(cf.m_n, 0) >= 2 THEN {horner('pairs.size / cf.x_scale')}
+                ELSE coalesce((SELECT r FROM rate) * pairs.size, 1.0) END AS predicted
+         FROM pairs LEFT JOIN cf USING (task))
+SELECT model, round(sum(coalesce(res.seconds::DOUBLE, predicted)), 2) AS eta_seconds,
+       bool_and(res.seconds IS NOT NULL) AS exact
+FROM pred LEFT JOIN res USING (model, task) GROUP BY model""")
+def q_model_eta(spark, d):
+    eta = evals.model_eta(model_sizes(spark, d), TASKS, results(spark, d))
+    return eta.select("model", F.round("eta_seconds", 2).alias("eta_seconds"), "exact")
