@@ -1 +1,133 @@
-"""Registered queries."""
+"""Registered benchmark-import queries: N1-N5, P6, S7-S10.
+
+Nested source records are derived from ``conversations``: ``document``
+(id, title = first system text, start, summary.text = first user text),
+``question.text`` = last user text, ``answers`` = assistant texts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.operators import mcq
+from colloquy.plans.chat_queries import nested
+from colloquy.plans.registry import register
+from colloquy.plans.sqlbits import NL, strip
+from colloquy.session import scratch_path
+from colloquy.sources import mcq as msrc
+
+QUESTION_FORMAT = "{document.title or start} summary: {document.summary.text}\\n\\n{question.text}"
+ANSWER_FORMAT = "{answers.text}"
+PAIR_FORMAT = "{question.text} => {answers.text}"
+
+
+def records(spark, d):
+    n = nested(spark, d)
+    msgs = F.col("messages")
+
+    def pick(role, i):
+        return F.try_element_at(F.filter(msgs, lambda m: m["role"] == role), F.lit(i))["content"]
+
+    doc = F.struct(F.col("conv_id").cast("string").alias("id"), pick("system", 1).alias("title"),
+                   F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("start"),
+                   F.struct(pick("user", 1).alias("text")).alias("summary"))
+    answers = F.transform(F.filter(msgs, lambda m: m["role"] == "assistant"),
+                          lambda m: F.struct(m["content"].alias("text")))
+    return n.select("conv_id", doc.alias("document"), F.struct(pick("user", -1).alias("text")).alias("question"),
+                    answers.alias("answers"))
+
+
+def imported(spark, d):
+    return mcq.to_mcq(records(spark, d), QUESTION_FORMAT, ANSWER_FORMAT, keep=["conv_id"])
+
+
+def flat(df, keep=("conv_id",)):
+    return df.select(*keep, "question",
+                     F.array_join("multiple_correct.answers", " || ").alias("answers"),
+                     F.array_join(F.transform("multiple_correct.labels", lambda x: x.cast("string")), ",")
+                     .alias("labels"),
+                     F.size("single_correct.answers").cast("long").alias("n_single"))
+
+
+RECORDS_CTE = """
+rec AS (
+  SELECT conv_id,
+         arg_min(text, turn) FILTER (WHERE role = 'system') AS title,
+         'conversation ' || CAST(conv_id AS VARCHAR) AS start,
+         arg_min(text, turn) FILTER (WHERE role = 'user') AS summary,
+         arg_max(text, turn) FILTER (WHERE role = 'user') AS q,
+         list(text ORDER BY turn) FILTER (WHERE role = 'assistant') AS answers
+  FROM conversations GROUP BY conv_id
+)"""
+
+IMPORT_SELECT = f"""
+SELECT {{keep}} {strip(f"coalesce(title, start) || ' summary: ' || summary || {NL} || {NL} || q")} AS question,
+  coalesce(array_to_string(list_transform(answers, lambda a: {strip('a')}), ' || '), '') AS answers,
+  coalesce(array_to_string(list_transform(answers, lambda a: '1'), ','), '') AS labels,
+  0::BIGINT AS n_single
+FROM rec WHERE coalesce(title, start) IS NOT NULL AND summary IS NOT NULL AND q IS NOT NULL"""
+
+
+@register("mcq_import", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='conv_id,')}")
+def q_mcq_import(spark, d):
+    return flat(imported(spark, d))
+
+
+@register("mcq_explode", f"""WITH {RECORDS_CTE},
+u AS (SELECT conv_id, unnest(answers) AS a, generate_subscripts(answers, 1) AS i FROM rec)
+SELECT conv_id, 'multiple_correct' AS kind, (i - 1)::BIGINT AS idx, {strip('a')} AS answer, 1::BIGINT AS label
+FROM u""")
+def q_mcq_explode(spark, d):
+    e = mcq.explode_mcq(imported(spark, d), keep=["conv_id"])
+    return e.select("conv_id", "kind", "idx", "answer", "label")
+
+
+@register("mcq_validate", f"""WITH {RECORDS_CTE}
+SELECT count(*) AS n_records, count(*) AS n_valid, 0::BIGINT AS n_rejected FROM rec
+WHERE coalesce(title, start) IS NOT NULL AND summary IS NOT NULL AND q IS NOT NULL""")
+def q_mcq_validate(spark, d):
+    v = mcq.validate_mcq(imported(spark, d))
+    return v.agg(F.count(F.lit(1)).alias("n_records"), F.count_if("valid").alias("n_valid"),
+                 F.count_if(~F.col("valid")).alias("n_rejected"))
+
+
+@register("path_values", f"""WITH {RECORDS_CTE},
+u AS (SELECT conv_id, unnest(answers) AS a, generate_subscripts(answers, 1) AS i FROM rec)
+SELECT conv_id, (i - 1)::BIGINT AS idx, a AS value FROM u""")
+def q_path_values(spark, d):
+    return mcq.path_table(records(spark, d), "answers.text", keep=["conv_id"])
+
+
+@register("path_alternatives", f"""WITH {RECORDS_CTE}
+SELECT conv_id, 0::BIGINT AS idx, coalesce(title, start) AS value FROM rec""")
+def q_path_alternatives(spark, d):
+    return mcq.path_table(records(spark, d), "document.title or start", keep=["conv_id"])
+
+
+@register("template_expand", f"""WITH {RECORDS_CTE},
+u AS (SELECT conv_id, q, unnest(answers) AS a, generate_subscripts(answers, 1) AS i FROM rec)
+SELECT conv_id, (i - 1)::BIGINT AS idx, q || ' => ' || a AS expansion FROM u WHERE q IS NOT NULL""")
+def q_template_expand(spark, d):
+    return mcq.template_table(records(spark, d), PAIR_FORMAT, keep=["conv_id"])
+
+
+@register("mcq_bin_roundtrip", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
+def q_mcq_bin_roundtrip(spark, d):
+    # S8 write -> S7 read; conv_id is not part of the format
+    path = scratch_path(spark, "mcq-bin")
+    msrc.write_mcq_bin(imported(spark, d).repartition(4), path)
+    return flat(msrc.read_mcq_bin(spark, path, records_per_partition=16), keep=())
+
+
+@register("mcq_bin_files", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
+def q_mcq_bin_files(spark, d):
+    path = scratch_path(spark, "mcq-bin")
+    msrc.write_mcq_bin(imported(spark, d).repartition(3), path)
+    return flat(msrc.read_mcq_bin_files(spark, path), keep=())
+
+
+@register("mcq_json_roundtrip", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
+def q_mcq_json_roundtrip(spark, d):
+    path = scratch_path(spark, "mcq-json")
+    msrc.write_mcq_json(imported(spark, d), path)
+    return flat(msrc.read_mcq_json(spark, path), keep=())
