@@ -1 +1,122 @@
-"""Registered queries."""
+"""Registered source/sink and streaming queries: S4, S5, S11-S13, N6, N7, G1-G3."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.functions import text as tx
+from colloquy.operators import evals, metrics
+from colloquy.plans.eval_queries import MODEL_SQL, RESULTS_CTE, TASKS, model_col, results
+from colloquy.plans.metric_queries import SUMMARY_SQL, rounded
+from colloquy.plans.registry import register, table
+from colloquy.session import scratch_path
+from colloquy.sources import parts, results as rsrc
+from colloquy.streaming import jobs
+
+
+# ----------------------------------------------------------------- S4, S5
+@register("parts_missing", """
+WITH e AS (SELECT 'shards/o' || CAST(o_orderkey AS VARCHAR) || '-' || printf('%05d', i) || '-of-00007.parquet' AS path
+           FROM orders, range(1, 8) AS r(i)),
+l AS (SELECT DISTINCT 'shards/o' || CAST(l_orderkey AS VARCHAR) || '-' || printf('%05d', l_linenumber)
+             || '-of-00007.parquet' AS path FROM lineitem)
+SELECT path FROM e WHERE path NOT IN (SELECT path FROM l)""")
+def q_parts_missing(spark, d):
+    first = table(spark, d, "orders").select(
+        F.concat(F.lit("shards/o"), F.col("o_orderkey").cast("string"), F.lit("-00001-of-00007.parquet")).alias("path"))
+    listing = table(spark, d, "lineitem").select(
+        F.concat(F.lit("shards/o"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.format_string("%05d", F.col("l_linenumber")), F.lit("-of-00007.parquet")).alias("path"))
+    return parts.missing_parts(first, listing)
+
+
+@register("artifact_sizes")
+def q_artifact_sizes(spark, d):
+    return parts.artifact_sizes(spark, f"{d.rstrip('/')}/*.parquet")
+
+
+# ----------------------------------------------------------------- S11, S12, N6, N7, S13
+def result_store(spark, d):
+    """Long store: latest event per (model, task) as the stored result."""
+    ev = table(spark, d, "events")
+    latest = (ev.groupBy("user_id", "event_type")
+              .agg(F.max_by(F.struct("value", "event_id"), F.struct("ts", "event_id")).alias("r")))
+    return latest.select(
+        F.concat(F.lit("gguf/"), model_col(), F.lit("-q8_0.gguf")).alias("model_path"),
+        F.col("event_type").alias("task"),
+        F.format_string("%.4f +/- %.4f", F.col("r.value"), F.col("r.value") / 10).alias("score"),
+        F.col("r.value").cast("int").alias("seconds"))
+
+
+RESULT_STORE_SQL = f"""
+WITH lt AS (SELECT user_id, event_type, value FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
+SELECT {MODEL_SQL} || '-q8_0' AS model_name, event_type AS task,
+       printf('%.4f +/- %.4f', value, value / 10) AS score, CAST(trunc(value) AS INTEGER) AS seconds,
+       TRY_CAST(printf('%.4f', value) AS DOUBLE) AS score_numeric
+FROM lt"""
+
+
+def _flat(df):
+    return rsrc.flatten_results(df).select("model_name", "task", "score", "seconds", "score_numeric")
+
+
+@register("results_roundtrip", RESULT_STORE_SQL)
+def q_results_roundtrip(spark, d):
+    path = scratch_path(spark, "results")
+    rsrc.write_results(result_store(spark, d), path)
+    return _flat(rsrc.read_results(spark, path))
+
+
+@register("results_combined", RESULT_STORE_SQL)
+def q_results_combined(spark, d):
+    path = scratch_path(spark, "results")
+    rsrc.write_results(result_store(spark, d), path, combined=True)
+    return _flat(rsrc.read_results(spark, path))
+
+
+@register("scores_csv", f"""WITH {RESULTS_CTE}
+SELECT model AS "Model", {", ".join(f"coalesce(max(score) FILTER (WHERE task = '{t}'), 0.0) AS \"{t}\"" for t in TASKS)}
+FROM res GROUP BY model""")
+def q_scores_csv(spark, d):
+    path = scratch_path(spark, "scores-csv")
+    rsrc.export_scores_csv(evals.wide_scores(results(spark, d), TASKS).withColumnRenamed("model", "Model"), path)
+    schema = "Model string, " + ", ".join(f"`{t}` double" for t in TASKS)
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+# ----------------------------------------------------------------- G1-G3
+def _event_stream(spark, d, **kw):
+    schema = table(spark, d, "events").schema
+    return jobs.stream_metrics(spark, d, schema, fmt="parquet", glob="events.parquet", **kw)
+
+
+@register("stream_summary", SUMMARY_SQL)
+def q_stream_summary(spark, d):
+    ev = _event_stream(spark, d)
+    log = ev.select(
+        F.col("user_id").alias("run"), "event_id", F.col("ts").alias("timestamp"),
+        F.when(F.col("event_type") != "error", F.col("value")).alias("loss"),
+        F.when(F.col("event_type").isin("click", "view"), F.col("value") / 10).alias("grad_norm"),
+        (F.get_json_object("props", "$.k").cast("double") / 100000).alias("learning_rate"))
+    agg = jobs.stream_run_summary(log, order=F.struct("timestamp", "event_id"))
+    target = scratch_path(spark, "stream-summary")
+    jobs.write_complete(agg, target, scratch_path(spark, "stream-summary-ckpt"))
+    return rounded(spark.read.parquet(target))
+
+
+@register("stream_results", f"""
+SELECT {MODEL_SQL} AS model, event_type AS task, value AS score, event_id
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def q_stream_results(spark, d):
+    # the events table as several files arriving one per micro-batch
+    src = scratch_path(spark, "events-files")
+    table(spark, d, "events").repartitionByRange(4, "ts").write.parquet(src)
+    schema = table(spark, d, "events").schema
+    stream = jobs.stream_metrics(spark, src, schema, fmt="parquet", max_files_per_trigger=1)
+    rows = stream.select(model_col().alias("model"), F.col("event_type").alias("task"),
+                         F.col("value").alias("score"), "event_id", "ts")
+    store = scratch_path(spark, "result-store")
+    jobs.stream_results(rows, store, scratch_path(spark, "result-store-ckpt"), ["model", "task"],
+                        F.struct("ts", "event_id"))
+    return jobs.read_store(spark, store).select("model", "task", "score", "event_id")
