@@ -34,10 +34,11 @@ MODEL_ARGS = ["red:--ctx 2048", "bolt:-np 8", "red:-fa on", "plate:-t 4", "widge
 
 # ----------------------------------------------------------------- shared inputs
 def model_col(c="user_id"):
-    return F.concat(F.lit("u"), F.lpad(F.col(c).cast("string"), 3, "0"))
+    # zero-padded, never truncated (lpad would cut ids >= 1000)
+    return F.format_string("u%03d", F.col(c))
 
 
-MODEL_SQL = "'u' || lpad(CAST(user_id AS VARCHAR), 3, '0')"
+MODEL_SQL = "printf('u%03d', user_id)"
 
 
 def results(spark, d):

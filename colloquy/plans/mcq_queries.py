@@ -116,7 +116,7 @@ def q_mcq_bin_roundtrip(spark, d):
     # S8 write -> S7 read; conv_id is not part of the format
     path = scratch_path(spark, "mcq-bin")
     msrc.write_mcq_bin(imported(spark, d).repartition(4), path)
-    return flat(msrc.read_mcq_bin(spark, path, records_per_partition=16), keep=())
+    return flat(msrc.read_mcq_bin(spark, path, records_per_partition=128), keep=())
 
 
 @register("mcq_bin_files", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")

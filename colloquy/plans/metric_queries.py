@@ -95,8 +95,8 @@ def metric_rows(spark, d):
 def q_metrics_roundtrip(spark, d):
     # S15 append -> S14 read -> A13; the log order is the step column
     path = scratch_path(spark, "metrics-csv")
-    msrc.append_metrics(metric_rows(spark, d), path)
-    back = msrc.read_metrics(spark, path).withColumn("run", F.col("run").cast("long"))
+    msrc.append_metrics(metric_rows(spark, d), path, per_run_files=False)
+    back = msrc.read_metrics(spark, path, run_column="bigint")
     return rounded(metrics.run_summary(back, order=F.col("step")))
 
 

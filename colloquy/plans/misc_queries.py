@@ -26,7 +26,7 @@ def q_parts_missing(spark, d):
         F.concat(F.lit("shards/o"), F.col("o_orderkey").cast("string"), F.lit("-00001-of-00007.parquet")).alias("path"))
     listing = table(spark, d, "lineitem").select(
         F.concat(F.lit("shards/o"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.format_string("%05d", F.col("l_linenumber")), F.lit("-of-00007.parquet")).alias("path"))
+                 parts.zero_pad5("l_linenumber"), F.lit("-of-00007.parquet")).alias("path"))
     return parts.missing_parts(first, listing)
 
 

@@ -37,30 +37,54 @@ def expand_parts_py(path: str) -> list[str]:
     return [f"{prefix}{i:05d}-of-{last}{suffix}" for i in range(lo, total + lo)]
 
 
-def expand_parts(path) -> Column:
-    """S4 as a Column: ``ARRAY<STRING>`` of all part paths of each row."""
+def zero_pad5(i) -> Column:
+    """Python ``f"{i:05d}"`` for non-negative ints (lpad alone would truncate)."""
+    i = _c(i)
+    return F.when(i < 100000, F.lpad(i.cast("string"), 5, "0")).otherwise(i.cast("string"))
+
+
+def parse_part_path(path) -> Column:
+    """``STRUCT<prefix, last, suffix, lo, hi, multi>`` of a part path (parsed once)."""
     p = _c(path)
-    multi = (F.instr(p, "0-of-") > 0) | (F.instr(p, "1-of-") > 0)
     one = F.instr(p, "00001-of-") > 0
     zero = F.instr(p, "00000-of-") > 0
-    key = F.when(one, F.lit("00001-of-")).otherwise(F.lit("00000-of-"))
-    # text before / after the last occurrence of the key
-    prefix = F.when(one, F.regexp_extract(p, r"(?s)^(.*)00001-of-", 1)).otherwise(
-        F.regexp_extract(p, r"(?s)^(.*)00000-of-", 1))
-    rest = F.substr(p, F.length(prefix) + F.length(key) + 1)
-    last, suffix = F.left(rest, F.lit(5)), F.substr(rest, F.lit(6))
+    multi = (F.instr(p, "0-of-") > 0) | (F.instr(p, "1-of-") > 0)
+    rest = F.when(one, F.substring_index(p, "00001-of-", -1)).otherwise(
+        F.substring_index(p, "00000-of-", -1))      # text after the last key
+    prefix = F.left(p, F.length(p) - F.length(rest) - F.lit(9))
+
+    def grp(k):
+        return {1: prefix, 2: F.left(rest, F.lit(5)), 3: F.substr(rest, F.lit(6))}[k]
+
+    last = grp(2)
     total = last.try_cast("int")
     lo = F.when(one, F.lit(1)).otherwise(F.lit(0))
-    hi = F.when(one, total).otherwise(total - 1)
-    parts = F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda i: F.concat(
-        prefix, F.format_string("%05d", i), F.lit("-of-"), last, suffix))).otherwise(F.array().cast("array<string>"))
-    ok = multi & (one | zero) & total.isNotNull()
-    return F.when(ok, parts).otherwise(F.array(p))
+    return F.struct(grp(1).alias("prefix"), last.alias("last"), grp(3).alias("suffix"), lo.alias("lo"),
+                    (total + lo - 1).alias("hi"),
+                    (multi & (one | zero) & total.isNotNull()).alias("ok"), p.alias("path"))
+
+
+def expand_parsed(pp) -> Column:
+    """Part paths from a :func:`parse_part_path` struct."""
+    pp = _c(pp)
+    parts = F.transform(F.sequence(pp["lo"], F.greatest(pp["hi"], pp["lo"])), lambda i: F.concat(
+        pp["prefix"], zero_pad5(i), F.lit("-of-"), pp["last"], pp["suffix"]))
+    parts = F.when(pp["hi"] >= pp["lo"], parts).otherwise(F.array().cast("array<string>"))
+    return F.when(pp["ok"], parts).otherwise(F.array(pp["path"]))
+
+
+def expand_parts(path) -> Column:
+    """S4 as a Column: ``ARRAY<STRING>`` of all part paths of each row."""
+    return expand_parsed(parse_part_path(path))
 
 
 def missing_parts(first_paths: DataFrame, listing: DataFrame, path: str = "path") -> DataFrame:
-    """S4 completeness: expected parts (``sequence`` + ``explode``) LEFT ANTI the listing."""
-    expected = first_paths.select(F.explode(expand_parts(path)).alias(path))
+    """S4 completeness: expected parts (``sequence`` + ``explode``) LEFT ANTI the listing.
+
+    The path is parsed once in its own projection, then expanded.
+    """
+    parsed = first_paths.select(parse_part_path(path).alias("_pp"))
+    expected = parsed.select(F.explode(expand_parsed("_pp")).alias(path))
     return expected.join(listing.select(path), path, "left_anti")
 
 
