@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +43,6 @@ def tokenize_with(factory: Callable[[], Callable[[str], list]], key: str = "defa
     ``factory`` runs once per Python worker (cached under ``key``), e.g.
     ``lambda: Tokenizer.from_file(path).encode`` wrapped to return tokens.
     """
-    import pandas as pd
-
     @F.pandas_udf(return_type)
     def _tok(s: pd.Series) -> pd.Series:
         fn = _TOKENIZERS.get(key)

@@ -127,5 +127,5 @@ def read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def read_logs(spark: SparkSession, pattern: str) -> DataFrame:
     """One row per scorer log file: (path, log)."""
-    return (spark.read.option("wholetext", True).text(pattern)
+    return (spark.read.text(pattern, wholetext=True)
             .select(F.input_file_name().alias("path"), F.col("value").alias("log")))
