@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.operators.sizing import bounded_broadcast
+
 
 def weights_frame(spark, recipe: Sequence[tuple[str, float]]) -> DataFrame:
     """Merge recipe (model, weight) as a small DataFrame."""
@@ -22,9 +24,10 @@ def weights_frame(spark, recipe: Sequence[tuple[str, float]]) -> DataFrame:
 def merge_linear_long(params: DataFrame, weights: DataFrame, normalize: bool = True) -> DataFrame:
     """(tensor, chunk, pos, value) of the weighted combination.
 
-    The recipe is broadcast: its size is the number of models in the recipe.
+    The recipe (one row per model) is broadcast once its size is checked;
+    an oversized recipe is joined by shuffle instead.
     """
-    p = params.join(F.broadcast(weights), "model")
+    p = params.join(bounded_broadcast(weights), "model")
     e = p.select("tensor", "chunk", "weight", F.posexplode("values").alias("pos", "v"))
     agg = e.groupBy("tensor", "chunk", "pos").agg(
         F.sum(F.col("weight") * F.col("v").cast("double")).alias("_wv"), F.sum("weight").alias("_w"))
@@ -43,7 +46,7 @@ def merge_linear(params: DataFrame, weights: DataFrame, normalize: bool = True)
 def merge_rejects(params: DataFrame, weights: DataFrame) -> DataFrame:
     """Tensors missing in a recipe model or with unequal chunk lengths."""
     n_models = weights.agg(F.countDistinct("model")).scalar()
-    per = (params.join(F.broadcast(weights.select("model")), "model")
+    per = (params.join(bounded_broadcast(weights.select("model")), "model")
            .groupBy("tensor", "chunk")
            .agg(F.countDistinct("model").alias("n_models"),
                 F.min(F.size("values")).alias("min_len"), F.max(F.size("values")).alias("max_len")))

@@ -1,0 +1,31 @@
+"""Size-checked broadcasts.
+
+A side is broadcast only after a bounded count proves it small: ``limit(n + 1)``
+stops reading once the bound is exceeded, so the check costs at most ``n + 1``
+rows per partition. Beyond the bound, callers fall back to a shuffle plan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bounds for dimension-like inputs (pattern lists, merge recipes).
+SMALL_ROWS = 10_000
+
+
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def small_rows(df: DataFrame, max_rows: int = SMALL_ROWS):
+    """The rows of ``df`` when there are at most ``max_rows`` of them, else None."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """``broadcast(df)`` if proven small; otherwise ``df`` unchanged, so the
+    planner (AQE) chooses a shuffle join."""
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -108,6 +108,26 @@ def test_model_args(spark):
     assert got2 == got
 
 
+@pytest.mark.parametrize("bound", [10_000, 5])
+def test_model_args_table_matches_brute_force(spark, monkeypatch, bound):
+    """Pattern table: array literal when small, n-gram equi-join beyond the bound."""
+    import random
+
+    from colloquy.operators import sizing
+
+    rnd = random.Random(7)
+    alpha = "abcde-/"
+    paths = ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    pats = [("".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 4))), f"a{i}") for i in range(60)]
+    real = sizing.small_rows
+    monkeypatch.setattr(evals, "small_rows", lambda df, max_rows=bound: real(df, bound))
+    mdf = spark.createDataFrame(list(enumerate(paths)), "id int, path string")
+    pdf = spark.createDataFrame([(i, p, a) for i, (p, a) in enumerate(pats)], "ord int, pattern string, args string")
+    want = {i: next((a for p, a in pats if p in path), "") for i, path in enumerate(paths)}
+    got = {r.id: r.model_args for r in evals.match_model_args(mdf, pdf).collect()}
+    assert got == want
+
+
 def test_upsert_last_write_wins(spark):
     old = spark.createDataFrame([("m", "a", "1", 10, 1), ("m", "b", "2", 20, 1)],
                                 "model string, task string, score string, seconds int, v int")
