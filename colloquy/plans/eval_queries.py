@@ -41,12 +41,22 @@ def model_col(c="user_id"):
 MODEL_SQL = "printf('u%03d', user_id)"
 
 
+def user_task(spark, d):
+    """One partial aggregate of ``events`` per (user, event type).
+
+    ``results``, ``models`` and ``model_sizes`` all derive from this same
+    plan, so a query using several of them scans and shuffles ``events``
+    once (the exchange is reused); later steps work on the aggregate.
+    """
+    ev = table(spark, d, "events")
+    return (ev.groupBy("user_id", "event_type")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents")))
+
+
 def results(spark, d):
     """Result store (model, task, score, seconds) of stored pairs."""
-    ev = table(spark, d, "events")
-    g = (ev.groupBy("user_id", "event_type")
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents")))
+    g = user_task(spark, d)
     return (g.where(F.col("n") >= STORED_MIN)
             .select(model_col().alias("model"), F.col("event_type").alias("task"),
                     (F.col("cents").cast("double") / (F.lit(100.0) * F.col("n"))).alias("score"),
@@ -54,7 +64,8 @@ def results(spark, d):
 
 
 def models(spark, d):
-    return table(spark, d, "events").select(model_col().alias("model")).distinct()
+    """Model dimension: every user with at least one event."""
+    return user_task(spark, d).select(model_col().alias("model")).distinct()
 
 
 def matrix(spark, d):
@@ -394,7 +405,7 @@ def q_fallback_time(spark, d):
 
 def model_sizes(spark, d):
     """Model dimension with a size: the customer balance of the same key."""
-    ev = table(spark, d, "events").select("user_id").distinct()
+    ev = user_task(spark, d).select("user_id").distinct()
     cu = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("size"))
     return ev.join(cu, "user_id").select(model_col().alias("model"), "size")
 
