@@ -85,7 +85,8 @@ def turn_positions(long: DataFrame, conv: str = "conv_id", order: str = "turn")
 
 def render_gemma(df: DataFrame, messages: str = "messages", add_generation_prompt: bool = False,
                  text: str = "text", valid: str = "valid") -> DataFrame:
-    """X1 as a table operator: adds ``valid`` and ``text``."""
+    """X1 as a table operator: adds ``valid`` and ``text`` (P8: a row map is
+    ``withColumns`` / ``drop``, composed with ``df.transform``)."""
     r = tpl.render_gemma(messages, add_generation_prompt)
     return df.withColumns({valid: r["valid"], text: r["text"]})
 

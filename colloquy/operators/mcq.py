@@ -60,7 +60,11 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def explode_mcq(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One row per (record, kind, index) with answer and label."""
+    """One row per (record, kind, index) with answer and label.
+
+    Answers and labels are paired by position (J6: ``arrays_zip`` +
+    ``posexplode``, never ``zipWithIndex``).
+    """
     keep = keep or []
     blocks = F.array(
         F.struct(F.lit("single_correct").alias("kind"),

@@ -241,7 +241,8 @@ def read_mcq_bin(spark: SparkSession, path: str, records_per_partition: int = 0)
 
 def read_mcq_bin_files(spark: SparkSession, path: str) -> DataFrame:
     """S7 through the ``binaryFile`` source (any Hadoop file system):
-    each file is decoded by an Arrow-batched ``mapInPandas``."""
+    each file is decoded by an Arrow-batched ``mapInPandas`` (P9: the
+    batched map, used only where no Column expression can decode)."""
     import pandas as pd
 
     files = spark.read.format("binaryFile").load(path).select("content")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from colloquy.schemas import METRIC_COLUMNS, METRIC_EVENT, RUN_CONFIG
 
 # Python isoformat(): microseconds are present unless zero
+# M6: ISO local timestamps are typed by the reader (TIMESTAMP_NTZ), never parsed per row.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
