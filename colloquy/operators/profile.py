@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import percent
+from colloquy.operators.indexing import dense_index
 
 # Control strings of the two chat formats.
 SPECIAL_MARKERS = ["<bos>", "<eos>", "<start_of_turn>", "<end_of_turn>",
@@ -82,18 +83,52 @@ def conversation_length_histogram(long: DataFrame, conv: str = "conv_id", k: int
     return h.limit(k) if k is not None else h
 
 
-def role_pattern_signatures(long: DataFrame, conv: str = "conv_id", order: str = "turn",
-                            role: str = "role") -> DataFrame:
-    """Order-sensitive signature of each conversation's role sequence.
+# Roles per chunk of an exact pattern key (see ``role_pattern_keys``).
+PATTERN_CHUNK = 128
 
-    ``order`` is the 0-based message position. The signature is a sum of
-    position-keyed hashes, which Spark pre-aggregates map-side, so even a
-    conversation holding a large share of all turns is never collected.
+
+def role_pattern_keys(long: DataFrame, conv: str = "conv_id", order: str = "turn",
+                      role: str = "role", chunk: int = PATTERN_CHUNK) -> DataFrame:
+    """(conv, n_messages, _key): equal keys exactly when role sequences are equal.
+
+    ``order`` is the 0-based message position. The roles of each block of
+    ``chunk`` positions become one string (a bounded group). A conversation
+    with at most ``chunk`` messages is keyed by that string. Longer ones
+    continue one level up: each distinct chunk string gets an exact dense
+    id, and the id sequence is chunked again, until one chunk is left
+    (``log_chunk(n)`` levels). No group ever holds more than ``chunk``
+    items, so a conversation with a third of all turns is split, never
+    gathered; no hashing, so no collisions.
     """
-    h1 = F.xxhash64(F.col(order), F.col(role)).bitwiseAND(F.lit(0x7FFFFFFF))
-    h2 = F.hash(F.col(role), F.col(order)).cast("long").bitwiseAND(F.lit(0x7FFFFFFF))
-    return long.groupBy(conv).agg(F.count(F.lit(1)).alias("n_messages"),
-                                  F.sum(h1).alias("_h1"), F.sum(h2).alias("_h2"))
+    n_per = long.groupBy(conv).agg(F.count(F.lit(1)).alias("n_messages"))
+    max_n = n_per.agg(F.max("n_messages")).first()[0] or 0  # loop bound: one scalar
+    cur = long.select(F.col(conv).alias("_c"), F.col(order).cast("long").alias("_p"),
+                      F.col(role).cast("string").alias("_v"))
+    keys, level, span = [], 0, chunk
+    while True:
+        carried = ["n_messages"] if level else []
+        ch = (cur.groupBy("_c", *carried, F.floor(F.col("_p") / chunk).alias("_q"))
+              .agg(F.sort_array(F.collect_list(F.struct("_p", "_v"))).alias("_e"))
+              .select("_c", *carried, "_q", F.to_json(F.transform("_e", lambda x: x["_v"])).alias("_s"),
+                      F.size("_e").cast("long").alias("_k")))
+        if level == 0:
+            # all conversations fit in one chunk: n is the chunk size, no join
+            ch = (ch.withColumn("n_messages", F.col("_k")) if max_n <= span
+                  else ch.join(n_per.withColumnRenamed(conv, "_c"), "_c"))
+        keys.append(ch.where(F.col("n_messages") <= span)
+                    .select(F.col("_c").alias(conv), "n_messages",
+                            F.concat(F.lit(f"{level}:"), F.col("_s")).alias("_key")))
+        if max_n <= span:
+            break
+        rest = ch.where(F.col("n_messages") > span).select("_c", "n_messages", "_q", "_s")
+        ids = dense_index(rest.select("_s").distinct(), ["_s"], "_id")
+        cur = rest.join(ids, "_s").select("_c", "n_messages", F.col("_q").alias("_p"),
+                                          F.col("_id").cast("string").alias("_v"))
+        level, span = level + 1, span * chunk
+    out = keys[0]
+    for k in keys[1:]:
+        out = out.unionByName(k)
+    return out
 
 
 def pattern_strings(long: DataFrame, convs: DataFrame, conv: str = "conv_id", order: str = "turn",
@@ -109,14 +144,14 @@ def role_patterns(long: DataFrame, k: int = 10, conv: str = "conv_id", order: st
                   role: str = "role") -> DataFrame:
     """A6 + T2 + W1: the ``k`` most common role patterns with percent.
 
-    Counting runs on signatures; ties keep first-seen order (smallest
-    conversation id), as ``Counter.most_common`` does. Strings are built only
-    for the ``k`` representatives.
+    Counting runs on exact pattern keys; ties keep first-seen order (smallest
+    conversation id), as ``Counter.most_common`` does. Display strings are
+    built only for the ``k`` representatives.
     """
-    sig = role_pattern_signatures(long, conv, order, role)
-    counts = (sig.groupBy("n_messages", "_h1", "_h2")
+    keys = role_pattern_keys(long, conv, order, role)
+    counts = (keys.groupBy("n_messages", "_key")
               .agg(F.count(F.lit(1)).alias("n"), F.min(conv).alias("_rep")))
-    total = sig.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     top = counts.orderBy(F.desc("n"), "_rep").limit(k)
     reps = F.broadcast(top.select(F.col("_rep").alias(conv)))
     strings = pattern_strings(long, reps, conv, order, role)

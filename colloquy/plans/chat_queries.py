@@ -305,9 +305,9 @@ def flagship(spark, d):
     per_conv = rendered.select(
         "conv_id", F.length("text").cast("long").alias("rendered_chars"),
         tpl.trained_chars("text").alias("trained_chars"))
-    sig = profile.role_pattern_signatures(long)
-    joined = sig.join(per_conv, "conv_id")
-    groups = (joined.groupBy("n_messages", "_h1", "_h2")
+    keys = profile.role_pattern_keys(long)
+    joined = keys.join(per_conv, "conv_id")
+    groups = (joined.groupBy("n_messages", "_key")
               .agg(F.count(F.lit(1)).alias("n_conversations"), F.min("conv_id").alias("_rep"),
                    F.sum("rendered_chars").alias("rendered_chars"),
                    F.sum("trained_chars").alias("trained_chars")))

@@ -108,6 +108,25 @@ def test_profile_brute_force(spark, convs):
     assert s1 == s2 and len(set(s1)) == 3
 
 
+@pytest.mark.parametrize("chunk", [2, 3, 128])
+def test_role_pattern_keys_exact(spark, chunk):
+    """Equal keys exactly when role sequences are equal, across key levels."""
+    import random
+
+    rnd = random.Random(chunk)
+    seqs = [[rnd.choice(["user", "assistant", "system"]) for _ in range(rnd.randint(1, 12))] for _ in range(40)]
+    seqs += [list(seqs[3]), list(seqs[7]), ["user"] * 30, ["user"] * 30, ["user"] * 29 + ["assistant"]]
+    rows = [(c, t, r) for c, seq in enumerate(seqs) for t, r in enumerate(seq)]
+    long = spark.createDataFrame(rows, "conv_id long, turn long, role string")
+    got = {r["conv_id"]: (r["n_messages"], r["_key"])
+           for r in profile.role_pattern_keys(long, chunk=chunk).collect()}
+    assert sorted(got) == list(range(len(seqs)))
+    for a in range(len(seqs)):
+        assert got[a][0] == len(seqs[a])
+        for b in range(len(seqs)):
+            assert (got[a] == got[b]) == (seqs[a] == seqs[b]), (a, b)
+
+
 def test_special_tokens(spark):
     df = spark.createDataFrame([("a <bos> b <bos>",), ("<|user|>\nhi",), ("none",)], "text string")
     got = {r["marker"]: (r["occurrences"], r["rows_with_marker"]) for r in profile.special_token_counts(df).collect()}
