@@ -146,6 +146,20 @@ def test_dense_index_is_consecutive(spark):
     assert all(r["i"] == r["k"] for r in out)
 
 
+def test_dense_index_wide_shuffled_input(spark):
+    """Positions equal the brute-force sort on a wide input that arrives
+    through a shuffle (row order within partitions is not fixed)."""
+    base = (spark.range(0, 3000, numPartitions=5)
+            .withColumn("g", F.col("id") % 17)
+            .withColumn("pad", F.repeat(F.lit("x"), 50)))
+    wide = base.repartition(11, "g").withColumn("score", (F.col("id") * 31) % 97)
+    out = dense_index(wide, [F.desc("score"), F.asc("id")], "i").select("id", "score", "i").collect()
+    want = sorted(((r["score"], r["id"]) for r in out), key=lambda t: (-t[0], t[1]))
+    pos = {idv: i for i, (_, idv) in enumerate(want)}
+    assert sorted(r["i"] for r in out) == list(range(3000))
+    assert all(r["i"] == pos[r["id"]] for r in out)
+
+
 def test_slices(spark):
     from colloquy.sources.chat import parse_slice, row_at, slice_split
     df = spark.range(0, 100).withColumnRenamed("id", "k")
