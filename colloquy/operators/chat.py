@@ -91,6 +91,26 @@ def render_gemma(df: DataFrame, messages: str = "messages", add_generation_promp
     return df.withColumns({valid: r["valid"], text: r["text"]})
 
 
+def gemma_validity_long(long: DataFrame, conv: str = "conv_id", order: str = "turn",
+                        role: str = "role") -> DataFrame:
+    """X1's validity per conversation, from the long table: ``(conv, valid)``.
+
+    ``order`` is the 0-based message position. After an optional leading
+    system turn, user turns must sit on even loop positions and only there.
+    Both cases (with and without a leading system turn) are checked with
+    partial ``bool_and`` aggregates and the right one is picked, so no
+    conversation is gathered. Equals ``render_gemma(...).valid`` on the
+    nested form.
+    """
+    p = F.col(order)
+    is_user = F.coalesce(F.col(role) == "user", F.lit(False))
+    agg = long.groupBy(conv).agg(
+        F.bool_or((p == 0) & F.coalesce(F.col(role) == "system", F.lit(False))).alias("_sys"),
+        F.bool_and((p == 0) | (is_user == (p % 2 == 1))).alias("_ok_sys"),
+        F.bool_and(is_user == (p % 2 == 0)).alias("_ok"))
+    return agg.select(conv, F.when(F.col("_sys"), F.col("_ok_sys")).otherwise(F.col("_ok")).alias("valid"))
+
+
 def render_role_tags(df: DataFrame, messages: str = "messages", eos: str = tpl.DEFAULT_EOS,
                      add_generation_prompt: bool = False, text: str = "text") -> DataFrame:
     """X2 as a table operator."""

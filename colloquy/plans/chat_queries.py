@@ -232,7 +232,8 @@ def q_system_rate(spark, d):
 SELECT count(*) FILTER (WHERE valid) AS n_ok, count(*) FILTER (WHERE NOT valid) AS n_error,
        100.0::DOUBLE * count(*) FILTER (WHERE valid) / count(*) AS success_rate FROM gemma""")
 def q_template_success(spark, d):
-    return profile.template_success_rate(full_render(spark, d))
+    # counts only: validity from partial aggregates on the long table
+    return profile.template_success_rate(chat.gemma_validity_long(conversations(spark, d)))
 
 
 # --------------------------------------------------------------- T1, T3, S2, S3, A1, N9

@@ -117,3 +117,23 @@ def test_remove_prefix(spark):
     from colloquy.functions.text import remove_prefix
     df = spark.createDataFrame([("<bos>abc",), ("abc",), ("<bos><bos>x",)], "t string")
     assert [r[0] for r in df.select(remove_prefix("t", "<bos>")).collect()] == ["abc", "abc", "<bos>x"]
+
+
+def test_gemma_validity_long_equals_nested(spark):
+    """Long-table validity (partial aggregates) = nested render validity."""
+    import random
+
+    from colloquy.sources.chat import unnest_messages
+
+    fixed = [C1, C2, C3, C4, msgs(("user", "a"), ("user", "b")), msgs(("assistant", "a"), ("user", "b")),
+             msgs(("system", "s1"), ("system", "s2"), ("user", "u")), msgs(("system", "s")),
+             msgs(("user", "x"), (None, "y")), msgs((None, "s"), ("user", "u"))]
+    rnd = random.Random(3)
+    roles = ["system", "user", "assistant", "tool"]
+    rand = [msgs(*[(rnd.choice(roles), "t") for _ in range(rnd.randint(1, 7))]) for _ in range(60)]
+    nested = frame(spark, *(fixed + rand)).withColumnRenamed("id", "conv_id")
+    want = {r["conv_id"]: r["valid"] for r in chat.render_gemma(nested).collect()}
+    long = unnest_messages(nested)
+    got = {r["conv_id"]: r["valid"] for r in chat.gemma_validity_long(long).collect()}
+    assert got == want
+    assert any(want.values()) and not all(want.values())
