@@ -71,6 +71,21 @@ def test_merge_linear_matches_numpy(spark):
     assert [r["tensor"] for r in merge.merge_rejects(bad, w).collect()] == ["z"]
 
 
+def test_merge_oversized_recipe_uses_shuffle_join(spark, monkeypatch):
+    """Beyond the size bound the recipe is not broadcast; results are unchanged."""
+    from colloquy.operators import sizing
+
+    params = spark.createDataFrame([("m1", "v", 0, [1.0, 2.0]), ("m2", "v", 0, [3.0, 4.0])],
+                                   "model string, tensor string, chunk int, values array<float>")
+    w = merge.weights_frame(spark, [("m1", 1.0), ("m2", 3.0)])
+    assert sizing.is_small(w, 2) and not sizing.is_small(w, 1)
+    monkeypatch.setattr(merge, "bounded_broadcast", lambda df: sizing.bounded_broadcast(df, 1))
+    out = merge.merge_linear_long(params, w)
+    hints = out._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in hints.lower()
+    assert {r["pos"]: r["value"] for r in out.collect()} == {0: 2.5, 1: 3.5}
+
+
 @pytest.fixture(scope="module")
 def convs(spark):
     rows = []
