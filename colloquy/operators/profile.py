@@ -88,7 +88,7 @@ PATTERN_CHUNK = 128
 
 
 def role_pattern_keys(long: DataFrame, conv: str = "conv_id", order: str = "turn",
-                      role: str = "role", chunk: int = PATTERN_CHUNK) -> DataFrame:
+                      role: str = "role", chunk: int = PATTERN_CHUNK, with_levels: bool = False):
     """(conv, n_messages, _key): equal keys exactly when role sequences are equal.
 
     ``order`` is the 0-based message position. The roles of each block of
@@ -98,7 +98,8 @@ def role_pattern_keys(long: DataFrame, conv: str = "conv_id", order: str = "turn
     id, and the id sequence is chunked again, until one chunk is left
     (``log_chunk(n)`` levels). No group ever holds more than ``chunk``
     items, so a conversation with a third of all turns is split, never
-    gathered; no hashing, so no collisions.
+    gathered; no hashing, so no collisions. A level-0 key is ``"0:"`` plus
+    the JSON list of roles. ``with_levels`` also returns the level count.
     """
     n_per = long.groupBy(conv).agg(F.count(F.lit(1)).alias("n_messages"))
     max_n = n_per.agg(F.max("n_messages")).first()[0] or 0  # loop bound: one scalar
@@ -128,7 +129,7 @@ def role_pattern_keys(long: DataFrame, conv: str = "conv_id", order: str = "turn
     out = keys[0]
     for k in keys[1:]:
         out = out.unionByName(k)
-    return out
+    return (out, level + 1) if with_levels else out
 
 
 def pattern_strings(long: DataFrame, convs: DataFrame, conv: str = "conv_id", order: str = "turn",
@@ -140,22 +141,39 @@ def pattern_strings(long: DataFrame, convs: DataFrame, conv: str = "conv_id", or
             .select(conv, F.array_join(F.transform("_r", lambda x: x[role]), sep).alias("pattern")))
 
 
+def with_pattern_strings(groups: DataFrame, long: DataFrame, levels: int, rep: str = "_rep",
+                         key: str = "_key", conv: str = "conv_id", order: str = "turn",
+                         role: str = "role", sep: str = " -> ") -> DataFrame:
+    """``groups`` (one row per pattern key, ``rep`` = a member conversation)
+    plus ``pattern``. A level-0 key holds the roles themselves, so its string
+    needs no data; only representatives of longer keys read the long table,
+    and only when such keys exist (``levels > 1``)."""
+    direct = F.array_join(F.from_json(F.substr(F.col(key), F.lit(3)), "array<string>"), sep)
+    if levels <= 1:
+        return groups.withColumn("pattern", direct)
+    level0 = F.col(key).startswith("0:")
+    reps = groups.where(~level0).select(F.col(rep).alias(conv))
+    strings = pattern_strings(long, reps, conv, order, role, sep).select(
+        F.col(conv).alias("_prep"), F.col("pattern").alias("_ps"))
+    return (groups.join(strings, groups[rep] == strings["_prep"], "left")
+            .withColumn("pattern", F.when(level0, direct).otherwise(F.col("_ps")))
+            .drop("_prep", "_ps"))
+
+
 def role_patterns(long: DataFrame, k: int = 10, conv: str = "conv_id", order: str = "turn",
-                  role: str = "role") -> DataFrame:
+                  role: str = "role", chunk: int = PATTERN_CHUNK) -> DataFrame:
     """A6 + T2 + W1: the ``k`` most common role patterns with percent.
 
     Counting runs on exact pattern keys; ties keep first-seen order (smallest
     conversation id), as ``Counter.most_common`` does. Display strings are
     built only for the ``k`` representatives.
     """
-    keys = role_pattern_keys(long, conv, order, role)
+    keys, levels = role_pattern_keys(long, conv, order, role, chunk, with_levels=True)
     counts = (keys.groupBy("n_messages", "_key")
               .agg(F.count(F.lit(1)).alias("n"), F.min(conv).alias("_rep")))
     total = counts.agg(F.sum("n")).scalar()
     top = counts.orderBy(F.desc("n"), "_rep").limit(k)
-    reps = F.broadcast(top.select(F.col("_rep").alias(conv)))
-    strings = pattern_strings(long, reps, conv, order, role)
-    return (top.join(strings, top["_rep"] == strings[conv])
+    return (with_pattern_strings(top, long, levels, "_rep", "_key", conv, order, role)
             .select("pattern", "n", percent("n", total).alias("pct"),
                     F.row_number().over(Window.orderBy(F.desc("n"), "_rep")).cast("long").alias("rank")))
 

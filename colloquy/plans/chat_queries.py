@@ -306,14 +306,13 @@ def flagship(spark, d):
     per_conv = rendered.select(
         "conv_id", F.length("text").cast("long").alias("rendered_chars"),
         tpl.trained_chars("text").alias("trained_chars"))
-    keys = profile.role_pattern_keys(long)
+    keys, levels = profile.role_pattern_keys(long, with_levels=True)
     joined = keys.join(per_conv, "conv_id")
     groups = (joined.groupBy("n_messages", "_key")
               .agg(F.count(F.lit(1)).alias("n_conversations"), F.min("conv_id").alias("_rep"),
                    F.sum("rendered_chars").alias("rendered_chars"),
                    F.sum("trained_chars").alias("trained_chars")))
-    strings = profile.pattern_strings(long, groups.select(F.col("_rep").alias("conv_id")))
-    return (groups.join(strings, groups["_rep"] == strings["conv_id"])
+    return (profile.with_pattern_strings(groups, long, levels)
             .select("pattern", "n_conversations", "rendered_chars", "trained_chars"))
 
 

@@ -142,6 +142,29 @@ def test_role_pattern_keys_exact(spark, chunk):
             assert (got[a] == got[b]) == (seqs[a] == seqs[b]), (a, b)
 
 
+@pytest.mark.parametrize("chunk", [2, 128])
+def test_role_patterns_top_k_brute_force(spark, chunk):
+    """Top-k patterns, counts, percent and first-seen tie order; with a tiny
+    chunk the long conversations go through several key levels."""
+    import random
+
+    rnd = random.Random(11)
+    seqs = [[rnd.choice(["user", "assistant"]) for _ in range(rnd.randint(1, 4))] for _ in range(50)]
+    seqs += [["system"] + ["user", "assistant"] * 6] * 4 + [["user"] * 9] * 3
+    rows = [(c, t, r) for c, seq in enumerate(seqs) for t, r in enumerate(seq)]
+    long = spark.createDataFrame(rows, "conv_id long, turn long, role string")
+    first_seen, cnt = {}, Counter()
+    for c, seq in enumerate(seqs):
+        p = " -> ".join(seq)
+        first_seen.setdefault(p, c)
+        cnt[p] += 1
+    want = sorted(cnt.items(), key=lambda kv: (-kv[1], first_seen[kv[0]]))[:6]
+    got = profile.role_patterns(long, k=6, chunk=chunk).orderBy("rank").collect()
+    assert [(r["pattern"], r["n"]) for r in got] == want
+    assert [r["rank"] for r in got] == list(range(1, 7))
+    assert abs(got[0]["pct"] - round(100.0 * want[0][1] / len(seqs), 2)) < 0.01
+
+
 def test_special_tokens(spark):
     df = spark.createDataFrame([("a <bos> b <bos>",), ("<|user|>\nhi",), ("none",)], "text string")
     got = {r["marker"]: (r["occurrences"], r["rows_with_marker"]) for r in profile.special_token_counts(df).collect()}
