@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,9 +84,14 @@ def build_vocab(tokens: DataFrame, token: str = "token") -> DataFrame:
 
 
 def vocab_top(tokens: DataFrame, k: int, token: str = "token") -> DataFrame:
-    """A18 report: the ``k`` most frequent tokens with their rank (distributed top-k)."""
+    """A18 report: the ``k`` most frequent tokens with their rank.
+
+    A distributed top-k (TakeOrderedAndProject); the rank is a window over
+    those ``k`` rows only, bounded by the parameter.
+    """
     top = token_frequencies(tokens, token).orderBy(F.desc("n"), F.asc(token)).limit(k)
-    return dense_index(top, [F.desc("n"), F.asc(token)], "token_id").select("token_id", token, "n")
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), F.asc(token))) - 1
+    return top.select(rank.cast("long").alias("token_id"), token, "n")
 
 
 def encode(tokens: DataFrame, vocab: DataFrame, token: str = "token") -> DataFrame:
