@@ -14,6 +14,8 @@ from colloquy.functions import text as tx
 from colloquy.operators import evals
 from colloquy.plans.registry import register, table
 from colloquy.plans.sqlbits import NL, strip
+from colloquy.session import scratch_path
+from colloquy.sources import parts
 
 TASKS = ["click", "error", "purchase", "signup", "view"]
 STORED_MIN = 13
@@ -178,6 +180,20 @@ def q_score_margin(spark, d):
                     hi.alias("ci_high"))
 
 
+@register("log_scores", f"WITH {LOGS_CTE}, {PARSE_SQL} SELECT event_id, score_numeric FROM ps")
+def q_log_scores(spark, d):
+    """S18 + X8 + X9 end to end: every scorer log is written as one record,
+    read back whole, identified by its first line, split and parsed."""
+    path = scratch_path(spark, "scorer-logs")
+    parts.write_logs(scorer_logs(spark, d), path)
+    logs = parts.read_logs(spark, path, record_sep=parts.LOG_RECORD_SEP)
+    head = F.substring_index("log", "\n", 1)
+    ident = logs.select(F.regexp_extract(head, r" run (\d+)$", 1).cast("long").alias("event_id"),
+                        F.substring_index(head, " ", 1).alias("event_type"), "log")
+    s = ident.select("event_id", _split_expr().alias("split"))
+    return s.select("event_id", tx.parse_score("split").alias("score_numeric"))
+
+
 # ----------------------------------------------------------------- model names
 def model_paths(spark, d):
     p = table(spark, d, "part")

@@ -125,7 +125,24 @@ def read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return out
 
 
-def read_logs(spark: SparkSession, pattern: str) -> DataFrame:
-    """One row per scorer log file: (path, log)."""
-    return (spark.read.text(pattern, wholetext=True)
-            .select(F.input_file_name().alias("path"), F.col("value").alias("log")))
+# Separator between logs when many runs share a file (ASCII record separator).
+LOG_RECORD_SEP = "\u001e"
+
+
+def read_logs(spark: SparkSession, pattern: str, record_sep: str | None = None) -> DataFrame:
+    """Scorer logs as (path, log).
+
+    Default: one row per file, the whole text of one run. With
+    ``record_sep`` a file holds many runs, one per separated record, so each
+    row is still one whole log while files stay few and large.
+    """
+    if record_sep is None:
+        raw = spark.read.text(pattern, wholetext=True)
+    else:
+        raw = spark.read.option("lineSep", record_sep).text(pattern)
+    return raw.select(F.input_file_name().alias("path"), F.col("value").alias("log"))
+
+
+def write_logs(df: DataFrame, path: str, log: str = "log", record_sep: str = LOG_RECORD_SEP) -> None:
+    """Write whole logs, one record each, separated by ``record_sep``."""
+    df.select(log).write.mode("overwrite").option("lineSep", record_sep).text(path)

@@ -160,6 +160,17 @@ def test_read_logs(spark):
     assert logs.count() == 2 and all("\n" in r["log"] for r in logs.collect())
 
 
+def test_logs_record_separated_roundtrip(spark):
+    """Many whole logs per file: each comes back as one record, blank lines kept."""
+    logs = ["MMLU run 1\nFinal result: 29.3 +/- 1.1\n", "Wino run 2\n\nFinal Winogrande score(3 tasks): 5",
+            "ARC run 3\nerror: stopped\n\n"]
+    df = spark.createDataFrame([(x,) for x in logs], "log string").repartition(2)
+    path = scratch_path(spark, "test-log-records")
+    parts.write_logs(df, path)
+    back = parts.read_logs(spark, path, record_sep=parts.LOG_RECORD_SEP)
+    assert sorted(r["log"] for r in back.collect()) == sorted(logs)
+
+
 def test_flatten_config(spark):
     from colloquy.schemas import RUN_CONFIG
     path = local_path(scratch_path(spark, "test-config"))
