@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.functions.poly import moment_aggs, poly_coefficients, poly_eval
+from colloquy.functions.poly import poly_coefficients, poly_eval, raw_moment_aggs, scaled_moments
 from colloquy.operators.indexing import dense_index
 from colloquy.operators.sizing import small_rows
 
@@ -272,15 +272,21 @@ def leaderboard(matrix: DataFrame, tasks: Sequence[str], model: str = "model", t
 
 # ----------------------------------------------------------------- A14-A16
 def fit_by_group(points: DataFrame, group: Sequence[str], x: str, y: str, max_degree: int = 2) -> DataFrame:
-    """Per-group least-squares coefficients of ``y`` on ``x`` (scaled by max x)."""
+    """Per-group least-squares coefficients of ``y`` on ``x`` (scaled by max x).
+
+    Points are first pre-aggregated to (group, x): count and sum of ``y``,
+    combined map-side, so the points are read once and a hot group shrinks
+    to its distinct x values before any shuffle; scale and power sums then
+    come from one aggregate of that (no join back, one read of the points).
+    """
     group = list(group)
     if not group:
         points, group = points.withColumn("_all", F.lit(0)), ["_all"]
-    scale = points.groupBy(*group).agg(F.max(F.abs(F.col(x))).alias("x_scale"))
-    p = points.join(scale, group)
-    p = p.withColumn("x_scale", F.when(F.col("x_scale") > 0, F.col("x_scale")).otherwise(F.lit(1.0)))
-    moments = p.groupBy(*group, "x_scale").agg(*moment_aggs(F.col(x).cast("double"), F.col(y).cast("double"),
-                                                            F.col("x_scale")))
+    xy = (points.groupBy(*group, F.col(x).cast("double").alias("_x"))
+          .agg(F.count(F.lit(1)).cast("double").alias("_w"), F.sum(F.col(y).cast("double")).alias("_sy")))
+    raw = xy.groupBy(*group).agg(*raw_moment_aggs(F.col("_x"), F.col("_w"), F.col("_sy")))
+    moments = raw.select(*group, "m_n", "m_distinct", "m_t0",
+                         *[c.alias(n) for n, c in scaled_moments().items()])
     co = poly_coefficients(max_degree)
     return moments.select(*group, "x_scale", "m_n", co["degree"].alias("degree"),
                           co["c0"].alias("c0"), co["c1"].alias("c1"), co["c2"].alias("c2"))
