@@ -1,4 +1,4 @@
-"""Registered source/sink and streaming queries: S4, S5, S11-S13, N6, N7, G1-G3."""
+"""Registered source/sink and streaming queries: S4-S6, U1, S11-S13, N6, N7, G1-G3."""
 
 from __future__ import annotations
 
@@ -35,6 +35,23 @@ def q_artifact_sizes(spark, d):
     return parts.artifact_sizes(spark, f"{d.rstrip('/')}/*.parquet")
 
 
+@register("records_union", """
+SELECT doc_id, lang, CAST(NULL AS VARCHAR) AS source, n_chars FROM documents
+UNION ALL
+SELECT doc_id, CAST(NULL AS VARCHAR) AS lang, source, n_chars FROM documents""")
+def q_records_union(spark, d):
+    """S6 + U1: the same records as a Parquet part and as JSON array parts
+    with other columns, read back by extension and unioned by name."""
+    docs = table(spark, d, "documents")
+    base = scratch_path(spark, "records")
+    pq_path, js_path = f"{base}/part-a.parquet", f"{base}/part-b.json"
+    docs.select("doc_id", "lang", "n_chars").write.parquet(pq_path)
+    parts.write_json_array(docs.select("doc_id", "source", "n_chars"), js_path)
+    rec = parts.read_records(spark, [pq_path, js_path])
+    return rec.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source",
+                      F.col("n_chars").cast("long").alias("n_chars"))
+
+
 # ----------------------------------------------------------------- S11, S12, N6, N7, S13
 def result_store(spark, d):
     """Long store: latest event per (model, task) as the stored result."""

@@ -125,6 +125,32 @@ def read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return out
 
 
+def write_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Record files for S6: one JSON array document per partition.
+
+    Rows become JSON objects in the JVM (``to_json``); a per-partition
+    ``mapInPandas`` only frames them as ``[``, ``,``-prefixed records and
+    ``]``, streaming batch by batch, and the text writer keeps that order.
+    Empty partitions write no file; an entirely empty input leaves the
+    writer's single empty file, which Spark reads as no records.
+    """
+    import pandas as pd
+
+    objs = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("j"))
+
+    def frame(batches):
+        first = True
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            lines = [("[" if (first and i == 0) else ",") + j for i, j in enumerate(pdf["j"])]
+            first = False
+            yield pd.DataFrame({"value": lines})
+        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
+    objs.mapInPandas(frame, "value string").write.mode(mode).text(path)
+
+
 # Separator between logs when many runs share a file (ASCII record separator).
 LOG_RECORD_SEP = "\u001e"
 

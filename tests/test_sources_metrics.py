@@ -171,6 +171,27 @@ def test_logs_record_separated_roundtrip(spark):
     assert sorted(r["log"] for r in back.collect()) == sorted(logs)
 
 
+def test_json_array_files_are_documents(spark):
+    """Each written file is one JSON array; with Parquet parts they read back
+    through read_records with a by-name union."""
+    import glob
+
+    df = spark.createDataFrame([(i, f"s{i}", None if i % 3 else 1.5) for i in range(20)],
+                               "id long, s string, x double").repartition(4)
+    empty = spark.createDataFrame([], "id long, s string, x double")
+    base = scratch_path(spark, "test-json-array")
+    parts.write_json_array(df, f"{base}/a.json")
+    parts.write_json_array(empty.repartition(2), f"{base}/e.json")
+    files = glob.glob(os.path.join(local_path(f"{base}/a.json"), "part-*"))
+    docs = [json.load(open(f)) for f in files]
+    assert all(isinstance(d, list) for d in docs) and sum(len(d) for d in docs) == 20
+    assert spark.read.option("multiLine", True).json(f"{base}/e.json").count() == 0
+    df.select("id", "s").write.parquet(f"{base}/b.parquet")
+    rec = parts.read_records(spark, [f"{base}/b.parquet", f"{base}/a.json"])
+    assert rec.count() == 40 and set(rec.columns) == {"id", "s", "x"}
+    assert rec.where("x = 1.5").count() == 7
+
+
 def test_flatten_config(spark):
     from colloquy.schemas import RUN_CONFIG
     path = local_path(scratch_path(spark, "test-config"))
