@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import percent
 from colloquy.operators.indexing import dense_index
+from colloquy.operators.sizing import TOP_N_MAX
 
 # Control strings of the two chat formats.
 SPECIAL_MARKERS = ["<bos>", "<eos>", "<start_of_turn>", "<end_of_turn>",
@@ -195,13 +196,17 @@ def template_success_rate(rendered: DataFrame, valid: str = "valid") -> DataFram
 def first_n(long: DataFrame, n: int | None, key: str = "conv_id") -> DataFrame:
     """Rows of the first ``n`` keys (``None`` = everything).
 
-    The ``n`` keys are a distributed top-n, broadcast (size bounded by ``n``)
-    into a semi join with the long table.
+    Up to ``TOP_N_MAX`` keys: a distributed top-n, broadcast (size bounded
+    by ``n``) into a semi join with the long table. More keys: positions from
+    the dense index over the distinct keys, and a semi join planned by AQE.
     """
     if n is None:
         return long
-    keys = long.select(key).distinct().orderBy(key).limit(n)
-    return long.join(F.broadcast(keys), key, "left_semi")
+    keys = long.select(key).distinct()
+    if n <= TOP_N_MAX:
+        return long.join(F.broadcast(keys.orderBy(key).limit(n)), key, "left_semi")
+    first = dense_index(keys, [key], "_i").where(F.col("_i") < n).select(key)
+    return long.join(first, key, "left_semi")
 
 
 def top_k(df: DataFrame, k: int, count: str = "n", value: str = "value") -> DataFrame:
@@ -213,11 +218,17 @@ def sample_rows(df: DataFrame, n: int, seed: int, key: str | None = None) -> Dat
     """``min(n, rows)`` rows without replacement.
 
     With ``key`` the sample is deterministic: order by ``md5(key || seed)``.
-    Either way it is a distributed top-n (TakeOrderedAndProject).
+    Up to ``TOP_N_MAX`` rows it is a distributed top-n
+    (TakeOrderedAndProject); larger samples take the first ``n`` positions
+    of the dense index over the same order.
     """
     if key is None:
-        return df.orderBy(F.rand(seed)).limit(n)
-    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
+        order = [F.rand(seed)]
+    else:
+        order = [F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)]
+    if n <= TOP_N_MAX:
+        return df.orderBy(*order).limit(n)
+    return dense_index(df, order, "_i").where(F.col("_i") < n).drop("_i")
 
 
 def special_token_counts(df: DataFrame, text: str = "text",

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 # Row bounds for dimension-like inputs (pattern lists, merge recipes).
 SMALL_ROWS = 10_000
+# Largest top-n gathered by one task (TakeOrderedAndProject) or broadcast;
+# larger slices and key sets take a distributed plan instead.
+TOP_N_MAX = 1_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:

@@ -54,22 +54,34 @@ def parse_slice(spec: str) -> tuple[int, int | None]:
 def slice_split(df: DataFrame, spec: str, key) -> DataFrame:
     """Split slice such as ``train[:20000]`` in ``key`` order.
 
-    A bounded slice is a distributed top-(stop) with offset; an open slice
-    uses a dense index instead of pulling rows into one partition.
+    A slice ending at most ``TOP_N_MAX`` rows in is a distributed top-(stop)
+    with offset (per-partition top-n, then one bounded merge). Open or
+    longer slices use the dense index, so no task gathers the slice.
     """
     from colloquy.operators.indexing import dense_index
+    from colloquy.operators.sizing import TOP_N_MAX
 
     start, stop = parse_slice(spec)
     keys = [key] if isinstance(key, str) else list(key)
-    if stop is not None:
+    if stop is not None and stop <= TOP_N_MAX:
         return df.orderBy(*keys).offset(start).limit(max(stop - start, 0))
-    return dense_index(df, keys, "_idx").where(F.col("_idx") >= start).drop("_idx")
+    idx = dense_index(df, keys, "_idx")
+    cond = F.col("_idx") >= start
+    if stop is not None:
+        cond = cond & (F.col("_idx") < stop)
+    return idx.where(cond).drop("_idx")
 
 
 def row_at(df: DataFrame, n: int, key) -> DataFrame:
-    """S3: the row at 0-based position ``n`` in ``key`` order."""
+    """S3: the row at 0-based position ``n`` in ``key`` order (a bounded
+    top-n below ``TOP_N_MAX``, the dense index beyond)."""
+    from colloquy.operators.indexing import dense_index
+    from colloquy.operators.sizing import TOP_N_MAX
+
     keys = [key] if isinstance(key, str) else list(key)
-    return df.orderBy(*keys).offset(n).limit(1)
+    if n < TOP_N_MAX:
+        return df.orderBy(*keys).offset(n).limit(1)
+    return dense_index(df, keys, "_idx").where(F.col("_idx") == n).drop("_idx")
 
 
 def save_dataset(df: DataFrame, path: str, mode: str = "overwrite") -> None:

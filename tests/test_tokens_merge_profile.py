@@ -207,6 +207,28 @@ def test_slices(spark):
     assert row_at(df, 42, "k").collect()[0][0] == 42
 
 
+def test_large_slices_and_first_n_are_distributed(spark, monkeypatch, convs):
+    """Past the top-n bound: dense-index slices and a non-broadcast key join,
+    with the same rows as the bounded plans."""
+    from colloquy.operators import sizing
+    from colloquy.sources.chat import row_at, slice_split
+
+    df = spark.range(0, 100, numPartitions=3).withColumnRenamed("id", "k")
+    small = {s: sorted(r[0] for r in slice_split(df, s, "k").collect()) for s in ["[10:13]", "[:5]", "[95:200]"]}
+    monkeypatch.setattr(sizing, "TOP_N_MAX", 2)
+    big = {s: sorted(r[0] for r in slice_split(df, s, "k").collect()) for s in small}
+    assert big == small == {"[10:13]": [10, 11, 12], "[:5]": [0, 1, 2, 3, 4], "[95:200]": [95, 96, 97, 98, 99]}
+    assert row_at(df, 42, "k").collect()[0][0] == 42
+    long, _ = convs
+    want = sorted(tuple(r) for r in profile.first_n(long, 4).collect())
+    keys = long.select("conv_id").distinct()
+    sample = sorted(r[0] for r in profile.sample_rows(keys, 3, 7, key="conv_id").collect())
+    monkeypatch.setattr(profile, "TOP_N_MAX", 2)
+    got = sorted(tuple(r) for r in profile.first_n(long, 4).collect())
+    assert got == want and {r[0] for r in got} == {0, 1, 2, 3}
+    assert sorted(r[0] for r in profile.sample_rows(keys, 3, 7, key="conv_id").collect()) == sample
+
+
 def test_nest_unnest(spark, convs):
     from colloquy.sources.chat import nest_messages, unnest_messages
     df, pats = convs
