@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions import templates as tpl
+from colloquy.functions.text import strip
 from colloquy.schemas import MESSAGE
 
 # Fixed value: default system sentence of the reformatting step.
@@ -91,6 +92,15 @@ def render_gemma(df: DataFrame, messages: str = "messages", add_generation_promp
     return df.withColumns({valid: r["valid"], text: r["text"]})
 
 
+def _validity_aggs(order: str, role: str) -> tuple[list, Column]:
+    p = F.col(order)
+    is_user = F.coalesce(F.col(role) == "user", F.lit(False))
+    aggs = [F.bool_or((p == 0) & F.coalesce(F.col(role) == "system", F.lit(False))).alias("_sys"),
+            F.bool_and((p == 0) | (is_user == (p % 2 == 1))).alias("_ok_sys"),
+            F.bool_and(is_user == (p % 2 == 0)).alias("_ok")]
+    return aggs, F.when(F.col("_sys"), F.col("_ok_sys")).otherwise(F.col("_ok"))
+
+
 def gemma_validity_long(long: DataFrame, conv: str = "conv_id", order: str = "turn",
                         role: str = "role") -> DataFrame:
     """X1's validity per conversation, from the long table: ``(conv, valid)``.
@@ -102,13 +112,31 @@ def gemma_validity_long(long: DataFrame, conv: str = "conv_id", order: str = "tu
     conversation is gathered. Equals ``render_gemma(...).valid`` on the
     nested form.
     """
-    p = F.col(order)
-    is_user = F.coalesce(F.col(role) == "user", F.lit(False))
-    agg = long.groupBy(conv).agg(
-        F.bool_or((p == 0) & F.coalesce(F.col(role) == "system", F.lit(False))).alias("_sys"),
-        F.bool_and((p == 0) | (is_user == (p % 2 == 1))).alias("_ok_sys"),
-        F.bool_and(is_user == (p % 2 == 0)).alias("_ok"))
-    return agg.select(conv, F.when(F.col("_sys"), F.col("_ok_sys")).otherwise(F.col("_ok")).alias("valid"))
+    aggs, valid = _validity_aggs(order, role)
+    return long.groupBy(conv).agg(*aggs).select(conv, valid.alias("valid"))
+
+
+def gemma_token_counts_long(long: DataFrame, pattern: str, conv: str = "conv_id", order: str = "turn",
+                            role: str = "role", text: str = "text") -> DataFrame:
+    """K2 of X1's rendering per conversation, from the long table:
+    ``(conv, valid, n_tokens)``; ``n_tokens`` is NULL when invalid.
+
+    Each turn of the rendering ends in a newline, and a leading system text
+    sits between newlines. For a token ``pattern`` that never matches
+    white space (the default regex tokeniser) no token crosses those
+    boundaries, so the tokens of the whole text are the sum of the tokens of
+    each message's piece: a partial aggregate, with validity in the same
+    pass. A sub-word tokeniser needs the whole text (``render_gemma``).
+    """
+    p, r = F.col(order), F.col(role)
+    lead_system = (p == 0) & F.coalesce(r == "system", F.lit(False))
+    piece = F.when(lead_system, F.coalesce(F.col(text), F.lit(""))).otherwise(F.concat(
+        F.lit(tpl.GEMMA_START), F.when(r == "assistant", F.lit("model")).otherwise(F.coalesce(r, F.lit(""))),
+        F.lit("\n"), strip(F.coalesce(F.col(text), F.lit(""))), F.lit(tpl.GEMMA_END)))
+    n = F.size(F.regexp_extract_all(piece, F.lit(pattern), 0)).cast("long")
+    aggs, valid = _validity_aggs(order, role)
+    return (long.groupBy(conv).agg(*aggs, F.sum(n).alias("_n"))
+            .select(conv, valid.alias("valid"), F.when(valid, F.col("_n")).alias("n_tokens")))
 
 
 def render_role_tags(df: DataFrame, messages: str = "messages", eos: str = tpl.DEFAULT_EOS,

@@ -127,11 +127,15 @@ def list_tokens(tokens: DataFrame, vocab: DataFrame, keep=("doc_id",)) -> DataFr
     return encode(tokens, vocab).select(*keep, "pos", "token_id", "token")
 
 
+def length_flags(df: DataFrame, max_len: int, n_tokens: str = "n_tokens") -> DataFrame:
+    """K6 flags from a token count: ``within_limit`` and ``kept_tokens``."""
+    n = F.col(n_tokens)
+    return df.withColumns({"within_limit": n <= max_len, "kept_tokens": F.least(n, F.lit(max_len)).cast("long")})
+
+
 def length_filter(df: DataFrame, max_len: int, tokens: str = "tokens", truncate: bool = False) -> DataFrame:
     """K6: rows within ``max_len`` tokens (or truncated to it), with flags."""
-    n = F.size(tokens)
-    out = df.withColumns({"n_tokens": n.cast("long"), "within_limit": n <= max_len,
-                          "kept_tokens": F.least(n, F.lit(max_len)).cast("long")})
+    out = length_flags(df.withColumn("n_tokens", F.size(tokens).cast("long")), max_len)
     if truncate:
         return out.withColumn(tokens, F.slice(tokens, 1, max_len))
     return out

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from colloquy.operators import merge, tokens
-from colloquy.plans.chat_queries import full_render
+from colloquy.operators import chat, merge, tokens
+from colloquy.plans.chat_queries import conversations
 from colloquy.plans.registry import register, table
 from colloquy.plans.sqlbits import GEMMA_CTE
 
@@ -86,8 +86,9 @@ SELECT conv_id, len(regexp_extract_all(text, '{PAT}'))::BIGINT AS n_tokens,
        least(len(regexp_extract_all(text, '{PAT}')), {MAX_LEN})::BIGINT AS kept_tokens
 FROM gemma WHERE valid""")
 def q_length_filter(spark, d):
-    r = full_render(spark, d).where("valid").select("conv_id", tokens.tokenize("text").alias("tokens"))
-    return tokens.length_filter(r, MAX_LEN).select("conv_id", "n_tokens", "within_limit", "kept_tokens")
+    # token counts of the rendering as partial aggregates over the long table
+    counts = chat.gemma_token_counts_long(conversations(spark, d), PAT).where("valid")
+    return tokens.length_flags(counts, MAX_LEN).select("conv_id", "n_tokens", "within_limit", "kept_tokens")
 
 
 def params(spark, d):

@@ -137,3 +137,28 @@ def test_gemma_validity_long_equals_nested(spark):
     got = {r["conv_id"]: r["valid"] for r in chat.gemma_validity_long(long).collect()}
     assert got == want
     assert any(want.values()) and not all(want.values())
+
+
+def test_gemma_token_counts_long_equal_whole_text(spark):
+    """Per-message token sums = tokens of the whole rendering (default regex)."""
+    import random
+
+    from colloquy.operators import tokens
+    from colloquy.sources.chat import unnest_messages
+
+    contents = ["  hi there\n", "", "x<end_of_turn>\ny", "über-straße 42", "\t", "a_b", "<start_of_turn>model\n!"]
+    rnd = random.Random(5)
+    convs = [C1, C2, C3, msgs(("system", " s \n"), ("user", "u"), ("assistant", "")), msgs((None, "z"), ("user", "u"))]
+    for _ in range(50):
+        first = [("system", rnd.choice(contents))] if rnd.random() < 0.4 else []
+        rest = [(("user", "assistant")[i % 2] if rnd.random() < 0.9 else "tool", rnd.choice(contents))
+                for i in range(rnd.randint(1, 5))]
+        convs.append(msgs(*(first + rest)))
+    nested = frame(spark, *convs).withColumnRenamed("id", "conv_id")
+    r = chat.render_gemma(nested)
+    want = {row["conv_id"]: (row["valid"], row["n"]) for row in
+            r.select("conv_id", "valid", F.size(tokens.tokenize("text")).alias("n")).collect()}
+    got = {row["conv_id"]: (row["valid"], row["n_tokens"]) for row in
+           chat.gemma_token_counts_long(unnest_messages(nested), tokens.TOKEN_PATTERN).collect()}
+    assert {k: v for k, v in got.items() if v[0]} == {k: v for k, v in want.items() if v[0]}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
