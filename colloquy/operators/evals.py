@@ -82,21 +82,27 @@ def wide_scores(results: DataFrame, tasks: Sequence[str], model: str = "model",
                 score: str = "score", fill: float = 0.0) -> DataFrame:
     """S13 shape: one row per model, one column per task, absent score = ``fill``.
 
-    The pivot values are the task list, so Spark plans one aggregation
-    (no value discovery job).
+    One conditional aggregate per task of the known list: a single partial
+    aggregation by model (a ``pivot`` would aggregate by (model, task) first).
     """
-    wide = results.groupBy(model).pivot(task, list(tasks)).agg(F.first(score))
+    wide = _by_task(results, tasks, model, task, score)
     return wide.na.fill(fill, subset=list(tasks))
 
 
+def _by_task(results: DataFrame, tasks: Sequence[str], model: str, task: str, score: str) -> DataFrame:
+    return results.groupBy(model).agg(*[
+        F.first(F.when(F.col(task) == t, F.col(score)), ignorenulls=True).alias(t) for t in tasks])
+
+
 def score_matrix(results: DataFrame, models: DataFrame, tasks: Sequence[str], model: str = "model",
                  task: str = "task", score: str = "score") -> DataFrame:
     """For every (model, task) the stored score or 0.0; unknown model -> zeros.
 
-    Pivot on the task list, left join from the model dimension, unpivot:
-    the output has |models| x |tasks| rows and no cross join is planned.
+    One row per model with a column per listed task (conditional
+    aggregates), left join from the model dimension, unpivot: the output has
+    |models| x |tasks| rows and no cross join is planned.
     """
-    wide = results.groupBy(model).pivot(task, list(tasks)).agg(F.first(score))
+    wide = _by_task(results, tasks, model, task, score)
     m = models.select(model).distinct().join(wide, model, "left")
     cells = F.array(*[F.struct(F.lit(t).alias(task),
                                F.coalesce(F.col(f"`{t}`").cast("double"), F.lit(0.0)).alias(score))
