@@ -84,7 +84,7 @@ def append_columns(df: DataFrame, fn, added: str) -> DataFrame:
 
         kinds = [f.type for f in to_arrow_schema(new)]
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch):
                 texts = part.column(part.schema.get_field_index("text")).to_pylist()
                 values = [pa.array(v, k) for v, k in zip(fn(texts), kinds)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *values], names=[f.name for f in out.fields])
@@ -92,6 +92,6 @@ def append_columns(df: DataFrame, fn, added: str) -> DataFrame:
     return df.mapInArrow(run, out)
 
 
-def _slices(batch, rows: int = 512):
+def slices(batch, rows: int = 512):
     for s in range(0, batch.num_rows, rows):
         yield batch.slice(s, rows)
