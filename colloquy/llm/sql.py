@@ -17,11 +17,11 @@ links AS (
   JOIN sizes na ON na.doc_id = a.doc_id JOIN sizes nb ON nb.doc_id = b.doc_id
   WHERE 100 * least(na.n, nb.n) >= 80 * greatest(na.n, nb.n)
   GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (
   SELECT doc_id AS node, doc_id AS seen FROM sizes
   UNION
-  SELECT r.node, l.b FROM reach r JOIN both l ON r.seen = l.a)
+  SELECT r.node, l.b FROM reach r JOIN edges l ON r.seen = l.a)
 SELECT z.doc_id, z.n AS n_shingles, min(r.seen) AS component_id, min(r.seen) = z.doc_id AS kept
 FROM sizes z JOIN reach r ON r.node = z.doc_id GROUP BY z.doc_id, z.n
 """
