@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from colloquy.llm.common import cut, stored
 from colloquy.llm.components import connected_components
-from colloquy.llm.runs import blocks, unit_runs
+from colloquy.llm.runs import blocks, local_components, unit_runs
 
 BLOCKS, LISTED, CODES = 4, 14, 2
 ROWS_PER_FILTER = 4
@@ -133,19 +133,6 @@ def _listed(n_rows: int):
     return run
 
 
-def _local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    lab = np.arange(n)
-    while True:
-        m = np.minimum(lab[a], lab[b])
-        new = lab.copy()
-        np.minimum.at(new, lab[a], m)
-        np.minimum.at(new, lab[b], m)
-        new = new[new]
-        if (new == lab).all():
-            return lab
-        lab = new
-
-
 def _counted(threshold: float):
     """Per unit and vector: weighted links counted here, and the smallest
     vector of its local component."""
@@ -199,7 +186,7 @@ def _count_units(pdf: pd.DataFrame, key: list[str], threshold: float) -> pd.Data
     np.add.at(links, a, weight[b])
     np.add.at(links, b, weight[a])
     # rows of one unit only meet rows of that unit, so components are local to it
-    root = _local_components(len(pdf), a, b)
+    root = local_components(len(pdf), a, b)
     low = np.full(len(pdf), np.iinfo(np.int64).max)
     np.minimum.at(low, root, rep)
     hit = np.flatnonzero(links)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from colloquy.llm.common import cut, stored
 from colloquy.llm.components import connected_components
-from colloquy.llm.runs import blocks, unit_runs
+from colloquy.llm.runs import blocks, local_components, unit_runs
 
 BANDS, ROWS, BITS = 32, 4, 4
 BLOCK = 1024
@@ -141,7 +141,7 @@ def _sets(size: int):
         for pdf in batches:
             sets = [shingle_hashes(t, size) for t in pdf["text"]]
             same = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() == bytes(fp) for h, fp in zip(sets, pdf["fp"])]
-            out = pd.DataFrame({"rep": pdf["rep"], "hashes": [h.view(np.int64) for h in sets]})
+            out = pd.DataFrame({"rep": pdf["rep"], "hashes": [np.sort(h.view(np.int64)) for h in sets]})
             yield out[np.array(same, bool)]
     return run
 
@@ -170,40 +170,79 @@ def _agreeing(a: str, b: str) -> Column:
     return F.lit(BANDS * ROWS) - total
 
 
-def _cross_pairs(threshold: float):
-    low, need = _floor(threshold), threshold
+_UNIT = ["key", "_i", "_j"]
+
+
+def _candidates(pdf: pd.DataFrame, threshold: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Per unit (begin, end) the pairs across components that can reach the
+    threshold by size and estimate, in the first band that both share."""
+    sig = np.stack(pdf["sig"].to_numpy()).view(np.uint64)
+    bands = np.stack(pdf["bands"].to_numpy())
+    comp, n, rep, key, chunk = (pdf[c].to_numpy() for c in ("comp", "n", "rep", "key", "_c"))
+    ij = pdf[["_i", "_j"]].to_numpy()
+    low = _floor(threshold)
+    starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (ij[1:] != ij[:-1]).any(1)])
+    for s, e in zip(starts, np.r_[starts[1:], len(pdf)]):
+        i, j = ij[s]
+        left = np.flatnonzero(chunk[s:e] == i) + s
+        right = left if i == j else np.flatnonzero(chunk[s:e] == j) + s
+        for at in range(0, len(left), 256):
+            a = left[at:at + 256]
+            ok = (comp[a][:, None] != comp[right][None, :]) & (
+                np.minimum(n[a][:, None], n[right][None, :]) >= threshold * np.maximum(n[a][:, None], n[right][None, :]) - 1e-6)
+            if i == j:
+                ok &= rep[a][:, None] < rep[right][None, :]
+            x, y = np.nonzero(ok)
+            x, y = a[x], right[y]
+            d = sig[x] ^ sig[y]
+            d |= d >> np.uint64(1)
+            d |= d >> np.uint64(2)
+            agree = BANDS * ROWS - np.bitwise_count(d & _LOW).sum(1, dtype=np.int64)
+            keep = estimate(agree) >= low
+            x, y = x[keep], y[keep]
+            first = bands[x, (bands[x] == bands[y]).argmax(1)] == key[x]
+            if first.any():
+                yield s, e, x[first], y[first]
+
+
+def _to_confirm(threshold: float):
+    """Rows of a unit that some candidate pair of the unit needs."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in unit_runs(batches, _UNIT):
+            rows = [np.r_[x, y] for _, _, x, y in _candidates(pdf, threshold)]
+            if rows:
+                yield pdf[[*_UNIT, "_c", "rep", "comp", "n"]].iloc[np.unique(np.concatenate(rows))]
+    return run
+
+
+def _confirmed_links(threshold: float):
+    """Candidates confirmed on their full sets, as one star per group of
+    texts that a unit links."""
+    percent = round(threshold * 100)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in unit_runs(batches, ["key", "_i", "_j"]):
-            sig = np.stack(pdf["sig"].to_numpy()).view(np.uint64)
-            bands = np.stack(pdf["bands"].to_numpy())
-            comp, n, rep = (pdf[c].to_numpy() for c in ("comp", "n", "rep"))
-            key, chunk, ij = pdf["key"].to_numpy(), pdf["_c"].to_numpy(), pdf[["_i", "_j"]].to_numpy()
-            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (ij[1:] != ij[:-1]).any(1)])
-            found = []
-            for s, e in zip(starts, np.r_[starts[1:], len(pdf)]):
-                i, j = ij[s]
-                left = np.flatnonzero(chunk[s:e] == i) + s
-                right = left if i == j else np.flatnonzero(chunk[s:e] == j) + s
-                for at in range(0, len(left), 256):
-                    a = left[at:at + 256]
-                    ok = (comp[a][:, None] != comp[right][None, :]) & (
-                        np.minimum(n[a][:, None], n[right][None, :]) >= need * np.maximum(n[a][:, None], n[right][None, :]) - 1e-6)
-                    if i == j:
-                        ok &= rep[a][:, None] < rep[right][None, :]
-                    x, y = np.nonzero(ok)
-                    x, y = a[x], right[y]
-                    d = sig[x] ^ sig[y]
-                    d |= d >> np.uint64(1)
-                    d |= d >> np.uint64(2)
-                    agree = BANDS * ROWS - np.bitwise_count(d & _LOW).sum(1, dtype=np.int64)
-                    keep = estimate(agree) >= low
-                    x, y = x[keep], y[keep]
-                    same = bands[x] == bands[y]
-                    first = bands[x, same.argmax(1)] == key[x]
-                    found.append(np.stack([rep[x[first]], rep[y[first]]], 1))
-            if found and (got := np.concatenate(found)).size:
-                yield pd.DataFrame({"a": got[:, 0], "b": got[:, 1]})
+        for pdf in unit_runs(batches, _UNIT):
+            rep, hashes = pdf["rep"].to_numpy(), pdf["hashes"].to_numpy()
+            found: list[tuple[int, int]] = []
+            for _, _, x, y in _candidates(pdf, threshold):
+                order = np.argsort(x, kind="stable")
+                x, y = x[order], y[order]
+                cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True])
+                for s, e in zip(cuts[:-1], cuts[1:]):
+                    own, others = hashes[x[s]], y[s:e]
+                    sizes = np.array([len(hashes[o]) for o in others])
+                    every = np.concatenate([hashes[o] for o in others])
+                    at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                    shared = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+                    linked = 100 * shared >= percent * (len(own) + sizes - shared)
+                    found += [(x[s], o) for o in others[linked]]
+            if found:
+                a, b = np.array(found).T
+                root = local_components(len(pdf), a, b)
+                # a text that several bands bring in has a row in each unit; units stay apart
+                used = np.unique(np.r_[a, b])
+                moved = used[root[used] != used]
+                yield pd.DataFrame({"u": rep[moved], "v": rep[root[moved]]})
     return run
 
 
@@ -259,12 +298,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
         new = cut(confirmed(best))
         edges = new if edges is None else edges.unionAll(new)
         labels = connected_components(edges)
-    rows = labelled(members.join(brief.select("rep", "n", "sig", "bands"), "rep"), labels)
+    rows = labelled(members, labels)
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    cross = (blocks(rows.join(mixed, "key"), ["key"], "rep", BLOCK)
-             .select("key", "_i", "_j", "_c", "rep", "comp", "n", "sig", "bands")
-             .mapInPandas(_cross_pairs(threshold), "a long, b long"))
-    labels = connected_components(edges.unionAll(confirmed(cross)))
+    shape = brief.select("rep", "n", "sig", "bands")
+    needed = cut(blocks(rows.join(mixed, "key"), ["key"], "rep", BLOCK, shape)
+                 .select(*_UNIT, "_c", "rep", "comp", "n", "sig", "bands")
+                 .mapInPandas(_to_confirm(threshold), "key long, _i int, _j int, _c int, rep long, comp long, n long"))
+    full = (needed.join(shape.drop("n"), "rep").join(sets, "rep")
+            .select(*_UNIT, "_c", "rep", "comp", "n", "sig", "bands", "hashes")
+            .repartition(*_UNIT).sortWithinPartitions(*_UNIT))
+    cross = full.mapInPandas(_confirmed_links(threshold), "u long, v long")
+    labels = connected_components(edges.unionAll(cross))
 
     classes = labelled(reps.select("fp", "rep"), labels).select("fp", F.col("comp").alias("component_id"))
     narrow = feats.select("doc_id", "n_shingles", "fp")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,3 +50,17 @@ def unit_runs(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.Da
         rest = pdf.iloc[head:]
     if rest is not None and len(rest):
         yield rest
+
+
+def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest row of each row's component under the links (a, b)."""
+    lab = np.arange(n)
+    while True:
+        m = np.minimum(lab[a], lab[b])
+        new = lab.copy()
+        np.minimum.at(new, lab[a], m)
+        np.minimum.at(new, lab[b], m)
+        new = new[new]
+        if (new == lab).all():
+            return lab
+        lab = new
