@@ -14,6 +14,8 @@ ignored.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,7 +32,7 @@ from colloquy.llm.common import stored
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
-MEMO = 400_000
+MEMO = 800_000
 _TAIL = re.compile(rb"(.*[a-z])([.,]|!!)\Z", re.S)
 
 
@@ -42,37 +44,69 @@ class _Ids(dict):
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def encode(self, text: str) -> bytes:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
+        for token, i in vocabulary.items():
+            self.ends_word[i] = bool(suffix) and token.endswith(suffix)
+
+    @staticmethod
+    def chunks(text: str) -> list[bytes]:
         raw = text.encode("utf-8", "surrogatepass")
         if b"<|" not in raw:  # marks of special tokens are case-sensitive; all else is lower-cased anyway
             raw = raw.lower()
-        chunks = raw.split()
-        self.learn(chunks)
-        return b"".join(map(self.__getitem__, chunks))
-
-    def learn(self, chunks: list[bytes]) -> None:
-        new = set(chunks).difference(self)
-        if not new:
-            return
+        return raw.split()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; unknown chunks of all of them are encoded at once."""
+        split = [self.chunks(t) for t in texts]
+        new = {c for chunks in split for c in chunks if c not in self}
         if len(self) + len(new) > MEMO:
             self.clear()
-            new = set(chunks)
+            new = {c for chunks in split for c in chunks}
+        self.learn(new)
+        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
+
+    def learn(self, new: set[bytes]) -> None:
         tails = {c: m for c in new if (m := _TAIL.match(c))}
-        heads = {p for m in tails.values() for p in m.groups()}.difference(self)
-        plain = list((new - tails.keys()) | heads)
-        for s in range(0, len(plain), 4096):
-            part = plain[s:s + 4096]
-            for chunk, got in zip(part, self.tokenizer.encode_batch_fast(
-                    [c.decode("utf-8", "replace") for c in part], add_special_tokens=False)):
-                self[chunk] = np.array(got.ids, "<u4").tobytes()
+        heads = {p for m in tails.values() for p in m.groups() if p not in self}
+        plain = {c: c.decode("utf-8", "replace") for c in (new - tails.keys()) | heads}
+        single = self.learn_words([c for c, t in plain.items() if t.isalpha()], plain)
+        single += [c for c, t in plain.items() if not t.isalpha()]
+        for s in range(0, len(single), 4096):
+            part = single[s:s + 4096]
+            for chunk, ids in zip(part, self.ids_of([plain[c] for c in part])):
+                self[chunk] = ids.tobytes()
         for chunk, m in tails.items():
             self[chunk] = self[m[1]] + self[m[2]]
 
+    def learn_words(self, words: list[bytes], plain: dict[bytes, str]) -> list[bytes]:
+        """Words of letters only are one unit each, and the last id of a unit
+        carries the word end; so they are encoded many to a call and split at
+        those ids. Returns the words of calls that do not split evenly."""
+        failed = []
+        groups = [words[i:i + 128] for i in range(0, len(words), 128)]
+        for s in range(0, len(groups), 64):
+            part = groups[s:s + 64]
+            for group, ids in zip(part, self.ids_of([" ".join([plain[w] for w in g]) for g in part])):
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) != len(group):
+                    failed += group
+                    continue
+                raw, at = ids.tobytes(), 0
+                for word, end in zip(group, (4 * ends).tolist()):
+                    self[word] = raw[at:end]
+                    at = end
+        return failed
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
 
 @lru_cache(maxsize=1)
 def _ids(path: str) -> _Ids:
@@ -88,7 +122,7 @@ def _encode(path: str, end_id: int):
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 some = batch.slice(s, 256)
-                blobs = [(ids.encode(t) if t else b"") + end for t in some.column("text").to_pylist()]
+                blobs = [b + end for b in ids.encode([t or "" for t in some.column("text").to_pylist()])]
                 n = np.array([len(b) // 4 for b in blobs], np.int64)
                 begin = offset + np.cumsum(n) - n
                 offset += int(n.sum())
