@@ -2,7 +2,7 @@
 graded ratings.
 
 A text's whole word list becomes hashed features: each distinct lower-cased
-word, and shares of word shapes, immediate repeats and symbols. One weight
+word and word prefix, and shares of word shapes and immediate repeats. One weight
 vector is shared by all grades; ordered thresholds t_1 < t_2 < ... cut the
 score: P(grade < k) = sigmoid(t_k - w.x). The model gives the expected grade
 and the tail probability P(grade >= top), by which documents are selected.
@@ -10,7 +10,8 @@ and the tail probability P(grade >= top), by which documents are selected.
 Grades come from ``labels``: 0 for quality 0, 1 for quality 1 but toxic,
 2 for quality 1 and not toxic. The fit takes a bounded sample of the rated
 rows, the ``SAMPLE_ROWS`` first ones by a hash of their id (a documented
-parameter); features that fewer than ``MIN_DOCS`` of them show are left out.
+parameter); features that fewer than ``MIN_DOCS`` or a ``MIN_SHARE`` of them
+show are left out.
 Scoring covers every document and whole texts.
 
 Defined results: a rating with a null id or quality is ignored, a null toxic
@@ -34,9 +35,10 @@ from colloquy.llm.common import append_columns
 
 BUCKETS = 1 << 18
 GRADES = 3
-SAMPLE_ROWS = 12_000
-MIN_DOCS = 8
-STEPS, RATE, RIDGE = 300, 0.05, 2e-4
+SAMPLE_ROWS = 8_000
+MIN_DOCS, MIN_SHARE = 3, 0.001
+STEPS, RATE, LASSO = 200, 0.05, 5e-4
+PREFIX = 4
 SHARE_SCALE = 4.0
 KEEP_TAIL = 0.5
 MEMO = 300_000
@@ -60,14 +62,14 @@ def _shape(word: str) -> str:
 
 
 class _Features(dict):
-    """word -> (bucket of the bare word, bucket of its shape, is symbolic)."""
+    """word -> buckets of the bare word, of its shape and of its prefix."""
 
     def __missing__(self, word: str):
         if len(self) > MEMO:
             self.clear()
         bare = word.lower().strip(".,;:!?\"'()")
         shape = _shape(word)
-        v = self[word] = (_bucket("w:" + bare), _bucket("s:" + shape))
+        v = self[word] = (_bucket("w:" + bare), _bucket("s:" + shape), _bucket("p:" + bare[:PREFIX]))
         return v
 
 
@@ -81,12 +83,12 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not words:
         return np.empty(0, np.int64), np.empty(0, np.float32)
     pairs = np.array([_MEMO[w] for w in words], np.int64)
-    word_ids = np.unique(pairs[:, 0])
+    word_ids = np.unique(pairs[:, [0, 2]])
     shape_ids, shape_n = np.unique(pairs[:, 1], return_counts=True)
     repeats = np.mean(pairs[1:, 0] == pairs[:-1, 0]) if len(pairs) > 1 else 0.0
     ids = np.concatenate([word_ids, shape_ids, [_REPEAT, _FEW]])
     values = np.concatenate([np.ones(len(word_ids)), SHARE_SCALE * shape_n / len(pairs),
-                             [SHARE_SCALE * repeats, SHARE_SCALE * len(word_ids) / len(pairs)]])
+                             [SHARE_SCALE * repeats, SHARE_SCALE * len(np.unique(pairs[:, 0])) / len(pairs)]])
     order = np.argsort(ids, kind="stable")
     return ids[order], values[order].astype(np.float32)
 
@@ -112,14 +114,18 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = GRADES) -> Model:
-    """Maximum likelihood with a ridge, full-batch Adam; numpy on the sample."""
-    ids = np.concatenate([r[0] for r in rows])
-    values = np.concatenate([r[1] for r in rows]).astype(float)
-    doc = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    shown = np.bincount(ids, minlength=BUCKETS)
-    kept = shown >= MIN_DOCS
-    ids, values, doc = ids[kept[ids]], values[kept[ids]], doc[kept[ids]]
-    names, col = np.unique(ids, return_inverse=True)
+    """Maximum likelihood with a lasso, which drops words that do not tell
+    grades apart; full-batch proximal Adam in numpy on the sample."""
+    shown = np.zeros(BUCKETS, np.int64)
+    for ids, _ in rows:
+        shown[ids] += 1
+    names = np.flatnonzero(shown >= max(MIN_DOCS, MIN_SHARE * len(rows)))
+    number = np.full(BUCKETS, -1, np.int32)
+    number[names] = np.arange(len(names))
+    rows = [(number[i][k], v[k]) for i, v in rows for k in [number[i] >= 0]]
+    col = np.concatenate([r[0] for r in rows])
+    values = np.concatenate([r[1] for r in rows])
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
     w = np.zeros(len(names))
     share = np.array([np.clip(np.mean(grades < k), 1e-3, 1 - 1e-3) for k in range(1, n_grades)])
     first = np.log(share / (1 - share))
@@ -139,9 +145,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
         g_eta = (d_high - d_low) / len(rows)  # of the negative log-likelihood
         g_cut = np.array([np.sum(d_low[grades == k + 1]) - np.sum(d_high[grades == k]) for k in range(len(cuts))]) / len(rows)
         g_t = np.r_[g_cut.sum(), [np.exp(t[j]) * g_cut[j:].sum() for j in range(1, len(cuts))]]
-        grad = np.r_[np.bincount(col, values * g_eta[doc], minlength=len(names)) + RIDGE * w, g_t]
+        grad = np.r_[np.bincount(col, values * g_eta[doc], minlength=len(names)), g_t]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
-        theta = theta - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        pace = RATE / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        theta = theta - pace * (m / (1 - 0.9 ** step))
+        pull = LASSO * pace[:len(names)]
+        theta[:len(names)] = np.sign(theta[:len(names)]) * np.maximum(np.abs(theta[:len(names)]) - pull, 0)
     w, t = theta[:len(names)], theta[len(names):]
     weights = np.zeros(BUCKETS)
     weights[names] = w
@@ -166,11 +175,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def run(batches):
         for pdf in batches:
             got = [features(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [g[0] for g in got], "vals": [g[1] for g in got]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [g[0].astype(np.int32) for g in got], "vals": [g[1] for g in got]})
 
     # at most sample_rows ids are broadcast and as many sparse rows collected
     sparse = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
-              .mapInPandas(run, "doc_id long, ids array<long>, vals array<float>").dropDuplicates(["doc_id"]).toPandas())
+              .mapInPandas(run, "doc_id long, ids array<int>, vals array<float>").dropDuplicates(["doc_id"]).toPandas())
     grades = chosen.select("doc_id", "_grade").toPandas()
     both = grades.merge(sparse, on="doc_id").sort_values(["doc_id", "_grade"])
     if not len(both):

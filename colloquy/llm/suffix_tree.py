@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from colloquy.llm.common import crc32_bucket, stored
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 MIN_SHARE, MIN_COUNT = 1e-5, 3
 MIN_DIVERGENCE, MIN_GAIN = 0.005, 10.0
 DISCOUNT = 0.75
