@@ -40,12 +40,15 @@ def _resolve(expr: Column, dtype: T.DataType, comps: list[str]) -> Column:
     if not alts:
         raise PathError(comps[0])
     rest = comps[1:]
-    f0 = names[alts[0]]
-    same = all(names[a].dataType == f0.dataType for a in alts)
-    if len(alts) > 1 and not rest and same and not isinstance(f0.dataType, (T.ArrayType, T.StructType)):
-        # several alternatives at the leaf: first non-NULL value in order
-        return _resolve(F.coalesce(*[expr.getField(a) for a in alts]), f0.dataType, [])
-    return _resolve(expr.getField(f0.name), f0.dataType, rest)
+    if len(alts) == 1:
+        return _resolve(expr.getField(alts[0]), names[alts[0]].dataType, rest)
+    # the first alternative that the record has, at any level of the path
+    leaf = T.ArrayType(_probe_type(dtype, comps))
+    out = None
+    for a in alts:
+        values = _resolve(expr.getField(a), names[a].dataType, rest).cast(leaf)
+        out = F.when(expr.getField(a).isNotNull(), values) if out is None else out.when(expr.getField(a).isNotNull(), values)
+    return out.otherwise(F.array().cast(leaf))
 
 
 def _probe_type(dtype: T.DataType, comps: list[str]) -> T.DataType:
@@ -62,6 +65,9 @@ def _probe_type(dtype: T.DataType, comps: list[str]) -> T.DataType:
         alts = [a for a in _alternatives(comps[0]) if a in names]
         if not alts:
             raise PathError(comps[0])
+        if len(alts) > 1:
+            leaves = [_probe_type(names[a].dataType, comps[1:]) for a in alts]
+            return leaves[0] if all(x == leaves[0] for x in leaves) else T.StringType()
         dtype, comps = names[alts[0]].dataType, comps[1:]
 
 

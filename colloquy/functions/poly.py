@@ -1,11 +1,9 @@
 """Least-squares polynomial fits from grouped power sums.
 
 The fit needs only ``n, Σs, Σs², Σs³, Σs⁴, Σy, Σsy, Σs²y`` per group, all
-partial aggregates, with ``s = x / max(x)`` so byte-sized x keep their
-digits. One pass sums raw powers over points pre-aggregated by distinct
-x, together with max |x|; dividing by the scale powers gives the scaled
-sums. The normal equations are solved in closed form (Cramer's rule) as
-Column expressions.
+partial aggregates, with ``s = (x - mean) / max |x - mean|`` so that sizes
+close together keep their digits. The normal equations are solved in closed
+form (Cramer's rule) as Column expressions.
 """
 
 from __future__ import annotations
@@ -14,26 +12,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def raw_moment_aggs(x: Column, w: Column, sy: Column) -> list[Column]:
-    """Scale and unscaled power sums from pre-aggregated points: one row per
-    distinct ``x`` with ``w`` = number of points and ``sy`` = their sum of
-    ``y``. All partial aggregates of one pass."""
-    return [
-        F.max(F.abs(x)).alias("_xmax"),
-        F.sum(w).alias("m_n"), F.count(x).alias("m_distinct"),
-        F.sum(w * x).alias("_r1"), F.sum(w * (x * x)).alias("_r2"),
-        F.sum(w * (x * x * x)).alias("_r3"), F.sum(w * (x * x * x * x)).alias("_r4"),
-        F.sum(sy).alias("m_t0"), F.sum(x * sy).alias("_q1"), F.sum(x * x * sy).alias("_q2"),
-    ]
+def centre_aggs(x: Column, w: Column) -> list[Column]:
+    """Mean (``x_mid``) and largest distance from it (``x_scale``, 1 when 0) of
+    pre-aggregated points: one row per distinct ``x``, ``w`` points each."""
+    mid = F.sum(w * x) / F.sum(w)
+    far = F.greatest(F.max(x) - mid, mid - F.min(x))
+    return [mid.alias("x_mid"), F.when(far > 0, far).otherwise(F.lit(1.0)).alias("x_scale")]
 
 
-def scaled_moments() -> dict[str, Column]:
-    """``x_scale`` = max |x| (1 when 0) and the sums in ``s = x / x_scale``:
-    ``Σs^k = Σx^k / x_scale^k``."""
-    sc = F.when(F.col("_xmax") > 0, F.col("_xmax")).otherwise(F.lit(1.0))
-    return {"x_scale": sc, "m_s1": F.col("_r1") / sc, "m_s2": F.col("_r2") / (sc * sc),
-            "m_s3": F.col("_r3") / (sc * sc * sc), "m_s4": F.col("_r4") / (sc * sc * sc * sc),
-            "m_t1": F.col("_q1") / sc, "m_t2": F.col("_q2") / (sc * sc)}
+def moment_aggs(s: Column, w: Column, sy: Column) -> list[Column]:
+    """Power sums in the centred ``s``; ``sy`` = sum of ``y`` of the points at ``s``."""
+    return [F.sum(w).alias("m_n"), F.count(s).alias("m_distinct"),
+            *[F.sum(w * F.pow(s, F.lit(float(k)))).alias(f"m_s{k}") for k in range(1, 5)],
+            F.sum(sy).alias("m_t0"), F.sum(s * sy).alias("m_t1"), F.sum(s * s * sy).alias("m_t2")]
 
 
 def _det3(a, b, c, d, e, f, g, h, i):

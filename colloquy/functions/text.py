@@ -10,8 +10,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The white space removed by a Python ``str.strip()`` on ASCII text.
-ASCII_WHITESPACE = " \t\n\r\x0b\x0c"
+# The characters that a Python ``str.strip()`` removes.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+              "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+# What a Python ``float()`` reads, without underscores.
+NUMBER = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
+
+
+def _number(c: Column) -> Column:
+    """NULL for text that only Java reads as a number (``12.5f``)."""
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 # Quantisation names of exported model files.
 QUANTISATIONS = ["F32", "F16", "BF16", "Q8_0"]
@@ -22,8 +31,8 @@ def _c(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Python ``str.strip()`` for ASCII white space (Spark ``trim`` only drops blanks)."""
-    return F.btrim(_c(c), F.lit(ASCII_WHITESPACE))
+    """Python ``str.strip()`` (Spark ``trim`` only drops blanks)."""
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def first_line(c) -> Column:
@@ -87,9 +96,9 @@ def parse_score(c) -> Column:
     """
     c = _c(c)
     s = F.when(F.instr(c, "tasks):") > 0, F.substring_index(c, "tasks):", -1)).otherwise(c)
-    tok = F.regexp_extract(strip(s), r"^(\S*)", 1)
+    tok = F.regexp_extract(strip(s), f"^([^{WHITESPACE}]*)", 1)
     tok = F.when(tok.endswith("%"), F.left(tok, F.length(tok) - 1)).otherwise(tok)
-    return F.when(c.isNull(), F.lit(-1.0)).otherwise(tok.try_cast("double"))
+    return F.when(c.isNull(), F.lit(-1.0)).otherwise(_number(tok))
 
 
 def parse_margin(c) -> Column:

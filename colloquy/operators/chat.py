@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import templates as tpl
 from colloquy.functions.text import strip
+from colloquy.operators.indexing import dense_index
 from colloquy.schemas import MESSAGE
 
 # Fixed value: default system sentence of the reformatting step.
@@ -101,11 +102,21 @@ def _validity_aggs(order: str, role: str) -> tuple[list, Column]:
     return aggs, F.when(F.col("_sys"), F.col("_ok_sys")).otherwise(F.col("_ok"))
 
 
+def dense_turns(long: DataFrame, conv: str = "conv_id", order: str = "turn") -> DataFrame:
+    """``order`` replaced by the 0-based position in the conversation, whatever
+    gaps or offset it has: the distributed index over (conversation, order)
+    minus its smallest value there, without a window per conversation."""
+    indexed = dense_index(long, [F.col(conv), F.col(order)], "_at")
+    first = indexed.groupBy(F.col(conv).alias("_fc")).agg(F.min("_at").alias("_first"))
+    return (indexed.join(first, F.col(conv).eqNullSafe(F.col("_fc")))
+            .withColumn(order, F.col("_at") - F.col("_first")).drop("_at", "_first", "_fc"))
+
+
 def gemma_validity_long(long: DataFrame, conv: str = "conv_id", order: str = "turn",
                         role: str = "role") -> DataFrame:
     """X1's validity per conversation, from the long table: ``(conv, valid)``.
 
-    ``order`` is the 0-based message position. After an optional leading
+    ``order`` sorts the messages; gaps do not matter. After an optional leading
     system turn, user turns must sit on even loop positions and only there.
     Both cases (with and without a leading system turn) are checked with
     partial ``bool_and`` aggregates and the right one is picked, so no
@@ -113,6 +124,7 @@ def gemma_validity_long(long: DataFrame, conv: str = "conv_id", order: str = "tu
     nested form.
     """
     aggs, valid = _validity_aggs(order, role)
+    long = dense_turns(long.select(conv, order, role), conv, order)
     return long.groupBy(conv).agg(*aggs).select(conv, valid.alias("valid"))
 
 
@@ -128,6 +140,7 @@ def gemma_token_counts_long(long: DataFrame, pattern: str, conv: str = "conv_id"
     each message's piece: a partial aggregate, with validity in the same
     pass. A sub-word tokeniser needs the whole text (``render_gemma``).
     """
+    long = dense_turns(long.select(conv, order, role, text), conv, order)
     p, r = F.col(order), F.col(role)
     lead_system = (p == 0) & F.coalesce(r == "system", F.lit(False))
     piece = F.when(lead_system, F.coalesce(F.col(text), F.lit(""))).otherwise(F.concat(

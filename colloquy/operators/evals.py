@@ -8,38 +8,42 @@ at run time), never a window that sorts a whole task in one partition.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.functions.poly import poly_coefficients, poly_eval, raw_moment_aggs, scaled_moments
+from colloquy.functions.poly import centre_aggs, moment_aggs, poly_coefficients, poly_eval
 from colloquy.operators.indexing import dense_index
 from colloquy.operators.sizing import small_rows
 
 
 # ----------------------------------------------------------------- P5, U3
+_SPEC = re.compile(r"(?P<without>except:)?(?P<names>.*)", re.S)
+
+
 def parse_task_spec(spec: str) -> tuple[bool, set[str] | None]:
-    """``all`` | ``a,b`` | ``except:a,b`` -> (negative, names or None for all).
+    """``all`` | ``a,b`` | ``except:a,b`` -> (excluding, lower-case names or None for all).
 
-    ``except:`` is matched case-sensitively before lower-casing; no trimming.
+    ``except:`` counts only in lower case; names are not trimmed.
     """
-    negative = spec.startswith("except:")
-    s = spec.lower()
-    if negative:
-        s = s[len("except:"):]
-    if s == "all":
-        return negative, None
-    return negative, set(s.split(","))
+    m = _SPEC.fullmatch(spec)
+    names = set(m["names"].lower().split(","))
+    return m["without"] is not None, None if names == {"all"} else names
 
 
 def select_tasks(catalogue: DataFrame, spec: str, name: str = "name") -> DataFrame:
-    """P5: filter a task dimension by a task spec (unknown names are ignored)."""
-    negative, names = parse_task_spec(spec)
+    """P5: filter a task dimension by a task spec; a name that the catalogue
+    lacks raises (the names of the spec bound what is looked up)."""
+    excluding, names = parse_task_spec(spec)
     if names is None:
-        return catalogue.limit(0) if negative else catalogue
+        return catalogue.limit(0) if excluding else catalogue
     hit = F.lower(F.col(name)).isin(sorted(names))
-    return catalogue.where(~hit if negative else hit)
+    unknown = names - {r[0] for r in catalogue.where(hit).select(F.lower(F.col(name))).distinct().collect()}
+    if unknown:
+        raise ValueError(f"no such task: {', '.join(sorted(unknown))}")
+    return catalogue.where(~hit if excluding else hit)
 
 
 def task_difference(catalogue: DataFrame, excluded: DataFrame, name: str = "name") -> DataFrame:
@@ -64,6 +68,7 @@ def upsert_results(old: DataFrame, new: DataFrame, keys: Sequence[str], version)
     both = old.unionByName(new, allowMissingColumns=True)
     rest = [c for c in both.columns if c not in keys]
     ver = F.col(version) if isinstance(version, str) else version
+    ver = F.struct(ver.isNotNull(), ver)  # a row without a version loses to any other, but is not lost
     return (both.groupBy(*keys).agg(F.max_by(F.struct(*rest), ver).alias("_row"))
             .select(*keys, "_row.*"))
 
@@ -121,13 +126,13 @@ def pending_work(models: DataFrame, tasks: Sequence[str], results: DataFrame, mo
 
 # ----------------------------------------------------------------- J3
 def parse_model_args(margs: Sequence[str] | None) -> list[tuple[str, str]]:
-    """``"pattern:args"`` list -> ordered (pattern, args); equal patterns are
-    joined with a space, in order."""
-    out: dict[str, str] = {}
-    for ma in margs or []:
-        pat, args = ma.split(":", 1)
-        out[pat] = out[pat] + " " + args if pat in out else args
-    return list(out.items())
+    """``"pattern:args"`` list -> (pattern, args) by first mention; the args of
+    one pattern are put together with blanks, in order."""
+    rules = [m.partition(":") for m in margs or ()]
+    if any(not colon for _, colon, _ in rules):
+        raise ValueError("a model rule needs the form pattern:args")
+    return [(pattern, " ".join(args for other, _, args in rules if other == pattern))
+            for pattern in dict.fromkeys(r[0] for r in rules)]
 
 
 def match_model_args(models: DataFrame, margs: Sequence[str] | DataFrame, path: str = "path",
@@ -145,8 +150,11 @@ def match_model_args(models: DataFrame, margs: Sequence[str] | DataFrame, path:
         for pat, args in reversed(parse_model_args(margs)):
             expr = F.when(F.instr(F.col(path), pat) > 0, F.lit(args)).otherwise(expr)
         return models.withColumn(name, expr)
-    pats = margs.select(F.col("ord").cast("long").alias("ord"), F.col("pattern"), F.col("args"))
-    rows = small_rows(pats.where(F.col("pattern").isNotNull()))
+    listed = margs.select(F.col("ord").cast("long").alias("ord"), F.col("pattern"), F.col("args")).where("pattern is not null")
+    pats = listed.groupBy("pattern").agg(  # equal patterns: their args in order, as in the list form
+        F.min("ord").alias("ord"), F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("ord", "args"))), lambda x: x["args"]))
+        .alias("args")).select("ord", "pattern", "args")
+    rows = small_rows(pats)
     if rows is not None:
         rows = sorted(rows, key=lambda r: r["ord"])
         arr = F.array(*[F.struct(F.lit(r["pattern"]).alias("p"), F.lit(r["args"]).alias("a")) for r in rows]) \
@@ -278,23 +286,25 @@ def leaderboard(matrix: DataFrame, tasks: Sequence[str], model: str = "model", t
 
 # ----------------------------------------------------------------- A14-A16
 def fit_by_group(points: DataFrame, group: Sequence[str], x: str, y: str, max_degree: int = 2) -> DataFrame:
-    """Per-group least-squares coefficients of ``y`` on ``x`` (scaled by max x).
+    """Per-group least-squares coefficients of ``y`` on ``(x - x_mid) / x_scale``.
 
-    Points are first pre-aggregated to (group, x): count and sum of ``y``,
-    combined map-side, so the points are read once and a hot group shrinks
-    to its distinct x values before any shuffle; scale and power sums then
-    come from one aggregate of that (no join back, one read of the points).
+    Points without an x or y are left out. The others are first
+    pre-aggregated to (group, x), combined map-side, so a hot group shrinks
+    to its distinct x values; the group's mean and spread centre them (sizes
+    that lie close together would cancel in power sums about zero), and the
+    power sums are taken of the centred values.
     """
     group = list(group)
     if not group:
         points, group = points.withColumn("_all", F.lit(0)), ["_all"]
+    points = points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     xy = (points.groupBy(*group, F.col(x).cast("double").alias("_x"))
           .agg(F.count(F.lit(1)).cast("double").alias("_w"), F.sum(F.col(y).cast("double")).alias("_sy")))
-    raw = xy.groupBy(*group).agg(*raw_moment_aggs(F.col("_x"), F.col("_w"), F.col("_sy")))
-    moments = raw.select(*group, "m_n", "m_distinct", "m_t0",
-                         *[c.alias(n) for n, c in scaled_moments().items()])
+    frame = xy.groupBy(*group).agg(*centre_aggs(F.col("_x"), F.col("_w")))
+    s = (F.col("_x") - F.col("x_mid")) / F.col("x_scale")
+    moments = xy.join(frame, group).groupBy(*group, "x_mid", "x_scale").agg(*moment_aggs(s, F.col("_w"), F.col("_sy")))
     co = poly_coefficients(max_degree)
-    return moments.select(*group, "x_scale", "m_n", co["degree"].alias("degree"),
+    return moments.select(*group, "x_mid", "x_scale", "m_n", co["degree"].alias("degree"),
                           co["c0"].alias("c0"), co["c1"].alias("c1"), co["c2"].alias("c2"))
 
 
@@ -307,15 +317,16 @@ def predict_time(points: DataFrame, targets: DataFrame, group: Sequence[str], x:
     group = list(group)
     fits = fit_by_group(points, group, x, y, max_degree)
     t = targets.join(fits, group, "left")
-    s = F.col(x).cast("double") / F.col("x_scale")
+    s = (F.col(x).cast("double") - F.col("x_mid")) / F.col("x_scale")
     poly = poly_eval([F.col("c0"), F.col("c1"), F.col("c2")], s, clamp=0.0)
     fb = fallback if fallback is not None else F.lit(1.0)
-    pred = F.when(F.coalesce(F.col("m_n"), F.lit(0)) >= 2, poly).otherwise(fb)
-    return t.withColumn("predicted", pred).drop("x_scale", "m_n", "degree", "c0", "c1", "c2")
+    pred = F.when((F.coalesce(F.col("m_n"), F.lit(0)) >= 2) & F.col(x).isNotNull(), poly).otherwise(fb)
+    return t.withColumn("predicted", pred).drop("x_mid", "x_scale", "m_n", "degree", "c0", "c1", "c2")
 
 
 def fallback_rate(points: DataFrame, x: str, y: str) -> Column:
-    """Scalar ``Σy / Σx`` over all points (NULL unless ``Σx > 0``)."""
+    """Scalar ``Σy / Σx`` over the points that have both (NULL unless ``Σx > 0``)."""
+    points = points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     sx, sy = F.sum(F.col(x).cast("double")), F.sum(F.col(y).cast("double"))
     return points.agg(F.when(sx > 0, sy / sx)).scalar()
 
@@ -323,7 +334,7 @@ def fallback_rate(points: DataFrame, x: str, y: str) -> Column:
 def fallback_time(points: DataFrame, targets: DataFrame, x: str, y: str) -> DataFrame:
     """``Σ time / Σ size * target size``; 1.0 without data."""
     rate = fallback_rate(points, x, y)
-    pred = F.when(rate.isNotNull(), rate * F.col(x)).otherwise(F.lit(1.0))
+    pred = F.coalesce(rate * F.col(x), F.lit(1.0))
     return targets.withColumn("predicted", pred)
 
 
@@ -331,21 +342,18 @@ def model_eta(models: DataFrame, tasks: Sequence[str], results: DataFrame, model
               task: str = "task", size: str = "size", seconds: str = "seconds") -> DataFrame:
     """Per model known seconds + predicted seconds; ``exact`` if all known.
 
-    ``models`` carries (model, size); ``results`` (model, task, seconds).
-    Fits use only listed models with a size (inner join), per task.
+    ``models`` carries (model, size); ``results`` (model, task, seconds), rows
+    without a time do not count. Fits use only listed models with a size, per
+    task; a model without a size gets 1.0 for each task it has no time of.
     """
-    sized = models.select(model, size).where(F.col(size).isNotNull())
+    sized = models.select(model, size)
     pairs = sized.select(model, size, F.explode(_task_rows(tasks)).alias(task))
-    known = results.select(model, task, F.col(seconds).cast("double").alias("_known"))
-    points = known.join(sized, model)
+    known = results.select(model, task, F.col(seconds).cast("double").alias("_known")).where("_known is not null")
+    points = known.join(sized.where(F.col(size).isNotNull()), model)
     rate = fallback_rate(points, size, "_known")
-    fb = F.when(rate.isNotNull(), rate * F.col(size)).otherwise(F.lit(1.0))
+    fb = F.coalesce(rate * F.col(size), F.lit(1.0))
     pred = predict_time(points.select(task, size, "_known"), pairs, [task], size, "_known", fallback=fb)
     full = pred.join(known, [model, task], "left")
     return (full.groupBy(model)
             .agg(F.sum(F.coalesce(F.col("_known"), F.col("predicted"))).alias("eta_seconds"),
                  F.bool_and(F.col("_known").isNotNull()).alias("exact")))
-
-
-def spark_session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

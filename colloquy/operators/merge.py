@@ -1,9 +1,7 @@
 """Linear weighted merge of parameter vectors.
 
 Parameters are ``(model, tensor, chunk, values ARRAY<FLOAT>)`` in fixed-size
-chunks. Each element is weighted and summed per (tensor, chunk, position)
-with partial aggregates, then the chunk is re-assembled; a chunk is bounded
-by its fixed size, so no group grows with the number of models.
+chunks; whole arrays are shuffled by (tensor, chunk) and added.
 """
 
 from __future__ import annotations
@@ -21,26 +19,29 @@ def weights_frame(spark, recipe: Sequence[tuple[str, float]]) -> DataFrame:
     return spark.createDataFrame([(m, float(w)) for m, w in recipe], "model string, weight double")
 
 
-def merge_linear_long(params: DataFrame, weights: DataFrame, normalize: bool = True) -> DataFrame:
-    """(tensor, chunk, pos, value) of the weighted combination.
+def _merged(params: DataFrame, weights: DataFrame, normalize: bool) -> DataFrame:
+    """(tensor, chunk, values of doubles): weighted arrays added per chunk. A
+    group holds one fixed-size chunk per model of the recipe."""
+    bad = merge_rejects(params, weights).select("tensor").distinct()
+    p = params.join(bounded_broadcast(weights), "model").join(bad, "tensor", "left_anti")
+    item = F.struct("weight", F.transform("values", lambda v: F.col("weight") * F.coalesce(v.cast("double"), F.lit(0.0))).alias("v"))
+    items = p.groupBy("tensor", "chunk").agg(F.collect_list(item).alias("_i"), F.sum("weight").alias("_w"))
+    added = F.aggregate(F.slice("_i", 2, F.greatest(F.size("_i") - 1, F.lit(0))), F.col("_i")[0]["v"],
+                        lambda acc, x: F.zip_with(acc, x["v"], lambda a, b: a + b))
+    values = F.transform(added, lambda v: F.try_divide(v, F.col("_w"))) if normalize else added
+    return items.select("tensor", "chunk", values.alias("values"))
+
 
-    The recipe (one row per model) is broadcast once its size is checked;
-    an oversized recipe is joined by shuffle instead.
-    """
-    p = params.join(bounded_broadcast(weights), "model")
-    e = p.select("tensor", "chunk", "weight", F.posexplode("values").alias("pos", "v"))
-    agg = e.groupBy("tensor", "chunk", "pos").agg(
-        F.sum(F.col("weight") * F.col("v").cast("double")).alias("_wv"), F.sum("weight").alias("_w"))
-    value = F.try_divide(F.col("_wv"), F.col("_w")) if normalize else F.col("_wv")
-    return agg.select("tensor", "chunk", F.col("pos").cast("long").alias("pos"), value.alias("value"))
+def merge_linear_long(params: DataFrame, weights: DataFrame, normalize: bool = True) -> DataFrame:
+    """(tensor, chunk, pos, value) of the weighted combination."""
+    return _merged(params, weights, normalize).select("tensor", "chunk", F.posexplode("values").alias("pos", "value")).select(
+        "tensor", "chunk", F.col("pos").cast("long").alias("pos"), "value")
 
 
 def merge_linear(params: DataFrame, weights: DataFrame, normalize: bool = True) -> DataFrame:
-    """Merged ``(tensor, chunk, values ARRAY<FLOAT>)``."""
-    long = merge_linear_long(params, weights, normalize)
-    return (long.groupBy("tensor", "chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_e"))
-            .select("tensor", "chunk", F.transform("_e", lambda x: x["value"].cast("float")).alias("values")))
+    """Merged ``(tensor, chunk, values ARRAY<FLOAT>)``; tensors that a
+    recipe model lacks or that differ in length are left to ``merge_rejects``."""
+    return _merged(params, weights, normalize).select("tensor", "chunk", F.transform("values", lambda x: x.cast("float")).alias("values"))
 
 
 def merge_rejects(params: DataFrame, weights: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import percent
+from colloquy.operators.chat import dense_turns
 from colloquy.operators.indexing import dense_index
 from colloquy.operators.sizing import TOP_N_MAX
 
@@ -92,7 +93,7 @@ def role_pattern_keys(long: DataFrame, conv: str = "conv_id", order: str = "turn
                       role: str = "role", chunk: int = PATTERN_CHUNK, with_levels: bool = False):
     """(conv, n_messages, _key): equal keys exactly when role sequences are equal.
 
-    ``order`` is the 0-based message position. The roles of each block of
+    ``order`` sorts the messages; gaps do not matter. The roles of each block of
     ``chunk`` positions become one string (a bounded group). A conversation
     with at most ``chunk`` messages is keyed by that string. Longer ones
     continue one level up: each distinct chunk string gets an exact dense
@@ -102,6 +103,7 @@ def role_pattern_keys(long: DataFrame, conv: str = "conv_id", order: str = "turn
     gathered; no hashing, so no collisions. A level-0 key is ``"0:"`` plus
     the JSON list of roles. ``with_levels`` also returns the level count.
     """
+    long = dense_turns(long.select(conv, order, role), conv, order)
     n_per = long.groupBy(conv).agg(F.count(F.lit(1)).alias("n_messages"))
     max_n = n_per.agg(F.max("n_messages")).first()[0] or 0  # loop bound: one scalar
     cur = long.select(F.col(conv).alias("_c"), F.col(order).cast("long").alias("_p"),

@@ -1,9 +1,9 @@
 """Registered evaluation-analytics queries.
 
 Scores = ``events``: model = ``user_id``, task = ``event_type``, score =
-mean value (exact, from integer cents), seconds = events per pair. A pair is
-*stored* when it has at least ``STORED_MIN`` events, so the zero-fill and
-anti-join paths see missing pairs.
+mean value (exact, from integer cents), seconds = events per pair. A run whose
+last value fell below its first one has failed and stores no result, so the
+zero-fill and anti-join paths see missing pairs. All events are read.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from colloquy.session import scratch_path
 from colloquy.sources import parts
 
 TASKS = ["click", "error", "purchase", "signup", "view"]
-STORED_MIN = 13
 
 # Scorer log formats per task (fixed values of the stand-in catalogue):
 # view = percentage with interval, click = named final score, purchase and
@@ -53,13 +52,14 @@ def user_task(spark, d):
     ev = table(spark, d, "events")
     return (ev.groupBy("user_id", "event_type")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents")))
+                 F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"),
+                 (F.max_by("value", "event_id") >= F.min_by("value", "event_id")).alias("done")))
 
 
 def results(spark, d):
     """Result store (model, task, score, seconds) of stored pairs."""
     g = user_task(spark, d)
-    return (g.where(F.col("n") >= STORED_MIN)
+    return (g.where("done")
             .select(model_col().alias("model"), F.col("event_type").alias("task"),
                     (F.col("cents").cast("double") / (F.lit(100.0) * F.col("n"))).alias("score"),
                     F.col("n").alias("seconds")))
@@ -79,7 +79,7 @@ res AS (
   SELECT {MODEL_SQL} AS model, event_type AS task,
          sum(CAST(round(value * 100) AS BIGINT))::DOUBLE / (100.0::DOUBLE * count(*)) AS score,
          count(*) AS seconds
-  FROM events GROUP BY user_id, event_type HAVING count(*) >= {STORED_MIN}
+  FROM events GROUP BY user_id, event_type HAVING arg_max(value, event_id) >= arg_min(value, event_id)
 ),
 mdl AS (SELECT DISTINCT {MODEL_SQL} AS model FROM events),
 tsk AS (SELECT unnest({TASKS!r}) AS task),
@@ -365,11 +365,11 @@ def q_model_time(spark, d):
 
 @register("task_select", """
 SELECT event_type AS task, count(*) AS n_events FROM events
-WHERE lower(event_type) IN ('click', 'view', 'refund') GROUP BY event_type""")
+WHERE lower(event_type) IN ('click', 'view') GROUP BY event_type""")
 def q_task_select(spark, d):
     cat = table(spark, d, "events").groupBy(F.col("event_type").alias("task")).agg(
         F.count(F.lit(1)).alias("n_events"))
-    return evals.select_tasks(cat, "Click,VIEW,refund", name="task")
+    return evals.select_tasks(cat, "Click,VIEW", name="task")
 
 
 @register("task_difference", """
@@ -394,13 +394,13 @@ def q_size_order(spark, d):
 
 
 # ----------------------------------------------------------------- A14-A16, M4
-from colloquy.plans.polysql import horner, moments_sql  # noqa: E402
+from colloquy.plans.polysql import moments_sql, predicted  # noqa: E402
 
 
 @register("poly_time", f"""WITH {moments_sql('lineitem', 'l_returnflag', 'l_quantity', 'l_extendedprice')},
 tg AS (SELECT DISTINCT l_returnflag, l_quantity FROM lineitem)
 SELECT l_returnflag, l_quantity,
-       round(CASE WHEN coalesce(m_n, 0) >= 2 THEN {horner('l_quantity / x_scale')} ELSE 1.0 END, 2) AS predicted
+       round(CASE WHEN coalesce(m_n, 0) >= 2 THEN {predicted('l_quantity')} ELSE 1.0 END, 2) AS predicted
 FROM tg LEFT JOIN cf USING (l_returnflag)""")
 def q_poly_time(spark, d):
     li = table(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
@@ -433,7 +433,7 @@ pts AS (SELECT res.task, sz.size AS x, res.seconds::DOUBLE AS y FROM res JOIN sz
 rate AS (SELECT CASE WHEN sum(x) > 0 THEN sum(y) / sum(x) END AS r FROM pts),
 {moments_sql('pts', 'task', 'x', 'y')},
 pred AS (SELECT pairs.model, pairs.task,
-           CASE WHEN coalesce(cf.m_n, 0) >= 2 THEN {horner('pairs.size / cf.x_scale')}
+           CASE WHEN coalesce(cf.m_n, 0) >= 2 THEN {predicted('pairs.size')}
                 ELSE coalesce((SELECT r FROM rate) * pairs.size, 1.0) END AS predicted
          FROM pairs LEFT JOIN cf USING (task))
 SELECT model, round(sum(coalesce(res.seconds::DOUBLE, predicted)), 2) AS eta_seconds,

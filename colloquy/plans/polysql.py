@@ -1,39 +1,23 @@
-"""DuckDB SQL for the least-squares oracle (same closed form as functions/poly.py)."""
-
-
-def det3(a, b, c, d, e, f, g, h, i):
-    return (f"(({a}) * (({e}) * ({i}) - ({f}) * ({h})) - ({b}) * (({d}) * ({i}) - ({f}) * ({g}))"
-            f" + ({c}) * (({d}) * ({h}) - ({e}) * ({g})))")
-
-
-def coeff_select(max_degree: int = 2) -> str:
-    n, s1, s2, s3, s4, t0, t1, t2 = "m_n", "m_s1", "m_s2", "m_s3", "m_s4", "m_t0", "m_t1", "m_t2"
-    deg = f"least({max_degree}, m_distinct - 1)"
-    d1 = f"({n} * {s2} - {s1} * {s1})"
-    b1 = f"(CASE WHEN {d1} = 0 THEN NULL ELSE ({n} * {t1} - {s1} * {t0}) / {d1} END)"
-    a1 = f"(({t0} - {b1} * {s1}) / {n})"
-    d = det3(n, s1, s2, s1, s2, s3, s2, s3, s4)
-    c0 = f"(CASE WHEN {d} = 0 THEN NULL ELSE {det3(t0, s1, s2, t1, s2, s3, t2, s3, s4)} / {d} END)"
-    c1 = f"(CASE WHEN {d} = 0 THEN NULL ELSE {det3(n, t0, s2, s1, t1, s3, s2, t2, s4)} / {d} END)"
-    c2 = f"(CASE WHEN {d} = 0 THEN NULL ELSE {det3(n, s1, t0, s1, s2, t1, s2, s3, t2)} / {d} END)"
-    return (f"CASE WHEN {deg} >= 2 THEN {c0} WHEN {deg} = 1 THEN {a1} ELSE {t0} / {n} END AS c0, "
-            f"CASE WHEN {deg} >= 2 THEN {c1} WHEN {deg} = 1 THEN {b1} ELSE 0.0 END AS c1, "
-            f"CASE WHEN {deg} >= 2 THEN {c2} ELSE 0.0 END AS c2")
+"""DuckDB SQL for the least-squares oracle: another form than the engine's, a
+regression on u = x - mean and then on the part of u² that u leaves over."""
 
 
 def moments_sql(src: str, group: str, x: str, y: str) -> str:
-    """CTE body: per-group scale, moments and coefficients (columns: group, x_scale, m_n, c0..c2)."""
+    """CTE body; ``cf`` has one row per group: m_n and what ``predicted`` uses."""
     return f"""
-sc AS (SELECT {group}, CASE WHEN max(abs({x})) > 0 THEN max(abs({x})) ELSE 1.0 END AS x_scale
-       FROM {src} GROUP BY {group}),
-pp AS (SELECT {group}, x_scale, CAST({x} AS DOUBLE) AS x, CAST({x} AS DOUBLE) / x_scale AS s,
-              CAST({y} AS DOUBLE) AS y FROM {src} JOIN sc USING ({group})),
-mm AS (SELECT {group}, x_scale, count(*)::DOUBLE AS m_n, count(DISTINCT x) AS m_distinct,
-              sum(s) AS m_s1, sum(s * s) AS m_s2, sum(s * s * s) AS m_s3, sum(s * s * s * s) AS m_s4,
-              sum(y) AS m_t0, sum(s * y) AS m_t1, sum(s * s * y) AS m_t2
-       FROM pp GROUP BY {group}, x_scale),
-cf AS (SELECT {group}, x_scale, m_n, {coeff_select()} FROM mm)"""
-
-
-def horner(s: str) -> str:
-    return f"greatest(0.0, (c2 * ({s}) + c1) * ({s}) + c0)"
+pp AS (SELECT {group}, CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {src}
+       WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+sc AS (SELECT {group}, avg(x) AS xm, avg(y) AS ym, count(*)::DOUBLE AS m_n, count(DISTINCT x) AS nd FROM pp GROUP BY {group}),
+pu AS (SELECT {group}, x - xm AS u, y FROM pp JOIN sc USING ({group})),
+s1 AS (SELECT {group}, sum(u * u) AS su2, sum(u * u * u) AS su3, sum(u * y) AS suy, avg(u * u) AS q0 FROM pu GROUP BY {group}),
+pq AS (SELECT {group}, u * u - q0 - (CASE WHEN su2 > 0 THEN u * su3 / su2 ELSE 0.0 END) AS q, y FROM pu JOIN s1 USING ({group})),
+s2 AS (SELECT {group}, sum(q * q) AS sqq, sum(q * y) AS sqy FROM pq GROUP BY {group}),
+cf AS (SELECT {group}, m_n, xm, ym, q0,
+              CASE WHEN nd >= 2 THEN suy / su2 ELSE 0.0 END AS b1, CASE WHEN nd >= 2 THEN su3 / su2 ELSE 0.0 END AS q1,
+              CASE WHEN nd >= 3 THEN sqy / sqq ELSE 0.0 END AS b2
+       FROM sc JOIN s1 USING ({group}) JOIN s2 USING ({group}))"""
+
+
+def predicted(x: str) -> str:
+    u = f"(({x}) - cf.xm)"
+    return f"greatest(0.0, cf.ym + cf.b1 * {u} + cf.b2 * ({u} * {u} - cf.q0 - cf.q1 * {u}))"

@@ -26,20 +26,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one input table.
-
-    A small table stored as one row group scans as a single task; then every
-    per-row step before the first shuffle would run on one core. Such inputs
-    are spread round-robin over the session's default parallelism (planning
-    only: the split count comes from the file listing). Large inputs already
-    have at least that many splits and are read as they are.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    target = int(spark.conf.get("colloquy.minInputPartitions",
-                                str(spark.sparkContext.defaultParallelism)))
-    if target > 1 and df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+    """Read one input table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 @lru_cache(maxsize=1)

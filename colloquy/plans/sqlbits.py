@@ -1,7 +1,9 @@
 """Shared DuckDB SQL fragments for the oracles."""
 
 NL = "chr(10)"
-WS = "(chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
+# Unicode white space, by code point
+WS = "(" + " || ".join(f"chr({c})" for c in (
+    *range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)) + ")"
 
 
 def strip(x: str) -> str:

@@ -91,20 +91,35 @@ def q_length_filter(spark, d):
     return tokens.length_flags(counts, MAX_LEN).select("conv_id", "n_tokens", "within_limit", "kept_tokens")
 
 
+TENSORS = 13  # a tensor that some recipe model lacks is a reject
+
+
 def params(spark, d):
     emb = table(spark, d, "embeddings")
     return emb.select(F.col("label").cast("string").alias("model"),
-                      F.concat(F.lit("t"), (F.col("vec_id") % 50).cast("string")).alias("tensor"),
+                      F.concat(F.lit("t"), (F.col("vec_id") % TENSORS).cast("string")).alias("tensor"),
                       F.lit(0).alias("chunk"), F.col("embedding").alias("values"))
 
 
 _RECIPE_SQL = " UNION ALL ".join(f"SELECT '{m}' AS model, {w}::DOUBLE AS weight" for m, w in RECIPE)
 
 
+@register("merge_rejects", f"""
+WITH w AS ({_RECIPE_SQL}),
+e AS (SELECT 't' || CAST(vec_id % {TENSORS} AS VARCHAR) AS tensor, CAST(label AS VARCHAR) AS model, len(embedding) AS k FROM embeddings)
+SELECT tensor, 0 AS chunk, count(DISTINCT model) AS n_models, min(k)::INTEGER AS min_len, max(k)::INTEGER AS max_len
+FROM e JOIN w USING (model) GROUP BY tensor
+HAVING count(DISTINCT model) <> (SELECT count(*) FROM w) OR min(k) <> max(k)""")
+def q_merge_rejects(spark, d):
+    return merge.merge_rejects(params(spark, d), merge.weights_frame(spark, RECIPE))
+
+
 @register("merge_linear", f"""
 WITH w AS ({_RECIPE_SQL}),
-u AS (SELECT 't' || CAST(vec_id % 50 AS VARCHAR) AS tensor, CAST(label AS VARCHAR) AS model,
-             unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)
+e AS (SELECT 't' || CAST(vec_id % {TENSORS} AS VARCHAR) AS tensor, CAST(label AS VARCHAR) AS model, embedding FROM embeddings),
+whole AS (SELECT tensor FROM e JOIN w USING (model) GROUP BY tensor
+          HAVING count(DISTINCT model) = (SELECT count(*) FROM w) AND min(len(embedding)) = max(len(embedding))),
+u AS (SELECT tensor, model, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM e JOIN whole USING (tensor))
 SELECT tensor, 0 AS chunk, pos::BIGINT AS pos, round(sum(weight * CAST(v AS DOUBLE)) / sum(weight), 6) AS value
 FROM u JOIN w USING (model) GROUP BY tensor, pos""")
 def q_merge_linear(spark, d):

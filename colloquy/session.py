@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -74,13 +75,15 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster must set it to shared storage. Only when it is unset (local
-    tests) do we pick a scratch folder of our own.
+    A cluster must set it to shared storage. Only a local master (tests)
+    gets a scratch folder of its own when it is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="colloquy-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -94,6 +97,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file access (tests only)."""
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):", path)
+    if scheme and scheme[1] != "file":
+        raise ValueError(f"only Spark's readers open {path}; this reader needs a mounted path")
     if path.startswith("file:"):
         path = path[5:]
         while path.startswith("//"):

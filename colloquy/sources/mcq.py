@@ -47,7 +47,7 @@ def _block_fields(block) -> tuple[list, list]:
 def _enc_block(block) -> bytes:
     answers, labels = _block_fields(block)
     if len(answers) != len(labels):
-        raise ValueError("Inconsistent number of answers and labels")
+        raise ValueError(f"{len(answers)} answers do not go with {len(labels)} labels")
     out = [_U32.pack(len(answers))] + [_enc_str(a) for a in answers]
     out.append(struct.pack(f"<{len(labels)}i", *[int(x) for x in labels]))
     return b"".join(out)
@@ -140,7 +140,10 @@ class McqBinReader(DataSourceReader):
         p = self.path
         if os.path.isdir(p):
             return sorted(_glob.glob(os.path.join(p, "**", "*.bin"), recursive=True))
-        return sorted(_glob.glob(p))
+        files = sorted(_glob.glob(p))
+        if not files:
+            raise FileNotFoundError(f"no multiple-choice file at {p}")
+        return files
 
     def partitions(self):
         splits = []

@@ -65,6 +65,13 @@ def write_results(long: DataFrame, path: str, combined: bool = False, version: s
                                                        F.struct("model_path", "model_name", "tasks")
                                                        .alias("value")))).alias("models"))
         doc.coalesce(1).write.mode("overwrite").json(f"{path}/{COMBINED}")
+    else:
+        _remove(long.sparkSession, f"{path}/{COMBINED}")  # an older one would be read instead
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -88,9 +88,11 @@ def test_task_spec(spark):
     names = lambda spec: sorted(r[0] for r in evals.select_tasks(cat, spec).collect())
     assert names("all") == sorted(TASKS)
     assert names("except:all") == []
-    assert names("mmlu,HELLASWAG,unknown") == ["Hellaswag", "MMLU"]
+    assert names("mmlu,HELLASWAG") == ["Hellaswag", "MMLU"]
+    for unknown in ("mmlu,unknown", "except:unknown", "EXCEPT:mmlu"):  # the prefix is case-sensitive
+        with pytest.raises(ValueError):
+            names(unknown)
     assert names("except:mmlu") == sorted(t for t in TASKS if t != "MMLU")
-    assert names("EXCEPT:mmlu") == []  # prefix is case-sensitive: a plain (unknown) name list
     ex = spark.createDataFrame([("mmlu",), ("winogrande",)], "name string")
     assert sorted(r[0] for r in evals.task_difference(cat, ex).collect()) == sorted(
         t for t in TASKS if t not in ("MMLU", "Winogrande"))
@@ -123,11 +125,39 @@ def test_model_args_table_matches_brute_force(spark, monkeypatch, bound):
     monkeypatch.setattr(evals, "small_rows", lambda df, max_rows=bound: real(df, bound))
     mdf = spark.createDataFrame(list(enumerate(paths)), "id int, path string")
     pdf = spark.createDataFrame([(i, p, a) for i, (p, a) in enumerate(pats)], "ord int, pattern string, args string")
-    want = {i: next((a for p, a in pats if p in path), "") for i, path in enumerate(paths)}
+    joined = {p: " ".join(a for q, a in pats if q == p) for p, _ in pats}
+    want = {i: next((joined[p] for p, _ in pats if p in path), "") for i, path in enumerate(paths)}
     got = {r.id: r.model_args for r in evals.match_model_args(mdf, pdf).collect()}
     assert got == want
 
 
+def test_equal_patterns_of_a_table_join_their_args(spark):
+    models = spark.createDataFrame([("x/red.gguf",)], "path string")
+    pats = spark.createDataFrame([(0, "red", "-a"), (1, "red", "-b")], "ord int, pattern string, args string")
+    assert evals.match_model_args(models, pats).collect()[0]["model_args"] == "-a -b"
+
+
+def test_upsert_keeps_rows_without_a_version(spark):
+    old = spark.createDataFrame([("m", "a", "1", None), ("m", "b", "2", None)], "model string, task string, score string, v int")
+    new = spark.createDataFrame([("m", "b", "3", 1)], "model string, task string, score string, v int")
+    got = {r["task"]: r["score"] for r in evals.upsert_results(old, new, ["model", "task"], "v").collect()}
+    assert got == {"a": "1", "b": "3"}
+
+
+@pytest.mark.parametrize("base,step", [(1e9, 1e6), (1e9, 1e5), (7e9, 5e5)])
+def test_poly_fit_of_nearly_equal_sizes(spark, base, step):
+    pts = spark.createDataFrame([("t", base + i * step, 10.0 + (i - 2) ** 2) for i in range(6)], "task string, x double, y double")
+    tg = spark.createDataFrame([("t", base + 5 * step)], "task string, x double")
+    assert evals.predict_time(pts, tg, ["task"], "x", "y").collect()[0]["predicted"] == pytest.approx(19.0, rel=1e-6)
+
+
+def test_rows_without_a_time_are_no_points(spark):
+    models = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], "model string, size double")
+    res = spark.createDataFrame([("a", "t", 10), ("b", "t", None)], "model string, task string, seconds int")
+    eta = {r["model"]: r["eta_seconds"] for r in evals.model_eta(models, ["t"], res).collect()}
+    assert eta == {"a": 10.0, "b": pytest.approx(20.0), "c": pytest.approx(30.0)}
+
+
 def test_upsert_last_write_wins(spark):
     old = spark.createDataFrame([("m", "a", "1", 10, 1), ("m", "b", "2", 20, 1)],
                                 "model string, task string, score string, seconds int, v int")

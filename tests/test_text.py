@@ -79,3 +79,20 @@ def test_expand_parts(spark):
     for k, want in cases.items():
         assert got[k] == want, k
         assert expand_parts_py(k) == want, k
+
+
+def test_strip_and_scores_follow_python(spark):
+    from colloquy.functions.text import parse_score, strip
+
+    texts = [" a ", "　b", "\x1cc\x1f", " d \n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(strip("t")).collect()] == [t.strip() for t in texts]
+    scores = spark.createDataFrame([("12.5f",), ("1e3d",), ("1e3",), ("12.5%",), (" .5 x",)], "t string")
+    assert [r[0] for r in scores.select(parse_score("t")).collect()] == [None, None, 1000.0, 12.5, 0.5]
+
+
+def test_path_alternatives_above_the_leaf(spark):
+    from colloquy.functions.nested import path_values
+
+    df = spark.createDataFrame([(("A",), None), (None, ("B",))], "a struct<t:string>, b struct<t:string>")
+    assert [r[0] for r in df.select(path_values(df.schema, "a or b.t")).collect()] == [["A"], ["B"]]

@@ -244,3 +244,22 @@ def test_turn_positions(spark, convs):
     df, pats = convs
     flags = {(r["conv_id"], r["turn"]): (r["is_first"], r["is_last"]) for r in turn_positions(df).collect()}
     assert flags[(1, 0)] == (True, False) and flags[(1, 2)] == (False, True)
+
+
+def test_gaps_and_offsets_in_turns_do_not_matter(spark):
+    from colloquy.operators import chat
+
+    rows = [(1, 0, "user"), (1, 200, "assistant"), (2, 0, "user"), (2, 1, "assistant"), (3, 5, "user"), (3, 6, "assistant")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string")
+    got = profile.role_patterns(df).collect()
+    assert [(r["pattern"], r["n"], r["pct"]) for r in got] == [("user -> assistant", 3, 100.0)]
+    assert all(r["valid"] for r in chat.gemma_validity_long(df).collect())
+    assert all(r["n_tokens"] is not None for r in chat.gemma_token_counts_long(df, r"\w+").collect())
+
+
+def test_incomplete_tensors_are_rejected(spark):
+    rows = [("m1", "u", 0, [1.0]), ("m1", "t", 0, [1.0, 2.0]), ("m2", "t", 0, [1.0]), ("m1", "v", 0, [1.0]), ("m2", "v", 0, [3.0])]
+    df = spark.createDataFrame(rows, "model string, tensor string, chunk int, values array<float>")
+    w = merge.weights_frame(spark, [("m1", 1.0), ("m2", 1.0)])
+    assert [(r["tensor"], r["values"]) for r in merge.merge_linear(df, w).collect()] == [("v", [2.0])]
+    assert sorted(r["tensor"] for r in merge.merge_rejects(df, w).collect()) == ["t", "u"]
