@@ -210,7 +210,7 @@ def _states(ctx: np.ndarray, n_ctx: int, n: np.ndarray, ctx_n: np.ndarray, paren
     factor = (1 - own) / np.maximum(1 - taken, 1e-9)
     rest, rest_parent = 1 - np.bincount(ctx, mle, n_ctx), 1 - np.bincount(ctx, parent_mle, n_ctx)
     kl = np.bincount(ctx, mle * np.log(mle / np.maximum(parent_mle, 1e-300)), n_ctx)
-    kl += np.where(rest > 1e-12, rest * np.log(np.maximum(rest, 1e-12) / np.maximum(rest_parent, 1e-12)), 0.0)
+    kl = kl + np.where(rest > 1e-12, rest * np.log(np.maximum(rest, 1e-12) / np.maximum(rest_parent, 1e-12)), 0.0)
     shown = np.bincount(ctx, minlength=n_ctx) > 0
     return p, np.where(shown, factor, 1.0), shown & (kl >= MIN_DIVERGENCE) & (kl * ctx_n >= MIN_GAIN)
 
