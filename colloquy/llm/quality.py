@@ -175,16 +175,18 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def run(batches):
         for pdf in batches:
             got = [features(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [g[0].astype(np.int32) for g in got], "vals": [g[1] for g in got]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [g[0].astype("<i4").tobytes() for g in got],
+                                "vals": [g[1].astype("<f4").tobytes() for g in got]})
 
     # at most sample_rows ids are broadcast and as many sparse rows collected
     sparse = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
-              .mapInPandas(run, "doc_id long, ids array<int>, vals array<float>").dropDuplicates(["doc_id"]).toPandas())
+              .mapInPandas(run, "doc_id long, ids binary, vals binary").dropDuplicates(["doc_id"]).toPandas())
     grades = chosen.select("doc_id", "_grade").toPandas()
     both = grades.merge(sparse, on="doc_id").sort_values(["doc_id", "_grade"])
     if not len(both):
         return None
-    return fit(list(zip(both["ids"], both["vals"])), both["_grade"].to_numpy(np.int64))
+    rows = [(np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4")) for i, v in zip(both["ids"], both["vals"])]
+    return fit(rows, both["_grade"].to_numpy(np.int64))
 
 
 def rate(df: DataFrame, model: Model | None, grade: str = "expected_grade", tail: str = "tail_prob") -> DataFrame:
