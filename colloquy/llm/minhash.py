@@ -44,7 +44,7 @@ from colloquy.llm.runs import blocks, local_components, unit_runs
 
 BANDS, ROWS, BITS = 32, 4, 4
 BLOCK = 1024
-MEMO = 500_000
+MEMO = 200_000
 STAR_ROUNDS = 2
 _LOW = np.uint64(0x1111111111111111)
 
@@ -126,6 +126,7 @@ def _features(size: int):
                 else:
                     rows.append((doc, 0, None, None, None))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "fp", "sig", "bands"])
+        _MEMO.clear()  # workers live on
     return run
 
 
@@ -143,6 +144,7 @@ def _sets(size: int):
             same = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() == bytes(fp) for h, fp in zip(sets, pdf["fp"])]
             out = pd.DataFrame({"rep": pdf["rep"], "hashes": [np.sort(h.view(np.int64)) for h in sets]})
             yield out[np.array(same, bool)]
+        _MEMO.clear()
     return run
 
 

@@ -41,7 +41,7 @@ STEPS, RATE, LASSO = 200, 0.05, 5e-4
 PREFIX = 4
 SHARE_SCALE = 4.0
 KEEP_TAIL = 0.5
-MEMO = 300_000
+MEMO = 100_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
