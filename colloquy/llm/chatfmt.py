@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.llm.common import slices, stored
@@ -94,13 +94,19 @@ def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _placed(turns: DataFrame) -> DataFrame:
     """Global turn number and prefix sum for turns whose conversation began in
-    an earlier partition; the tables joined hold one row per partition."""
-    heads = turns.where("head").groupBy("part").agg(F.first("conv_id").alias("conv_id")).select("part", "conv_id")
+    an earlier partition: running sums over two rows per partition, one for
+    its first and one for its last conversation."""
+    none = F.lit(0).cast("long")
+    heads = turns.where("head").groupBy("part").agg(F.first("conv_id").alias("conv_id")).select(
+        "part", "conv_id", F.lit(False).alias("is_tail"), none.alias("turns"), none.alias("sum"), F.lit(None).cast("long").alias("lead"))
     tails = turns.groupBy("part").agg(F.max_by(F.struct("conv_id", (F.col("idx") + 1).alias("turns"),
                                                         (F.col("before") + F.col("tokens")).alias("sum"), "lead"), "n").alias("t"))
-    tails = tails.select(F.col("part").alias("_q"), F.col("t.conv_id").alias("_c"), "t.turns", "t.sum", F.col("t.lead").alias("_lead"))
-    earlier = (heads.join(tails, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("_q") < F.col("part")))
-               .groupBy("part").agg(F.sum("turns").alias("_turns"), F.sum("sum").alias("_sum"), F.min_by("_lead", "_q").alias("_first_lead")))
+    tails = tails.select("part", "t.conv_id", F.lit(True).alias("is_tail"), "t.turns", "t.sum", "t.lead")
+    so_far = Window.partitionBy("conv_id").orderBy("part", "is_tail").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (heads.unionByName(tails)
+               .select("part", "is_tail", F.sum("turns").over(so_far).alias("_turns"), F.sum("sum").over(so_far).alias("_sum"),
+                       F.first("lead", ignorenulls=True).over(so_far).alias("_first_lead"))
+               .where("not is_tail and _first_lead is not null").drop("is_tail"))
     joined = turns.join(F.broadcast(earlier.withColumn("head", F.lit(True))), ["part", "head"], "left")
     return (joined.withColumn("lead", F.coalesce("_first_lead", "lead"))
             .withColumn("idx", F.col("idx") + F.coalesce("_turns", F.lit(0)))

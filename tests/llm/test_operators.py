@@ -219,6 +219,23 @@ def test_chat_format_reads_back(spark):
     assert chatfmt.read_back(chatfmt.format_chats(df.limit(0))).count() == 0
 
 
+def test_chat_format_across_partitions(spark):
+    """Conversations over many partitions, which a small table would not have:
+    the windows are those of a single partition."""
+    df = spark.createDataFrame(CHATS, "conv_id long, turn long, role string, text string")
+    found = []
+    for n in ("1", "13"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            found.append(sorted(map(str, chatfmt.format_chats(df).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0] == found[1] and len(found[0]) > 10
+
+
 def test_escape_is_reversible():
     for text in ("", "\\", "<s>", "\\<s>", "\\\\</s>\\", "<<s>>", "[INST][/INST][ROLE]", "a\\[/ROLE] b", "</s> </s>"):
         turn, at, n = chatfmt.render(text, text)
