@@ -6,12 +6,12 @@ suffix of what precedes each symbol.
 
 1. Texts are written once as blocks of about ``BLOCK_TOKENS`` tokens: a local
    vocabulary with training counts, and the tokens as local ids.
-2. The local vocabularies are exploded and summed to the counts of all words.
-3. Contexts and continuations must make up ``MIN_SHARE`` of the training
-   tokens (and occur ``MIN_COUNT`` times), so the tree has at most
-   1 / MIN_SHARE edges a level, whatever the corpus; that bounds what is
-   collected and broadcast. Pairs and triples of words are counted in two
-   passes over the blocks, each restricted to what the level before left.
+2. The local vocabularies are exploded and summed to the counts of all words;
+   words seen ``MIN_COUNT`` times get an id. Counts and ids are joined to the
+   blocks' vocabularies and gathered per block.
+3. Pairs and triples of such words are counted in one pass over the blocks and
+   summed by Spark; those seen ``MIN_COUNT`` times stay, whatever the size of
+   the corpus. Words, pairs and triples are tables and never reach the driver.
 4. A context is retained if its next-symbol distribution diverges from that
    of its parent: Kullback-Leibler divergence of ``MIN_DIVERGENCE`` nats and
    count times divergence of ``MIN_GAIN``. Suffixes of a retained context
@@ -19,8 +19,9 @@ suffix of what precedes each symbol.
 5. Smoothing: absolute discounting. What a state takes from its own edges
    goes to all other symbols in proportion to the parent state. The root
    gives words (c - d) / N and the unknown word d * V / N.
-6. Counts of all words (not only frequent ones) are joined to the blocks'
-   vocabularies and gathered per block, then the blocks are scored.
+6. Each block asks for the states and edges it uses; those in the tree are
+   gathered per block (at most its distinct words, pairs and triples), and the
+   blocks are scored.
 
 Defined results: a null, empty or blank text is its end alone; without
 training texts every probability is 1 (score 0); a null doc_id hashes like
@@ -38,18 +39,32 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import crc32_bucket, stored
+from colloquy.llm import common
+from colloquy.llm.common import crc32_bucket
 
 BLOCK_TOKENS = 1_000_000
-MIN_SHARE, MIN_COUNT = 1e-5, 3
+MIN_SHARE, MIN_COUNT = 0.0, 3  # no share of the tokens is asked for: the tree grows with the corpus
 MIN_DIVERGENCE, MIN_GAIN = 0.005, 10.0
 DISCOUNT = 0.75
 END = b""  # a word is never empty
+ROWS_AT_ONCE = 100_000
+_CODEC = pa.Codec("zstd")
 
 _BLOCK_SCHEMA = ("block long, words array<binary>, counts array<long>, doc_ids array<long>, "
                  "held array<boolean>, sizes array<long>, tokens binary")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``common.stored``, whose write drops its shuffle files when it ends."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return common.stored(df, name)
+    finally:
+        conf.set(key, old)
+
+
 class _Local(dict):
     def __missing__(self, word):
         v = self[word] = len(self)
@@ -94,7 +109,7 @@ def _block(part: int, n: int, open_) -> pa.RecordBatch:
     one = lambda v, k: pa.array([v], pa.list_(k))
     return pa.RecordBatch.from_arrays(
         [pa.array([part * (1 << 32) + n], pa.int64()), one(list(local), pa.binary()), one(counts, pa.int64()), one(docs, pa.int64()),
-         one(helds, pa.bool_()), one(sizes, pa.int64()), pa.array([ids.tobytes()], pa.binary())],
+         one(helds, pa.bool_()), one(sizes, pa.int64()), pa.array([_CODEC.compress(ids.tobytes(), asbytes=True)], pa.binary())],
         names=["block", "words", "counts", "doc_ids", "held", "sizes", "tokens"])
 
 
@@ -109,7 +124,9 @@ class _Block:
     @classmethod
     def read(cls, batch: pa.RecordBatch, i: int) -> _Block:
         get = lambda c: batch.column(c)[i].values.to_numpy(zero_copy_only=False)
-        return cls(np.frombuffer(batch.column("tokens")[i].as_py(), np.uint32), get("sizes"), get("held").astype(bool))
+        sizes = get("sizes")
+        tokens = _CODEC.decompress(batch.column("tokens")[i].as_py(), 4 * int(sizes.sum()), asbytes=True)
+        return cls(np.frombuffer(tokens, np.uint32), sizes, get("held").astype(bool))
 
     def before(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols one and two places back in the same text, -1 if none."""
@@ -122,8 +139,16 @@ class _Block:
         return one, two
 
 
-def _frequent_ids(words: pa.Array, ids: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((ids.get(w, -1) for w in words.to_pylist()), np.int64)
+def _known(batch: pa.RecordBatch, i: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(training counts, global ids or -1) of a block's local ids."""
+    c, gid = np.zeros(width, np.int64), np.full(width, -1, np.int64)
+    known = batch.column("known")[i]
+    if known.is_valid:
+        rows = known.values
+        at = rows.field("id").to_numpy(zero_copy_only=False)
+        c[at] = rows.field("c").to_numpy(zero_copy_only=False)
+        gid[at] = rows.field("gid").to_numpy(zero_copy_only=False)
+    return c, gid
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -135,153 +160,199 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a.astype(np.int64) << np.int64(31)) | b
+    """One key of two ids within a block."""
+    return (a.astype(np.int64) << np.int64(32)) | b
+
+
+_LOW = np.int64((1 << 32) - 1)
+
 
+def _grams(g: np.ndarray, one: np.ndarray, two: np.ndarray, use: np.ndarray):
+    """Distinct pairs (as keys) and triples (as keys of pair position and
+    symbol) of block ids where ``use`` holds, each with counts."""
+    at = np.flatnonzero(use & (one >= 0) & (g >= 0))
+    pairs, n = np.unique(_pair(one[at], g[at]), return_counts=True)
+    at = at[two[at] >= 0]
+    lefts, left = np.unique(_pair(two[at], one[at]), return_inverse=True)
+    triples, m = np.unique(_pair(left, g[at]), return_counts=True)
+    return pairs, n, lefts, triples, m
 
-def _counted(shared, pairs: np.ndarray | None):
-    """Counts of (a, b), or, given the frequent pairs, of (pair before, pair here)."""
+
+def _rows(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for s in range(0, len(next(iter(columns.values()))), ROWS_AT_ONCE):
+        part = [pa.array(v[s:s + ROWS_AT_ONCE], pa.int64()) for v in columns.values()]
+        yield pa.RecordBatch.from_arrays(part, names=list(columns))
+
+
+def _uses(counting: bool):
+    """Per block the distinct grams (x, y, z) of words with an id: in training
+    texts with their counts, or in all texts with the block. Places that a
+    shorter gram does not have are -1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
                 block = _Block.read(batch, i)
-                g = _frequent_ids(batch.column("words")[i].values, ids)[block.tokens]
+                _, gid = _known(batch, i, int(block.tokens.max()) + 1)
+                g = np.where(gid >= 0, np.arange(len(gid)), -1)[block.tokens]
                 one, two = block.before(g)
-                use = (one >= 0) & (g >= 0) & np.repeat(~block.held, block.sizes)
-                if pairs is None:
-                    key = _pair(one[use], g[use])
+                use = np.repeat(~block.held, block.sizes) if counting else np.ones(len(g), bool)
+                pairs, n, lefts, triples, m = _grams(g, one, two, use)
+                left = lefts[triples >> np.int64(32)] if len(triples) else triples
+                xyz = [np.r_[np.full(len(pairs), -1), gid[left >> np.int64(32)]],
+                       np.r_[gid[pairs >> np.int64(32)], gid[left & _LOW]],
+                       np.r_[gid[pairs & _LOW], gid[triples & _LOW]]]
+                if counting:
+                    yield from _rows(dict(zip("xyz", xyz), n=np.r_[n, m]))
                 else:
-                    use &= two >= 0
-                    left, right = _find(pairs, _pair(two[use], one[use])), _find(pairs, _pair(one[use], g[use]))
-                    both = (left >= 0) & (right >= 0)
-                    key = _pair(left[both], right[both])
-                keys, n = np.unique(key, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+                    words = np.unique(one[one >= 0])
+                    none = np.full(len(words), -1)
+                    xyz = [np.r_[p, v] for p, v in zip((none, none, gid[words]), xyz)]
+                    yield from _rows({"block": np.full(len(xyz[0]), batch.column("block")[i].as_py()), **dict(zip("xyz", xyz))})
     return run
 
 
 class Tree:
-    """Retained states as sorted edge keys with log10 probabilities, and per
-    state the log10 factor on its parent for every other symbol."""
-
-    def __init__(self, counts1: np.ndarray, total: int, pairs: np.ndarray, pair_n: np.ndarray,
-                 triples: np.ndarray, triple_n: np.ndarray, root_discount: float):
-        self.pairs = pairs
-        mask = np.int64((1 << 31) - 1)
-        root_p = np.maximum(counts1 - root_discount, 1e-12) / max(total, 1)
-        ctx, nxt = pairs >> np.int64(31), pairs & mask
-        p1, factor1, keep1 = _states(ctx, len(counts1), pair_n, counts1, counts1[nxt] / max(total, 1), root_p[nxt])
-        left, right = triples >> np.int64(31), triples & mask
-        mid_ctx, sym = pairs[right] >> np.int64(31), pairs[right] & mask
-        mle_parent = pair_n[right] / np.maximum(counts1[mid_ctx], 1)
-        p2, factor2, keep2 = _states(left, len(pairs), triple_n, pair_n, mle_parent, p1[right])
-        keep1[nxt[keep2]] = True
-        self.keep1, self.keep2 = keep1, keep2
-        self.factor1, self.factor2 = np.log10(factor1), np.log10(factor2)
-        self.edge1 = np.log10(p1)
-        self.triples, self.edge2 = _pair(left, sym), np.log10(p2)
-        order = np.argsort(self.triples)
-        self.triples, self.edge2 = self.triples[order], self.edge2[order]
+    """The states and edges that one block uses, by block ids: sorted edge keys
+    with log10 probabilities (NaN: the context is not retained), and per state
+    the log10 factor on its parent for every other symbol (NaN: not retained)."""
+
+    def __init__(self, edges: pa.Table, gid: np.ndarray):
+        order = np.argsort(gid, kind="stable")
+        gids = gid[order]
+        get = lambda c: edges.column(c).to_numpy()
+        x, y, z, p, f = (get(c) for c in "xyzpf")
+        local = lambda v: order[np.searchsorted(gids, v)]
+        self.factor1 = np.full(len(gid), np.nan)
+        one = y < 0
+        self.factor1[local(z[one])] = f[one]
+        two = (x < 0) & ~one
+        self.pairs, (self.edge1, self.factor2) = _sorted(_pair(local(y[two]), local(z[two])), p[two], f[two])
+        three = x >= 0
+        state = _find(self.pairs, _pair(local(x[three]), local(y[three])))
+        self.triples, (self.edge2,) = _sorted(_pair(state, local(z[three])), p[three])
 
     def log_p(self, g: np.ndarray, one: np.ndarray, two: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """log10 probability of symbols by the longest suffix state; g: frequent
+        """log10 probability of symbols by the longest suffix state; g: block
         ids or -1, one / two: the ids before, root: log10 of the root."""
         out = root.copy()
-        at1 = np.flatnonzero((one >= 0) & self.keep1[one]) if len(self.keep1) else np.empty(0, np.int64)
-        edge = np.where(g[at1] >= 0, _find(self.pairs, _pair(one[at1], np.maximum(g[at1], 0))), -1)
-        out[at1] = np.where(edge >= 0, self.edge1[edge] if len(self.edge1) else 0.0, out[at1] + self.factor1[one[at1]])
-        if len(self.pairs):
-            at2 = np.flatnonzero((one >= 0) & (two >= 0))
-            state = _find(self.pairs, _pair(two[at2], one[at2]))
-            kept = (state >= 0) & self.keep2[state]
-            at2, state = at2[kept], state[kept]
-            edge = np.where(g[at2] >= 0, _find(self.triples, _pair(state, np.maximum(g[at2], 0))), -1)
-            out[at2] = np.where(edge >= 0, self.edge2[edge] if len(self.edge2) else 0.0, out[at2] + self.factor2[state])
+        at = np.flatnonzero(one >= 0)
+        factor = self.factor1[one[at]]
+        at, factor = at[~np.isnan(factor)], factor[~np.isnan(factor)]
+        out[at] = _step(self.pairs, self.edge1, one[at], g[at], out[at] + factor)
+        at = np.flatnonzero(two >= 0)
+        state = _find(self.pairs, _pair(two[at], one[at]))
+        at, state = at[state >= 0], state[state >= 0]
+        factor = self.factor2[state]
+        kept = ~np.isnan(factor)
+        at, state, factor = at[kept], state[kept], factor[kept]
+        out[at] = _step(self.triples, self.edge2, state, g[at], out[at] + factor)
         return out
 
 
-def _states(ctx: np.ndarray, n_ctx: int, n: np.ndarray, ctx_n: np.ndarray, parent_mle: np.ndarray, parent_p: np.ndarray):
-    """(edge probabilities, factor per context, retained per context)."""
-    total = np.maximum(ctx_n.astype(float), 1)
-    p = (n - DISCOUNT) / total[ctx]
-    mle = n / total[ctx]
-    own = np.bincount(ctx, p, n_ctx)
-    taken = np.bincount(ctx, parent_p, n_ctx)
-    factor = (1 - own) / np.maximum(1 - taken, 1e-9)
-    rest, rest_parent = 1 - np.bincount(ctx, mle, n_ctx), 1 - np.bincount(ctx, parent_mle, n_ctx)
-    kl = np.bincount(ctx, mle * np.log(mle / np.maximum(parent_mle, 1e-300)), n_ctx)
-    kl = kl + np.where(rest > 1e-12, rest * np.log(np.maximum(rest, 1e-12) / np.maximum(rest_parent, 1e-12)), 0.0)
-    shown = np.bincount(ctx, minlength=n_ctx) > 0
-    return p, np.where(shown, factor, 1.0), shown & (kl >= MIN_DIVERGENCE) & (kl * ctx_n >= MIN_GAIN)
-
-
-def _scored(tree_b, stats):
-    total, vocabulary, discount = stats
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = tree_b.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                block = _Block.read(batch, i)
-                width = int(block.tokens.max()) + 1
-                c, gid = np.zeros(width, np.int64), np.full(width, -1, np.int64)
-                known = batch.column("known")[i]
-                if known.is_valid:
-                    rows = known.values
-                    at = rows.field("id").to_numpy(zero_copy_only=False)
-                    c[at] = rows.field("c").to_numpy(zero_copy_only=False)
-                    gid[at] = rows.field("gid").to_numpy(zero_copy_only=False)
-                base = np.log10((c + 1) / (total + vocabulary + 1))
-                if total:
-                    root = np.log10(np.where(c > 0, c - discount, discount * vocabulary) / total)
-                else:
-                    root = np.zeros(width)
-                g = gid[block.tokens]
-                one, two = block.before(g)
-                first = np.cumsum(block.sizes) - block.sizes
-                sums = [np.add.reduceat(x, first) for x in (
-                    (c > 0)[block.tokens].astype(np.int64), base[block.tokens], tree.log_p(g, one, two, root[block.tokens]))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_ids")[i].values, pa.array(block.held), pa.array(block.sizes, pa.int64()), pa.array(sums[0]),
-                     pa.array(np.full(len(first), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+def _sorted(keys: np.ndarray, *values: np.ndarray):
+    order = np.argsort(keys)
+    return keys[order], [v[order] for v in values]
+
+
+def _step(keys: np.ndarray, log_p: np.ndarray, state: np.ndarray, g: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """What the state's own edge gives, else ``other``."""
+    edge = np.where(g >= 0, _find(keys, _pair(state, np.maximum(g, 0))), -1)
+    return np.where(edge >= 0, log_p[edge], other) if len(keys) else other
+
+
+def _states(edges: DataFrame, state: list[str]) -> DataFrame:
+    """(state, factor, kept) of edges (state, n, ctx_n, parent_mle, parent_p, p)."""
+    mle = F.col("n") / F.col("ctx_n")
+    sums = edges.groupBy(*state).agg(
+        F.first("ctx_n").alias("m"), F.sum("p").alias("own"), F.sum("parent_p").alias("taken"), F.sum(mle).alias("mle"),
+        F.sum("parent_mle").alias("parent"), F.sum(mle * F.log(mle / F.greatest("parent_mle", F.lit(1e-300)))).alias("kl"))
+    tiny, rest, rest_parent = F.lit(1e-12), 1 - F.col("mle"), 1 - F.col("parent")
+    kl = F.col("kl") + F.when(rest > tiny, rest * F.log(F.greatest(rest, tiny) / F.greatest(rest_parent, tiny))).otherwise(0.0)
+    factor = (1 - F.col("own")) / F.greatest(1 - F.col("taken"), F.lit(1e-9))
+    return sums.select(*state, factor.alias("factor"), ((kl >= MIN_DIVERGENCE) & (kl * F.col("m") >= MIN_GAIN)).alias("kept"))
+
+
+def _tree(words: DataFrame, grams: DataFrame, total: int, discount: float) -> DataFrame:
+    """The retained states and their edges as grams (x, y, z) with ``p``, the
+    log10 probability of z after a retained context, and ``f``, the log10
+    factor of the gram as a retained context; -1 and null where there is none.
+    words: (gid, c); grams: (x, y, z, n)."""
+    root = F.greatest(F.col("c_z") - discount, F.lit(1e-12)) / max(total, 1)
+    one = (grams.where("x < 0").select("y", "z", "n")
+           .join(words.select(F.col("gid").alias("y"), F.col("c").alias("ctx_n")), "y")
+           .join(words.select(F.col("gid").alias("z"), F.col("c").alias("c_z")), "z")
+           .select("y", "z", "n", "ctx_n", (F.col("c_z") / max(total, 1)).alias("parent_mle"), root.alias("parent_p"),
+                   ((F.col("n") - DISCOUNT) / F.col("ctx_n")).alias("p")))
+    one = stored(one, "tree-pairs")
+    two = (grams.where("x >= 0")
+           .join(one.select(F.col("y").alias("x"), F.col("z").alias("y"), F.col("n").alias("ctx_n")), ["x", "y"])
+           .join(one.select("y", "z", (F.col("n") / F.col("ctx_n")).alias("parent_mle"), F.col("p").alias("parent_p")), ["y", "z"])
+           .withColumn("p", (F.col("n") - DISCOUNT) / F.col("ctx_n")))
+    state1 = _states(one, ["y"])
+    state2 = stored(_states(two, ["x", "y"]).where("kept"), "tree-states")
+    kept1 = stored(state1.join(state2.select("y").distinct().withColumn("above", F.lit(True)), "y", "left")
+                   .where("kept or above").select("y", "factor"), "tree-words-kept")
+    none, null = F.lit(-1).cast("long"), F.lit(None).cast("double")
+    word_rows = kept1.select(none.alias("x"), none.alias("y"), F.col("y").alias("z"), null.alias("p"), F.log10("factor").alias("f"))
+    pair_rows = (one.select("y", "z", "p").join(kept1.select("y", F.lit(True).alias("kept")), "y", "left")
+                 .join(state2.select(F.col("x").alias("y"), F.col("y").alias("z"), "factor"), ["y", "z"], "left")
+                 .where("kept or factor is not null")
+                 .select(none.alias("x"), "y", "z", F.when(F.col("kept"), F.log10("p")).alias("p"), F.log10("factor").alias("f")))
+    triple_rows = (grams.where("x >= 0").join(state2.select("x", "y"), ["x", "y"])
+                   .join(one.select(F.col("y").alias("x"), F.col("z").alias("y"), F.col("n").alias("ctx_n")), ["x", "y"])
+                   .select("x", "y", "z", F.log10((F.col("n") - DISCOUNT) / F.col("ctx_n")).alias("p"), null.alias("f")))
+    return word_rows.unionAll(pair_rows).unionAll(triple_rows)
+
+
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _scored(total: int, vocabulary: int, discount: float):
+    def run(edges: pa.Table, bodies: pa.Table) -> pa.Table:
+        batch = bodies.combine_chunks().to_batches()[0]
+        block = _Block.read(batch, 0)
+        c, gid = _known(batch, 0, int(block.tokens.max()) + 1)
+        base = np.log10((c + 1) / (total + vocabulary + 1))
+        if total:
+            root = np.log10(np.where(c > 0, c - discount, discount * vocabulary) / total)
+        else:
+            root = np.zeros(len(c))
+        g = np.where(gid >= 0, np.arange(len(gid)), -1)[block.tokens]
+        one, two = block.before(g)
+        first = np.cumsum(block.sizes) - block.sizes
+        sums = [np.add.reduceat(x, first) for x in (
+            (c > 0)[block.tokens].astype(np.int64), base[block.tokens], Tree(edges, gid).log_p(g, one, two, root[block.tokens]))]
+        return pa.Table.from_arrays(
+            [batch.column("doc_ids")[0].values, pa.array(block.held), pa.array(block.sizes, pa.int64()), pa.array(sums[0]),
+             pa.array(np.full(len(first), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
 def score_texts(docs: DataFrame, held_out) -> DataFrame:
     """Scores of all texts under the tree learned from those not held out."""
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held"))
     blocks = stored(rows.mapInArrow(_to_blocks, _BLOCK_SCHEMA), "tree-blocks")
     local = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    counts = stored(local.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("c")).where("c > 0"), "tree-words")
+    counts = local.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("c")).where("c > 0")
+    # ids are fixed by this write; any distinct numbers will do
+    gid = F.when(F.col("c") >= MIN_COUNT, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    counts = stored(counts.withColumn("gid", gid), "tree-words")
     total, vocabulary, n1, n2 = (int(x or 0) for x in counts.agg(
         F.sum("c"), F.count(F.lit(1)), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first())
     discount = min(max(n1 / (n1 + 2 * n2), 0.1), 0.9) if n1 else 0.5
-    least = max(MIN_COUNT, int(np.ceil(total * MIN_SHARE)))
-
-    # at most 1 / MIN_SHARE words, pairs and triples reach the driver
-    frequent = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").toPandas()
-    ids = {bytes(w): i for i, w in enumerate(frequent["word"])}
-    shared = spark.sparkContext.broadcast(ids)
-
-    def level(pairs):
-        got = (blocks.select("words", "tokens", "sizes", "held").mapInArrow(_counted(shared, pairs), "key long, n long")
-               .groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas().sort_values("key"))
-        return got["key"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
-
-    pairs, pair_n = level(None)
-    triples, triple_n = level(pairs)
-    tree = Tree(frequent["c"].to_numpy(np.int64), total, pairs, pair_n, triples, triple_n, discount)
 
-    gids = spark.createDataFrame([(bytearray(w), i) for w, i in ids.items()], "word binary, gid int")
-    named = counts.join(F.broadcast(gids), "word", "left").select("word", "c", F.coalesce("gid", F.lit(-1)).alias("gid"))
     vocabulary_rows = blocks.select("block", F.posexplode("words").alias("id", "word"))
-    known = (vocabulary_rows.join(named, "word").groupBy("block")
+    known = (vocabulary_rows.join(counts, "word").groupBy("block")
              .agg(F.collect_list(F.struct("id", "c", "gid")).alias("known")))  # bounded by the block's vocabulary
-    body = blocks.select("block", "doc_ids", "held", "sizes", "tokens").join(known, "block", "left")
-    return body.mapInArrow(_scored(spark.sparkContext.broadcast(tree), (total, vocabulary, discount)),
-                           "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    body = stored(blocks.select("block", "doc_ids", "held", "sizes", "tokens").join(known, "block", "left"), "tree-named")
+    grams = stored(body.mapInArrow(_uses(True), "x long, y long, z long, n long")
+                   .groupBy("x", "y", "z").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT), "tree-grams")
+    tree = stored(_tree(counts.where("gid >= 0").select("gid", "c"), grams, total, discount), "tree")
+    used = stored(body.mapInArrow(_uses(False), "block long, x long, y long, z long").join(tree, ["x", "y", "z"])
+                  .select("block", "x", "y", "z", "p", "f"), "tree-used")
+    return (used.groupBy("block").cogroup(body.groupBy("block"))
+            .applyInArrow(_scored(total, vocabulary, discount), _SCORES))
 
 
 def op7_query(docs: DataFrame) -> DataFrame:
