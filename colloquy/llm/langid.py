@@ -33,6 +33,9 @@ MAX_LANGUAGES = 1000
 SMOOTHING = 0.5
 CHARS_AT_ONCE = 500_000
 MIN_SCORE = 0.5
+#: Evidence a gram: the winner's mean log-probability may lie SLACK nats under the LOW_QUANTILE
+#: of its training texts' own means, and must be MARGIN nats over that of the second language.
+LOW_QUANTILE, SLACK, MARGIN = 0.05, 2.0, 0.1
 
 
 @lru_cache(maxsize=1)
@@ -98,28 +101,59 @@ class Model:
         self.log_p = np.log(grams / grams.sum(0)) if self.languages else grams
         self.log_prior = np.log(table[BUCKETS] / max(table[BUCKETS].sum(), 1)) if self.languages else table[BUCKETS]
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names, scores = ["und"] * len(texts), [0.0] * len(texts)
+    def _sums(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row of the text, log-likelihood per language, number of n-grams)."""
         shown = [i for i, t in enumerate(texts) if t]
-        if not self.languages:
-            return names, scores
         for run in _parts([texts[i] for i in shown]):
-            at = [shown[i] for i in run]
-            total = np.tile(self.log_prior, (len(at), 1))
-            letters = np.zeros(len(at), bool)
+            at = np.array([shown[i] for i in run])
+            total, size = np.zeros((len(at), len(self.languages))), np.zeros(len(at), np.int64)
             for row, bucket in _grams([texts[i] for i in at]):
                 if not len(row):
                     continue
                 first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
                 total[row[first]] += np.add.reduceat(self.log_p[bucket], first, axis=0)
-                letters[row[first]] = True
+                size[row[first]] += np.diff(np.r_[first, len(row)])
+            yield at[size > 0], total[size > 0], size[size > 0]
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        names, scores = ["und"] * len(texts), [0.0] * len(texts)
+        if not self.languages:
+            return names, scores
+        for at, total, _ in self._sums(texts):
+            total = total + self.log_prior
             best = total.argmax(1)
             post = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-            for i, b, p, ok in zip(at, best, post, letters):
-                if ok:
-                    names[i], scores[i] = self.languages[b], float(p)
+            for i, b, p in zip(at, best, post):
+                names[i], scores[i] = self.languages[b], float(p)
         return names, scores
 
+    def told(self, texts: list[str | None], floors: dict[str, float], min_score: float) -> list[bool]:
+        """Whether the language is told with confidence: by the posterior, and
+        by the evidence a gram, which does not grow with the text."""
+        out = [False] * len(texts)
+        if not self.languages:
+            return out
+        least = np.array([floors.get(k, np.inf) for k in self.languages])
+        for at, total, size in self._sums(texts):
+            best = (total + self.log_prior).argmax(1)
+            post = 1 / np.exp(total + self.log_prior - (total + self.log_prior).max(1, keepdims=True)).sum(1)
+            mean, rows = total / size[:, None], np.arange(len(at))
+            own = mean[rows, best]
+            mean[rows, best] = -np.inf
+            sure = (post >= min_score) & (own >= least[best] - SLACK) & (own - mean.max(1) >= MARGIN)
+            for i, ok in zip(at, sure):
+                out[i] = bool(ok)
+        return out
+
+    def own_means(self, texts: list[str], langs: list[str]) -> list[float | None]:
+        """Mean log-probability a gram of each text in its own language."""
+        out = [None] * len(texts)
+        for at, total, size in self._sums(texts):
+            col = np.searchsorted(self.languages, [langs[i] for i in at])
+            for i, v in zip(at, total[np.arange(len(at)), col] / size):
+                out[i] = float(v)
+        return out
+
 
 def train(df: DataFrame) -> Model:
     """Fit on all rows of ``df`` (text, lang) with both non-null."""
@@ -149,10 +183,30 @@ def op4_query(docs: DataFrame) -> DataFrame:
     return identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def floors(df: DataFrame, model: Model) -> dict[str, float]:
+    """Per language the LOW_QUANTILE of the means of all its texts in ``df``."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for s in range(0, len(pdf), 512):
+                lang = pdf["lang"].iloc[s:s + 512].tolist()
+                yield pd.DataFrame({"lang": lang, "mean": pd.Series(shared.value.own_means(pdf["text"].iloc[s:s + 512].tolist(), lang), dtype=float)})
+
+    rows = df.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "text")
+    means = rows.mapInPandas(run, "lang string, mean double").where("mean is not null and not isnan(mean)")
+    return {r.lang: r.low for r in means.groupBy("lang").agg(F.percentile_approx("mean", LOW_QUANTILE).alias("low")).collect()}
+
+
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """Stage: documents whose language is told with some confidence."""
-    model = train(docs.where(~held_out(docs)).select("text", "lang"))
-    found = identify(docs, model, "_pred", "_score")
+    """Stage: documents whose language is told with some confidence. Noise and
+    languages that were not learned are left out, as are texts without letters;
+    when nothing was learned every text is ``und`` and none stays."""
+    learned = docs.where(~held_out(docs)).select("text", "lang")
+    model = train(learned)
     if not model.languages:
-        return docs
-    return found.where((F.col("_pred") != "und") & (F.col("_score") >= min_score)).select(*docs.columns)
+        return docs.limit(0)
+    least = floors(learned, model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    found = append_columns(docs, lambda texts: [shared.value.told(texts, least, min_score)], "`_told` boolean")
+    return found.where("_told").select(*docs.columns)

@@ -1,11 +1,13 @@
 """Places where an operator once did less than the whole job."""
 
+import base64
 import math
+import random
 import zlib
 
 import pytest
 
-from colloquy.llm import suffix_tree
+from colloquy.llm import langid, suffix_tree
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -19,3 +21,21 @@ def test_rare_contexts_stay_in_a_large_corpus(spark):
     total = 6 * 3 + 800_001
     assert got.train_tokens == total and got.held_out
     assert got.score == pytest.approx(math.log10((6 - 0.5) / total) + 2 * math.log10((6 - suffix_tree.DISCOUNT) / 6), rel=1e-9)
+
+
+# ------------------------------------------------------------------ 4, pipeline
+def test_noise_and_unlearned_languages_go(spark):
+    rng = random.Random(1)
+    prose = {"en": "the cat and dog went with them to that old house where nobody had been for years".split(),
+             "de": "der hund und die katze gingen mit ihnen zu dem alten haus wo seit jahren niemand war".split(),
+             "es": "el gato y perro fueron con ellos a la casa vieja donde nadie estuvo desde hace muchos meses".split()}
+    clean = [(i, " ".join(rng.choices(prose[k], k=30)), k, "s") for i, k in enumerate(["en", "de", "es"] * 100)]
+    letters = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(60)) for _ in range(5)]
+    noise = letters + [base64.b64encode(rng.randbytes(300)).decode() for _ in range(5)] + [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах " * 3,
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swojej godności i swych praw", "12 !!", "", None]
+    odd = [(1000 + i, t, None, "s") for i, t in enumerate(noise)]
+    kept = langid.keep_known(spark.createDataFrame(clean + odd, DOCS))
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in clean]
+    assert langid.keep_known(spark.createDataFrame([(1, "abc", None, "s"), (2, "12", None, "s")], DOCS)).count() == 0
