@@ -95,6 +95,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/colloquy/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder through Spark's own file systems."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file access (tests only)."""
     scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):", path)
