@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from colloquy.session import checkpoint_root, scratch_path
+from colloquy.session import checkpoint_root, delete_path, scratch_path
 
 # a word is a run of characters other than the six ASCII white-space characters
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -39,7 +39,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a compressed table in the shared folder, read it back."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Remove tables made by ``stored`` whose last reader is done, and let
+    Spark remove the shuffle files of finished steps: it does so when the
+    driver's collector meets the objects that refer to them, which a large
+    heap puts off for long."""
+    import gc
+
+    for df in tables:
+        delete_path(df.sparkSession, df._scratch)
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def prefix_sums(df: DataFrame, group: str, order: list, values: dict[str, str]) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import cut
+from colloquy.llm.common import drop_stored, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,10 +32,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node with an edge; component = smallest
     node reachable. ``edges`` has long columns u, v; loops are ignored."""
-    now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now)))
+        old, now = now, stored(_small_star(_large_star(now)), "edges")
+        drop_stored(old)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if before == state:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(

@@ -24,7 +24,8 @@ Defined results: words are compared after lower-casing A-Z; a text with
 fewer words than a shingle is one shingle of all its words; a null, empty or
 blank text has an empty set and links with nothing; a row with a null doc_id
 links with nothing, has no component and is kept; rows that repeat a text are
-copies; other columns are ignored.
+copies; rows of one doc_id with other texts are texts of their own, each with
+the component of its text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,9 +39,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import cut, stored
+from colloquy.llm.common import cut, drop_stored, stored
 from colloquy.llm.components import connected_components
 from colloquy.llm.runs import blocks, local_components, unit_runs
+from colloquy.operators.indexing import dense_index
 
 BANDS, ROWS, BITS = 32, 4, 4
 BLOCK = 1024
@@ -117,15 +119,15 @@ def _features(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc, t1, t2, text in zip(pdf["doc_id"], pdf["t1"], pdf["t2"], pdf["text"]):
                 h = shingle_hashes(text, size)
                 if len(h):
                     low = minima(h)
-                    rows.append((doc, len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest(),
+                    rows.append((doc, t1, t2, len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest(),
                                  pack(low), band_keys(low)))
                 else:
-                    rows.append((doc, 0, None, None, None))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "fp", "sig", "bands"])
+                    rows.append((doc, t1, t2, 0, None, None, None))
+            yield pd.DataFrame(rows, columns=["doc_id", "t1", "t2", "n_shingles", "fp", "sig", "bands"])
         _MEMO.clear()  # workers live on
     return run
 
@@ -248,27 +250,37 @@ def _confirmed_links(threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``
-    (columns doc_id, text): components of the links with Jaccard similarity
-    of at least ``threshold``."""
+def _text_hashes() -> list[Column]:
+    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")]
+
+
+def _grouped(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """doc_id, t1, t2 (hashes of the text), n_shingles, group (node of the
+    component, null for an empty set) and component_id of every row with a
+    doc_id.
+
+    The nodes are classes of texts with equal sets, named by their smallest
+    doc_id. Where classes share that id, each gets a number above all ids
+    instead, so that no two texts become one node."""
     percent = round(threshold * 100)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    unnamed = docs.where("doc_id is null")
-    docs = docs.where("doc_id is not null")
-    feats = stored(docs.mapInPandas(
-        _features(shingle), "doc_id long, n_shingles long, fp binary, sig array<long>, bands array<long>"), "minhash")
+    feats = stored(docs.select("doc_id", *_text_hashes(), "text").mapInPandas(
+        _features(shingle), "doc_id long, t1 long, t2 long, n_shingles long, fp binary, sig array<long>, bands array<long>"), "minhash")
     shown = F.col("fp").isNotNull()
-    reps = stored(feats.where(shown).groupBy("fp")
-                  .agg(F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("r"))
-                  .select("fp", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.sig", "r.bands"),
-                  "minhash-reps")
+    classes = stored(feats.where(shown).groupBy("fp")
+                     .agg(F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("r"))
+                     .select("fp", F.col("r.doc_id").alias("doc"), F.col("r.n_shingles").alias("n"), "r.sig", "r.bands"),
+                     "minhash-classes")
+    twice = classes.groupBy("doc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc")
+    top = classes.agg(F.coalesce(F.max("doc"), F.lit(0))).first()[0]
+    numbered = stored(dense_index(classes.select("fp", "doc").join(twice, "doc"), ["doc", "fp"], "_at")
+                      .select("fp", (F.col("_at") + F.lit(top + 1)).alias("_node")), "minhash-shared-ids")
+    reps = classes.join(numbered, "fp", "left").withColumn("rep", F.coalesce("_node", "doc")).drop("_node")
     keyed = reps.select("rep", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
     members = stored(keyed.join(shared, "key").distinct(), "minhash-buckets")
     involved = members.select("rep").distinct()
     brief = stored(reps.join(involved, "rep"), "minhash-involved")
-    sets = stored(docs.join(brief.select("rep", "fp"), F.col("doc_id") == F.col("rep")).select("rep", "fp", "text")
+    sets = stored(docs.join(brief.select("rep", "doc", "fp"), F.col("doc_id") == F.col("doc")).select("rep", "fp", "text")
                   .mapInPandas(_sets(shingle), "rep long, hashes array<long>"), "minhash-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -311,22 +323,46 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -
             .repartition(*_UNIT).sortWithinPartitions(*_UNIT))
     cross = full.mapInPandas(_confirmed_links(threshold), "u long, v long")
     labels = connected_components(edges.unionAll(cross))
+    drop_stored(members, brief, sets)
 
-    classes = labelled(reps.select("fp", "rep"), labels).select("fp", F.col("comp").alias("component_id"))
-    narrow = feats.select("doc_id", "n_shingles", "fp")
-    linked = narrow.where(shown).join(classes, "fp").select("doc_id", "n_shingles", "component_id")
-    alone = narrow.where(~shown).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    named = labelled(reps.select("fp", "doc", "rep"), labels).withColumnRenamed("comp", "group")
+    # the least id of a component, where a number above all ids may hide it
+    hidden = (named.join(numbered.select("fp"), "fp", "left_semi").groupBy("group").agg(F.min("doc").alias("_least")))
+    ids = named.select("fp", "group").join(hidden, "group", "left").select(
+        "fp", "group", F.least(F.when(F.col("group") <= top, F.col("group")), F.col("_least")).alias("component_id"))
+    narrow = feats.select("doc_id", "t1", "t2", "n_shingles", "fp")
+    linked = narrow.where(shown).join(ids, "fp").select("doc_id", "t1", "t2", "n_shingles", "group", "component_id")
+    alone = narrow.where(~shown).select("doc_id", "t1", "t2", "n_shingles", F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("component_id"))
+    return linked.unionAll(alone)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``
+    (columns doc_id, text): components of the links with Jaccard similarity
+    of at least ``threshold``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = _grouped(docs.where("doc_id is not null"), shingle, threshold).select("doc_id", "n_shingles", "component_id")
     none = F.lit(None).cast("long")
-    lost = unnamed.select("text").mapInPandas(_counts(shingle), "n_shingles long").select(
+    lost = docs.where("doc_id is null").select("text").mapInPandas(_counts(shingle), "n_shingles long").select(
         none.alias("doc_id"), "n_shingles", none.alias("component_id"))
-    return linked.unionAll(alone).unionAll(lost).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return found.unionAll(lost).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each group; rows without a doc_id all stay."""
-    keep = near_duplicates(docs, shingle, threshold).where("kept and doc_id is not null").select(F.col("doc_id").alias("_keep")).distinct()
-    known = docs.where("doc_id is not null").join(keep, F.col("doc_id") == F.col("_keep")).drop("_keep").dropDuplicates(["doc_id"])
-    return known.unionAll(docs.where("doc_id is null"))
+    """``docs`` with one row of each group: the one of least (doc_id, hash of
+    the text), and of rows equal in both any one. Rows without a doc_id and
+    every row without words stay."""
+    row = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+                      *[c.alias(f"_{n}") for c, n in zip(_text_hashes(), ("t1", "t2"))])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    groups = _grouped(texts, shingle, threshold)
+    first = (groups.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("r"))
+             .select("r.doc_id", "r.t1", "r.t2"))
+    empty = groups.where(F.col("group").isNull()).select("doc_id", "t1", "t2").distinct()
+    known = row.where("_id is not null")
+    on = lambda k: (F.col("_id") == k["doc_id"]) & F.col("_t1").eqNullSafe(k["t1"]) & F.col("_t2").eqNullSafe(k["t2"])
+    one = known.join(first, on(first), "left_semi").dropDuplicates(["_id", "_t1", "_t2"])
+    return (one.unionAll(known.join(empty, on(empty), "left_semi")).unionAll(row.where("_id is null"))).select("_row.*")
 
 
 def op2_query(docs: DataFrame) -> DataFrame:
