@@ -94,12 +94,14 @@ def append_columns(df: DataFrame, fn, added: str) -> DataFrame:
     """``df`` with columns computed from its ``text`` in Arrow batches.
 
     ``fn(list of texts) -> list of value lists``, one per column of the DDL
-    string ``added``. The other columns pass through untouched.
+    string ``added``. The other columns pass through untouched; columns that
+    have the new names are replaced.
     """
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
     new = T.StructType.fromDDL(added)
+    df = df.drop(*new.fieldNames())
     out = T.StructType(list(df.schema.fields) + list(new.fields))
 
     def run(batches):

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import append_columns, crc32_bucket
+from colloquy.llm.common import append_columns, crc32_bucket, free_name
 
 BUCKETS = 1 << 15
 MAX_N = 3
@@ -208,5 +208,6 @@ def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
         return docs.limit(0)
     least = floors(learned, model)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    found = append_columns(docs, lambda texts: [shared.value.told(texts, least, min_score)], "`_told` boolean")
-    return found.where("_told").select(*docs.columns)
+    told = free_name(docs, "_told")
+    found = append_columns(docs, lambda texts: [shared.value.told(texts, least, min_score)], f"`{told}` boolean")
+    return found.where(F.col(told)).select(*docs.columns)

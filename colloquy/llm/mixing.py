@@ -87,22 +87,22 @@ def apply_mix(df: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed documents: each one repeated for its whole epochs, then, for
     a document at the cut, its first words once more. Same columns as ``df``;
     ``n_chars``, where there is one, follows a cut text."""
-    cols = df.columns
-    left = df.withColumn("_size", n_words(F.col("text")))
+    row = df.select(F.struct(*df.columns).alias("_row"), n_words(F.col("text")).alias("_size"))  # a struct: no name can clash
     right = mixed.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"),
                          F.col("taken").alias("_taken")).where("_taken > 0")
-    joined = left.join(right, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-                       & (F.col("_size") == F.col("_z")))
+    joined = row.join(right, F.col("_row.doc_id").eqNullSafe(F.col("_d")) & F.col("_row.source").eqNullSafe(F.col("_s"))
+                      & (F.col("_size") == F.col("_z")))
     whole = F.floor(F.col("_taken") / F.col("_size")).cast("int")
     rest = (F.col("_taken") - whole * F.col("_size")).cast("int")
     lengths = F.concat(F.array_repeat(F.lit(-1), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    copies = joined.withColumn("_take", F.explode(lengths))
-    pieces = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0))
-    text = F.when(F.col("_take") < 0, F.col("text")).otherwise(F.array_join(F.slice(pieces, 1, F.greatest(F.col("_take"), F.lit(1))), ""))
-    out = copies.withColumn("text", text)
-    if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.col("_take") < 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*cols)
+    copies = joined.select("_row", F.explode(lengths).alias("_take"))
+    pieces = F.regexp_extract_all(F.col("_row.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0))
+    text = F.when(F.col("_take") < 0, F.col("_row.text")).otherwise(F.array_join(F.slice(pieces, 1, F.greatest(F.col("_take"), F.lit(1))), ""))
+    cut_row = copies.select("_row", "_take", text.alias("_text"))
+    own = {"text": F.col("_text")}
+    if "n_chars" in df.columns:
+        own["n_chars"] = F.when(F.col("_take") < 0, F.col("_row.n_chars")).otherwise(F.length("_text").cast("long"))
+    return cut_row.select(*[own.get(c, F.col("_row").getField(c)).alias(c) for c in df.columns])
 
 
 OP1_SQL = r"""

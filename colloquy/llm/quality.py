@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import append_columns
+from colloquy.llm.common import append_columns, free_name
 
 BUCKETS = 1 << 18
 GRADES = 3
@@ -166,7 +166,8 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit on the ``sample_rows`` first rated documents by hash of the id."""
+    """Fit on the ``sample_rows`` first rated documents by hash of the id; of
+    rows that share an id, the text of least hash is read."""
     rated = docs.select("doc_id", "text").join(graded(labels), F.col("doc_id") == F.col("_rated"))
     chosen = (rated.select("doc_id", "_grade", F.xxhash64("doc_id", F.lit(6)).alias("_h"))
               .orderBy("_h", "doc_id", "_grade").limit(sample_rows))
@@ -175,12 +176,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def run(batches):
         for pdf in batches:
             got = [features(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [g[0].astype("<i4").tobytes() for g in got],
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["h"], "ids": [g[0].astype("<i4").tobytes() for g in got],
                                 "vals": [g[1].astype("<f4").tobytes() for g in got]})
 
     # at most sample_rows ids are broadcast and as many sparse rows collected
-    sparse = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
-              .mapInPandas(run, "doc_id long, ids binary, vals binary").dropDuplicates(["doc_id"]).toPandas())
+    sparse = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
+              .mapInPandas(run, "doc_id long, h long, ids binary, vals binary")
+              .groupBy("doc_id").agg(F.min(F.struct("h", "ids", "vals")).alias("r")).select("doc_id", "r.ids", "r.vals").toPandas())
     grades = chosen.select("doc_id", "_grade").toPandas()
     both = grades.merge(sparse, on="doc_id").sort_values(["doc_id", "_grade"])
     if not len(both):
@@ -206,5 +208,6 @@ def op6_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, min_tail: float = KEEP_TAIL) -> DataFrame:
     """Stage: documents whose top grade is likelier than not."""
-    rows = rate(docs, train(docs, labels), "_grade", "_tail")
-    return rows.where(F.coalesce(F.col("_tail") >= min_tail, F.lit(True))).select(*docs.columns)
+    grade, tail = free_name(docs, "_grade"), free_name(docs, "_tail")
+    rows = rate(docs, train(docs, labels), grade, tail)
+    return rows.where(F.coalesce(F.col(tail) >= min_tail, F.lit(True))).select(*docs.columns)
