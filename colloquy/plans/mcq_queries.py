@@ -15,6 +15,7 @@ from colloquy.plans.registry import register
 from colloquy.plans.sqlbits import NL, strip
 from colloquy.session import scratch_path
 from colloquy.sources import mcq as msrc
+from colloquy.sources.byte_files import WINDOW, read_windows, write_streams
 
 QUESTION_FORMAT = "About {document.title or start}: {document.summary.text}\\n\\nAsked: {question.text}"
 ANSWER_FORMAT = "{answers.text}"
@@ -113,17 +114,53 @@ def q_template_expand(spark, d):
 
 @register("mcq_bin_roundtrip", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
 def q_mcq_bin_roundtrip(spark, d):
-    # S8 write -> S7 read; conv_id is not part of the format
+    """S8 write, files closed after 64 records, S7 read (conv_id is not part of the format)."""
     path = scratch_path(spark, "mcq-bin")
-    msrc.write_mcq_bin(imported(spark, d).repartition(4), path)
-    return flat(msrc.read_mcq_bin(spark, path, records_per_partition=128), keep=())
+    msrc.write_mcq_bin(imported(spark, d), path, shard_records=64)
+    return flat(msrc.read_mcq_bin(spark, path), keep=())
 
 
 @register("mcq_bin_files", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
 def q_mcq_bin_files(spark, d):
+    """S8 with one file per set (conversation mod 8), S7 read of the folder of all sets."""
     path = scratch_path(spark, "mcq-bin")
-    msrc.write_mcq_bin(imported(spark, d).repartition(3), path)
-    return flat(msrc.read_mcq_bin_files(spark, path), keep=())
+    part = F.col("conv_id") % 8
+    sets = imported(spark, d).repartition(part).sortWithinPartitions(part)
+    msrc.write_mcq_bin_sets(sets.withColumn("part", part.cast("string")), "part", path)
+    return flat(msrc.read_mcq_bin(spark, path), keep=())
+
+
+@register("mcq_bin_windows", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
+def q_mcq_bin_windows(spark, d):
+    """S7 with windows smaller than most records: records are put together from several."""
+    path = scratch_path(spark, "mcq-bin")
+    msrc.write_mcq_bin(imported(spark, d), path, shard_records=64)
+    return flat(msrc.read_mcq_bin(spark, path, window=512), keep=())
+
+
+@register("mcq_bin_rejects", f"""WITH {RECORDS_CTE},
+ok AS (SELECT conv_id % 16 AS part, count(*) AS n FROM rec
+       WHERE coalesce(title, start) IS NOT NULL AND summary IS NOT NULL AND q IS NOT NULL GROUP BY 1)
+SELECT part, CASE part % 4 WHEN 1 THEN 'truncated' WHEN 2 THEN 'header' END AS reason,
+       CASE WHEN part % 4 IN (1, 2) THEN 0 ELSE n END AS n_read,
+       CASE part % 4 WHEN 1 THEN n - 1 END AS first_bad FROM ok""")
+def q_mcq_bin_rejects(spark, d):
+    """One set of records per part (conv_id mod 16), some sets cut: in the last
+    record, or inside the offset table. S7 returns whole sets and the rejects."""
+    whole, path = scratch_path(spark, "mcq-whole"), scratch_path(spark, "mcq-cut")
+    part = F.col("conv_id") % 16
+    sets = imported(spark, d).repartition(part).sortWithinPartitions(part)
+    msrc.write_mcq_bin_sets(sets.withColumn("part", part.cast("string")), "part", whole)
+    windows = read_windows(spark, whole).withColumn("stream", F.regexp_extract("file", "stream=([0-9]+)", 1))
+    kind = F.col("stream").cast("int") % 4
+    left = F.when(kind == 1, F.col("size") - 5).when(kind == 2, F.lit(7)).otherwise(F.col("size")) - F.col("w") * WINDOW
+    cut = windows.where(left > 0).select("stream", "w", F.substring("data", F.lit(1), F.least(left, F.octet_length("data")).cast("int")).alias("data"))
+    write_streams(cut.repartition("stream").sortWithinPartitions("stream", "w"), path)
+    records, rejects = msrc.scan_mcq_bin(spark, path)
+    of = F.regexp_extract("file", "stream=([0-9]+)", 1).cast("long").alias("part")
+    none = F.lit(None)
+    got = records.groupBy(of).agg(none.cast("string").alias("reason"), F.count(F.lit(1)).alias("n_read"), none.cast("long").alias("first_bad"))
+    return got.unionAll(rejects.select(of, "reason", F.lit(0).cast("long").alias("n_read"), "first_bad"))
 
 
 @register("mcq_json_roundtrip", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
