@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import templates as tpl
 from colloquy.functions import text as tx
-from colloquy.operators import chat, profile
+from colloquy.operators import chat, masks, profile
 from colloquy.plans.registry import TABLES, register, table
 from colloquy.plans.sqlbits import (GEMMA_CTE, INSTRUCTION, NL, RESPONSE, SFT_CTE, SFT_PROMPT,
                                     SFT_RENDER, strip)
@@ -118,11 +118,21 @@ SELECT conv_id, (i - 1)::BIGINT AS span_idx, string_split(parts[i + 1], {INSTRUC
 FROM sp, range(1, len(parts)) AS r(i)"""
 
 
+@register("span_starts", f"""WITH {GEMMA_CTE},
+sp AS (SELECT conv_id, string_split(text, {RESPONSE}) AS parts FROM gemma WHERE valid)
+SELECT conv_id, (i - 1)::BIGINT AS span_idx,
+       list_sum(list_transform(parts[:i], lambda p: length(p) + length({RESPONSE})))::BIGINT AS start,
+       length(string_split(parts[i + 1], {INSTRUCTION})[1])::BIGINT AS n_chars
+FROM sp, range(1, len(parts)) AS r(i)""")
+def q_span_starts(spark, d):
+    """X4 as places: where the trained spans lie in each rendered text."""
+    spans = masks.span_table(masks.rendered_pieces(conversations(spark, d)))
+    return spans.select("conv_id", "span_idx", "start", F.length("span").cast("long").alias("n_chars"))
+
+
 @register("response_spans", _SPANS_SQL)
 def q_response_spans(spark, d):
-    df = full_render(spark, d).where("valid")
-    df = df.select("conv_id", F.posexplode(tpl.response_spans("text")).alias("span_idx", "span"))
-    return df.select("conv_id", F.col("span_idx").cast("long").alias("span_idx"), "span")
+    return masks.span_table(masks.rendered_pieces(conversations(spark, d))).select("conv_id", "span_idx", "span")
 
 
 @register("masked_text", f"""WITH {GEMMA_CTE},
@@ -133,8 +143,7 @@ SELECT conv_id,
                || repeat(' ', length(p) - length(string_split(p, {INSTRUCTION})[1]))), ''), '') AS masked
 FROM sp""")
 def q_masked_text(spark, d):
-    df = full_render(spark, d).where("valid")
-    return df.select("conv_id", tpl.masked_text("text").alias("masked"))
+    return masks.masked_texts(masks.rendered_pieces(conversations(spark, d)))
 
 
 @register("trained_share", f"""WITH {GEMMA_CTE},
@@ -145,8 +154,7 @@ t AS (SELECT conv_id, length(text)::BIGINT AS total_chars,
 SELECT conv_id, total_chars, trained_chars,
        CASE WHEN total_chars = 0 THEN NULL ELSE trained_chars / total_chars END AS trained_share FROM t""")
 def q_trained_share(spark, d):
-    df = chat.response_masks(full_render(spark, d).where("valid"))
-    return df.select("conv_id", "total_chars", "trained_chars", "trained_share")
+    return masks.trained_shares(masks.rendered_pieces(conversations(spark, d)))
 
 
 # --------------------------------------------------------------- X6, X7
