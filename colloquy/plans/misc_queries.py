@@ -103,14 +103,16 @@ def q_scores_csv(spark, d):
 
 
 # ----------------------------------------------------------------- G1-G3
-def _event_stream(spark, d, **kw):
-    schema = table(spark, d, "events").schema
-    return jobs.stream_metrics(spark, d, schema, fmt="parquet", glob="events.parquet", **kw)
+EVENTS_A_FILE = 20_000
 
 
 @register("stream_summary", SUMMARY_SQL)
 def q_stream_summary(spark, d):
-    ev = _event_stream(spark, d)
+    """G1 + G2: the events in several files, one per micro-batch, update mode."""
+    src = scratch_path(spark, "events-files")
+    events = table(spark, d, "events")
+    events.repartitionByRange("ts").write.option("maxRecordsPerFile", EVENTS_A_FILE).parquet(src)
+    ev = jobs.stream_metrics(spark, src, events.schema, fmt="parquet", max_files_per_trigger=2)
     log = ev.select(
         F.col("user_id").alias("run"), "event_id", F.col("ts").alias("timestamp"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("loss"),
@@ -118,19 +120,19 @@ def q_stream_summary(spark, d):
         (F.get_json_object("props", "$.k").cast("double") / 100000).alias("learning_rate"))
     agg = jobs.stream_run_summary(log, order=F.struct("timestamp", "event_id"))
     target = scratch_path(spark, "stream-summary")
-    jobs.write_complete(agg, target, scratch_path(spark, "stream-summary-ckpt"))
-    return rounded(spark.read.parquet(target))
+    jobs.write_summary(agg, target, scratch_path(spark, "stream-summary-ckpt"))
+    return rounded(jobs.read_store(spark, target))
 
 
 @register("stream_results", f"""
 SELECT {MODEL_SQL} AS model, event_type AS task, value AS score, event_id
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def q_stream_results(spark, d):
-    # the events table as several files arriving one per micro-batch
+    """The events in several files, some of them per micro-batch."""
     src = scratch_path(spark, "events-files")
-    table(spark, d, "events").repartitionByRange(4, "ts").write.parquet(src)
-    schema = table(spark, d, "events").schema
-    stream = jobs.stream_metrics(spark, src, schema, fmt="parquet", max_files_per_trigger=1)
+    events = table(spark, d, "events")
+    events.repartitionByRange("ts").write.option("maxRecordsPerFile", EVENTS_A_FILE).parquet(src)
+    stream = jobs.stream_metrics(spark, src, events.schema, fmt="parquet", max_files_per_trigger=2)
     rows = stream.select(model_col().alias("model"), F.col("event_type").alias("task"),
                          F.col("value").alias("score"), "event_id", "ts")
     store = scratch_path(spark, "result-store")

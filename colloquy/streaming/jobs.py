@@ -4,9 +4,9 @@
   Parquet) and the S15 null filter; optional de-duplication of re-sent
   steps within a watermark.
 * G2 ``stream_run_summary``: A13's aggregates as a streaming aggregation;
-  ``write_complete`` keeps the latest full result in a table directory.
-* G3 ``stream_results``: each micro-batch is upserted (U2) into a
-  versioned result store; a restart continues from the checkpoint.
+  ``write_summary`` publishes the runs that a micro-batch changed.
+* G3 ``stream_results``: each micro-batch is upserted (U2) into a keyed
+  table (``store``); a restart continues from the checkpoint.
 
 All state lives in the checkpoint location (shared storage in production).
 """
@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.operators.evals import upsert_results
 from colloquy.operators.metrics import finish_summary, summary_aggs
 from colloquy.sources.metrics import TS_FORMAT, drop_empty_metrics
+from colloquy.streaming.store import read_store, upsert
+
+__all__ = ["read_store", "stream_metrics", "stream_results", "stream_run_summary", "write_summary"]
 
 
 def stream_metrics(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
@@ -50,55 +52,24 @@ def stream_run_summary(stream: DataFrame, run: str = "run", order=None) -> DataF
     return finish_summary(stream.groupBy(run).agg(*summary_aggs(order)))
 
 
-def write_complete(agg: DataFrame, target: str, checkpoint: str) -> None:
-    """Run a complete-mode aggregation to the end of the available input; each
-    micro-batch overwrites ``target`` with the full current result."""
+def write_summary(agg: DataFrame, target: str, checkpoint: str, keys: Sequence[str] = ("run",), **options) -> None:
+    """Run an aggregation to the end of the available input, in update mode:
+    each micro-batch publishes the groups it changed in the keyed table
+    ``target`` (``read_store``), the others are not written again."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+        upsert(batch, batch_id, target, keys, **options)
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
+    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def _versions(spark: SparkSession, store: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(store)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(name)
-    return sorted(out)
-
-
-def read_store(spark: SparkSession, store: str) -> DataFrame | None:
-    """The latest committed version of a result store (None if empty)."""
-    v = _versions(spark, store)
-    return spark.read.parquet(f"{store}/{v[-1]}") if v else None
-
-
-def stream_results(stream: DataFrame, store: str, checkpoint: str, keys: Sequence[str], version) -> None:
-    """Upsert every micro-batch into ``store`` (one new version per batch).
-
-    A replayed batch rewrites the same version directory, so the sink is
-    idempotent; the version written by batch ``b`` only reads versions < b.
-    """
-    spark = stream.sparkSession
-    keys = list(keys)
-
+def stream_results(stream: DataFrame, store: str, checkpoint: str, keys: Sequence[str], version, **options) -> None:
+    """Upsert every micro-batch into the keyed table ``store`` (U2: the
+    row of the highest ``version`` of each key stays). A batch adds to the
+    buckets it touches; a replayed batch changes nothing."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        prev = [v for v in _versions(spark, store) if v < f"v={batch_id:010d}"]
-        if prev:
-            old = spark.read.parquet(f"{store}/{prev[-1]}")
-            merged = upsert_results(old, batch.select(*old.columns), keys, version)
-        else:
-            merged = upsert_results(batch, batch.limit(0), keys, version)
-        merged.write.mode("overwrite").parquet(f"{store}/v={batch_id:010d}")
+        upsert(batch, batch_id, store, keys, version, **options)
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
