@@ -140,15 +140,16 @@ def gemma_token_counts_long(long: DataFrame, pattern: str, conv: str = "conv_id"
     each message's piece: a partial aggregate, with validity in the same
     pass. A sub-word tokeniser needs the whole text (``render_gemma``).
     """
-    long = dense_turns(long.select(conv, order, role, text), conv, order)
-    p, r = F.col(order), F.col(role)
-    lead_system = (p == 0) & F.coalesce(r == "system", F.lit(False))
-    piece = F.when(lead_system, F.coalesce(F.col(text), F.lit(""))).otherwise(F.concat(
-        F.lit(tpl.GEMMA_START), F.when(r == "assistant", F.lit("model")).otherwise(F.coalesce(r, F.lit(""))),
-        F.lit("\n"), strip(F.coalesce(F.col(text), F.lit(""))), F.lit(tpl.GEMMA_END)))
-    n = F.size(F.regexp_extract_all(piece, F.lit(pattern), 0)).cast("long")
+    r, t = F.col(role), F.coalesce(F.col(text), F.lit(""))
+    piece = F.concat(F.lit(tpl.GEMMA_START), F.when(r == "assistant", F.lit("model")).otherwise(F.coalesce(r, F.lit(""))),
+                     F.lit("\n"), strip(t), F.lit(tpl.GEMMA_END))
+    count = lambda c: F.size(F.regexp_extract_all(c, F.lit(pattern), 0)).cast("long")
+    # counted before the sort, in the form of the message's place; the texts stay behind
+    counted = long.select(conv, order, role, F.when(r == "system", count(t)).alias("_bare"), count(piece).alias("_full"))
+    placed = dense_turns(counted, conv, order)
+    lead_system = (F.col(order) == 0) & F.coalesce(r == "system", F.lit(False))
     aggs, valid = _validity_aggs(order, role)
-    return (long.groupBy(conv).agg(*aggs, F.sum(n).alias("_n"))
+    return (placed.groupBy(conv).agg(*aggs, F.sum(F.when(lead_system, F.col("_bare")).otherwise(F.col("_full"))).alias("_n"))
             .select(conv, valid.alias("valid"), F.when(valid, F.col("_n")).alias("n_tokens")))
 
 

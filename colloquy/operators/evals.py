@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.poly import centre_aggs, moment_aggs, poly_coefficients, poly_eval
 from colloquy.operators.indexing import dense_index
-from colloquy.operators.sizing import small_rows
 
 
 # ----------------------------------------------------------------- P5, U3
@@ -140,10 +139,8 @@ def match_model_args(models: DataFrame, margs: Sequence[str] | DataFrame, path:
     """Args of the first pattern (in given order) contained in the path; '' if none.
 
     A pattern list given as a parameter compiles to one CASE expression. A
-    pattern table ``(ord, pattern, args)`` of proven small size becomes an
-    ordered array literal, matched per row with ``filter`` (no join, no
-    shuffle). A larger table is matched exactly by an equi-join on short
-    n-grams over the distinct paths (see ``_match_by_grams``).
+    pattern table ``(ord, pattern, args)`` of any size is matched over the
+    distinct paths by an index on each pattern's rarest gram.
     """
     if not isinstance(margs, DataFrame):
         expr = F.lit("")
@@ -154,13 +151,6 @@ def match_model_args(models: DataFrame, margs: Sequence[str] | DataFrame, path:
     pats = listed.groupBy("pattern").agg(  # equal patterns: their args in order, as in the list form
         F.min("ord").alias("ord"), F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("ord", "args"))), lambda x: x["args"]))
         .alias("args")).select("ord", "pattern", "args")
-    rows = small_rows(pats)
-    if rows is not None:
-        rows = sorted(rows, key=lambda r: r["ord"])
-        arr = F.array(*[F.struct(F.lit(r["pattern"]).alias("p"), F.lit(r["args"]).alias("a")) for r in rows]) \
-            if rows else F.array().cast("array<struct<p:string,a:string>>")
-        first = F.try_element_at(F.filter(arr, lambda x: F.instr(F.col(path), x["p"]) > 0), F.lit(1))
-        return models.withColumn(name, F.coalesce(first["a"], F.lit("")))
     hits = _match_by_grams(models.select(path).distinct(), pats, path, name)
     return (models.join(hits, path, "left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(""))))
@@ -169,28 +159,30 @@ def match_model_args(models: DataFrame, margs: Sequence[str] | DataFrame, path:
 GRAM = 3
 
 
+def _grams(text: str, size: Column) -> Column:
+    """Distinct substrings of ``size`` characters."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.array_distinct(F.transform(places, lambda i: F.col(text).substr(i, size)))
+
+
 def _match_by_grams(paths: DataFrame, pats: DataFrame, path: str, name: str) -> DataFrame:
-    """(path, first-match args) for a pattern table too large to broadcast.
-
-    A pattern of length L is keyed by its first ``k = min(L, GRAM)``
-    characters; every path emits each of its substrings of length 1..GRAM
-    with that length. A pattern contained in a path shares its key with one
-    of the path's substrings, so the equi-join on (gram, k) finds every
-    candidate; ``instr`` then confirms it. Empty patterns match every path
-    and are applied as a constant (the smallest ``ord`` among them).
+    """(path, first-match args).
+
+    A path is listed under its substrings of 1 to ``GRAM`` characters. A
+    pattern is looked up under one of its own substrings of ``min(L, GRAM)``
+    characters, the one that the fewest paths hold; if no path holds it, the
+    pattern has no match. ``instr`` confirms what is found. An empty pattern
+    is in every path and is applied as a constant (the smallest ``ord``).
     """
-    nonempty = pats.where(F.length("pattern") > 0)
-    keyed = nonempty.select("ord", "pattern", "args",
-                            F.least(F.length("pattern"), F.lit(GRAM)).alias("_k"),
-                            F.substring("pattern", 1, GRAM).alias("_g"))
-    n = F.length(path)
-    grams = paths.select(path, F.explode(F.sequence(F.lit(1), F.lit(GRAM))).alias("_k")) \
-        .select(path, "_k", F.explode(F.sequence(F.lit(1), F.greatest(n - F.col("_k") + 1, F.lit(1))))
-                .alias("_i")) \
-        .where(F.col("_i") + F.col("_k") - 1 <= F.length(path)) \
-        .select(path, "_k", F.substring(path, F.col("_i"), F.col("_k")).alias("_g")).distinct()
-    cand = (grams.join(keyed, ["_g", "_k"]).where(F.instr(F.col(path), F.col("pattern")) > 0)
-            .select(path, "ord", "args"))
+    size = F.least(F.length("pattern"), F.lit(GRAM))
+    listed = (paths.select(path, F.explode(F.sequence(F.lit(1), F.least(F.length(path), F.lit(GRAM)))).alias("_k")).where("_k > 0")
+              .select(path, "_k", F.explode(_grams(path, F.col("_k"))).alias("_g")))
+    held = listed.groupBy("_k", "_g").agg(F.count(F.lit(1)).alias("_n"))
+    own = pats.where(F.length("pattern") > 0).select("ord", "pattern", "args", size.alias("_k"), F.explode(_grams("pattern", size)).alias("_g"))
+    rarest = (own.join(held, ["_k", "_g"], "left")
+              .groupBy("ord", "pattern", "args").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_k", "_g")).alias("_r"))
+              .where("_r.n > 0").select("ord", "pattern", "args", "_r._k", "_r._g"))
+    cand = listed.join(rarest, ["_k", "_g"]).where(F.instr(F.col(path), F.col("pattern")) > 0).select(path, "ord", "args")
     empty = pats.where(F.length("pattern") == 0).agg(F.min_by("args", "ord").alias("_ea"),
                                                      F.min("ord").alias("_eo"))
     best = cand.groupBy(path).agg(F.min_by("args", "ord").alias("_a"), F.min("ord").alias("_o"))

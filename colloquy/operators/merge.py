@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.operators.sizing import bounded_broadcast
-
 
 def weights_frame(spark, recipe: Sequence[tuple[str, float]]) -> DataFrame:
     """Merge recipe (model, weight) as a small DataFrame."""
@@ -27,7 +25,7 @@ def _merged(params: DataFrame, weights: DataFrame, normalize: bool) -> DataFrame
     per = _chunks(params, weights)
     bad = per.where(_rejected(weights)).select("tensor").distinct()
     lost = per.where("_nulls > 0").select("tensor", "chunk", F.lit(True).alias("_lost"))
-    p = (params.join(bounded_broadcast(weights), "model").join(bad, "tensor", "left_anti")
+    p = (params.join(weights, "model").join(bad, "tensor", "left_anti")
          .join(lost, ["tensor", "chunk"], "left")
          .withColumn("values", F.when(F.col("_lost").isNull(), F.col("values"))))
     v = F.col("weight") * F.coalesce(F.col("v").cast("double"), F.lit(0.0))
@@ -53,7 +51,7 @@ def merge_linear(params: DataFrame, weights: DataFrame, normalize: bool = True)
 
 
 def _chunks(params: DataFrame, weights: DataFrame) -> DataFrame:
-    return (params.join(bounded_broadcast(weights.select("model")), "model")
+    return (params.join(weights.select("model"), "model")
             .groupBy("tensor", "chunk")
             .agg(F.countDistinct("model").alias("n_models"),
                  F.min(F.size("values")).alias("min_len"), F.max(F.size("values")).alias("max_len"),

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from colloquy.functions.text import percent
 from colloquy.operators.chat import dense_turns
 from colloquy.operators.indexing import dense_index
-from colloquy.operators.sizing import TOP_N_MAX
+from colloquy.operators.select import key_at, rows_between
+from colloquy.session import checkpoint_root
 
 # Control strings of the two chat formats.
 SPECIAL_MARKERS = ["<bos>", "<eos>", "<start_of_turn>", "<end_of_turn>",
@@ -198,17 +199,20 @@ def template_success_rate(rendered: DataFrame, valid: str = "valid") -> DataFram
 def first_n(long: DataFrame, n: int | None, key: str = "conv_id") -> DataFrame:
     """Rows of the first ``n`` keys (``None`` = everything).
 
-    Up to ``TOP_N_MAX`` keys: a distributed top-n, broadcast (size bounded
-    by ``n``) into a semi join with the long table. More keys: positions from
-    the dense index over the distinct keys, and a semi join planned by AQE.
+    The n-th distinct key is looked up on the key column alone; the rows are
+    taken by a range filter, which reaches the scan.
     """
     if n is None:
         return long
-    keys = long.select(key).distinct()
-    if n <= TOP_N_MAX:
-        return long.join(F.broadcast(keys.orderBy(key).limit(n)), key, "left_semi")
-    first = dense_index(keys, [key], "_i").where(F.col("_i") < n).select(key)
-    return long.join(first, key, "left_semi")
+    if n <= 0:
+        return long.limit(0)
+    checkpoint_root(long.sparkSession)
+    keys = long.select(F.struct(key).alias("k")).distinct().checkpoint(eager=True)  # read once a round
+    found = key_at(keys, n - 1)
+    if found is None:
+        return long
+    last = found[0][0]
+    return long.where(F.col(key).isNull() if last is None else F.col(key).isNull() | (F.col(key) <= F.lit(last)))
 
 
 def top_k(df: DataFrame, k: int, count: str = "n", value: str = "value") -> DataFrame:
@@ -219,18 +223,14 @@ def top_k(df: DataFrame, k: int, count: str = "n", value: str = "value") -> Data
 def sample_rows(df: DataFrame, n: int, seed: int, key: str | None = None) -> DataFrame:
     """``min(n, rows)`` rows without replacement.
 
-    With ``key`` the sample is deterministic: order by ``md5(key || seed)``.
-    Up to ``TOP_N_MAX`` rows it is a distributed top-n
-    (TakeOrderedAndProject); larger samples take the first ``n`` positions
-    of the dense index over the same order.
+    The order is ``md5(key || seed)``, or a hash of the whole row without a
+    ``key``; the rows before its n-th place are taken by a filter.
     """
     if key is None:
-        order = [F.rand(seed)]
+        order = [F.xxhash64(*df.columns, F.lit(seed))]
     else:
         order = [F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)]
-    if n <= TOP_N_MAX:
-        return df.orderBy(*order).limit(n)
-    return dense_index(df, order, "_i").where(F.col("_i") < n).drop("_i")
+    return rows_between(df, order, 0, n)
 
 
 def special_token_counts(df: DataFrame, text: str = "text",

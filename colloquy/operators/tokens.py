@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.operators.indexing import dense_index
+from colloquy.operators.skew import lookup_join
+from colloquy.session import checkpoint_root
 
 # Fixed value: default token pattern (words, or single symbols).
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -94,31 +96,39 @@ def vocab_top(tokens: DataFrame, k: int, token: str = "token") -> DataFrame:
     return top.select(rank.cast("long").alias("token_id"), token, "n")
 
 
-def encode(tokens: DataFrame, vocab: DataFrame, token: str = "token") -> DataFrame:
+def encode(tokens: DataFrame, vocab: DataFrame, token: str = "token", weight: str | None = None) -> DataFrame:
     """K3: token -> id (``UNKNOWN_ID`` for tokens outside the vocabulary).
 
-    Equi join on the token; with AQE a hot token on the long side is split
-    by the skew-join rule, and a small vocabulary is broadcast at run time.
+    The tokens that make up much of the text are few: they meet their ids by
+    a broadcast, known or not, the others by a shuffle that no token can
+    overload. ``weight``: column that counts occurrences, if a row has several.
     """
-    v = vocab.select(token, "token_id")
-    return (tokens.join(v, token, "left")
-            .withColumn("token_id", F.coalesce(F.col("token_id"), F.lit(UNKNOWN_ID).cast("long"))))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    ids = tokens.groupBy(token).agg(n.cast("long").alias("_n")).join(vocab.select(token, "token_id"), token, "left")
+    return lookup_join(tokens, ids, [token], "_n", F.struct(*tokens.columns)).withColumn(
+        "token_id", F.coalesce(F.col("token_id"), F.lit(UNKNOWN_ID).cast("long")))
 
 
 def decode(ids: DataFrame, vocab: DataFrame, name: str = "decoded") -> DataFrame:
-    """K4: id -> token (NULL for unknown ids)."""
-    v = vocab.select("token_id", F.col("token").alias(name))
-    return ids.join(v, "token_id", "left")
+    """K4: id -> token (NULL for unknown ids, which take no part in the join)."""
+    known, unknown = ids.where(F.col("token_id") != UNKNOWN_ID), ids.where(F.col("token_id").isNull() | (F.col("token_id") == UNKNOWN_ID))
+    counts = known.groupBy("token_id").agg(F.count(F.lit(1)).alias("_n"))
+    named = counts.join(vocab.select("token_id", F.col("token").alias(name)), "token_id", "left")
+    found = lookup_join(known, named, ["token_id"], "_n", F.struct(*ids.columns))
+    return found.unionByName(unknown.withColumn(name, F.lit(None).cast("string")))
 
 
 def roundtrip_check(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
     """K3 + K4: per row token count, id checksum, unknowns and whether every
-    position decodes back to its token (aggregated per position, no re-collect)."""
-    enc = encode(tokens, vocab)
+    position decodes back to its token. Equal tokens of a row are counted
+    first, so that they are encoded and decoded once."""
+    checkpoint_root(tokens.sparkSession)
+    counted = tokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    enc = encode(counted, vocab, weight="n").checkpoint(eager=True)
     dec = decode(enc, vocab)
     return dec.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.sum("token_id").alias("id_sum"),
-        F.count_if(F.col("token_id") == UNKNOWN_ID).alias("n_unknown"),
+        F.sum("n").alias("n_tokens"), F.sum(F.col("token_id") * F.col("n")).alias("id_sum"),
+        F.sum(F.when(F.col("token_id") == UNKNOWN_ID, F.col("n")).otherwise(0)).alias("n_unknown"),
         F.bool_and(F.coalesce(F.col("decoded") == F.col("token"), F.lit(False))).alias("roundtrip_ok"))
 
 

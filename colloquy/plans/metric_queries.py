@@ -7,10 +7,11 @@ on ``click`` and ``view`` rows, learning rate = props.k / 100000.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from colloquy.operators import metrics
+from colloquy.operators.running import lay_out, running
+from colloquy.operators.skew import lookup_join
 from colloquy.plans.registry import register, table
 from colloquy.session import scratch_path
 from colloquy.sources import metrics as msrc
@@ -84,11 +85,14 @@ def q_runs_with_metrics(spark, d):
 
 def metric_rows(spark, d):
     """D11 rows: step = log position per run, epoch = step / steps of the run."""
-    log = metric_log(spark, d)
-    w = Window.partitionBy("run").orderBy("timestamp", "event_id")
-    return (log.withColumn("step", F.row_number().over(w))
-            .withColumn("epoch", F.col("step") / F.count(F.lit(1)).over(Window.partitionBy("run")))
-            .select("run", "step", "epoch", "loss", "grad_norm", "learning_rate", "timestamp"))
+    log = metric_log(spark, d).withColumn("one", F.lit(1).cast("long"))
+    order = ["timestamp", "event_id"]
+    laid = lay_out(log, "run", order)
+    placed = running(laid, "run", order, sums={"one": "before"})
+    steps = laid.groupBy("run").agg(F.count(F.lit(1)).alias("steps"), F.count(F.lit(1)).alias("weight"))
+    step = F.col("before") + 1
+    return (lookup_join(placed, steps, ["run"], "weight", F.col("event_id"))
+            .select("run", step.cast("int").alias("step"), (step / F.col("steps")).alias("epoch"), "loss", "grad_norm", "learning_rate", "timestamp"))
 
 
 @register("metrics_roundtrip", SUMMARY_SQL)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.operators.select import rows_between
 from colloquy.schemas import MESSAGE
 
 
@@ -52,36 +53,17 @@ def parse_slice(spec: str) -> tuple[int, int | None]:
 
 
 def slice_split(df: DataFrame, spec: str, key) -> DataFrame:
-    """Split slice such as ``train[:20000]`` in ``key`` order.
-
-    A slice ending at most ``TOP_N_MAX`` rows in is a distributed top-(stop)
-    with offset (per-partition top-n, then one bounded merge). Open or
-    longer slices use the dense index, so no task gathers the slice.
-    """
-    from colloquy.operators.indexing import dense_index
-    from colloquy.operators.sizing import TOP_N_MAX
-
+    """Split slice such as ``train[:20000]`` in ``key`` order, returned in
+    that order. The keys at both ends are found on the key columns alone."""
     start, stop = parse_slice(spec)
     keys = [key] if isinstance(key, str) else list(key)
-    if stop is not None and stop <= TOP_N_MAX:
-        return df.orderBy(*keys).offset(start).limit(max(stop - start, 0))
-    idx = dense_index(df, keys, "_idx")
-    cond = F.col("_idx") >= start
-    if stop is not None:
-        cond = cond & (F.col("_idx") < stop)
-    return idx.where(cond).drop("_idx")
+    return rows_between(df, [F.col(k) for k in keys], start, stop).orderBy(*keys)
 
 
 def row_at(df: DataFrame, n: int, key) -> DataFrame:
-    """S3: the row at 0-based position ``n`` in ``key`` order (a bounded
-    top-n below ``TOP_N_MAX``, the dense index beyond)."""
-    from colloquy.operators.indexing import dense_index
-    from colloquy.operators.sizing import TOP_N_MAX
-
+    """S3: the row at 0-based position ``n`` in ``key`` order."""
     keys = [key] if isinstance(key, str) else list(key)
-    if n < TOP_N_MAX:
-        return df.orderBy(*keys).offset(n).limit(1)
-    return dense_index(df, keys, "_idx").where(F.col("_idx") == n).drop("_idx")
+    return rows_between(df, [F.col(k) for k in keys], n, n + 1)
 
 
 def save_dataset(df: DataFrame, path: str, mode: str = "overwrite") -> None:

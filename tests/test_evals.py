@@ -110,19 +110,14 @@ def test_model_args(spark):
     assert got2 == got
 
 
-@pytest.mark.parametrize("bound", [10_000, 5])
-def test_model_args_table_matches_brute_force(spark, monkeypatch, bound):
-    """Pattern table: array literal when small, n-gram equi-join beyond the bound."""
+def test_model_args_table_matches_brute_force(spark):
+    """Pattern table: an index on each pattern's rarest gram."""
     import random
 
-    from colloquy.operators import sizing
-
     rnd = random.Random(7)
     alpha = "abcde-/"
     paths = ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
-    pats = [("".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 4))), f"a{i}") for i in range(60)]
-    real = sizing.small_rows
-    monkeypatch.setattr(evals, "small_rows", lambda df, max_rows=bound: real(df, bound))
+    pats = [("".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 4))), f"a{i}") for i in range(60)] + [("abcdea", "long"), ("zz", "none")]
     mdf = spark.createDataFrame(list(enumerate(paths)), "id int, path string")
     pdf = spark.createDataFrame([(i, p, a) for i, (p, a) in enumerate(pats)], "ord int, pattern string, args string")
     joined = {p: " ".join(a for q, a in pats if q == p) for p, _ in pats}

@@ -1,5 +1,6 @@
 """K1-K6, A18, A17, A1-A7, T1-T3, N9, dense_index: against brute force."""
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -71,21 +72,6 @@ def test_merge_linear_matches_numpy(spark):
     assert [r["tensor"] for r in merge.merge_rejects(bad, w).collect()] == ["z"]
 
 
-def test_merge_oversized_recipe_uses_shuffle_join(spark, monkeypatch):
-    """Beyond the size bound the recipe is not broadcast; results are unchanged."""
-    from colloquy.operators import sizing
-
-    params = spark.createDataFrame([("m1", "v", 0, [1.0, 2.0]), ("m2", "v", 0, [3.0, 4.0])],
-                                   "model string, tensor string, chunk int, values array<float>")
-    w = merge.weights_frame(spark, [("m1", 1.0), ("m2", 3.0)])
-    assert sizing.is_small(w, 2) and not sizing.is_small(w, 1)
-    monkeypatch.setattr(merge, "bounded_broadcast", lambda df: sizing.bounded_broadcast(df, 1))
-    out = merge.merge_linear_long(params, w)
-    hints = out._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in hints.lower()
-    assert {r["pos"]: r["value"] for r in out.collect()} == {0: 2.5, 1: 3.5}
-
-
 @pytest.fixture(scope="module")
 def convs(spark):
     rows = []
@@ -207,26 +193,59 @@ def test_slices(spark):
     assert row_at(df, 42, "k").collect()[0][0] == 42
 
 
-def test_large_slices_and_first_n_are_distributed(spark, monkeypatch, convs):
-    """Past the top-n bound: dense-index slices and a non-broadcast key join,
-    with the same rows as the bounded plans."""
-    from colloquy.operators import sizing
+def test_rows_by_place_equal_a_sorted_list(spark, monkeypatch):
+    """Histogram rounds down to single keys, with ties, nulls and two columns."""
+    import random
+
+    from colloquy.operators import select
+
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1, 1, 1, 1, 2, 5, 7, 9]), rng.choice([None, "a", "b", "ab"]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b string, id int").repartition(3)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")
+    ordered = sorted(rows, key=key)
+    for few, pivots, ends in ((4096, 15, ((0, 5), (3, 3), (17, 160), (200, None), (390, 1000), (400, None))), (3, 4, ((0, 400), (17, 160), (50, 51)))):
+        monkeypatch.setattr(select, "FEW", few)
+        monkeypatch.setattr(select, "PIVOTS", pivots)
+        for start, stop in ends:
+            got = [tuple(r) for r in select.rows_between(df, [F.col("a"), F.col("b")], start, stop).collect()]
+            assert sorted(map(key, got)) == [key(r) for r in ordered[start:stop]] and len(set(got)) == len(got)
+        total = [tuple(r) for r in select.rows_between(df, [F.col("a"), F.col("b"), F.col("id")], 17, 160).collect()]
+        want = sorted(rows, key=lambda r: (*key(r), r[2]))[17:160]
+        assert sorted(total, key=repr) == sorted(want, key=repr)
+    assert select.rows_between(df.limit(0), [F.col("a")], 0, 5).count() == 0
+
+
+def test_slices_and_first_n_beyond_one_round(spark, monkeypatch, convs):
+    from colloquy.operators import select
     from colloquy.sources.chat import row_at, slice_split
 
+    monkeypatch.setattr(select, "FEW", 2)
     df = spark.range(0, 100, numPartitions=3).withColumnRenamed("id", "k")
-    small = {s: sorted(r[0] for r in slice_split(df, s, "k").collect()) for s in ["[10:13]", "[:5]", "[95:200]"]}
-    monkeypatch.setattr(sizing, "TOP_N_MAX", 2)
-    big = {s: sorted(r[0] for r in slice_split(df, s, "k").collect()) for s in small}
-    assert big == small == {"[10:13]": [10, 11, 12], "[:5]": [0, 1, 2, 3, 4], "[95:200]": [95, 96, 97, 98, 99]}
-    assert row_at(df, 42, "k").collect()[0][0] == 42
+    got = {s: [r[0] for r in slice_split(df, s, "k").collect()] for s in ["[10:13]", "[:5]", "[95:200]"]}
+    assert got == {"[10:13]": [10, 11, 12], "[:5]": [0, 1, 2, 3, 4], "[95:200]": [95, 96, 97, 98, 99]}
+    assert row_at(df, 42, "k").collect()[0][0] == 42 and row_at(df, 100, "k").count() == 0
     long, _ = convs
-    want = sorted(tuple(r) for r in profile.first_n(long, 4).collect())
+    assert {r[0] for r in profile.first_n(long, 4).collect()} == {0, 1, 2, 3}
     keys = long.select("conv_id").distinct()
-    sample = sorted(r[0] for r in profile.sample_rows(keys, 3, 7, key="conv_id").collect())
-    monkeypatch.setattr(profile, "TOP_N_MAX", 2)
-    got = sorted(tuple(r) for r in profile.first_n(long, 4).collect())
-    assert got == want and {r[0] for r in got} == {0, 1, 2, 3}
-    assert sorted(r[0] for r in profile.sample_rows(keys, 3, 7, key="conv_id").collect()) == sample
+    ids = sorted(r[0] for r in keys.collect())
+    want = sorted(sorted(ids, key=lambda i: hashlib.md5(f"{i}7".encode()).hexdigest())[:3])
+    assert sorted(r[0] for r in profile.sample_rows(keys, 3, 7, key="conv_id").collect()) == want
+    assert profile.sample_rows(keys, 3, 7).count() == 3 and profile.first_n(long, 10**6).count() == long.count()
+
+
+def test_encode_decode_with_hot_and_unknown_tokens(spark):
+    rows = [(i, p, t) for i in range(50) for p, t in enumerate(["the"] * 40 + ["unknown"] * 30 + [f"w{i}", f"x{i}", None])]
+    toks = spark.createDataFrame(rows, "doc_id int, pos long, token string").repartition(3)
+    words = ["the"] + [f"w{i}" for i in range(50)]
+    vocab = spark.createDataFrame(list(enumerate(words)), "token_id long, token string")
+    enc = tokens.encode(toks, vocab)
+    want = {(d, p): words.index(t) if t in words else -1 for d, p, t in rows}
+    assert {(r.doc_id, r.pos): r.token_id for r in enc.collect()} == want
+    dec = {(r.doc_id, r.pos): r.decoded for r in tokens.decode(enc, vocab).collect()}
+    assert dec == {(d, p): t if t in words else None for d, p, t in rows}
+    checked = {r.doc_id: (r.n_tokens, r.id_sum, r.n_unknown, r.roundtrip_ok) for r in tokens.roundtrip_check(toks, vocab).collect()}
+    assert checked == {i: (73, i + 1 - 32, 32, False) for i in range(50)}
 
 
 def test_nest_unnest(spark, convs):
