@@ -88,6 +88,11 @@ def marker_split(c, left: str | Sequence[str] | None = None,
     return out
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def parse_score(c) -> Column:
     """Numeric score of a scorer result text.
 
@@ -96,22 +101,21 @@ def parse_score(c) -> Column:
     """
     c = _c(c)
     s = F.when(F.instr(c, "tasks):") > 0, F.substring_index(c, "tasks):", -1)).otherwise(c)
-    tok = F.regexp_extract(strip(s), f"^([^{WHITESPACE}]*)", 1)
-    tok = F.when(tok.endswith("%"), F.left(tok, F.length(tok) - 1)).otherwise(tok)
-    return F.when(c.isNull(), F.lit(-1.0)).otherwise(_number(tok))
+    bare = lambda t: F.when(t.endswith("%"), F.left(t, F.length(t) - 1)).otherwise(t)
+    tok = F.regexp_extract(s, f"^[{WHITESPACE}]*([^{WHITESPACE}]*)", 1)
+    return F.when(c.isNull(), F.lit(-1.0)).otherwise(_let(tok, lambda t: _let(bare(t), _number)))
 
 
 def parse_margin(c) -> Column:
-    """The ``y`` of ``x +/- y``."""
-    return F.regexp_extract(_c(c), r"\+/-\s*([^\s%]+)", 1).try_cast("double")
+    """The ``y`` of ``x +/- y``; NULL unless a number as in X9."""
+    return _let(F.regexp_extract(_c(c), r"\+/-\s*([^\s%]+)", 1), _number)
 
 
 def parse_interval(c) -> tuple[Column, Column]:
-    """Bounds of ``[lo%, hi%]``."""
+    """Bounds of ``[lo%, hi%]``; NULL unless numbers as in X9."""
     pat = r"\[\s*([^,%\]\s]+)%?\s*,\s*([^,%\]\s]+)%?\s*\]"
     c = _c(c)
-    return (F.regexp_extract(c, pat, 1).try_cast("double"),
-            F.regexp_extract(c, pat, 2).try_cast("double"))
+    return (_let(F.regexp_extract(c, pat, 1), _number), _let(F.regexp_extract(c, pat, 2), _number))
 
 
 def model_name(path) -> Column:

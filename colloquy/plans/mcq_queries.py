@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from colloquy.operators import mcq
-from colloquy.plans.chat_queries import nested
+from colloquy.operators import mcq, shred
+from colloquy.plans.chat_queries import conversations, nested
 from colloquy.plans.registry import register
 from colloquy.plans.sqlbits import NL, strip
 from colloquy.session import scratch_path
@@ -38,6 +38,22 @@ def records(spark, d):
                     answers.alias("answers"))
 
 
+def shredded(spark, d):
+    """The same records as one row per value, without gathering a conversation."""
+    c = conversations(spark, d)
+    pick = lambda by, role: by(F.col("text"), F.when(F.col("role") == role, F.col("turn")))
+    one = c.groupBy("conv_id").agg(pick(F.min_by, "system").alias("title"), pick(F.min_by, "user").alias("first"), pick(F.max_by, "user").alias("last"))
+    none = F.lit(shred.NO_ARRAY).cast("long")
+    leaf = lambda path, value: F.struct(F.lit(path).alias("path"), F.array(*[none] * (path.count(".") + 1)).alias("at"),
+                                        value.alias("value"))
+    fields = F.array(leaf("document.id", F.col("conv_id").cast("string")), leaf("document.title", F.col("title")),
+                     leaf("document.start", F.concat(F.lit("conversation "), F.col("conv_id").cast("string"))),
+                     leaf("document.summary.text", F.col("first")), leaf("question.text", F.col("last")))
+    answers = c.where("role = 'assistant'").select("conv_id", F.lit("answers.text").alias("path"), F.array("turn", none).alias("at"),
+                                                   F.col("text").alias("value"))
+    return one.select("conv_id", F.inline(fields)).where("value is not null").unionByName(answers.where("value is not null"))
+
+
 def imported(spark, d):
     return mcq.to_mcq(records(spark, d), QUESTION_FORMAT, ANSWER_FORMAT, keep=["conv_id"])
 
@@ -79,7 +95,7 @@ u AS (SELECT conv_id, unnest(answers) AS a, generate_subscripts(answers, 1) AS i
 SELECT conv_id, 'multiple_correct' AS kind, (i - 1)::BIGINT AS idx, {strip('a')} AS answer, 1::BIGINT AS label
 FROM u""")
 def q_mcq_explode(spark, d):
-    e = mcq.explode_mcq(imported(spark, d), keep=["conv_id"])
+    e = shred.answer_rows(shredded(spark, d), QUESTION_FORMAT, ANSWER_FORMAT, "conv_id")
     return e.select("conv_id", "kind", "idx", "answer", "label")
 
 
@@ -96,20 +112,32 @@ def q_mcq_validate(spark, d):
 u AS (SELECT conv_id, unnest(answers) AS a, generate_subscripts(answers, 1) AS i FROM rec)
 SELECT conv_id, (i - 1)::BIGINT AS idx, a AS value FROM u""")
 def q_path_values(spark, d):
-    return mcq.path_table(records(spark, d), "answers.text", keep=["conv_id"])
+    return shred.path_rows(shredded(spark, d), "answers.text", "conv_id").select("conv_id", "idx", "value")
 
 
 @register("path_alternatives", f"""WITH {RECORDS_CTE}
 SELECT conv_id, 0::BIGINT AS idx, coalesce(title, start) AS value FROM rec""")
 def q_path_alternatives(spark, d):
-    return mcq.path_table(records(spark, d), "document.title or start", keep=["conv_id"])
+    return shred.path_rows(shredded(spark, d), "document.title or start", "conv_id").select("conv_id", "idx", "value")
 
 
 @register("template_expand", f"""WITH {RECORDS_CTE},
 u AS (SELECT conv_id, q, unnest(answers) AS a, generate_subscripts(answers, 1) AS i FROM rec)
 SELECT conv_id, (i - 1)::BIGINT AS idx, q || ' => ' || a AS expansion FROM u WHERE q IS NOT NULL""")
 def q_template_expand(spark, d):
-    return mcq.template_table(records(spark, d), PAIR_FORMAT, keep=["conv_id"])
+    return shred.template_rows(shredded(spark, d), PAIR_FORMAT, "conv_id")
+
+
+@register("shred_records", f"""WITH {RECORDS_CTE},
+v AS (SELECT conv_id, 'document.id' AS path, CAST(conv_id AS VARCHAR) AS value, 0 AS i FROM rec
+      UNION ALL SELECT conv_id, 'document.title', title, 0 FROM rec UNION ALL SELECT conv_id, 'document.start', start, 0 FROM rec
+      UNION ALL SELECT conv_id, 'document.summary.text', summary, 0 FROM rec UNION ALL SELECT conv_id, 'question.text', q, 0 FROM rec
+      UNION ALL SELECT conv_id, 'answers.text', unnest(answers), unnest(range(len(answers))) FROM rec)
+SELECT conv_id, path, i::BIGINT AS idx, value FROM v WHERE value IS NOT NULL""")
+def q_shred_records(spark, d):
+    """Nested records to shredded rows by their schema."""
+    rows = shred.shred(records(spark, d), "conv_id")
+    return rows.select("conv_id", "path", F.greatest(F.array_max("at"), F.lit(0).cast("long")).alias("idx"), "value")
 
 
 @register("mcq_bin_roundtrip", f"WITH {RECORDS_CTE} {IMPORT_SELECT.format(keep='')}")
