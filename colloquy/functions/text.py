@@ -66,6 +66,15 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _cut_at(marker: str, side: int):
+    return lambda t: F.when(F.instr(t, marker) > 0, F.substring_index(t, marker, side))
+
+
 def marker_split(c, left: str | Sequence[str] | None = None,
                  right: str | Sequence[str] | None = None,
                  first_line_only: bool = False) -> Column:
@@ -78,21 +87,14 @@ def marker_split(c, left: str | Sequence[str] | None = None,
     out = _c(c)
     lefts, rights = _as_list(left), _as_list(right)
     if lefts or rights:
-        for m in lefts:
-            out = F.when(F.instr(out, m) > 0, F.substring_index(out, m, -1))
-        for m in rights:
-            out = F.when(F.instr(out, m) > 0, F.substring_index(out, m, 1))
+        for m, side in [*((m, -1) for m in lefts), *((m, 1) for m in rights)]:
+            out = _let(out, _cut_at(m, side))
         out = strip(out)
     if first_line_only:
         out = first_line(out)
     return out
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` worked out once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def parse_score(c) -> Column:
     """Numeric score of a scorer result text.
 

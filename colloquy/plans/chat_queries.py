@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import templates as tpl
 from colloquy.functions import text as tx
-from colloquy.operators import chat, masks, profile
+from colloquy.operators import chat, masks, profile, tokens
 from colloquy.plans.registry import TABLES, register, table
 from colloquy.plans.sqlbits import (GEMMA_CTE, INSTRUCTION, NL, RESPONSE, SFT_CTE, SFT_PROMPT,
                                     SFT_RENDER, strip)
-from colloquy.sources.chat import nest_messages, row_at, slice_split
+from colloquy.session import scratch_path
+from colloquy.sources.chat import nest_messages, read_chat, row_at, save_dataset, slice_split
 
 ROLE_TAG_EOS = tpl.DEFAULT_EOS
 
@@ -95,12 +96,13 @@ def q_generation_prompt(spark, d):
 
 
 @register("remove_bos", f"""WITH {SFT_CTE}
-SELECT conv_id, {SFT_RENDER} AS text FROM sft""")
+SELECT conv_id, CASE WHEN conv_id % 3 = 2 THEN '{tpl.GEMMA_BOS}' ELSE '' END || {SFT_RENDER} AS text FROM sft""")
 def q_remove_bos(spark, d):
-    # A renderer that emits <bos> is cleaned by remove_prefix
+    """Texts of a renderer that emits <bos> for some conversations only
+    (twice for others: one stays)."""
     df = chat.render_gemma(sft_turns(spark, d), "conversations")
-    return df.select("conv_id", tx.remove_prefix(F.concat(F.lit(tpl.GEMMA_BOS), "text"),
-                                                 tpl.GEMMA_BOS).alias("text"))
+    emitted = F.concat(F.repeat(F.lit(tpl.GEMMA_BOS), (F.col("conv_id") % 3).cast("int")), "text")
+    return df.select("conv_id", tx.remove_prefix(emitted, tpl.GEMMA_BOS).alias("text"))
 
 
 @register("turn_positions", """
@@ -244,6 +246,50 @@ def q_template_success(spark, d):
     return profile.template_success_rate(chat.gemma_validity_long(conversations(spark, d)))
 
 
+@register("template_success_cut", """
+WITH c AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations WHERE (conv_id + turn) % 7 <> 0),
+s AS (SELECT conv_id, bool_or(p = 0 AND role = 'system') AS sys FROM c GROUP BY conv_id),
+v AS (SELECT conv_id, bool_and(CASE WHEN sys THEN p = 0 OR (role = 'user') = (p % 2 = 1) ELSE (role = 'user') = (p % 2 = 0) END) AS ok
+      FROM c JOIN s USING (conv_id) GROUP BY conv_id)
+SELECT count(*) FILTER (WHERE ok) AS n_ok, count(*) FILTER (WHERE NOT ok) AS n_error,
+       100.0::DOUBLE * count(*) FILTER (WHERE ok) / count(*) AS success_rate FROM v""")
+def q_template_success_cut(spark, d):
+    """A8 on conversations that lack some turns, so that roles no longer alternate."""
+    cut = conversations(spark, d).where((F.col("conv_id") + F.col("turn")) % 7 != 0)
+    return profile.template_success_rate(chat.gemma_validity_long(cut))
+
+
+@register("template_success_tags", """
+SELECT count(DISTINCT conv_id) AS n_ok, 0::BIGINT AS n_error, 100.0::DOUBLE AS success_rate FROM conversations
+WHERE (conv_id + turn) % 7 <> 0""")
+def q_template_success_tags(spark, d):
+    """A8 for the role-tag template, which takes any order of roles: the same
+    conversations, all of them rendered."""
+    cut = conversations(spark, d).where((F.col("conv_id") + F.col("turn")) % 7 != 0)
+    rendered = chat.render_role_tags(nest_messages(cut), eos=ROLE_TAG_EOS)
+    return profile.template_success_rate(rendered.withColumn("valid", F.col("text").isNotNull()))
+
+
+@register("rendered_tokens", f"""WITH {GEMMA_CTE},
+c AS (SELECT length(text)::BIGINT AS n_chars, len(regexp_extract_all(text, '{tokens.TOKEN_PATTERN}'))::BIGINT AS n_tokens FROM gemma WHERE valid)
+SELECT count(*) AS n_rows, sum(n_tokens)::BIGINT AS total_tokens, avg(n_tokens) AS avg_tokens, min(n_tokens) AS min_tokens,
+       max(n_tokens) AS max_tokens, sum(n_chars)::BIGINT AS total_chars FROM c""")
+def q_rendered_tokens(spark, d):
+    """K2: characters and tokens of every rendered conversation, summed up."""
+    c = conversations(spark, d)
+    counts = chat.gemma_token_counts_long(c, tokens.TOKEN_PATTERN).where("valid").select("conv_id", "n_tokens")
+    chars = masks.trained_shares(masks.rendered_pieces(c)).select("conv_id", F.col("total_chars").alias("n_chars"))
+    return tokens.token_count_stats(counts.join(chars, "conv_id"))
+
+
+@register("save_load", f"WITH {SFT_CTE} SELECT conv_id, input, output, system FROM sft")
+def q_save_load(spark, d):
+    """S17 + S1: the prepared columns saved as a dataset and loaded again."""
+    path = scratch_path(spark, "sft-dataset")
+    save_dataset(sft(spark, d).select("conv_id", "input", "output", "system"), path)
+    return read_chat(spark, path)
+
+
 # --------------------------------------------------------------- T1, T3, S2, S3, A1, N9
 @register("first_n", """
 SELECT conv_id, turn, role, text FROM conversations
@@ -296,6 +342,20 @@ def q_special_tokens(spark, d):
     return profile.special_token_counts(conversations(spark, d))
 
 
+MARKED_SQL = "SELECT text || " + " || ".join(
+    f"repeat('{m}', (turn % {i + 2})::BIGINT)" for i, m in enumerate(profile.SPECIAL_MARKERS)) + " AS text FROM conversations"
+
+
+@register("special_tokens_inside", f"WITH marked AS ({MARKED_SQL})" + "\nUNION ALL\n".join(
+    f"""{'' if i else ' '}SELECT '{m}' AS marker, coalesce(sum((length(text) - length(replace(text, '{m}', ''))) // {len(m)}), 0)::BIGINT AS occurrences,
+       coalesce(sum(CASE WHEN contains(text, '{m}') THEN 1 ELSE 0 END), 0)::BIGINT AS rows_with_marker FROM marked"""
+    for i, m in enumerate(profile.SPECIAL_MARKERS)))
+def q_special_tokens_inside(spark, d):
+    """N9 on texts that do hold markers, some of them several times."""
+    extra = [F.repeat(F.lit(m), (F.col("turn") % (i + 2)).cast("int")) for i, m in enumerate(profile.SPECIAL_MARKERS)]
+    return profile.special_token_counts(conversations(spark, d).select(F.concat("text", *extra).alias("text")))
+
+
 # --------------------------------------------------------------- flagship (§7.2)
 FLAGSHIP_SQL = f"""WITH {SFT_CTE},
 p AS (SELECT conv_id, string_agg(role, ' -> ' ORDER BY turn) AS pattern FROM conversations GROUP BY conv_id),

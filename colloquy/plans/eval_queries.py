@@ -216,6 +216,16 @@ mp AS (
 )"""
 
 
+@register("marker_split_right", f"""WITH {PATHS_CTE}
+SELECT p_partkey, {strip("string_split(string_split(path, '/')[-1], '.')[1]")} AS stem,
+       CASE WHEN contains(string_split(path, '/')[-1], '-00001-of-')
+            THEN {strip("string_split(string_split(string_split(path, '/')[-1], '-00001-of-')[1], '-')[1]")} END AS word FROM mp""")
+def q_marker_split_right(spark, d):
+    """X8 with right-hand markers, one and several in a row; NULL where one is missing."""
+    return model_paths(spark, d).select("p_partkey", tx.marker_split("path", left="/", right=".").alias("stem"),
+                                        tx.marker_split("path", left="/", right=["-00001-of-", "-"]).alias("word"))
+
+
 @register("model_name", f"""WITH {PATHS_CTE}
 SELECT p_partkey, path,
   regexp_replace(regexp_replace(string_split(path, '/')[-1], '\\.[^.]*$', ''), '^(.*)-00001-of-.*$', '\\1') AS model_name
@@ -279,6 +289,25 @@ def q_valid_results(spark, d):
     return evals.valid_results(results(spark, d))
 
 
+@register("valid_results_gaps", """
+SELECT event_id, value AS score, 1 + event_id % 90 AS seconds FROM events WHERE event_type <> 'error' AND event_id % 5 <> 0""")
+def q_valid_results_gaps(spark, d):
+    """P7 on a store in which some results lack the score, the time or both."""
+    ev = table(spark, d, "events")
+    store = ev.select("event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("score"),
+                      F.when(F.col("event_id") % 5 != 0, 1 + F.col("event_id") % 90).alias("seconds"))
+    return evals.valid_results(store)
+
+
+@register("elapsed", """
+SELECT user_id, datesub('second', min(ts), max(ts))::BIGINT AS seconds,
+       date_diff('microsecond', min(ts), max(ts)) / 1000000.0::DOUBLE AS exact FROM events GROUP BY user_id""")
+def q_elapsed(spark, d):
+    """M3: whole seconds from the first to the last event of a user."""
+    ends = table(spark, d, "events").groupBy("user_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    return ends.select("user_id", tx.elapsed_seconds("a", "b").cast("long").alias("seconds"), tx.elapsed_seconds_exact("a", "b").alias("exact"))
+
+
 @register("upsert_latest", f"""
 SELECT {MODEL_SQL} AS model, event_type AS task, value AS score, event_id
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")

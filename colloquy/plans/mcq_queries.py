@@ -100,10 +100,14 @@ def q_mcq_explode(spark, d):
 
 
 @register("mcq_validate", f"""WITH {RECORDS_CTE}
-SELECT count(*) AS n_records, count(*) AS n_valid, 0::BIGINT AS n_rejected FROM rec
+SELECT count(*) AS n_records, count(*) FILTER (NOT (conv_id % 5 = 0 AND len(answers) > 0)) AS n_valid,
+       count(*) FILTER (conv_id % 5 = 0 AND len(answers) > 0) AS n_rejected FROM rec
 WHERE coalesce(title, start) IS NOT NULL AND summary IS NOT NULL AND q IS NOT NULL""")
 def q_mcq_validate(spark, d):
-    v = mcq.validate_mcq(imported(spark, d))
+    """N4 on records of which some lack their last label."""
+    labels = F.col("multiple_correct.labels")
+    short = F.when(F.col("conv_id") % 5 == 0, F.slice(labels, 1, F.greatest(F.size(labels) - 1, F.lit(0)))).otherwise(labels)
+    v = mcq.validate_mcq(imported(spark, d).withColumn("multiple_correct", F.col("multiple_correct").withField("labels", short)))
     return v.agg(F.count(F.lit(1)).alias("n_records"), F.count_if("valid").alias("n_valid"),
                  F.count_if(~F.col("valid")).alias("n_rejected"))
 

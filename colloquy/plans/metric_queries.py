@@ -138,11 +138,7 @@ def q_config_roundtrip(spark, d):
     # write configs as JSON lines, read back with the D12 schema
     path = scratch_path(spark, "run-configs")
     run_configs(spark, d).write.json(path)
-    from colloquy.schemas import RUN_CONFIG
-    from pyspark.sql.types import LongType, StructField, StructType
-    schema = StructType([StructField("run", LongType())] + RUN_CONFIG.fields)
-    back = spark.read.schema(schema).json(path)
-    back = back.withColumn("alpha", F.col("lora_config.r") * F.col("lora_config.alpha_multiplier"))
+    back = msrc.read_run_configs(spark, path, multi_line=False, run="run bigint")
     flat = metrics.flatten_config(back.select("run", "lora_config", "training_config", "dataset_config"))
     return flat.select("run", "lora_r", "lora_alpha_multiplier", "lora_alpha", "training_learning_rate",
                        "dataset_dataset_split")

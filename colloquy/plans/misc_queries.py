@@ -11,6 +11,7 @@ from colloquy.plans.metric_queries import SUMMARY_SQL, rounded
 from colloquy.plans.registry import register, table
 from colloquy.session import scratch_path
 from colloquy.sources import parts, results as rsrc
+from colloquy.sources.byte_files import write_streams
 from colloquy.streaming import jobs
 
 
@@ -30,9 +31,22 @@ def q_parts_missing(spark, d):
     return parts.missing_parts(first, listing)
 
 
-@register("artifact_sizes")
+ARTIFACT_PARTS = 3
+
+
+@register("artifact_sizes", f"""
+SELECT 'set-' || CAST(doc_id % 8 AS VARCHAR) AS artifact, count(DISTINCT doc_id // 8 % {ARTIFACT_PARTS}) AS n_files,
+       sum(strlen(coalesce(text, '')) + 1)::BIGINT AS bytes FROM documents GROUP BY 1""")
 def q_artifact_sizes(spark, d):
-    return parts.artifact_sizes(spark, f"{d.rstrip('/')}/*.parquet")
+    """Documents written as eight sets of up to three part files, a zero
+    byte behind each text, and the sizes of the sets from the file listing."""
+    path = scratch_path(spark, "artifacts")
+    docs = table(spark, d, "documents")
+    part = F.format_string("set-%d-%05d-of-%05d", F.col("doc_id") % 8, (F.floor(F.col("doc_id") / 8) % ARTIFACT_PARTS + 1), F.lit(ARTIFACT_PARTS))
+    pieces = docs.select(part.alias("stream"), F.concat(F.coalesce("text", F.lit("")), F.lit("\0")).cast("binary").alias("data"))
+    write_streams(pieces.repartition("stream").sortWithinPartitions("stream"), path)
+    sizes = parts.artifact_sizes(spark, path, F.regexp_extract("path", "stream=([^/]+)", 1))
+    return sizes.select("artifact", "n_files", "bytes")
 
 
 @register("records_union", """
@@ -85,6 +99,18 @@ def q_results_roundtrip(spark, d):
     return _flat(rsrc.read_results(spark, path))
 
 
+@register("results_last_write", RESULT_STORE_SQL)
+def q_results_last_write(spark, d):
+    """N7 + S12: every event is written as a result; of a (model, task) the last one stays."""
+    path = scratch_path(spark, "results")
+    every = table(spark, d, "events").select(
+        F.concat(F.lit("gguf/"), model_col(), F.lit("-q8_0.gguf")).alias("model_path"), F.col("event_type").alias("task"),
+        F.format_string("%.4f +/- %.4f", F.col("value"), F.col("value") / 10).alias("score"), F.col("value").cast("int").alias("seconds"),
+        "ts", "event_id")
+    rsrc.write_results(every, path, last_by=F.struct("ts", "event_id"))
+    return _flat(rsrc.read_results(spark, path))
+
+
 @register("results_combined", RESULT_STORE_SQL)
 def q_results_combined(spark, d):
     path = scratch_path(spark, "results")

@@ -91,13 +91,24 @@ def q_length_filter(spark, d):
     return tokens.length_flags(counts, MAX_LEN).select("conv_id", "n_tokens", "within_limit", "kept_tokens")
 
 
-TENSORS = 13  # a tensor that some recipe model lacks is a reject
+@register("length_truncate", f"""
+SELECT doc_id, len(regexp_extract_all(text, '{PAT}'))::BIGINT AS n_tokens,
+       least(len(regexp_extract_all(text, '{PAT}')), {MAX_LEN})::BIGINT AS kept_tokens,
+       array_to_string(regexp_extract_all(text, '{PAT}')[:{MAX_LEN}], ' ') AS kept FROM documents""")
+def q_length_truncate(spark, d):
+    """K6: documents cut to the maximum sequence length."""
+    toks = table(spark, d, "documents").select("doc_id", tokens.tokenize("text").alias("tokens"))
+    cut = tokens.length_filter(toks, MAX_LEN, truncate=True)
+    return cut.select("doc_id", "n_tokens", "kept_tokens", F.array_join("tokens", " ").alias("kept"))
+
+
+TENSOR_ROWS = 40  # vectors of a tensor; one that some recipe model lacks is a reject
 
 
 def params(spark, d):
     emb = table(spark, d, "embeddings")
     return emb.select(F.col("label").cast("string").alias("model"),
-                      F.concat(F.lit("t"), (F.col("vec_id") % TENSORS).cast("string")).alias("tensor"),
+                      F.concat(F.lit("t"), F.floor(F.col("vec_id") / TENSOR_ROWS).cast("string")).alias("tensor"),
                       F.lit(0).alias("chunk"), F.col("embedding").alias("values"))
 
 
@@ -106,7 +117,7 @@ _RECIPE_SQL = " UNION ALL ".join(f"SELECT '{m}' AS model, {w}::DOUBLE AS weight"
 
 @register("merge_rejects", f"""
 WITH w AS ({_RECIPE_SQL}),
-e AS (SELECT 't' || CAST(vec_id % {TENSORS} AS VARCHAR) AS tensor, CAST(label AS VARCHAR) AS model, len(embedding) AS k FROM embeddings)
+e AS (SELECT 't' || CAST(vec_id // {TENSOR_ROWS} AS VARCHAR) AS tensor, CAST(label AS VARCHAR) AS model, len(embedding) AS k FROM embeddings)
 SELECT tensor, 0 AS chunk, count(DISTINCT model) AS n_models, min(k)::INTEGER AS min_len, max(k)::INTEGER AS max_len
 FROM e JOIN w USING (model) GROUP BY tensor
 HAVING count(DISTINCT model) <> (SELECT count(*) FROM w) OR min(k) <> max(k)""")
@@ -116,7 +127,7 @@ def q_merge_rejects(spark, d):
 
 @register("merge_linear", f"""
 WITH w AS ({_RECIPE_SQL}),
-e AS (SELECT 't' || CAST(vec_id % {TENSORS} AS VARCHAR) AS tensor, CAST(label AS VARCHAR) AS model, embedding FROM embeddings),
+e AS (SELECT 't' || CAST(vec_id // {TENSOR_ROWS} AS VARCHAR) AS tensor, CAST(label AS VARCHAR) AS model, embedding FROM embeddings),
 whole AS (SELECT tensor FROM e JOIN w USING (model) GROUP BY tensor
           HAVING count(DISTINCT model) = (SELECT count(*) FROM w) AND min(len(embedding)) = max(len(embedding))),
 u AS (SELECT tensor, model, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM e JOIN whole USING (tensor))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colloquy.schemas import METRIC_COLUMNS, METRIC_EVENT, RUN_CONFIG
 
@@ -59,7 +60,9 @@ def append_metrics(df: DataFrame, path: str, run: str | None = "run", per_run_fi
     w.csv(path)
 
 
-def read_run_configs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Nested run configuration JSON with an explicit schema, plus ``alpha``."""
-    df = spark.read.schema(RUN_CONFIG).option("multiLine", multi_line).json(path)
+def read_run_configs(spark: SparkSession, path: str, multi_line: bool = True, run: str | None = None) -> DataFrame:
+    """Nested run configuration JSON with an explicit schema, plus
+    ``alpha``; ``run``: DDL of a column that names the run, if there is one."""
+    fields = [*(T.StructType.fromDDL(run).fields if run else []), *RUN_CONFIG.fields]
+    df = spark.read.schema(T.StructType(fields)).option("multiLine", multi_line).json(path)
     return df.withColumn("alpha", F.col("lora_config.r") * F.col("lora_config.alpha_multiplier"))

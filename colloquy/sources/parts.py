@@ -88,14 +88,15 @@ def strip_part_suffix(path) -> Column:
     return F.regexp_replace(_c(path), r"-\d{5}-of-\d{5}", "")
 
 
-def artifact_sizes(spark: SparkSession, pattern: str) -> DataFrame:
-    """Byte size of each artifact = sum over its parts.
+def artifact_sizes(spark: SparkSession, pattern: str, name: Column | None = None) -> DataFrame:
+    """Byte size of each artifact = sum over its parts. ``name``: the part
+    name within ``path``, the whole path by default.
 
     ``binaryFile`` with only ``path`` and ``length`` selected lists file
     metadata and never reads file contents.
     """
-    files = spark.read.format("binaryFile").load(pattern).select("path", "length")
-    return (files.groupBy(strip_part_suffix("path").alias("artifact"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern).select("path", "length")
+    return (files.groupBy(strip_part_suffix(F.col("path") if name is None else name).alias("artifact"))
             .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes")))
 
 

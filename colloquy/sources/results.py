@@ -20,15 +20,21 @@ from colloquy.schemas import MODEL_RESULT, RESULT_DOCUMENT, TASK_RESULT
 COMBINED = "all_results.json"
 
 
-def nest_results(long: DataFrame) -> DataFrame:
+def nest_results(long: DataFrame, version=None) -> DataFrame:
     """Long -> one row per model (model_path, model_name, tasks map).
 
-    Rows without a score or a time are dropped (P7); each group is one
-    model's tasks, bounded by the task catalogue.
+    Rows without a score or a time are dropped (P7). Of several rows of a
+    (model, task) the last one stays: the one of greatest ``version`` (a
+    column), of greatest (seconds, score) when equal or not given. Each group
+    is one model's tasks, bounded by the task catalogue.
     """
     valid = long.where(F.col("score").isNotNull() & F.col("seconds").isNotNull())
     if "model_name" not in valid.columns:
         valid = valid.withColumn("model_name", model_name_col("model_path"))
+    keys = ["model_path", "model_name", "task"]
+    ver = F.lit(None) if version is None else F.col(version) if isinstance(version, str) else version
+    valid = (valid.groupBy(*keys).agg(F.max_by(F.struct("score", "seconds"), F.struct(ver.alias("v"), "seconds", "score")).alias("_r"))
+             .select(*keys, "_r.score", "_r.seconds"))
     entry = F.struct(F.col("task").alias("key"), F.struct(
         F.col("score").alias("score"), F.col("seconds").cast("int").alias("execution_time_seconds"),
         parse_score("score").alias("score_numeric")).cast(TASK_RESULT).alias("value"))
@@ -44,14 +50,14 @@ def flatten_results(models: DataFrame) -> DataFrame:
                     F.col("r.score_numeric").alias("score_numeric")))
 
 
-def write_results(long: DataFrame, path: str, combined: bool = False, version: str = "1.0") -> None:
+def write_results(long: DataFrame, path: str, combined: bool = False, version: str = "1.0", last_by=None) -> None:
     """Per-model documents (JSON lines under ``models/``) and, on request,
     the combined document with ``metadata``.
 
     The combined document is a single JSON value, so it is written by one
     task; it is meant for result stores of catalogue size.
     """
-    nested = nest_results(long)
+    nested = nest_results(long, last_by)
     dup = nested.groupBy("model_name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if dup.limit(1).count():
         raise ValueError("two model paths share one model name")

@@ -96,3 +96,25 @@ def test_path_alternatives_above_the_leaf(spark):
 
     df = spark.createDataFrame([(("A",), None), (None, ("B",))], "a struct<t:string>, b struct<t:string>")
     assert [r[0] for r in df.select(path_values(df.schema, "a or b.t")).collect()] == [["A"], ["B"]]
+
+
+def test_margins_are_numbers_as_scores_are(spark):
+    """What only Java reads as a number (``1.4f``, ``2d``) is none."""
+    texts = ["1 +/- 1.4f", "1 +/- 1.5", "3 +/- 1e2", "x [1d%, 2f%]", "x [1.5%, 2%]", "x [ 1 , .5 ]", "none", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    lo, hi = tx.parse_interval("t")
+    got = {r.i: (r.m, r.lo, r.hi) for r in df.select("i", tx.parse_margin("t").alias("m"), lo.alias("lo"), hi.alias("hi")).collect()}
+    none = (None, None, None)
+    assert got == {0: none, 1: (1.5, None, None), 2: (100.0, None, None), 3: none, 4: (None, 1.5, 2.0), 5: (None, 1.0, 0.5), 6: none, 7: none}
+
+
+def test_markers_of_both_sides(spark):
+    df = spark.createDataFrame([("a/b/ c-d.e.f",), ("no",), (None,)], "t string")
+    both = [r[0] for r in df.select(tx.marker_split("t", left=["/"], right=[".", "-"])).collect()]
+    assert both == ["c", None, None]
+    assert [r[0] for r in df.select(tx.marker_split("t", right="/")).collect()] == ["a", None, None]
+
+
+def test_score_parse_plan_reads_its_input_once(spark):
+    df = spark.createDataFrame([("x tasks): 12.5%",)], "t string").select(tx.parse_score("t").alias("s"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") <= 1 and df.first().s == 12.5
