@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from colloquy.operators.indexing import dense_index
 from colloquy.operators.skew import lookup_join
-from colloquy.session import checkpoint_root
+from colloquy.session import scratch_path
 
 # Fixed value: default token pattern (words, or single symbols).
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -118,14 +118,19 @@ def decode(ids: DataFrame, vocab: DataFrame, name: str = "decoded") -> DataFrame
     return found.unionByName(unknown.withColumn(name, F.lit(None).cast("string")))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a compressed table in the shared folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def roundtrip_check(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
     """K3 + K4: per row token count, id checksum, unknowns and whether every
     position decodes back to its token. Equal tokens of a row are counted
     first, so that they are encoded and decoded once."""
-    checkpoint_root(tokens.sparkSession)
-    counted = tokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    enc = encode(counted, vocab, weight="n").checkpoint(eager=True)
-    dec = decode(enc, vocab)
+    counted = _stored(tokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")), "token-counts")
+    dec = decode(_stored(encode(counted, vocab, weight="n"), "token-ids"), vocab)
     return dec.groupBy(key).agg(
         F.sum("n").alias("n_tokens"), F.sum(F.col("token_id") * F.col("n")).alias("id_sum"),
         F.sum(F.when(F.col("token_id") == UNKNOWN_ID, F.col("n")).otherwise(0)).alias("n_unknown"),
