@@ -1,8 +1,8 @@
 """Registered benchmark-import queries: N1-N5, P6, S7-S10.
 
-Nested source records are derived from ``conversations``: ``document``
-(id, title = first system text, start, summary.text = first user text),
-``question.text`` = last user text, ``answers`` = assistant texts.
+Nested source records are derived from ``conversations``: ``origin``
+(id, heading = first system text, label, opening.body = first user text),
+``ask.body`` = last user text, ``replies`` = assistant texts.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from colloquy.session import scratch_path
 from colloquy.sources import mcq as msrc
 from colloquy.sources.byte_files import WINDOW, read_windows, write_streams
 
-QUESTION_FORMAT = "About {document.title or start}: {document.summary.text}\\n\\nAsked: {question.text}"
-ANSWER_FORMAT = "{answers.text}"
-PAIR_FORMAT = "{question.text} => {answers.text}"
+QUESTION_FORMAT = "About {origin.heading or label}: {origin.opening.body}\\n\\nAsked: {ask.body}"
+ANSWER_FORMAT = "{replies.body}"
+PAIR_FORMAT = "{ask.body} => {replies.body}"
 
 
 def records(spark, d):
@@ -29,13 +29,13 @@ def records(spark, d):
     def pick(role, i):
         return F.try_element_at(F.filter(msgs, lambda m: m["role"] == role), F.lit(i))["content"]
 
-    doc = F.struct(F.col("conv_id").cast("string").alias("id"), pick("system", 1).alias("title"),
-                   F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("start"),
-                   F.struct(pick("user", 1).alias("text")).alias("summary"))
+    doc = F.struct(F.col("conv_id").cast("string").alias("id"), pick("system", 1).alias("heading"),
+                   F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("label"),
+                   F.struct(pick("user", 1).alias("body")).alias("opening"))
     answers = F.transform(F.filter(msgs, lambda m: m["role"] == "assistant"),
-                          lambda m: F.struct(m["content"].alias("text")))
-    return n.select("conv_id", doc.alias("document"), F.struct(pick("user", -1).alias("text")).alias("question"),
-                    answers.alias("answers"))
+                          lambda m: F.struct(m["content"].alias("body")))
+    return n.select("conv_id", doc.alias("origin"), F.struct(pick("user", -1).alias("body")).alias("ask"),
+                    answers.alias("replies"))
 
 
 def shredded(spark, d):
@@ -46,10 +46,10 @@ def shredded(spark, d):
     none = F.lit(shred.NO_ARRAY).cast("long")
     leaf = lambda path, value: F.struct(F.lit(path).alias("path"), F.array(*[none] * (path.count(".") + 1)).alias("at"),
                                         value.alias("value"))
-    fields = F.array(leaf("document.id", F.col("conv_id").cast("string")), leaf("document.title", F.col("title")),
-                     leaf("document.start", F.concat(F.lit("conversation "), F.col("conv_id").cast("string"))),
-                     leaf("document.summary.text", F.col("first")), leaf("question.text", F.col("last")))
-    answers = c.where("role = 'assistant'").select("conv_id", F.lit("answers.text").alias("path"), F.array("turn", none).alias("at"),
+    fields = F.array(leaf("origin.id", F.col("conv_id").cast("string")), leaf("origin.heading", F.col("title")),
+                     leaf("origin.label", F.concat(F.lit("conversation "), F.col("conv_id").cast("string"))),
+                     leaf("origin.opening.body", F.col("first")), leaf("ask.body", F.col("last")))
+    answers = c.where("role = 'assistant'").select("conv_id", F.lit("replies.body").alias("path"), F.array("turn", none).alias("at"),
                                                    F.col("text").alias("value"))
     return one.select("conv_id", F.inline(fields)).where("value is not null").unionByName(answers.where("value is not null"))
 
@@ -116,13 +116,13 @@ def q_mcq_validate(spark, d):
 u AS (SELECT conv_id, unnest(answers) AS a, generate_subscripts(answers, 1) AS i FROM rec)
 SELECT conv_id, (i - 1)::BIGINT AS idx, a AS value FROM u""")
 def q_path_values(spark, d):
-    return shred.path_rows(shredded(spark, d), "answers.text", "conv_id").select("conv_id", "idx", "value")
+    return shred.path_rows(shredded(spark, d), "replies.body", "conv_id").select("conv_id", "idx", "value")
 
 
 @register("path_alternatives", f"""WITH {RECORDS_CTE}
 SELECT conv_id, 0::BIGINT AS idx, coalesce(title, start) AS value FROM rec""")
 def q_path_alternatives(spark, d):
-    return shred.path_rows(shredded(spark, d), "document.title or start", "conv_id").select("conv_id", "idx", "value")
+    return shred.path_rows(shredded(spark, d), "origin.heading or label", "conv_id").select("conv_id", "idx", "value")
 
 
 @register("template_expand", f"""WITH {RECORDS_CTE},
@@ -133,10 +133,10 @@ def q_template_expand(spark, d):
 
 
 @register("shred_records", f"""WITH {RECORDS_CTE},
-v AS (SELECT conv_id, 'document.id' AS path, CAST(conv_id AS VARCHAR) AS value, 0 AS i FROM rec
-      UNION ALL SELECT conv_id, 'document.title', title, 0 FROM rec UNION ALL SELECT conv_id, 'document.start', start, 0 FROM rec
-      UNION ALL SELECT conv_id, 'document.summary.text', summary, 0 FROM rec UNION ALL SELECT conv_id, 'question.text', q, 0 FROM rec
-      UNION ALL SELECT conv_id, 'answers.text', unnest(answers), unnest(range(len(answers))) FROM rec)
+v AS (SELECT conv_id, 'origin.id' AS path, CAST(conv_id AS VARCHAR) AS value, 0 AS i FROM rec
+      UNION ALL SELECT conv_id, 'origin.heading', title, 0 FROM rec UNION ALL SELECT conv_id, 'origin.label', start, 0 FROM rec
+      UNION ALL SELECT conv_id, 'origin.opening.body', summary, 0 FROM rec UNION ALL SELECT conv_id, 'ask.body', q, 0 FROM rec
+      UNION ALL SELECT conv_id, 'replies.body', unnest(answers), unnest(range(len(answers))) FROM rec)
 SELECT conv_id, path, i::BIGINT AS idx, value FROM v WHERE value IS NOT NULL""")
 def q_shred_records(spark, d):
     """Nested records to shredded rows by their schema."""

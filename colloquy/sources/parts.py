@@ -12,19 +12,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def expand_parts_py(path: str) -> list[str]:
-    """S4 on a path parameter: all parts of ``xxx-NNNNN-of-MMMMMyyy``.
+# the first part of a set: number 0 or 1 and the number of parts, five digits each
+FIRST_PART = r"(?s)^(.*)0000([01])-of-(\d{5})(.*)$"
 
-    1-based (``00001-of-``) yields 1..M, 0-based 0..M-1; no existence check;
-    a non-numeric total or a non-part path is returned as is.
-    """
-    base = next((n for n in (1, 0) if f"{n:05d}-of-" in path), None)
-    if base is None:
-        return [path]
-    head, count, tail = re.fullmatch(rf"(?s)(.*){base:05d}-of-(.{{0,5}})(.*)", path).groups()
-    if not re.fullmatch(r"\s*[+-]?\d+\s*", count):
+
+def expand_parts_py(path: str) -> list[str]:
+    """S4 on a path parameter: all parts of the set whose first part is
+    ``path``, numbered from 1 or from 0 as it is; no existence check. Any
+    other path is returned as is."""
+    found = re.match(FIRST_PART, path)
+    if not found:
         return [path]
-    return [head + f"{base + k:05d}-of-" + count + tail for k in range(int(count))]
+    head, first, count, tail = found.groups()
+    return [f"{head}{int(first) + k:05d}-of-{count}{tail}" for k in range(int(count))]
 
 
 def zero_pad5(i) -> Column:
@@ -34,30 +34,21 @@ def zero_pad5(i) -> Column:
 
 
 def parse_part_path(path) -> Column:
-    """``STRUCT<prefix, last, suffix, lo, hi, multi>`` of a part path (parsed once)."""
+    """``STRUCT<prefix, last, suffix, lo, hi, ok, path>`` of a path: the parts
+    of its set are numbered ``lo`` to ``hi``; ``ok`` is false for a path that
+    is not the first part of a set."""
     p = _c(path)
-    one = F.instr(p, "00001-of-") > 0
-    zero = F.instr(p, "00000-of-") > 0
-    multi = (F.instr(p, "0-of-") > 0) | (F.instr(p, "1-of-") > 0)
-    rest = F.when(one, F.substring_index(p, "00001-of-", -1)).otherwise(
-        F.substring_index(p, "00000-of-", -1))      # text after the last key
-    prefix = F.left(p, F.length(p) - F.length(rest) - F.lit(9))
-
-    def grp(k):
-        return {1: prefix, 2: F.left(rest, F.lit(5)), 3: F.substr(rest, F.lit(6))}[k]
-
-    last = grp(2)
-    total = last.try_cast("int")
-    lo = F.when(one, F.lit(1)).otherwise(F.lit(0))
-    return F.struct(grp(1).alias("prefix"), last.alias("last"), grp(3).alias("suffix"), lo.alias("lo"),
-                    (total + lo - 1).alias("hi"),
-                    (multi & (one | zero) & total.isNotNull()).alias("ok"), p.alias("path"))
+    group = lambda k: F.regexp_extract(p, FIRST_PART, k)
+    lo = group(2).try_cast("int")
+    return F.struct(group(1).alias("prefix"), group(3).alias("last"), group(4).alias("suffix"), lo.alias("lo"),
+                    (group(3).try_cast("int") + lo - 1).alias("hi"), p.rlike(FIRST_PART).alias("ok"), p.alias("path"))
 
 
 def expand_parsed(pp) -> Column:
     """Part paths from a :func:`parse_part_path` struct."""
     pp = _c(pp)
-    parts = F.transform(F.sequence(pp["lo"], F.greatest(pp["hi"], pp["lo"])), lambda i: F.concat(
+    lo = F.coalesce(pp["lo"], F.lit(0))
+    parts = F.transform(F.sequence(lo, F.greatest(pp["hi"], lo)), lambda i: F.concat(
         pp["prefix"], zero_pad5(i), F.lit("-of-"), pp["last"], pp["suffix"]))
     parts = F.when(pp["hi"] >= pp["lo"], parts).otherwise(F.array().cast("array<string>"))
     return F.when(pp["ok"], parts).otherwise(F.array(pp["path"]))
