@@ -1,27 +1,33 @@
 """Language-model scoring by a probabilistic suffix tree over words (operator 7).
 
 Symbols are lower-cased (A-Z) words plus one end per text. A state is a
-context of 0 to 2 words; a text is scored by the longest state that is a
-suffix of what precedes each symbol.
+context of 0 to ``MAX_DEPTH`` words, an edge a state with its next symbol; a
+text is scored by the longest state that is a suffix of what precedes each
+symbol.
 
 1. Texts are written once as blocks of about ``BLOCK_TOKENS`` tokens: a local
-   vocabulary with training counts, and the tokens as local ids.
-2. The local vocabularies are exploded and summed to the counts of all words;
-   words seen ``MIN_COUNT`` times get an id. Counts and ids are joined to the
-   blocks' vocabularies and gathered per block.
-3. Pairs and triples of such words are counted in one pass over the blocks and
-   summed by Spark; those seen ``MIN_COUNT`` times stay, whatever the size of
-   the corpus. Words, pairs and triples are tables and never reach the driver.
-4. A context is retained if its next-symbol distribution diverges from that
-   of its parent: Kullback-Leibler divergence of ``MIN_DIVERGENCE`` nats and
-   count times divergence of ``MIN_GAIN``. Suffixes of a retained context
-   are retained.
-5. Smoothing: absolute discounting. What a state takes from its own edges
+   vocabulary with training counts, and the tokens as local ids. The local
+   vocabularies are summed to the counts of all words; words seen
+   ``MIN_COUNT`` times get an id. Every block keeps, per token, the state
+   before it and the edge it is, at the depth reached so far.
+2. A level lengthens retained states by one word. Each block names its distinct
+   (state, word before it) and, where the token is an edge, (edge, word before
+   the state). They are shuffled once, by gram: training counts are summed and
+   grams seen ``MIN_COUNT`` times stay, with the blocks that use them. A gram is
+   only named if its shorter parts were seen that often, which loses none. A
+   block names a gram once, so no gram holds more than one row a block.
+3. A longer context is retained if its next-symbol distribution diverges from
+   that of its parent: Kullback-Leibler divergence of ``MIN_DIVERGENCE`` nats
+   and count times divergence of ``MIN_GAIN``. Only retained contexts are
+   lengthened; levels end when none is left, or at ``MAX_DEPTH``.
+4. Smoothing: absolute discounting. What a state takes from its own edges
    goes to all other symbols in proportion to the parent state. The root
    gives words (c - d) / N and the unknown word d * V / N.
-6. Each block asks for the states and edges it uses; those in the tree are
-   gathered per block (at most its distinct words, pairs and triples), and the
-   blocks are scored.
+5. What a block's grams became returns to it: the new states and edges of its
+   tokens, and what they change in the scores of its texts.
+
+States and edges are tables and never reach the driver; tables of a level are
+removed after their last reader.
 
 Defined results: a null, empty or blank text is its end alone; without
 training texts every probability is 1 (score 0); a null doc_id hashes like
@@ -36,15 +42,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm import common
-from colloquy.llm.common import crc32_bucket
+from colloquy.llm.common import crc32_bucket, drop_stored, stored
+from colloquy.operators.skew import lookup_join
 
 BLOCK_TOKENS = 1_000_000
-MIN_SHARE, MIN_COUNT = 0.0, 3  # no share of the tokens is asked for: the tree grows with the corpus
+MIN_COUNT = 3
 MIN_DIVERGENCE, MIN_GAIN = 0.005, 10.0
+MAX_DEPTH = 6
 DISCOUNT = 0.75
 END = b""  # a word is never empty
 ROWS_AT_ONCE = 100_000
@@ -52,17 +59,8 @@ _CODEC = pa.Codec("zstd")
 
 _BLOCK_SCHEMA = ("block long, words array<binary>, counts array<long>, doc_ids array<long>, "
                  "held array<boolean>, sizes array<long>, tokens binary")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``common.stored``, whose write drops its shuffle files when it ends."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = conf.get(key, "false")
-    conf.set(key, "true")
-    try:
-        return common.stored(df, name)
-    finally:
-        conf.set(key, old)
+_BODY_SCHEMA = ("block long, doc_ids array<long>, held array<boolean>, sizes array<long>, known array<long>, base array<double>, "
+                "score array<double>, gids array<long>, tokens binary, state binary, edge binary")
 
 
 class _Local(dict):
@@ -101,6 +99,10 @@ def sum_more(open_, k: int) -> int:
     return local.tokens
 
 
+def _packed(values: np.ndarray) -> pa.Array:
+    return pa.array([_CODEC.compress(values.tobytes(), asbytes=True)], pa.large_binary()).cast(pa.binary())
+
+
 def _block(part: int, n: int, open_) -> pa.RecordBatch:
     docs, helds, sizes, tokens, local = open_
     ids = np.concatenate(tokens)
@@ -109,227 +111,213 @@ def _block(part: int, n: int, open_) -> pa.RecordBatch:
     one = lambda v, k: pa.array([v], pa.list_(k))
     return pa.RecordBatch.from_arrays(
         [pa.array([part * (1 << 32) + n], pa.int64()), one(list(local), pa.binary()), one(counts, pa.int64()), one(docs, pa.int64()),
-         one(helds, pa.bool_()), one(sizes, pa.int64()), pa.array([_CODEC.compress(ids.tobytes(), asbytes=True)], pa.binary())],
+         one(helds, pa.bool_()), one(sizes, pa.int64()), _packed(ids)],
         names=["block", "words", "counts", "doc_ids", "held", "sizes", "tokens"])
 
 
+def _unpacked(value: pa.Scalar, kind, n: int) -> np.ndarray:
+    return np.frombuffer(_CODEC.decompress(value.as_py(), np.dtype(kind).itemsize * n, asbytes=True), kind)
+
+
 @dataclass
-class _Block:
-    """One block as arrays; ``first``: where each text begins."""
+class _Body:
+    """One block as arrays. ``gids``: global ids of its words, -1 without one.
+    Per token: ``state`` before it, ``edge`` that it is, both of the depth
+    reached and -1 where there is none."""
 
-    tokens: np.ndarray
+    row: dict
     sizes: np.ndarray
     held: np.ndarray
+    gids: np.ndarray
+    tokens: np.ndarray
+    state: np.ndarray
+    edge: np.ndarray
 
     @classmethod
-    def read(cls, batch: pa.RecordBatch, i: int) -> _Block:
-        get = lambda c: batch.column(c)[i].values.to_numpy(zero_copy_only=False)
-        sizes = get("sizes")
-        tokens = _CODEC.decompress(batch.column("tokens")[i].as_py(), 4 * int(sizes.sum()), asbytes=True)
-        return cls(np.frombuffer(tokens, np.uint32), sizes, get("held").astype(bool))
-
-    def before(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols one and two places back in the same text, -1 if none."""
-        first = np.cumsum(self.sizes) - self.sizes
-        one = np.r_[np.int64(-1), symbols[:-1]]
-        one[first] = -1
-        two = np.r_[np.int64(-1), one[:-1]]
-        two[first] = -1
-        two[one < 0] = -1
-        return one, two
-
-
-def _known(batch: pa.RecordBatch, i: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(training counts, global ids or -1) of a block's local ids."""
-    c, gid = np.zeros(width, np.int64), np.full(width, -1, np.int64)
-    known = batch.column("known")[i]
-    if known.is_valid:
-        rows = known.values
-        at = rows.field("id").to_numpy(zero_copy_only=False)
-        c[at] = rows.field("c").to_numpy(zero_copy_only=False)
-        gid[at] = rows.field("gid").to_numpy(zero_copy_only=False)
-    return c, gid
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Position of each wanted key in sorted ``keys``, -1 where absent."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One key of two ids within a block."""
-    return (a.astype(np.int64) << np.int64(32)) | b
+    def read(cls, batch: pa.RecordBatch, i: int = 0) -> _Body:
+        row = {c: batch.column(c)[i] for c in batch.schema.names}
+        get = lambda c: row[c].values.to_numpy(zero_copy_only=False)
+        n = int(get("sizes").sum())
+        return cls(row, get("sizes"), get("held").astype(bool), get("gids"), _unpacked(row["tokens"], np.uint32, n),
+                   _unpacked(row["state"], np.int64, n), _unpacked(row["edge"], np.int64, n))
+
+    @property
+    def first(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def longer(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, local ids of the word before the state) where the state
+        of ``depth`` words can be lengthened."""
+        place = np.arange(len(self.tokens)) - np.repeat(self.first, self.sizes)
+        at = np.flatnonzero((self.state >= 0) & (place > depth))
+        # the longer context is the gram that ends one token earlier: an edge, if its state was looked at
+        rare = (self.state[at - 1] >= 0) & (self.edge[at - 1] < 0)
+        x = self.tokens[at - depth - 1].astype(np.int64)
+        keep = ~rare & (self.gids[x] >= 0)
+        return at[keep], x[keep]
+
+
+def _keys(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct global ids, and (position among them, word) as one key a row."""
+    distinct, at = np.unique(ids, return_inverse=True)
+    return distinct, (at.astype(np.int64) << np.int64(32)) | x
 
 
 _LOW = np.int64((1 << 32) - 1)
 
 
-def _grams(g: np.ndarray, one: np.ndarray, two: np.ndarray, use: np.ndarray):
-    """Distinct pairs (as keys) and triples (as keys of pair position and
-    symbol) of block ids where ``use`` holds, each with counts."""
-    at = np.flatnonzero(use & (one >= 0) & (g >= 0))
-    pairs, n = np.unique(_pair(one[at], g[at]), return_counts=True)
-    at = at[two[at] >= 0]
-    lefts, left = np.unique(_pair(two[at], one[at]), return_inverse=True)
-    triples, m = np.unique(_pair(left, g[at]), return_counts=True)
-    return pairs, n, lefts, triples, m
-
-
 def _rows(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for s in range(0, len(next(iter(columns.values()))), ROWS_AT_ONCE):
         part = [pa.array(v[s:s + ROWS_AT_ONCE], pa.int64()) for v in columns.values()]
         yield pa.RecordBatch.from_arrays(part, names=list(columns))
 
 
-def _uses(counting: bool):
-    """Per block the distinct grams (x, y, z) of words with an id: in training
-    texts with their counts, or in all texts with the block. Places that a
-    shorter gram does not have are -1."""
+def _grams(depth: int):
+    """Per block its distinct grams: ``a`` is an edge, or -1 - state for the
+    context itself, ``x`` the word before, ``n`` the training count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block = _Block.read(batch, i)
-                _, gid = _known(batch, i, int(block.tokens.max()) + 1)
-                g = np.where(gid >= 0, np.arange(len(gid)), -1)[block.tokens]
-                one, two = block.before(g)
-                use = np.repeat(~block.held, block.sizes) if counting else np.ones(len(g), bool)
-                pairs, n, lefts, triples, m = _grams(g, one, two, use)
-                left = lefts[triples >> np.int64(32)] if len(triples) else triples
-                xyz = [np.r_[np.full(len(pairs), -1), gid[left >> np.int64(32)]],
-                       np.r_[gid[pairs >> np.int64(32)], gid[left & _LOW]],
-                       np.r_[gid[pairs & _LOW], gid[triples & _LOW]]]
-                if counting:
-                    yield from _rows(dict(zip("xyz", xyz), n=np.r_[n, m]))
-                else:
-                    words = np.unique(one[one >= 0])
-                    none = np.full(len(words), -1)
-                    xyz = [np.r_[p, v] for p, v in zip((none, none, gid[words]), xyz)]
-                    yield from _rows({"block": np.full(len(xyz[0]), batch.column("block")[i].as_py()), **dict(zip("xyz", xyz))})
+                body = _Body.read(batch, i)
+                train = np.repeat(~body.held, body.sizes)
+                at, x = body.longer(depth)
+                live = body.edge[at] >= 0
+                for ids, words, t in ((-1 - body.state[at], x, train[at]), (body.edge[at[live]], x[live], train[at[live]])):
+                    distinct, key = _keys(ids, words)
+                    key, which = np.unique(key, return_inverse=True)
+                    n = np.bincount(which[t], minlength=len(key))
+                    yield from _rows({"a": distinct[key >> np.int64(32)], "x": body.gids[key & _LOW],
+                                      "block": np.full(len(key), batch.column("block")[i].as_py()), "n": n})
     return run
 
 
-class Tree:
-    """The states and edges that one block uses, by block ids: sorted edge keys
-    with log10 probabilities (NaN: the context is not retained), and per state
-    the log10 factor on its parent for every other symbol (NaN: not retained)."""
-
-    def __init__(self, edges: pa.Table, gid: np.ndarray):
-        order = np.argsort(gid, kind="stable")
-        gids = gid[order]
-        get = lambda c: edges.column(c).to_numpy()
-        x, y, z, p, f = (get(c) for c in "xyzpf")
-        local = lambda v: order[np.searchsorted(gids, v)]
-        self.factor1 = np.full(len(gid), np.nan)
-        one = y < 0
-        self.factor1[local(z[one])] = f[one]
-        two = (x < 0) & ~one
-        self.pairs, (self.edge1, self.factor2) = _sorted(_pair(local(y[two]), local(z[two])), p[two], f[two])
-        three = x >= 0
-        state = _find(self.pairs, _pair(local(x[three]), local(y[three])))
-        self.triples, (self.edge2,) = _sorted(_pair(state, local(z[three])), p[three])
-
-    def log_p(self, g: np.ndarray, one: np.ndarray, two: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """log10 probability of symbols by the longest suffix state; g: block
-        ids or -1, one / two: the ids before, root: log10 of the root."""
-        out = root.copy()
-        at = np.flatnonzero(one >= 0)
-        factor = self.factor1[one[at]]
-        at, factor = at[~np.isnan(factor)], factor[~np.isnan(factor)]
-        out[at] = _step(self.pairs, self.edge1, one[at], g[at], out[at] + factor)
-        at = np.flatnonzero(two >= 0)
-        state = _find(self.pairs, _pair(two[at], one[at]))
-        at, state = at[state >= 0], state[state >= 0]
-        factor = self.factor2[state]
-        kept = ~np.isnan(factor)
-        at, state, factor = at[kept], state[kept], factor[kept]
-        out[at] = _step(self.triples, self.edge2, state, g[at], out[at] + factor)
-        return out
-
-
-def _sorted(keys: np.ndarray, *values: np.ndarray):
-    order = np.argsort(keys)
-    return keys[order], [v[order] for v in values]
-
-
-def _step(keys: np.ndarray, log_p: np.ndarray, state: np.ndarray, g: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """What the state's own edge gives, else ``other``."""
-    edge = np.where(g >= 0, _find(keys, _pair(state, np.maximum(g, 0))), -1)
-    return np.where(edge >= 0, log_p[edge], other) if len(keys) else other
-
-
-def _states(edges: DataFrame, state: list[str]) -> DataFrame:
-    """(state, factor, kept) of edges (state, n, ctx_n, parent_mle, parent_p, p)."""
-    mle = F.col("n") / F.col("ctx_n")
-    sums = edges.groupBy(*state).agg(
-        F.first("ctx_n").alias("m"), F.sum("p").alias("own"), F.sum("parent_p").alias("taken"), F.sum(mle).alias("mle"),
-        F.sum("parent_mle").alias("parent"), F.sum(mle * F.log(mle / F.greatest("parent_mle", F.lit(1e-300)))).alias("kl"))
-    tiny, rest, rest_parent = F.lit(1e-12), 1 - F.col("mle"), 1 - F.col("parent")
-    kl = F.col("kl") + F.when(rest > tiny, rest * F.log(F.greatest(rest, tiny) / F.greatest(rest_parent, tiny))).otherwise(0.0)
-    factor = (1 - F.col("own")) / F.greatest(1 - F.col("taken"), F.lit(1e-9))
-    return sums.select(*state, factor.alias("factor"), ((kl >= MIN_DIVERGENCE) & (kl * F.col("m") >= MIN_GAIN)).alias("kept"))
-
-
-def _tree(words: DataFrame, grams: DataFrame, total: int, discount: float) -> DataFrame:
-    """The retained states and their edges as grams (x, y, z) with ``p``, the
-    log10 probability of z after a retained context, and ``f``, the log10
-    factor of the gram as a retained context; -1 and null where there is none.
-    words: (gid, c); grams: (x, y, z, n)."""
-    root = F.greatest(F.col("c_z") - discount, F.lit(1e-12)) / max(total, 1)
-    one = (grams.where("x < 0").select("y", "z", "n")
-           .join(words.select(F.col("gid").alias("y"), F.col("c").alias("ctx_n")), "y")
-           .join(words.select(F.col("gid").alias("z"), F.col("c").alias("c_z")), "z")
-           .select("y", "z", "n", "ctx_n", (F.col("c_z") / max(total, 1)).alias("parent_mle"), root.alias("parent_p"),
-                   ((F.col("n") - DISCOUNT) / F.col("ctx_n")).alias("p")))
-    one = stored(one, "tree-pairs")
-    two = (grams.where("x >= 0")
-           .join(one.select(F.col("y").alias("x"), F.col("z").alias("y"), F.col("n").alias("ctx_n")), ["x", "y"])
-           .join(one.select("y", "z", (F.col("n") / F.col("ctx_n")).alias("parent_mle"), F.col("p").alias("parent_p")), ["y", "z"])
-           .withColumn("p", (F.col("n") - DISCOUNT) / F.col("ctx_n")))
-    state1 = _states(one, ["y"])
-    state2 = stored(_states(two, ["x", "y"]).where("kept"), "tree-states")
-    kept1 = stored(state1.join(state2.select("y").distinct().withColumn("above", F.lit(True)), "y", "left")
-                   .where("kept or above").select("y", "factor"), "tree-words-kept")
-    none, null = F.lit(-1).cast("long"), F.lit(None).cast("double")
-    word_rows = kept1.select(none.alias("x"), none.alias("y"), F.col("y").alias("z"), null.alias("p"), F.log10("factor").alias("f"))
-    pair_rows = (one.select("y", "z", "p").join(kept1.select("y", F.lit(True).alias("kept")), "y", "left")
-                 .join(state2.select(F.col("x").alias("y"), F.col("y").alias("z"), "factor"), ["y", "z"], "left")
-                 .where("kept or factor is not null")
-                 .select(none.alias("x"), "y", "z", F.when(F.col("kept"), F.log10("p")).alias("p"), F.log10("factor").alias("f")))
-    triple_rows = (grams.where("x >= 0").join(state2.select("x", "y"), ["x", "y"])
-                   .join(one.select(F.col("y").alias("x"), F.col("z").alias("y"), F.col("n").alias("ctx_n")), ["x", "y"])
-                   .select("x", "y", "z", F.log10((F.col("n") - DISCOUNT) / F.col("ctx_n")).alias("p"), null.alias("f")))
-    return word_rows.unionAll(pair_rows).unionAll(triple_rows)
+def _extended(depth: int):
+    """A block after a level: states, edges and scores from the rows (a, x,
+    id, v) of its grams that stayed; v: log10 of what they change."""
+    def run(bodies: pa.Table, used: pa.Table) -> pa.Table:
+        body = _Body.read(bodies.combine_chunks().to_batches()[0])
+        a, x, new, v = (used.column(c).to_numpy() for c in ("a", "x", "id", "v"))
+        order = np.argsort(body.gids, kind="stable")
+        x = order[np.searchsorted(body.gids[order], x)]
+        at, before = body.longer(depth)
+        live = body.edge[at] >= 0
+        n = len(body.tokens)
+        state, edge, change = np.full(n, -1, np.int64), np.full(n, -1, np.int64), np.zeros(n)
+        for ids, places, words, out, mine in ((-1 - body.state[at], at, before, state, a < 0), (body.edge[at[live]], at[live], before[live], edge, a >= 0)):
+            distinct, wanted = _keys(ids, words)
+            keys = (np.searchsorted(distinct, a[mine]).astype(np.int64) << np.int64(32)) | x[mine]
+            by = np.argsort(keys)
+            hit = _find(keys[by], wanted)
+            there = hit >= 0
+            row = by[hit[there]]
+            out[places[there]] = new[mine][row]
+            change[places[there]] = v[mine][row]  # an edge, looked up second, replaces the factor of its state
+        score = body.row["score"].values.to_numpy(zero_copy_only=False) + np.add.reduceat(change, body.first)
+        return _body_table({**body.row, "score": score, "state": state, "edge": edge})
+    return run
 
 
-_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Position of each wanted key in sorted ``keys``, -1 where absent."""
+    if not len(keys):
+        return np.full(len(wanted), -1, np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
 
-def _scored(total: int, vocabulary: int, discount: float):
-    def run(edges: pa.Table, bodies: pa.Table) -> pa.Table:
-        batch = bodies.combine_chunks().to_batches()[0]
-        block = _Block.read(batch, 0)
-        c, gid = _known(batch, 0, int(block.tokens.max()) + 1)
+def _body_table(row: dict) -> pa.Table:
+    kinds = {"block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int64()),
+             "known": pa.list_(pa.int64()), "base": pa.list_(pa.float64()), "score": pa.list_(pa.float64()), "gids": pa.list_(pa.int64()),
+             "tokens": pa.binary(), "state": pa.binary(), "edge": pa.binary()}
+
+    def column(name, kind):
+        value = row[name]
+        if isinstance(value, pa.Scalar):
+            return pa.array([value.as_py()], kind) if not pa.types.is_list(kind) else pa.ListArray.from_arrays([0, len(value.values)], value.values)
+        if pa.types.is_list(kind):
+            return pa.ListArray.from_arrays([0, len(value)], pa.array(value, kind.value_type))
+        return _packed(value)
+    return pa.Table.from_arrays([column(c, k) for c, k in kinds.items()], names=list(kinds))
+
+
+def _named(total: int, vocabulary: int, discount: float):
+    """A block at depth 0, from the counts and ids of its words: every token
+    is after the root (state 0) and, if its word has an id, that edge of it."""
+    def run(blocks: pa.Table, named: pa.Table) -> pa.Table:
+        row = {c: blocks.combine_chunks().column(c)[0] for c in blocks.column_names}
+        sizes = row["sizes"].values.to_numpy(zero_copy_only=False)
+        tokens = _unpacked(row["tokens"], np.uint32, int(sizes.sum()))
+        width = int(tokens.max()) + 1
+        c, gids = np.zeros(width, np.int64), np.full(width, -1, np.int64)
+        at = named.column("id").to_numpy()
+        c[at], gids[at] = named.column("c").to_numpy(), named.column("gid").to_numpy()
         base = np.log10((c + 1) / (total + vocabulary + 1))
-        if total:
-            root = np.log10(np.where(c > 0, c - discount, discount * vocabulary) / total)
-        else:
-            root = np.zeros(len(c))
-        g = np.where(gid >= 0, np.arange(len(gid)), -1)[block.tokens]
-        one, two = block.before(g)
-        first = np.cumsum(block.sizes) - block.sizes
-        sums = [np.add.reduceat(x, first) for x in (
-            (c > 0)[block.tokens].astype(np.int64), base[block.tokens], Tree(edges, gid).log_p(g, one, two, root[block.tokens]))]
-        return pa.Table.from_arrays(
-            [batch.column("doc_ids")[0].values, pa.array(block.held), pa.array(block.sizes, pa.int64()), pa.array(sums[0]),
-             pa.array(np.full(len(first), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        root = np.log10(np.where(c > 0, c - discount, discount * vocabulary) / total) if total else np.zeros(width)
+        first = np.cumsum(sizes) - sizes
+        sums = [np.add.reduceat(v[tokens], first) for v in ((c > 0).astype(np.int64), base, root)]
+        return _body_table({**row, **dict(zip(("known", "base", "score"), sums)), "gids": gids,
+                            "state": np.zeros(len(tokens), np.int64), "edge": gids[tokens]})
+    return run
+
+
+def _level(body: DataFrame, edges: DataFrame, depth: int) -> tuple[DataFrame, DataFrame] | None:
+    """The blocks and edges one word deeper; None if no context is retained.
+    edges: (id, n, q, p, node): edge, count, share and probability in its
+    state, and that state."""
+    gram = Window.partitionBy("a", "x")
+    uses = stored(body.mapInArrow(_grams(depth), "a long, x long, block long, n long")
+                  .select("a", "x", "block", F.sum("n").over(gram).alias("n"), (F.col("block") == F.min("block").over(gram)).alias("lead"))
+                  .where(F.col("n") >= MIN_COUNT), "tree-uses")
+    parents = edges.select(F.col("id").alias("a"), "node", "q", "p", F.col("n").alias("weight"))
+    longer = stored(lookup_join(uses.where("lead and a >= 0").select("a", "x", "n"), parents, ["a"], "weight", F.col("x")), "tree-longer")
+    states = stored(_states(uses.where("lead and a < 0").select((-1 - F.col("a")).alias("node"), "x", F.col("n").alias("m")), longer)
+                    .withColumn("id", F.monotonically_increasing_id()), "tree-states")
+    if states.isEmpty():
+        drop_stored(uses, longer, states)
+        return None
+    kept = states.select("node", "x", F.col("id").alias("state"), "m", F.col("m").alias("weight"))
+    p = (F.col("n") - DISCOUNT) / F.col("m")
+    deeper = stored(lookup_join(longer, kept, ["node", "x"], "weight", F.col("a")).where("state is not null")
+                    .select(F.monotonically_increasing_id().alias("id"), "n", (F.col("n") / F.col("m")).alias("q"), p.alias("p"),
+                            F.col("state").alias("node"), "a", "x", F.log10(p / F.col("p")).alias("v")), "tree-edges")
+    found = deeper.select("a", "x", "id", "v").unionAll(
+        states.select((-1 - F.col("node")).alias("a"), "x", "id", F.log10("factor").alias("v")))
+    used = uses.select("block", "a", "x").join(found, ["a", "x"]).select("block", "a", "x", "id", "v")
+    out = stored(body.groupBy("block").cogroup(used.groupBy("block")).applyInArrow(_extended(depth), _BODY_SCHEMA), "tree-body")
+    drop_stored(uses, longer, states)
+    return out, deeper
+
+
+def _states(contexts: DataFrame, longer: DataFrame) -> DataFrame:
+    """(node, x, m, factor) of the contexts that are retained: x before node.
+    contexts: (node, x, m); longer: their edges (node, x, n, q, p) with share
+    and probability in the parent state."""
+    n, m = F.col("n"), F.col("m")
+    sums = longer.groupBy("node", "x").agg(
+        F.count(F.lit(1)).alias("edges"), F.sum("n").alias("own"), F.sum(n * F.log(n / F.col("q"))).alias("cross"),
+        F.sum("q").alias("q"), F.sum("p").alias("p"))
+    tiny, rest, rest_parent = F.lit(1e-12), 1 - F.col("own") / m, 1 - F.col("q")
+    kl = (F.col("cross") - F.col("own") * F.log(m.cast("double"))) / m
+    kl = kl + F.when(rest > tiny, rest * F.log(rest / F.greatest(rest_parent, tiny))).otherwise(0.0)
+    factor = (1 - (F.col("own") - DISCOUNT * F.col("edges")) / m) / F.greatest(1 - F.col("p"), F.lit(1e-9))
+    return (contexts.join(sums, ["node", "x"]).where((kl >= MIN_DIVERGENCE) & (kl * m >= MIN_GAIN))
+            .select("node", "x", "m", factor.alias("factor")))
+
+
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _results(total: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                doc, held, sizes, known, base, score = (batch.column(c)[i].values for c in ("doc_ids", "held", "sizes", "known", "base", "score"))
+                yield pa.RecordBatch.from_arrays([doc, held, sizes, known, pa.array(np.full(len(doc), total, np.int64)), base, score],
+                                                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
-def score_texts(docs: DataFrame, held_out) -> DataFrame:
+def score_texts(docs: DataFrame, held_out, max_depth: int | None = None) -> DataFrame:
     """Scores of all texts under the tree learned from those not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held"))
     blocks = stored(rows.mapInArrow(_to_blocks, _BLOCK_SCHEMA), "tree-blocks")
@@ -342,17 +330,21 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
         F.sum("c"), F.count(F.lit(1)), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first())
     discount = min(max(n1 / (n1 + 2 * n2), 0.1), 0.9) if n1 else 0.5
 
-    vocabulary_rows = blocks.select("block", F.posexplode("words").alias("id", "word"))
-    known = (vocabulary_rows.join(counts, "word").groupBy("block")
-             .agg(F.collect_list(F.struct("id", "c", "gid")).alias("known")))  # bounded by the block's vocabulary
-    body = stored(blocks.select("block", "doc_ids", "held", "sizes", "tokens").join(known, "block", "left"), "tree-named")
-    grams = stored(body.mapInArrow(_uses(True), "x long, y long, z long, n long")
-                   .groupBy("x", "y", "z").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT), "tree-grams")
-    tree = stored(_tree(counts.where("gid >= 0").select("gid", "c"), grams, total, discount), "tree")
-    used = stored(body.mapInArrow(_uses(False), "block long, x long, y long, z long").join(tree, ["x", "y", "z"])
-                  .select("block", "x", "y", "z", "p", "f"), "tree-used")
-    return (used.groupBy("block").cogroup(body.groupBy("block"))
-            .applyInArrow(_scored(total, vocabulary, discount), _SCORES))
+    named = blocks.select("block", F.posexplode("words").alias("id", "word")).join(counts, "word").select(F.col("block").alias("of"), "id", "c", "gid")
+    body = stored(blocks.select("block", "doc_ids", "held", "sizes", "tokens").groupBy("block").cogroup(named.groupBy("of"))
+                  .applyInArrow(_named(total, vocabulary, discount), _BODY_SCHEMA), "tree-body")
+    share = F.col("c") / max(total, 1)
+    edges = stored(counts.where("gid >= 0").select(F.col("gid").alias("id"), F.col("c").alias("n"), share.alias("q"),
+                                                   ((F.col("c") - discount) / max(total, 1)).alias("p"), F.lit(0).cast("long").alias("node")), "tree-edges")
+    drop_stored(blocks, counts)
+    for depth in range(MAX_DEPTH if max_depth is None else max_depth):
+        deeper = _level(body, edges, depth)
+        if deeper is None:
+            break
+        drop_stored(body, edges)
+        body, edges = deeper
+    drop_stored(edges)
+    return body.mapInArrow(_results(total), _SCORES)
 
 
 def op7_query(docs: DataFrame) -> DataFrame:

@@ -275,58 +275,68 @@ def test_quality_classifier(spark):
 
 # ------------------------------------------------------------------ 7
 def brute_tree(texts, held):
-    """The same suffix tree with dictionaries."""
+    """The same suffix tree with dictionaries: (results, retained contexts)."""
     seqs = [[*words(t), b""] for t in texts]
     train = [s for s, h in zip(seqs, held) if not h]
     c = Counter(w for s in train for w in s)
     n, v = sum(c.values()), len(c)
     n1, n2 = (sum(x == k for x in c.values()) for k in (1, 2))
     d = min(max(n1 / (n1 + 2 * n2), 0.1), 0.9) if n1 else 0.5
-    least = max(suffix_tree.MIN_COUNT, math.ceil(n * suffix_tree.MIN_SHARE))
-    pairs = Counter((a, b) for s in train for a, b in zip(s, s[1:]) if c[a] >= least and c[b] >= least)
-    pairs = {k: x for k, x in pairs.items() if x >= least}
-    triples = Counter(t for s in train for t in zip(s, s[1:], s[2:]) if t[:2] in pairs and t[1:] in pairs)
-    triples = {k: x for k, x in triples.items() if x >= least}
+    least = suffix_tree.MIN_COUNT
     root = lambda w: (c[w] - d) / n if c[w] else d * v / n
-
-    def states(edges, count, parent_p, parent_mle):
-        by = defaultdict(dict)
-        for k, x in edges.items():
-            by[k[:-1]][k[-1]] = x
-        out = {}
-        for ctx, nxt in by.items():
-            m = count(ctx)
-            p = {w: (x - suffix_tree.DISCOUNT) / m for w, x in nxt.items()}
-            factor = (1 - sum(p.values())) / max(1 - sum(parent_p(ctx, w) for w in nxt), 1e-9)
-            kl = sum(x / m * math.log(x / m / parent_mle(ctx, w)) for w, x in nxt.items())
-            rest, rest_q = 1 - sum(nxt.values()) / m, 1 - sum(parent_mle(ctx, w) for w in nxt)
+    # context -> ({symbol: (count, probability)}, count of the context, factor)
+    tree = {(): ({w: (x, root(w)) for w, x in c.items() if x >= least}, n, None)}
+    level = [()]
+    for depth in range(1, suffix_tree.MAX_DEPTH + 1):
+        count, nxt = Counter(), defaultdict(Counter)
+        for s in train:
+            for i in range(depth, len(s)):
+                ctx = tuple(s[i - depth:i])
+                if ctx[1:] in level:
+                    count[ctx] += 1
+                    nxt[ctx][s[i]] += 1
+        found = []
+        for ctx, m in count.items():
+            parent, parent_m, _ = tree[ctx[1:]]
+            own = {w: x for w, x in nxt[ctx].items() if x >= least}
+            if c[ctx[0]] < least or not own:
+                continue
+            q = {w: parent[w][0] / parent_m for w in own}
+            kl = sum(x / m * math.log(x / m / q[w]) for w, x in own.items())
+            rest, rest_q = 1 - sum(own.values()) / m, 1 - sum(q.values())
             kl += rest * math.log(rest / max(rest_q, 1e-12)) if rest > 1e-12 else 0
-            out[ctx] = (p, factor, kl >= suffix_tree.MIN_DIVERGENCE and kl * m >= suffix_tree.MIN_GAIN)
-        return out
-    one = states(pairs, lambda x: c[x[0]], lambda x, w: root(w), lambda x, w: c[w] / n)
-    two = states(triples, lambda x: pairs[x], lambda x, w: one[x[1:]][0][w], lambda x, w: pairs[(x[1], w)] / c[x[1]])
-    keep1 = {x for x, s in one.items() if s[2]} | {x[1:] for x, s in two.items() if s[2]}
-
-    def p1(x, w):
-        if x not in keep1:
-            return root(w)
-        p, f, _ = one.get(x, ({}, 1.0, False))
-        return p.get(w, root(w) * f)
-
-    def score(s):
-        total = 0.0
-        for i, w in enumerate(s):
-            x2 = tuple(s[i - 2:i]) if i > 1 else None
-            if x2 in two and two[x2][2]:
-                p, f, _ = two[x2]
-                q = p.get(w, p1(x2[1:], w) * f)
-            else:
-                q = p1((s[i - 1],), w) if i else root(w)
-            total += math.log10(q)
-        return total
+            if kl >= suffix_tree.MIN_DIVERGENCE and kl * m >= suffix_tree.MIN_GAIN:
+                p = {w: (x, (x - suffix_tree.DISCOUNT) / m) for w, x in own.items()}
+                factor = (1 - sum(y for _, y in p.values())) / max(1 - sum(parent[w][1] for w in own), 1e-9)
+                tree[ctx] = p, m, factor
+                found.append(ctx)
+        level = set(found)
+
+    def probability(s, i, depth):
+        """After the longest retained suffix of at most ``depth`` words."""
+        ctx = tuple(s[i - depth:i])
+        if not depth:
+            return root(s[i])
+        if ctx not in tree:
+            return probability(s, i, depth - 1)
+        edges, _, factor = tree[ctx]
+        return edges[s[i]][1] if s[i] in edges else factor * probability(s, i, depth - 1)
     base = lambda s: sum(math.log10((c[w] + 1) / (n + v + 1)) for w in s)
-    states_kept = len(keep1) + sum(s[2] for s in two.values())
-    return [(len(s), sum(c[w] > 0 for w in s), n, base(s), score(s)) for s in seqs], states_kept
+    score = lambda s: sum(math.log10(probability(s, i, min(i, suffix_tree.MAX_DEPTH))) for i in range(len(s)))
+    return [(len(s), sum(c[w] > 0 for w in s), n, base(s), score(s)) for s in seqs], set(tree)
+
+
+def held_to_brute_tree(spark, out):
+    held = [zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in out]
+    want, kept = brute_tree([r[1] for r in out], held)
+    key = lambda r: (r[0], r[1])
+    got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.held_out, r.base_score, r.score)
+                  for r in suffix_tree.op7_query(frame(spark, out)).collect()), key=key)
+    want = sorted(((o[0], *w[:3], h, *w[3:]) for o, w, h in zip(out, want, held)), key=key)
+    assert [r[:5] for r in got] == [w[:5] for w in want]
+    for r, w in zip(got, want):
+        assert r[5:] == pytest.approx(w[5:], rel=1e-9)
+    return kept
 
 
 def test_suffix_tree_matches_dictionaries(spark, monkeypatch):
@@ -339,19 +349,30 @@ def test_suffix_tree_matches_dictionaries(spark, monkeypatch):
             w += [["a", "b", "c"], ["a", "d", "e"], ["x", "b", "f"], ["y", "d", f"z{rng.integers(50)}"]][rng.integers(4)]
         out.append((i, " ".join(w), "en", "s"))
     out += [(150, None, "en", "s"), (151, "", "en", "s"), (152, "never seen", "en", "s"), (153, "A B c " * 3000, "en", "s"), (153, "A b", "en", "s")]
-    held = [zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in out]
-    want, kept = brute_tree([r[1] for r in out], held)
-    assert kept > 5
-    got = sorted(suffix_tree.op7_query(frame(spark, out)).collect(), key=lambda r: (r.doc_id, -r.n_tokens))
-    assert len(got) == len(out)
-    for r, w, h in zip(got, want, held):
-        assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (*w[:3], h)
-        assert r.base_score == pytest.approx(w[3], rel=1e-9) and r.score == pytest.approx(w[4], rel=1e-9)
+    assert len(held_to_brute_tree(spark, out)) > 5
     assert suffix_tree.op7_query(frame(spark, out).limit(0)).count() == 0
     untrained = suffix_tree.op7_query(frame(spark, [(i, "a b", "en", "s") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]))
     assert all((r.score, r.base_score, r.train_tokens) == (0.0, 0.0, 0) for r in untrained.collect())
 
 
+def test_suffix_tree_learns_contexts_of_four_words(spark, monkeypatch):
+    """Each phrase's last word is told apart a little by every word of the four before it."""
+    monkeypatch.setattr(suffix_tree, "BLOCK_TOKENS", 3000)
+    rng = np.random.default_rng(5)
+    out = []
+    for i in range(120):
+        w = []
+        for _ in range(40):
+            four = [f"{p}{rng.integers(2)}" for p in "abcd"]
+            ones = sum(x[1] == "1" for x in four)
+            w += [*four, f"r{ones}", f"n{rng.integers(300)}"]
+        out.append((i, " ".join(w), "en", "s"))
+    kept = held_to_brute_tree(spark, out)
+    assert max(map(len, kept)) >= 4
+    monkeypatch.setattr(suffix_tree, "MAX_DEPTH", 2)
+    assert max(map(len, held_to_brute_tree(spark, out))) == 2
+
+
 # ------------------------------------------------------------------ 8
 def test_packing_round_trip(spark, rows):
     import public_tokenizers
