@@ -11,11 +11,13 @@ symbol.
    ``MIN_COUNT`` times get an id. Every block keeps, per token, the state
    before it and the edge it is, at the depth reached so far.
 2. A level lengthens retained states by one word. Each block names its distinct
-   (state, word before it) and, where the token is an edge, (edge, word before
-   the state). They are shuffled once, by gram: training counts are summed and
-   grams seen ``MIN_COUNT`` times stay, with the blocks that use them. A gram is
-   only named if its shorter parts were seen that often, which loses none. A
-   block names a gram once, so no gram holds more than one row a block.
+   grams: (state, word before it) and, where the token is an edge, (edge, word
+   before the state). Grams are dealt by hash to groups of about ``GROUP_TOKENS``
+   tokens, as one row of packed arrays a block and group; the number of groups
+   grows with the corpus. A group sums the training counts; grams seen
+   ``MIN_COUNT`` times stay, with the blocks that use them. A gram is only named
+   if its shorter parts were seen that often, which loses none. A block names
+   a gram once, so no gram holds more than one entry a block.
 3. A longer context is retained if its next-symbol distribution diverges from
    that of its parent: Kullback-Leibler divergence of ``MIN_DIVERGENCE`` nats
    and count times divergence of ``MIN_GAIN``. Only retained contexts are
@@ -42,7 +44,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.common import crc32_bucket, drop_stored, stored
@@ -54,13 +56,16 @@ MIN_DIVERGENCE, MIN_GAIN = 0.005, 10.0
 MAX_DEPTH = 6
 DISCOUNT = 0.75
 END = b""  # a word is never empty
-ROWS_AT_ONCE = 100_000
+GROUP_TOKENS = 2_000_000
 _CODEC = pa.Codec("zstd")
 
 _BLOCK_SCHEMA = ("block long, words array<binary>, counts array<long>, doc_ids array<long>, "
                  "held array<boolean>, sizes array<long>, tokens binary")
 _BODY_SCHEMA = ("block long, doc_ids array<long>, held array<boolean>, sizes array<long>, known array<long>, base array<double>, "
                 "score array<double>, gids array<long>, tokens binary, state binary, edge binary")
+_CHUNK_SCHEMA = "part long, block long, k long, a binary, x binary, n binary"
+_MERGED_SCHEMA = "part long, block long, k long, at binary, gram binary, a array<long>, x array<long>, n array<long>"
+_REPLY_SCHEMA = "of long, k long, part long, at binary, id binary, v binary"
 
 
 class _Local(dict):
@@ -157,74 +162,144 @@ class _Body:
         return at[keep], x[keep]
 
 
-def _keys(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct global ids, and (position among them, word) as one key a row."""
-    distinct, at = np.unique(ids, return_inverse=True)
-    return distinct, (at.astype(np.int64) << np.int64(32)) | x
+@dataclass
+class _Grams:
+    """Distinct grams of a block, by group: ``a`` is an edge, or -1 - state for
+    the context itself, ``x`` the word before, ``n`` the training count.
+    ``ends``: where each group ends. ``uses``: places and their grams, for
+    contexts and for edges."""
+
+    a: np.ndarray
+    x: np.ndarray
+    n: np.ndarray
+    ends: np.ndarray
+    uses: list[tuple[np.ndarray, np.ndarray]]
+
+    @classmethod
+    def of(cls, body: _Body, depth: int, groups: int) -> _Grams:
+        train = np.repeat(~body.held, body.sizes)
+        at, before = body.longer(depth)
+        live = body.edge[at] >= 0
+        found, uses, size = [], [], 0
+        for ids, places, x in ((-1 - body.state[at], at, before), (body.edge[at[live]], at[live], before[live])):
+            distinct, i = np.unique(ids, return_inverse=True)
+            keys, which = np.unique((i.astype(np.int64) << np.int64(32)) | x, return_inverse=True)
+            found.append((distinct[keys >> np.int64(32)], body.gids[keys & _LOW], np.bincount(which[train[places]], minlength=len(keys))))
+            uses.append((places, which + size))
+            size += len(keys)
+        a, x, n = (np.concatenate(v) for v in zip(*found))
+        group = _group(a, x, groups)
+        order = np.argsort(group, kind="stable")
+        moved = np.empty(size, np.int64)
+        moved[order] = np.arange(size)
+        ends = np.cumsum(np.bincount(group, minlength=groups))
+        return cls(a[order], x[order], n[order], ends, [(places, moved[which]) for places, which in uses])
+
+
+def _group(a: np.ndarray, x: np.ndarray, groups: int) -> np.ndarray:
+    """A group of each gram, evenly by a mixing hash."""
+    h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + x.astype(np.uint64)
+    for shift in (32, 29):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((h >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)
 
 
 _LOW = np.int64((1 << 32) - 1)
 
 
-def _rows(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    for s in range(0, len(next(iter(columns.values()))), ROWS_AT_ONCE):
-        part = [pa.array(v[s:s + ROWS_AT_ONCE], pa.int64()) for v in columns.values()]
-        yield pa.RecordBatch.from_arrays(part, names=list(columns))
+def _batch(schema: str, **columns) -> pa.RecordBatch:
+    """A record batch of one row; arrays become lists."""
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
+    names = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns[c], pa.Array) else pa.array([columns[c]], kinds[k]) for c, k in names],
+                                      names=[c for c, _ in names])
 
 
-def _grams(depth: int):
-    """Per block its distinct grams: ``a`` is an edge, or -1 - state for the
-    context itself, ``x`` the word before, ``n`` the training count."""
+def _chunks(depth: int, groups: int):
+    """One row per block and group: its grams as packed arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                body = _Body.read(batch, i)
-                train = np.repeat(~body.held, body.sizes)
-                at, x = body.longer(depth)
-                live = body.edge[at] >= 0
-                for ids, words, t in ((-1 - body.state[at], x, train[at]), (body.edge[at[live]], x[live], train[at[live]])):
-                    distinct, key = _keys(ids, words)
-                    key, which = np.unique(key, return_inverse=True)
-                    n = np.bincount(which[t], minlength=len(key))
-                    yield from _rows({"a": distinct[key >> np.int64(32)], "x": body.gids[key & _LOW],
-                                      "block": np.full(len(key), batch.column("block")[i].as_py()), "n": n})
+                grams = _Grams.of(_Body.read(batch, i), depth, groups)
+                block, start = batch.column("block")[i].as_py(), 0
+                for part, end in enumerate(grams.ends.tolist()):
+                    if end > start:
+                        a = grams.a[start:end]
+                        yield _batch(_CHUNK_SCHEMA, part=part, block=block, k=end - start, a=_packed(np.diff(a, prepend=np.int64(0))),
+                                     x=_packed(grams.x[start:end]), n=_packed(grams.n[start:end].astype(np.int32)))
+                    start = end
     return run
 
 
-def _extended(depth: int):
-    """A block after a level: states, edges and scores from the rows (a, x,
-    id, v) of its grams that stayed; v: log10 of what they change."""
-    def run(bodies: pa.Table, used: pa.Table) -> pa.Table:
+def _merged(chunks: pa.Table) -> pa.Table:
+    """A group's grams that stay (one row without a block), and per block
+    which of them it uses (positions in its chunk and among those grams)."""
+    chunks = chunks.combine_chunks()
+    sizes = chunks.column("k").to_numpy()
+    read = lambda c, kind: [_unpacked(v, kind, k) for v, k in zip(chunks.column(c), sizes.tolist())]
+    a = np.concatenate([np.cumsum(v) for v in read("a", np.int64)])
+    x, n = np.concatenate(read("x", np.int64)), np.concatenate(read("n", np.int32)).astype(np.int64)
+    order = np.lexsort((x, a))
+    a, x = a[order], x[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (x[1:] != x[:-1])]
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(n[order], first)
+    stays = total >= MIN_COUNT
+    number = np.where(stays, np.cumsum(stays) - 1, -1)
+    gram = np.empty(len(order), np.int32)
+    gram[order] = number[np.cumsum(new) - 1]
+    first = first[stays]
+    part, none = chunks.column("part")[0].as_py(), pa.array([None], pa.list_(pa.int64()))
+    out = [_batch(_MERGED_SCHEMA, part=part, block=None, k=len(first), at=None, gram=None, a=a[first], x=x[first], n=total[stays])]
+    for block, mine in zip(chunks.column("block").to_pylist(), np.split(gram, np.cumsum(sizes)[:-1])):
+        at = np.flatnonzero(mine >= 0)
+        if len(at):
+            out.append(_batch(_MERGED_SCHEMA, part=part, block=block, k=len(at), at=_packed(at.astype(np.int32)), gram=_packed(mine[at]), a=none, x=none, n=none))
+    return pa.Table.from_batches(out)
+
+
+def _replies(uses: pa.Table, found: pa.Table) -> pa.Table:
+    """Per block of a group: ids and values of those of its grams that became
+    a state or an edge, by position in its chunk."""
+    kinds = {"of": pa.int64(), "k": pa.int64(), "part": pa.int64(), "at": pa.binary(), "id": pa.binary(), "v": pa.binary()}
+    out = [pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds.values()], names=list(kinds))]
+    i = found.column("i").to_numpy()
+    ids, values = np.full(i.max(initial=-1) + 1, -1, np.int64), np.zeros(i.max(initial=-1) + 1)
+    ids[i], values[i] = found.column("id").to_numpy(), found.column("v").to_numpy()
+    for row in uses.combine_chunks().to_batches():
+        for j in range(row.num_rows):
+            part, block, k = (row.column(c)[j].as_py() for c in ("part", "block", "k"))
+            at, gram = (_unpacked(row.column(c)[j], np.int32, k) for c in ("at", "gram"))
+            keep = gram < len(ids)
+            keep[keep] = ids[gram[keep]] >= 0
+            if keep.any():
+                at, gram = at[keep], gram[keep]
+                out.append(_batch(_REPLY_SCHEMA, of=block, k=len(at), part=part, at=_packed(at), id=_packed(ids[gram]), v=_packed(values[gram])))
+    return pa.Table.from_batches(out)
+
+
+def _extended(depth: int, groups: int):
+    """A block after a level: states, edges and scores from the replies to its
+    grams; v: log10 of what they change."""
+    def run(bodies: pa.Table, replies: pa.Table) -> pa.Table:
         body = _Body.read(bodies.combine_chunks().to_batches()[0])
-        a, x, new, v = (used.column(c).to_numpy() for c in ("a", "x", "id", "v"))
-        order = np.argsort(body.gids, kind="stable")
-        x = order[np.searchsorted(body.gids[order], x)]
-        at, before = body.longer(depth)
-        live = body.edge[at] >= 0
-        n = len(body.tokens)
-        state, edge, change = np.full(n, -1, np.int64), np.full(n, -1, np.int64), np.zeros(n)
-        for ids, places, words, out, mine in ((-1 - body.state[at], at, before, state, a < 0), (body.edge[at[live]], at[live], before[live], edge, a >= 0)):
-            distinct, wanted = _keys(ids, words)
-            keys = (np.searchsorted(distinct, a[mine]).astype(np.int64) << np.int64(32)) | x[mine]
-            by = np.argsort(keys)
-            hit = _find(keys[by], wanted)
-            there = hit >= 0
-            row = by[hit[there]]
-            out[places[there]] = new[mine][row]
-            change[places[there]] = v[mine][row]  # an edge, looked up second, replaces the factor of its state
+        grams = _Grams.of(body, depth, groups)
+        ids, values = np.full(len(grams.a), -1, np.int64), np.zeros(len(grams.a))
+        starts = np.r_[0, grams.ends]
+        for part, k, at, new, v in zip(*(replies.column(c) for c in ("part", "k", "at", "id", "v"))):
+            at = starts[part.as_py()] + _unpacked(at, np.int32, k.as_py())
+            ids[at], values[at] = _unpacked(new, np.int64, k.as_py()), _unpacked(v, np.float64, k.as_py())
+        change, reached = np.zeros(len(body.tokens)), []
+        for places, which in grams.uses:
+            ids_, there = np.full(len(body.tokens), -1, np.int64), ids[which] >= 0
+            ids_[places] = ids[which]
+            change[places[there]] = values[which[there]]  # an edge, looked up second, replaces the factor of its state
+            reached.append(ids_)
         score = body.row["score"].values.to_numpy(zero_copy_only=False) + np.add.reduceat(change, body.first)
-        return _body_table({**body.row, "score": score, "state": state, "edge": edge})
+        return _body_table({**body.row, "score": score, "state": reached[0], "edge": reached[1]})
     return run
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Position of each wanted key in sorted ``keys``, -1 where absent."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
 def _body_table(row: dict) -> pa.Table:
     kinds = {"block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int64()),
              "known": pa.list_(pa.int64()), "base": pa.list_(pa.float64()), "score": pa.list_(pa.float64()), "gids": pa.list_(pa.int64()),
@@ -260,37 +335,37 @@ def _named(total: int, vocabulary: int, discount: float):
     return run
 
 
-def _level(body: DataFrame, edges: DataFrame, depth: int) -> tuple[DataFrame, DataFrame] | None:
+def _level(body: DataFrame, edges: DataFrame, depth: int, groups: int) -> tuple[DataFrame, DataFrame] | None:
     """The blocks and edges one word deeper; None if no context is retained.
     edges: (id, n, q, p, node): edge, count, share and probability in its
     state, and that state."""
-    gram = Window.partitionBy("a", "x")
-    uses = stored(body.mapInArrow(_grams(depth), "a long, x long, block long, n long")
-                  .select("a", "x", "block", F.sum("n").over(gram).alias("n"), (F.col("block") == F.min("block").over(gram)).alias("lead"))
-                  .where(F.col("n") >= MIN_COUNT), "tree-uses")
+    merged = stored(body.mapInArrow(_chunks(depth, groups), _CHUNK_SCHEMA).groupBy("part").applyInArrow(_merged, _MERGED_SCHEMA), "tree-merged")
+    gram = (merged.where("block is null").select("part", F.posexplode(F.arrays_zip("a", "x", "n")).alias("i", "g"))
+            .select("part", F.col("i").cast("long").alias("i"), "g.a", "g.x", "g.n"))
     parents = edges.select(F.col("id").alias("a"), "node", "q", "p", F.col("n").alias("weight"))
-    longer = stored(lookup_join(uses.where("lead and a >= 0").select("a", "x", "n"), parents, ["a"], "weight", F.col("x")), "tree-longer")
-    states = stored(_states(uses.where("lead and a < 0").select((-1 - F.col("a")).alias("node"), "x", F.col("n").alias("m")), longer)
-                    .withColumn("id", F.monotonically_increasing_id()), "tree-states")
+    longer = stored(lookup_join(gram.where("a >= 0"), parents, ["a"], "weight", F.col("x")), "tree-longer")
+    contexts = gram.where("a < 0").select("part", "i", (-1 - F.col("a")).alias("node"), "x", F.col("n").alias("m"))
+    states = stored(_states(contexts, longer).withColumn("id", F.monotonically_increasing_id()), "tree-states")
     if states.isEmpty():
-        drop_stored(uses, longer, states)
+        drop_stored(merged, longer, states)
         return None
     kept = states.select("node", "x", F.col("id").alias("state"), "m", F.col("m").alias("weight"))
     p = (F.col("n") - DISCOUNT) / F.col("m")
     deeper = stored(lookup_join(longer, kept, ["node", "x"], "weight", F.col("a")).where("state is not null")
                     .select(F.monotonically_increasing_id().alias("id"), "n", (F.col("n") / F.col("m")).alias("q"), p.alias("p"),
-                            F.col("state").alias("node"), "a", "x", F.log10(p / F.col("p")).alias("v")), "tree-edges")
-    found = deeper.select("a", "x", "id", "v").unionAll(
-        states.select((-1 - F.col("node")).alias("a"), "x", "id", F.log10("factor").alias("v")))
-    used = uses.select("block", "a", "x").join(found, ["a", "x"]).select("block", "a", "x", "id", "v")
-    out = stored(body.groupBy("block").cogroup(used.groupBy("block")).applyInArrow(_extended(depth), _BODY_SCHEMA), "tree-body")
-    drop_stored(uses, longer, states)
+                            F.col("state").alias("node"), "part", "i", F.log10(p / F.col("p")).alias("v")), "tree-edges")
+    found = (deeper.select(F.col("part").alias("to"), "i", "id", "v")
+             .unionAll(states.select("part", "i", "id", F.log10("factor").alias("v"))))
+    uses = merged.where("block is not null").select("part", "block", "k", "at", "gram")
+    replies = uses.groupBy("part").cogroup(found.groupBy("to")).applyInArrow(_replies, _REPLY_SCHEMA)
+    out = stored(body.groupBy("block").cogroup(replies.groupBy("of")).applyInArrow(_extended(depth, groups), _BODY_SCHEMA), "tree-body")
+    drop_stored(merged, longer, states)
     return out, deeper
 
 
 def _states(contexts: DataFrame, longer: DataFrame) -> DataFrame:
-    """(node, x, m, factor) of the contexts that are retained: x before node.
-    contexts: (node, x, m); longer: their edges (node, x, n, q, p) with share
+    """(part, i, node, x, m, factor) of the contexts that are retained: x before
+    node. contexts: (part, i, node, x, m); longer: their edges (node, x, n, q, p) with share
     and probability in the parent state."""
     n, m = F.col("n"), F.col("m")
     sums = longer.groupBy("node", "x").agg(
@@ -301,7 +376,7 @@ def _states(contexts: DataFrame, longer: DataFrame) -> DataFrame:
     kl = kl + F.when(rest > tiny, rest * F.log(rest / F.greatest(rest_parent, tiny))).otherwise(0.0)
     factor = (1 - (F.col("own") - DISCOUNT * F.col("edges")) / m) / F.greatest(1 - F.col("p"), F.lit(1e-9))
     return (contexts.join(sums, ["node", "x"]).where((kl >= MIN_DIVERGENCE) & (kl * m >= MIN_GAIN))
-            .select("node", "x", "m", factor.alias("factor")))
+            .select("part", "i", "node", "x", "m", factor.alias("factor")))
 
 
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -336,9 +411,10 @@ def score_texts(docs: DataFrame, held_out, max_depth: int | None = None) -> Data
     share = F.col("c") / max(total, 1)
     edges = stored(counts.where("gid >= 0").select(F.col("gid").alias("id"), F.col("c").alias("n"), share.alias("q"),
                                                    ((F.col("c") - discount) / max(total, 1)).alias("p"), F.lit(0).cast("long").alias("node")), "tree-edges")
+    groups = int(blocks.agg(F.ceil(F.sum(F.expr("aggregate(sizes, 0L, (s, k) -> s + k)")) / GROUP_TOKENS)).first()[0] or 1)
     drop_stored(blocks, counts)
     for depth in range(MAX_DEPTH if max_depth is None else max_depth):
-        deeper = _level(body, edges, depth)
+        deeper = _level(body, edges, depth, groups)
         if deeper is None:
             break
         drop_stored(body, edges)

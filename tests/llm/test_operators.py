@@ -341,6 +341,7 @@ def held_to_brute_tree(spark, out):
 
 def test_suffix_tree_matches_dictionaries(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(suffix_tree, "GROUP_TOKENS", 5_000)
     rng = np.random.default_rng(2)
     out = []
     for i in range(150):
@@ -358,6 +359,7 @@ def test_suffix_tree_matches_dictionaries(spark, monkeypatch):
 def test_suffix_tree_learns_contexts_of_four_words(spark, monkeypatch):
     """Each phrase's last word is told apart a little by every word of the four before it."""
     monkeypatch.setattr(suffix_tree, "BLOCK_TOKENS", 3000)
+    monkeypatch.setattr(suffix_tree, "GROUP_TOKENS", 5_000)
     rng = np.random.default_rng(5)
     out = []
     for i in range(120):
