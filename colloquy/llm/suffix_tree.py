@@ -105,7 +105,9 @@ def sum_more(open_, k: int) -> int:
 
 
 def _packed(values: np.ndarray) -> pa.Array:
-    return pa.array([_CODEC.compress(values.tobytes(), asbytes=True)], pa.large_binary()).cast(pa.binary())
+    """Compressed with equal bytes of all values side by side."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T)
+    return pa.array([_CODEC.compress(planes, asbytes=True)], pa.binary())
 
 
 def _block(part: int, n: int, open_) -> pa.RecordBatch:
@@ -121,7 +123,9 @@ def _block(part: int, n: int, open_) -> pa.RecordBatch:
 
 
 def _unpacked(value: pa.Scalar, kind, n: int) -> np.ndarray:
-    return np.frombuffer(_CODEC.decompress(value.as_py(), np.dtype(kind).itemsize * n, asbytes=True), kind)
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(_CODEC.decompress(value.as_buffer(), size * n), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 @dataclass
@@ -143,23 +147,29 @@ class _Body:
         row = {c: batch.column(c)[i] for c in batch.schema.names}
         get = lambda c: row[c].values.to_numpy(zero_copy_only=False)
         n = int(get("sizes").sum())
-        return cls(row, get("sizes"), get("held").astype(bool), get("gids"), _unpacked(row["tokens"], np.uint32, n),
-                   _unpacked(row["state"], np.int64, n), _unpacked(row["edge"], np.int64, n))
+        tokens, gids = _unpacked(row["tokens"], np.uint32, n), get("gids")
+        if row["state"].is_valid:
+            state, edge = (_unpacked(row[c], np.int64, n) for c in ("state", "edge"))
+        else:  # depth 0: every token is after the root, and an edge of it if its word has an id
+            state, edge = np.zeros(n, np.int64), gids[tokens]
+        return cls(row, get("sizes"), get("held").astype(bool), gids, tokens, state, edge)
 
     @property
     def first(self) -> np.ndarray:
         return np.cumsum(self.sizes) - self.sizes
 
-    def longer(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, local ids of the word before the state) where the state
-        of ``depth`` words can be lengthened."""
-        place = np.arange(len(self.tokens)) - np.repeat(self.first, self.sizes)
-        at = np.flatnonzero((self.state >= 0) & (place > depth))
+    def longer(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places, local ids of the word before the state, whether training
+        text) where the state of ``depth`` words can be lengthened."""
+        at = np.flatnonzero(self.state >= 0)
+        text = np.searchsorted(self.first, at, side="right") - 1
+        inside = at - self.first[text] > depth
+        at, text = at[inside], text[inside]
         # the longer context is the gram that ends one token earlier: an edge, if its state was looked at
         rare = (self.state[at - 1] >= 0) & (self.edge[at - 1] < 0)
         x = self.tokens[at - depth - 1].astype(np.int64)
         keep = ~rare & (self.gids[x] >= 0)
-        return at[keep], x[keep]
+        return at[keep], x[keep], ~self.held[text[keep]]
 
 
 @dataclass
@@ -177,14 +187,13 @@ class _Grams:
 
     @classmethod
     def of(cls, body: _Body, depth: int, groups: int) -> _Grams:
-        train = np.repeat(~body.held, body.sizes)
-        at, before = body.longer(depth)
+        at, before, train = body.longer(depth)
         live = body.edge[at] >= 0
         found, uses, size = [], [], 0
-        for ids, places, x in ((-1 - body.state[at], at, before), (body.edge[at[live]], at[live], before[live])):
+        for ids, places, x, counts in ((-1 - body.state[at], at, before, train), (body.edge[at[live]], at[live], before[live], train[live])):
             distinct, i = np.unique(ids, return_inverse=True)
             keys, which = np.unique((i.astype(np.int64) << np.int64(32)) | x, return_inverse=True)
-            found.append((distinct[keys >> np.int64(32)], body.gids[keys & _LOW], np.bincount(which[train[places]], minlength=len(keys))))
+            found.append((distinct[keys >> np.int64(32)], body.gids[keys & _LOW], np.bincount(which[counts], minlength=len(keys))))
             uses.append((places, which + size))
             size += len(keys)
         a, x, n = (np.concatenate(v) for v in zip(*found))
@@ -215,6 +224,11 @@ def _batch(schema: str, **columns) -> pa.RecordBatch:
                                       names=[c for c, _ in names])
 
 
+def _steps(at: np.ndarray) -> pa.Array:
+    """Rising positions, packed as differences."""
+    return _packed(np.diff(at, prepend=0).astype(np.int32))
+
+
 def _chunks(depth: int, groups: int):
     """One row per block and group: its grams as packed arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +268,7 @@ def _merged(chunks: pa.Table) -> pa.Table:
     for block, mine in zip(chunks.column("block").to_pylist(), np.split(gram, np.cumsum(sizes)[:-1])):
         at = np.flatnonzero(mine >= 0)
         if len(at):
-            out.append(_batch(_MERGED_SCHEMA, part=part, block=block, k=len(at), at=_packed(at.astype(np.int32)), gram=_packed(mine[at]), a=none, x=none, n=none))
+            out.append(_batch(_MERGED_SCHEMA, part=part, block=block, k=len(at), at=_steps(at), gram=_packed(mine[at]), a=none, x=none, n=none))
     return pa.Table.from_batches(out)
 
 
@@ -270,11 +284,12 @@ def _replies(uses: pa.Table, found: pa.Table) -> pa.Table:
         for j in range(row.num_rows):
             part, block, k = (row.column(c)[j].as_py() for c in ("part", "block", "k"))
             at, gram = (_unpacked(row.column(c)[j], np.int32, k) for c in ("at", "gram"))
+            at = np.cumsum(at)
             keep = gram < len(ids)
             keep[keep] = ids[gram[keep]] >= 0
             if keep.any():
                 at, gram = at[keep], gram[keep]
-                out.append(_batch(_REPLY_SCHEMA, of=block, k=len(at), part=part, at=_packed(at), id=_packed(ids[gram]), v=_packed(values[gram])))
+                out.append(_batch(_REPLY_SCHEMA, of=block, k=len(at), part=part, at=_steps(at), id=_packed(ids[gram]), v=_packed(values[gram])))
     return pa.Table.from_batches(out)
 
 
@@ -287,7 +302,7 @@ def _extended(depth: int, groups: int):
         ids, values = np.full(len(grams.a), -1, np.int64), np.zeros(len(grams.a))
         starts = np.r_[0, grams.ends]
         for part, k, at, new, v in zip(*(replies.column(c) for c in ("part", "k", "at", "id", "v"))):
-            at = starts[part.as_py()] + _unpacked(at, np.int32, k.as_py())
+            at = starts[part.as_py()] + np.cumsum(_unpacked(at, np.int32, k.as_py()))
             ids[at], values[at] = _unpacked(new, np.int64, k.as_py()), _unpacked(v, np.float64, k.as_py())
         change, reached = np.zeros(len(body.tokens)), []
         for places, which in grams.uses:
@@ -307,6 +322,8 @@ def _body_table(row: dict) -> pa.Table:
 
     def column(name, kind):
         value = row[name]
+        if value is None:
+            return pa.array([None], kind)
         if isinstance(value, pa.Scalar):
             return pa.array([value.as_py()], kind) if not pa.types.is_list(kind) else pa.ListArray.from_arrays([0, len(value.values)], value.values)
         if pa.types.is_list(kind):
@@ -316,8 +333,7 @@ def _body_table(row: dict) -> pa.Table:
 
 
 def _named(total: int, vocabulary: int, discount: float):
-    """A block at depth 0, from the counts and ids of its words: every token
-    is after the root (state 0) and, if its word has an id, that edge of it."""
+    """A block at depth 0, from the counts and ids of its words."""
     def run(blocks: pa.Table, named: pa.Table) -> pa.Table:
         row = {c: blocks.combine_chunks().column(c)[0] for c in blocks.column_names}
         sizes = row["sizes"].values.to_numpy(zero_copy_only=False)
@@ -330,8 +346,7 @@ def _named(total: int, vocabulary: int, discount: float):
         root = np.log10(np.where(c > 0, c - discount, discount * vocabulary) / total) if total else np.zeros(width)
         first = np.cumsum(sizes) - sizes
         sums = [np.add.reduceat(v[tokens], first) for v in ((c > 0).astype(np.int64), base, root)]
-        return _body_table({**row, **dict(zip(("known", "base", "score"), sums)), "gids": gids,
-                            "state": np.zeros(len(tokens), np.int64), "edge": gids[tokens]})
+        return _body_table({**row, **dict(zip(("known", "base", "score"), sums)), "gids": gids, "state": None, "edge": None})
     return run
 
 
