@@ -40,6 +40,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,7 @@ BLOCK_TOKENS = 1_000_000
 MIN_COUNT = 3
 MIN_DIVERGENCE, MIN_GAIN = 0.005, 10.0
 MAX_DEPTH = 6
+SLICES = 4  # blocks are renewed in so many steps, each of which frees its old blocks
 DISCOUNT = 0.75
 END = b""  # a word is never empty
 GROUP_TOKENS = 2_000_000
@@ -350,11 +352,15 @@ def _named(total: int, vocabulary: int, discount: float):
     return run
 
 
-def _level(body: DataFrame, edges: DataFrame, depth: int, groups: int) -> tuple[DataFrame, DataFrame] | None:
-    """The blocks and edges one word deeper; None if no context is retained.
-    edges: (id, n, q, p, node): edge, count, share and probability in its
-    state, and that state."""
-    merged = stored(body.mapInArrow(_chunks(depth, groups), _CHUNK_SCHEMA).groupBy("part").applyInArrow(_merged, _MERGED_SCHEMA), "tree-merged")
+def _slice(blocks: DataFrame, column: str, k: int) -> DataFrame:
+    return blocks.where(F.pmod(F.hash(column), F.lit(SLICES)) == k)
+
+
+def _level(body: list[DataFrame], edges: DataFrame, depth: int, groups: int) -> tuple[list[DataFrame], DataFrame] | None:
+    """The blocks and edges one word deeper, the old ones removed; None if no
+    context is retained. body: the slices of the blocks; edges: (id, n, q, p,
+    node): edge, count, share and probability in its state, and that state."""
+    merged = stored(reduce(DataFrame.unionAll, body).mapInArrow(_chunks(depth, groups), _CHUNK_SCHEMA).groupBy("part").applyInArrow(_merged, _MERGED_SCHEMA), "tree-merged")
     gram = (merged.where("block is null").select("part", F.posexplode(F.arrays_zip("a", "x", "n")).alias("i", "g"))
             .select("part", F.col("i").cast("long").alias("i"), "g.a", "g.x", "g.n"))
     parents = edges.select(F.col("id").alias("a"), "node", "q", "p", F.col("n").alias("weight"))
@@ -372,9 +378,14 @@ def _level(body: DataFrame, edges: DataFrame, depth: int, groups: int) -> tuple[
     found = (deeper.select(F.col("part").alias("to"), "i", "id", "v")
              .unionAll(states.select("part", "i", "id", F.log10("factor").alias("v"))))
     uses = merged.where("block is not null").select("part", "block", "k", "at", "gram")
-    replies = uses.groupBy("part").cogroup(found.groupBy("to")).applyInArrow(_replies, _REPLY_SCHEMA)
-    out = stored(body.groupBy("block").cogroup(replies.groupBy("of")).applyInArrow(_extended(depth, groups), _BODY_SCHEMA), "tree-body")
-    drop_stored(merged, longer, states)
+    replies = stored(uses.groupBy("part").cogroup(found.groupBy("to")).applyInArrow(_replies, _REPLY_SCHEMA), "tree-replies")
+    drop_stored(merged, longer, states, edges)
+    out = []
+    for k, old in enumerate(body):
+        mine = _slice(replies, "of", k)
+        out.append(stored(old.groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(_extended(depth, groups), _BODY_SCHEMA), "tree-body"))
+        drop_stored(old)
+    drop_stored(replies)
     return out, deeper
 
 
@@ -428,14 +439,15 @@ def score_texts(docs: DataFrame, held_out, max_depth: int | None = None) -> Data
                                                    ((F.col("c") - discount) / max(total, 1)).alias("p"), F.lit(0).cast("long").alias("node")), "tree-edges")
     groups = int(blocks.agg(F.ceil(F.sum(F.expr("aggregate(sizes, 0L, (s, k) -> s + k)")) / GROUP_TOKENS)).first()[0] or 1)
     drop_stored(blocks, counts)
+    whole, body = body, [stored(_slice(body, "block", k), "tree-body") for k in range(SLICES)]
+    drop_stored(whole)
     for depth in range(MAX_DEPTH if max_depth is None else max_depth):
         deeper = _level(body, edges, depth, groups)
         if deeper is None:
             break
-        drop_stored(body, edges)
         body, edges = deeper
     drop_stored(edges)
-    return body.mapInArrow(_results(total), _SCORES)
+    return reduce(DataFrame.unionAll, body).mapInArrow(_results(total), _SCORES)
 
 
 def op7_query(docs: DataFrame) -> DataFrame:
