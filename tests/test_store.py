@@ -81,3 +81,15 @@ def test_stream_goes_on_after_a_restart(spark):
             stream = jobs.stream_metrics(spark, src, spark.read.parquet(src).schema, fmt="parquet", max_files_per_trigger=1)
             jobs.stream_results(stream, path, ckpt, ["model", "task"], "v", n_buckets=3, max_parts=2)
     assert rows_of(jobs.read_store(spark, path)) == {("m0", "t"): (30.0, 3), ("m1", "t"): (31.0, 3), ("m2", "t"): (32.0, 3), ("m3", "t"): (33.0, 3)}
+
+
+def test_compaction_leaves_large_old_parts(spark):
+    path = scratch_path(spark, "test-store")
+    rewritten = 0
+    for batch in range(14):  # batch k brings key k, so a part holds as many rows as it took in batches
+        store.upsert(spark.createDataFrame([(f"m{batch}", "t", float(batch), batch)], SCHEMA), batch, path, ["model", "task"], "v", n_buckets=1, max_parts=4)
+        parts = store._manifest(spark, path, store._committed(spark, path)[-1])[0]
+        assert len(parts) < 4 and sum(map(store._deltas, parts)) == batch + 1
+        rewritten += store._deltas(parts[-1]) if parts[-1].startswith(f"{batch:010d}-") else 0
+    assert rewritten == 4 + 3 + 2 + 10 + 3  # one part of everything every third batch: 4 + 7 + 10 + 13
+    assert rows_of(store.read_store(spark, path)) == {(f"m{k}", "t"): (float(k), k) for k in range(14)}
