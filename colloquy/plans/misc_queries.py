@@ -130,14 +130,26 @@ def q_scores_csv(spark, d):
 
 # ----------------------------------------------------------------- G1-G3
 EVENTS_A_FILE = 20_000
+EVENT_FILES = 16               # of a larger table: a micro-batch grows with it, for each costs a few seconds whatever it holds
+MOST_EVENTS_A_FILE = 5_000_000  # but no micro-batch grows without end
+
+
+def event_files(events):
+    """``events`` by time as the files of a stream; returns their folder."""
+    src = scratch_path(events.sparkSession, "events-files")
+    n = events.count()
+    a_file = min(max(EVENTS_A_FILE, -(-n // EVENT_FILES)), MOST_EVENTS_A_FILE)
+    # ranges are sampled, so a file may be larger than its share, but not by much; equal times are cut too
+    (events.repartitionByRange(max(1, -(-n // a_file)), "ts").write
+     .option("maxRecordsPerFile", a_file if a_file == EVENTS_A_FILE else 2 * a_file).parquet(src))
+    return src
 
 
 @register("stream_summary", SUMMARY_SQL)
 def q_stream_summary(spark, d):
     """G1 + G2: the events in several files, one per micro-batch, update mode."""
-    src = scratch_path(spark, "events-files")
     events = table(spark, d, "events")
-    events.repartitionByRange("ts").write.option("maxRecordsPerFile", EVENTS_A_FILE).parquet(src)
+    src = event_files(events)
     ev = jobs.stream_metrics(spark, src, events.schema, fmt="parquet", max_files_per_trigger=2)
     log = ev.select(
         F.col("user_id").alias("run"), "event_id", F.col("ts").alias("timestamp"),
@@ -155,9 +167,8 @@ SELECT {MODEL_SQL} AS model, event_type AS task, value AS score, event_id
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def q_stream_results(spark, d):
     """The events in several files, some of them per micro-batch."""
-    src = scratch_path(spark, "events-files")
     events = table(spark, d, "events")
-    events.repartitionByRange("ts").write.option("maxRecordsPerFile", EVENTS_A_FILE).parquet(src)
+    src = event_files(events)
     stream = jobs.stream_metrics(spark, src, events.schema, fmt="parquet", max_files_per_trigger=2)
     rows = stream.select(model_col().alias("model"), F.col("event_type").alias("task"),
                          F.col("value").alias("score"), "event_id", "ts")

@@ -207,3 +207,15 @@ def test_flatten_config(spark):
     (r,) = metrics.flatten_config(df).collect()
     assert (r["alpha"], r["lora_alpha"], r["lora_r"], r["training_learning_rate"]) == (256, 256, 128, 5e-5)
     assert r["lora_target_modules"] == ["q_proj", "k_proj"] and r["lora_loftq_config"] is None
+
+
+def test_event_files_grow_with_the_table(spark, monkeypatch):
+    from colloquy.plans import misc_queries as mq
+
+    monkeypatch.setattr(mq, "EVENTS_A_FILE", 10)
+    monkeypatch.setattr(mq, "EVENT_FILES", 4)
+    for n, most in ((0, 1), (25, 5), (2000, 6)):  # 200 files of ten events each before
+        events = spark.range(n).selectExpr("id as event_id", "timestamp_seconds(id) as ts")
+        got = spark.read.schema(events.schema).parquet(mq.event_files(events))
+        assert sorted(r.event_id for r in got.collect()) == list(range(n))
+        assert len(got.inputFiles()) <= most
