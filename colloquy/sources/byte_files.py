@@ -83,7 +83,9 @@ def read_windows(spark: SparkSession, path: str, window: int = WINDOW) -> DataFr
     low = F.greatest(F.col("w") * window, F.col("start"))
     high = F.least((F.col("w") + 1) * window, F.col("stop"))
     piece = F.substring("data", (low - F.col("start") + 1).cast("int"), (high - low).cast("int"))
-    pieces = F.sort_array(F.collect_list(F.struct(low.alias("start"), piece.alias("data"))))  # of one window
+    # cut before they are gathered: an aggregate that sorts its input would keep the whole part once a window
+    cut = cut.select("file", "size", "w", F.struct(low.alias("start"), piece.alias("data")).alias("piece"))
+    pieces = F.sort_array(F.collect_list("piece"))  # of one window
     return cut.groupBy("file", "size", "w").agg(F.aggregate(pieces, F.lit(b""), lambda a, p: F.concat(a, p["data"])).alias("data"))
 
 
