@@ -20,6 +20,17 @@ from pyspark.sql import functions as F
 
 BOM = b"\xef\xbb\xbf"  # a line reader leaves this out at the begin of a file
 WINDOW = 4 << 20
+SLICE = 2 << 20  # bytes that a Python function turns into objects at once
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes, of one row at least:
+    Spark's batches hold up to 64 MB, and a task has several of these
+    functions, so that copies of whole batches add up."""
+    for batch in batches:
+        rows = max(1, int(most * batch.num_rows / max(batch.nbytes, 1)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _source(spark: SparkSession, fmt: str, path: str) -> DataFrame:
@@ -45,7 +56,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of a split put together, with their place in the split."""
     now, at = None, 0
-    for batch in batches:
+    for batch in slices(batches):
         files, sizes, blocks, runs = (batch.column(k).to_pylist() for k in range(4))
         out, a = [], 0
         for k in range(1, len(files) + 1):
@@ -98,7 +109,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64()), text],
                                           names=["stream", "seq", "value"])
 
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for stream, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if stream != now:

@@ -25,14 +25,13 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.schemas import MCQ
 from colloquy.session import scratch_path
-from colloquy.sources.byte_files import WINDOW, list_files, read_windows, write_streams
+from colloquy.sources.byte_files import SLICE, WINDOW, list_files, read_windows, slices, write_streams
 
 _U32 = struct.Struct("<I")
 SHARD_BYTES = 128 << 20   # a file is closed before it grows beyond this
@@ -110,11 +109,29 @@ def decode_record(buf, pos: int):
 # ----------------------------------------------------------------- reader
 _BLOCK = "struct<answers:array<string>,labels:array<int>>"
 _DECODED = f"file string, i long, start long, stop long, until long, fault string, question string, single_correct {_BLOCK}, multiple_correct {_BLOCK}"
-_NAMES = ["file", "i", "start", "stop", "until", "fault", "question", "single_correct", "multiple_correct"]
 
 
-def _rows(out: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(out, columns=_NAMES)
+_ARROW = pa.schema([("file", pa.string()), ("i", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("until", pa.int64()),
+                    ("fault", pa.string()), ("question", pa.string())]
+                   + [(c, pa.struct([("answers", pa.list_(pa.string())), ("labels", pa.list_(pa.int32()))])) for c in ("single_correct", "multiple_correct")])
+OUT_ROWS = 4096  # rows returned at once, fewer if they are long
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out), _ARROW)], schema=_ARROW)
+
+
+def _gathered(rows: Iterator[tuple[int, tuple]]) -> Iterator[pa.RecordBatch]:
+    """(bytes, row) as batches of many rows, for windows may hold one or none."""
+    out, held = [], 0
+    for n, row in rows:
+        out.append(row)
+        held += n
+        if held >= SLICE or len(out) >= OUT_ROWS:
+            yield _rows(out)
+            out, held = [], 0
+    if out:
+        yield _rows(out)
 
 
 def _decoded(buf, at: int, base: int, until: int, file: str, i: int) -> tuple:
@@ -132,9 +149,15 @@ def _decoded(buf, at: int, base: int, until: int, file: str, i: int) -> tuple:
 
 def _offsets(window: int):
     """Entries of the offset table, dealt to the windows they point into."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for file, n, w, data in zip(pdf["file"], pdf["n"], pdf["w"], pdf["data"]):
+    kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+
+    def frame(out):
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), kinds)], names=["file", "w", "i", "starts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for batch in slices(batches):
+            for file, n, w, data in zip(*(batch.column(c).to_pylist() for c in ("file", "n", "w", "data"))):
                 base = w * window
                 a, b = max(4, base), min(4 + 4 * n, base + len(data))
                 starts = np.frombuffer(data, "<u4", (b - a) // 4, a - base).astype(np.int64)
@@ -142,35 +165,44 @@ def _offsets(window: int):
                 home = starts // window
                 order = np.lexsort((i, home))
                 cuts = np.flatnonzero(np.r_[True, np.diff(home[order]) != 0]) if len(order) else []
-                yield pd.DataFrame([(file, int(home[o[0]]), i[o], starts[o]) for o in np.split(order, cuts[1:]) if len(o)],
-                                   columns=["file", "w", "i", "starts"])
+                out += [(file, int(home[o[0]]), i[o], starts[o]) for o in np.split(order, cuts[1:]) if len(o)]
+                held += 16 * len(order)
+                if held >= SLICE or len(out) >= OUT_ROWS:
+                    yield from [frame(out)] * bool(out)
+                    out, held = [], 0
+        if out:
+            yield frame(out)
     return run
 
 
 def _of_windows(window: int):
     """Records of each window. One that needs bytes behind the window comes
     back without content, as ``open``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for file, size, w, data, i, starts, following in zip(*(pdf[c] for c in ("file", "size", "w", "data", "i", "starts", "following"))):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
+        for batch in batches:
+            for at in range(batch.num_rows):  # one window at a time becomes an object
+                file, size, w, data, following = (batch.column(c)[at].as_py() for c in ("file", "size", "w", "data", "following"))
+                i, starts = (batch.column(c)[at].values.to_numpy(zero_copy_only=False) for c in ("i", "starts"))
                 order = np.lexsort((i, starts))
-                i, starts = np.asarray(i)[order], np.asarray(starts)[order]
+                i, starts = i[order], starts[order]
                 until = np.r_[starts[1:], following]
                 base, whole = w * window, w * window + len(data) >= size
-                out = []
                 for k, s, u in zip(i.tolist(), starts.tolist(), np.minimum(until, size).tolist()):
                     row = _decoded(memoryview(data)[:max(0, u - base)], s - base, base, u, file, k)
                     if row[5] == "truncated" and not whole and u > base + len(data):
                         row = (*row[:5], "open", *row[6:])
-                    out.append(row)
-                yield _rows(out)
-    return run
+                    yield max(0, u - s), row
 
+    return lambda batches: _gathered(rows(batches))
 
-def _of_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield _rows([_decoded(memoryview(data), 0, start, until, file, i)
-                     for file, i, start, until, data in zip(*(pdf[c] for c in ("file", "i", "start", "until", "data")))])
+
+def _of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows():
+        for batch in slices(batches):
+            for file, i, start, until, data in zip(*(batch.column(c).to_pylist() for c in ("file", "i", "start", "until", "data"))):
+                yield len(data), _decoded(memoryview(data), 0, start, until, file, i)
+
+    return _gathered(rows())
 
 
 def _u32(data: Column) -> Column:
@@ -197,13 +229,13 @@ def scan_mcq_bin(spark: SparkSession, path: str, window: int = WINDOW) -> tuple[
     counted = windows.where("w = 0 and octet_length(data) >= 4").select("file", _u32(F.col("data")).alias("n"))
     heads = files.join(counted, "file", "left").withColumn("sound", F.coalesce(4 + 4 * F.col("n") <= F.col("size"), F.lit(False)))
     table = (windows.join(heads.where("sound and n > 0").select("file", "n"), "file").where(F.col("w") * window < 4 + 4 * F.col("n"))
-             .select("file", "n", "w", "data").mapInPandas(_offsets(window), "file string, w long, i array<long>, starts array<long>"))
+             .select("file", "n", "w", "data").mapInArrow(_offsets(window), "file string, w long, i array<long>, starts array<long>"))
     dealt = (table.groupBy("file", "w").agg(F.flatten(F.collect_list("i")).alias("i"), F.flatten(F.collect_list("starts")).alias("starts"))
              .withColumn("low", F.array_min("starts")))  # of one window
     following = F.lead("low").over(Window.partitionBy("file").orderBy("w"))  # one row a window
     dealt = dealt.withColumn("following", following).drop("low")
     met = windows.join(dealt, ["file", "w"]).withColumn("following", F.coalesce("following", "size"))
-    direct = met.select("file", "size", "w", "data", "i", "starts", "following").mapInPandas(_of_windows(window), _DECODED)
+    direct = met.select("file", "size", "w", "data", "i", "starts", "following").mapInArrow(_of_windows(window), _DECODED)
     direct.write.parquet(f"{scratch}/direct")
     direct = spark.read.schema(_DECODED).parquet(f"{scratch}/direct")
     spans = (direct.where("fault = 'open'").select("file", "i", "start", "until")
@@ -213,7 +245,8 @@ def scan_mcq_bin(spark: SparkSession, path: str, window: int = WINDOW) -> tuple[
     pieces = F.sort_array(F.collect_list(F.struct("w", F.substring("data", (low + 1).cast("int"), (high - low).cast("int")).alias("data"))))
     parts = (spans.join(windows.select("file", "w", "data"), ["file", "w"]).groupBy("file", "i", "start", "until")
              .agg(F.aggregate(pieces, F.lit(b""), lambda a, p: F.concat(a, p["data"])).alias("data")))  # one record
-    decoded = direct.where("fault is null or fault <> 'open'").unionAll(parts.mapInPandas(_of_parts, _DECODED))
+    parts.mapInArrow(_of_parts, _DECODED).write.parquet(f"{scratch}/parts")  # read twice, as the direct ones
+    decoded = direct.where("fault is null or fault <> 'open'").unionAll(spark.read.schema(_DECODED).parquet(f"{scratch}/parts"))
 
     # the ends of the records are the starts of the next ones, the first follows the table
     mark = lambda place, i: F.xxhash64(place, i).cast("decimal(38,0)")
@@ -265,7 +298,7 @@ def _sharded(shard_bytes: int, shard_records: int, named: bool):
             out.append((name(), 1, n - len(lengths), struct.pack(f"<{len(lengths)}I", *lengths)))
             lengths.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for r in batch.to_pylist():
                 data = encode_record(r["question"], r["single_correct"], r["multiple_correct"])
                 full = size + len(data) + 4 > shard_bytes or n >= shard_records
@@ -281,7 +314,7 @@ def _sharded(shard_bytes: int, shard_records: int, named: bool):
                 lengths.append(len(data))
                 if len(lengths) == TABLE_RUN:
                     table()
-                if held >= 1 << 22:
+                if held >= SLICE:
                     yield frame()
                     out, held = [], 0
         if n or (task == 0 and not shard and not named):  # an empty table still is a file, of a count
@@ -296,7 +329,7 @@ def _sharded(shard_bytes: int, shard_records: int, named: bool):
 def _with_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Count, offsets, records, in the order they came sorted in."""
     at = 0
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for stream, kind, data in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3))):
             if kind == 0:

@@ -250,3 +250,30 @@ def test_json_defaults(spark):
     out = scratch_path(spark, "test-json-out")
     msrc.write_mcq_json(msrc.read_mcq_json(spark, path), out)
     assert msrc.read_mcq_json(spark, out).count() == 2
+
+
+def test_windows_are_cut_before_they_are_gathered(spark):
+    path = scratch_path(spark, "test-cut")
+    msrc.write_mcq_bin(spark.createDataFrame([("q" * 3000, None, None)], "question string, single_correct struct<answers:array<string>,labels:array<int>>, "
+                                             "multiple_correct struct<answers:array<string>,labels:array<int>>"), path)
+    plan = read_windows(spark, path, 512)._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [line for line in plan.splitlines() if "collect_list(" in line]
+    assert gathered and not any("substring(" in line for line in gathered)  # no whole part in an aggregate's input
+
+
+def test_python_functions_work_in_slices():
+    import pyarrow as pa
+
+    blobs = [bytes([65 + k % 26]) * 10_000 for k in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["s"] * 1001), pa.array([0] + [2] * 1000, pa.int32()), pa.array(range(1001), pa.int64()),
+                                        pa.array([struct.pack("<I", 1000), *blobs], pa.binary())], names=["stream", "kind", "seq", "data"])
+    out = list(msrc._with_tables(iter([batch])))
+    assert [d for b in out for d in b.column(1).to_pylist()][1:] == blobs
+    assert max(b.nbytes for b in out) < 3 << 20  # 10 MB at once before
+
+    record = msrc.encode_record("q", None, None)
+    rows = pa.RecordBatch.from_pylist([{"file": f"f{k}", "size": 8 + len(record), "w": 0, "data": struct.pack("<II", 1, 8) + record,
+                                        "i": [0], "starts": [8], "following": 8 + len(record)} for k in range(300)])
+    out = list(msrc._of_windows(512)(iter([rows])))
+    assert len(out) == 1 and out[0].column("question").to_pylist() == ["q"] * 300  # a frame for each window before
+    assert out[0].column("fault").null_count == 300
