@@ -127,10 +127,13 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 def roundtrip_check(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
     """K3 + K4: per row token count, id checksum, unknowns and whether every
-    position decodes back to its token. Equal tokens of a row are counted
-    first, so that they are encoded and decoded once."""
+    position decodes back to its token. Equal tokens are counted per row, and
+    every distinct one is encoded and decoded once for all rows that hold it;
+    its rows meet id and decoded token in one join."""
     counted = _stored(tokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")), "token-counts")
-    dec = decode(_stored(encode(counted, vocab, weight="n"), "token-ids"), vocab)
+    distinct = counted.groupBy("token").agg(F.count(F.lit(1)).alias("_rows"))
+    dec = _stored(decode(_stored(encode(_stored(distinct, "tokens"), vocab), "token-ids"), vocab), "token-decoded")
+    dec = lookup_join(counted, dec, ["token"], "_rows", F.struct(*counted.columns))
     return dec.groupBy(key).agg(
         F.sum("n").alias("n_tokens"), F.sum(F.col("token_id") * F.col("n")).alias("id_sum"),
         F.sum(F.when(F.col("token_id") == UNKNOWN_ID, F.col("n")).otherwise(0)).alias("n_unknown"),

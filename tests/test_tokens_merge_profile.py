@@ -282,3 +282,14 @@ def test_incomplete_tensors_are_rejected(spark):
     w = merge.weights_frame(spark, [("m1", 1.0), ("m2", 1.0)])
     assert [(r["tensor"], r["values"]) for r in merge.merge_linear(df, w).collect()] == [("v", [2.0])]
     assert sorted(r["tensor"] for r in merge.merge_rejects(df, w).collect()) == ["t", "u"]
+
+
+def test_roundtrip_encodes_a_token_once(spark, monkeypatch):
+    seen = []
+    encode = tokens.encode
+    monkeypatch.setattr(tokens, "encode", lambda t, *a, **k: (seen.append(t.count()), encode(t, *a, **k))[1])
+    rows = spark.createDataFrame([(d, t) for d in range(50) for t in ("a", "b", "b", "c", None)] + [(None, "a")], "doc_id int, token string")
+    vocab = spark.createDataFrame([(0, "b"), (7, "a")], "token_id long, token string")
+    got = {r.doc_id: tuple(r)[1:] for r in tokens.roundtrip_check(rows, vocab).collect()}
+    assert got == {**{d: (5, 7 + 0 + 0 - 1 - 1, 2, False) for d in range(50)}, None: (1, 7, 0, True)}
+    assert seen == [4]  # not once for each of 50 rows
