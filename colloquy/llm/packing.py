@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,79 +34,126 @@ VOCABULARY = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 MEMO = 800_000
-_TAIL = re.compile(rb"(.*[a-z])([.,]|!!)\Z", re.S)
+SLICE_BYTES = 4 << 20  # of texts encoded at once
+# how the vocabulary's tokenizer cuts units; the same for ASCII and the letters of Latin-1
+_UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_UNIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # of ASCII, without the apostrophe
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(own)))}
 
 
 class _Ids(dict):
     """Chunk of a text (no ASCII white space) -> its ids as little-endian uint32.
 
     The tokenizer drops white space before it looks at anything else and never
-    merges across it, so a text's ids are those of its chunks in order.
+    merges across it, so a text's ids are those of its chunks in order. A chunk
+    of ASCII and Latin-1 letters is cut into units here, and new units go to
+    the tokenizer's model; any other chunk goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.units, self.letters = Tokenizer(self.tokenizer.model), _byte_letters()
+        self.units.pre_tokenizer = WhitespaceSplit()
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [(spec[k] or {}).get(f"{k}s" if k == "normalizer" else "pretokenizers", []) for k in ("normalizer", "pre_tokenizer")]
+        self.cuts_units = ([x["type"] for x in steps[0]] == ["NFC", "Replace", "Lowercase"]
+                           and [x["type"] for x in steps[1]] == ["Split", "ByteLevel"]
+                           and steps[1][0]["pattern"] == {"Regex": _UNITS} and not steps[1][1]["add_prefix_space"]
+                           and spec["post_processor"] is None and bool(end := spec["model"].get("end_of_word_suffix")))
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
-        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
-        for token, i in vocabulary.items():
-            self.ends_word[i] = bool(suffix) and token.endswith(suffix)
-
-    @staticmethod
-    def chunks(text: str) -> list[bytes]:
-        raw = text.encode("utf-8", "surrogatepass")
-        if b"<|" not in raw:  # marks of special tokens are case-sensitive; all else is lower-cased anyway
-            raw = raw.lower()
-        return raw.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; unknown chunks of all of them are encoded at once."""
-        split = [self.chunks(t) for t in texts]
-        new = {c for chunks in split for c in chunks if c not in self}
-        if len(self) + len(new) > MEMO:
+        self.ends_unit = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
+        self.ends_unit[[i for token, i in vocabulary.items() if end and token.endswith(end)]] = True
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, memoryview]:
+        """Bytes of ids: where each text begins and the last ends, and all of
+        them. Each distinct chunk is looked up once."""
+        # marks of special tokens are case-sensitive; all else is lower-cased anyway
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        names = _values(chunks.dictionary)
+        new = [c for c in names if c not in self]
+        if len(self) + 2 * len(new) > MEMO:
             self.clear()
-            new = {c for chunks in split for c in chunks}
+            new = names
         self.learn(new)
-        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
-
-    def learn(self, new: set[bytes]) -> None:
-        tails = {c: m for c in new if (m := _TAIL.match(c))}
-        heads = {p for m in tails.values() for p in m.groups() if p not in self}
-        plain = {c: c.decode("utf-8", "replace") for c in (new - tails.keys()) | heads}
-        single = self.learn_words([c for c, t in plain.items() if t.isalpha()], plain)
-        single += [c for c, t in plain.items() if not t.isalpha()]
-        for s in range(0, len(single), 4096):
-            part = single[s:s + 4096]
-            for chunk, ids in zip(part, self.ids_of([plain[c] for c in part])):
-                self[chunk] = ids.tobytes()
-        for chunk, m in tails.items():
-            self[chunk] = self[m[1]] + self[m[2]]
-
-    def learn_words(self, words: list[bytes], plain: dict[bytes, str]) -> list[bytes]:
-        """Words of letters only are one unit each, and the last id of a unit
-        carries the word end; so they are encoded many to a call and split at
-        those ids. Returns the words of calls that do not split evenly."""
+        blobs = [self[c] for c in names]
+        ends = np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)))
+        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(blobs), [None, pa.py_buffer(np.r_[np.int64(0), ends]), pa.py_buffer(b"".join(blobs))])
+        _, offsets, values = ids.take(chunks.indices).buffers()
+        at = np.frombuffer(offsets, np.int64) if offsets else np.zeros(1, np.int64)
+        first = split.offsets.to_numpy()
+        return at[first - first[0]], memoryview(values or b"")
+
+    def learn(self, new: list[bytes]) -> None:
+        """Cuts chunks into units, has the model encode the new ones, many to a
+        call, and puts the chunks together."""
+        hard, units, tailed, cut = [], set(), [], {}
+        for chunk in new:
+            if not self.cuts_units:
+                hard.append(chunk)
+            elif chunk.isalpha() and chunk.islower():  # letters of ASCII
+                units.add(chunk)
+            elif (head := chunk.rstrip(_MARKS)).isalpha() and head.islower():
+                tailed.append((chunk, head, chunk[len(head):]))
+            elif b"<|" not in chunk and _PLAIN.fullmatch(text := chunk.decode("utf-8", "replace")):
+                cut[chunk] = [u.encode() for u in _UNIT.findall(text.lower())]
+            else:
+                hard.append(chunk)
+        units.update([t[1] for t in tailed], [t[2] for t in tailed], *cut.values())
+        units = [u for u in units if u not in self]
+        for s in range(0, len(units), 8192):
+            hard += self.learn_units(units[s:s + 8192])
+        for s in range(0, len(hard), 4096):
+            part = hard[s:s + 4096]
+            texts = [c.decode("utf-8", "replace") for c in part]
+            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                self[chunk] = np.array(e.ids, "<u4").tobytes()
+        for chunk, head, tail in tailed:
+            self[chunk] = self[head] + self[tail]
+        for chunk, u in cut.items():
+            self[chunk] = b"".join([self[x] for x in u])
+
+    def learn_units(self, units: list[bytes]) -> list[bytes]:
+        """The last id of a unit carries the end of a word, so units are
+        encoded many to a call and split at those ids. Returns the units of
+        calls that do not split evenly."""
         failed = []
-        groups = [words[i:i + 128] for i in range(0, len(words), 128)]
-        for s in range(0, len(groups), 64):
-            part = groups[s:s + 64]
-            for group, ids in zip(part, self.ids_of([" ".join([plain[w] for w in g]) for g in part])):
-                ends = np.flatnonzero(self.ends_word[ids]) + 1
-                if len(ends) != len(group):
-                    failed += group
-                    continue
-                raw, at = ids.tobytes(), 0
-                for word, end in zip(group, (4 * ends).tolist()):
-                    self[word] = raw[at:end]
-                    at = end
+        names = [u.decode("latin-1") if u.isascii() else u.decode("latin-1").translate(self.letters) for u in units]
+        groups = range(0, len(units), 128)
+        encoded = self.units.encode_batch_fast([" ".join(names[s:s + 128]) for s in groups], add_special_tokens=False)
+        for s, e in zip(groups, encoded):
+            ids, group = np.array(e.ids, "<u4"), units[s:s + 128]
+            ends = np.flatnonzero(self.ends_unit[ids]) + 1
+            if len(ends) != len(group):
+                failed += group
+                continue
+            raw, at = ids.tobytes(), 0
+            for unit, end in zip(group, (4 * ends).tolist()):
+                self[unit] = raw[at:end]
+                at = end
         return failed
 
-    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+def _values(strings: pa.Array) -> list[bytes]:
+    """The values of a string array without nulls."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int32, len(strings) + 1, 4 * strings.offset).tolist() if len(strings) else [0]
+    raw = bytes(memoryview(data)[:at[-1]]) if data else b""
+    return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -114,15 +162,24 @@ def _ids(path: str) -> _Ids:
     return _Ids(path)
 
 
+def _by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``SLICE_BYTES`` of text, of one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    ends = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES, append=-1)) + 1
+    for start, end in zip([0, *ends.tolist()], ends.tolist()):
+        yield batch.slice(start, end - start)
+
+
 def _encode(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, offset, ids = TaskContext.get().partitionId(), 0, _ids(path)
         for batch in batches:
-            for s in range(0, batch.num_rows, 256):
-                some = batch.slice(s, 256)
-                blobs = [b + end for b in ids.encode([t or "" for t in some.column("text").to_pylist()])]
+            for some in _by_bytes(batch):
+                at, values = ids.encode(some.column("text"))
+                at = at.tolist()
+                blobs = [bytes(values[a:b]) + end for a, b in zip(at, at[1:])]
                 n = np.array([len(b) // 4 for b in blobs], np.int64)
                 begin = offset + np.cumsum(n) - n
                 offset += int(n.sum())

@@ -410,6 +410,44 @@ def test_packing_round_trip(spark, rows):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_packing_ids_of_any_chunk():
+    """Chunks cut into units here have the ids that the whole tokenizer gives; only the others go through it."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    ids = packing._Ids(public_tokenizers.path(packing.VOCABULARY))
+    whole, seen = ids.tokenizer, []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **kw):
+            seen.extend(texts)
+            return whole.encode_batch_fast(texts, **kw)
+    ids.tokenizer = Watched()
+    ids.learn({b"words", b"Rated%%%", b"don't", "Été,élan".encode(), "Maß".encode(), b"x-9_y"})
+    assert not seen
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcXYZ'stremvld019.,!?$%<|>-_\"()[]{}~`^&*#@/\\:;=+ÀÉÖØÞßàéöøÿ×÷½«ªºİ\u0301Σµ\u00a0\u0178 \t\n\x0b\x1c\x85\x00\x7f"))
+    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(3000)]
+    texts += [None, "", "  a ", "<|endoftext|>X", "a<|STARTOFTEXT|>b'S X", "I'LL we'Ve ''s s't're 'sun", "İSTANBUL ΑΣ Σ", "X" * 500]
+    at, raw = ids.encode(pa.array(texts))
+    expected = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [bytes(raw[a:b]) for a, b in zip(at, at[1:])] == expected
+    assert seen
+    assert len(ids.encode(pa.array([], pa.string()))[0]) == 1
+    part = pa.array([*texts, "é b", "c"]).slice(len(texts))
+    assert [bytes(raw[a:b]) for at, raw in [ids.encode(part)] for a, b in zip(at, at[1:])] == [
+        np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ("é b", "c")]
+
+
+def test_packing_slices_hold_all_rows(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "SLICE_BYTES", 10)
+    for texts in ([], [None], ["a" * 35, None, "", "b", "c" * 9, "d"], ["", ""]):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+        assert [t for part in packing._by_bytes(batch) for t in part.column("text").to_pylist()] == texts
+
+
 # ------------------------------------------------------------------ 9
 def test_word_piece_counts(spark, rows):
     path = wordpiece.default_vocabulary()
