@@ -44,17 +44,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def drop_stored(*tables: DataFrame) -> None:
-    """Remove tables made by ``stored`` whose last reader is done, and let
-    Spark remove the shuffle files of finished steps: it does so when the
-    driver's collector meets the objects that refer to them, which a large
-    heap puts off for long."""
-    import gc
-
+def drop_stored(*tables: DataFrame, wait: float = 0.0) -> None:
+    """Remove tables made by ``stored`` whose last reader is done, and the
+    shuffle files of finished steps."""
     for df in tables:
         delete_path(df.sparkSession, df._scratch)
+    free_shuffles(tables[0].sparkSession, wait)
+
+
+def free_shuffles(spark: SparkSession, wait: float = 0.0) -> None:
+    """Let Spark remove the shuffle files of finished steps: it does so when
+    the driver's collector meets the objects that refer to them, which a large
+    heap puts off for long. Events of the last step that no listener has seen
+    yet still refer to its files; ``wait`` gives them so many seconds."""
+    import gc
+    import time
+
+    time.sleep(wait)
     gc.collect()
-    tables[0].sparkSession.sparkContext._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def free_name(df: DataFrame, name: str) -> str:

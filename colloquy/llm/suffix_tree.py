@@ -8,28 +8,31 @@ symbol.
 1. Texts are written once as blocks of about ``BLOCK_TOKENS`` tokens: a local
    vocabulary with training counts, and the tokens as local ids. The local
    vocabularies are summed to the counts of all words; words seen
-   ``MIN_COUNT`` times get an id. Every block keeps, per token, the state
-   before it and the edge it is, at the depth reached so far.
-2. A level lengthens retained states by one word. Each block names its distinct
-   grams: (state, word before it) and, where the token is an edge, (edge, word
-   before the state). Grams are dealt by hash to groups of about ``GROUP_TOKENS``
-   tokens, as one row of packed arrays a block and group; the number of groups
-   grows with the corpus. A group sums the training counts; grams seen
-   ``MIN_COUNT`` times stay, with the blocks that use them. A gram is only named
-   if its shorter parts were seen that often, which loses none. A block names
-   a gram once, so no gram holds more than one entry a block.
-3. A longer context is retained if its next-symbol distribution diverges from
-   that of its parent: Kullback-Leibler divergence of ``MIN_DIVERGENCE`` nats
-   and count times divergence of ``MIN_GAIN``. Only retained contexts are
-   lengthened; levels end when none is left, or at ``MAX_DEPTH``.
-4. Smoothing: absolute discounting. What a state takes from its own edges
+   ``MIN_COUNT`` times get an id by falling count, so that a few steps (one
+   per distinct count) tell the count of any id.
+2. A window is a token with the words before it, nearest first, as far as a
+   context may reach: ``MAX_DEPTH`` words, the start of the text, or a word
+   without an id. All contexts of a token end in the same word, so windows are
+   dealt by the nearest word to groups of about ``GROUP_TOKENS`` tokens, as one
+   row of packed arrays a block and group; a group holds all that its contexts
+   need. The number of groups grows with the corpus.
+3. Frequent contexts, with more than ``1 / FREQUENT`` of a group's tokens, do
+   not fit this. Their windows are dealt by the next word back (or evenly, where
+   there is none) to as many groups as they need. Their counts of next symbols are
+   summed by Spark and join those groups as windows with a weight. There are
+   at most ``2 * FREQUENT`` of them a group and depth, by counting.
+4. Contexts are lengthened word by word. A longer context is retained if its
+   next-symbol distribution diverges from that of its parent:
+   Kullback-Leibler divergence of ``MIN_DIVERGENCE`` nats and count times
+   divergence of ``MIN_GAIN``. Only retained contexts are lengthened; levels end
+   when none is left, or at ``MAX_DEPTH``.
+5. Smoothing: absolute discounting. What a state takes from its own edges
    goes to all other symbols in proportion to the parent state. The root
    gives words (c - d) / N and the unknown word d * V / N.
-5. What a block's grams became returns to it: the new states and edges of its
-   tokens, and what they change in the scores of its texts.
+6. What the states change in the scores returns to the blocks as sums a text.
 
-States and edges are tables and never reach the driver; tables of a level are
-removed after their last reader.
+Windows are dealt in ``SLICES`` steps, each of which frees its shuffle files.
+The driver gets the steps of the word counts and the frequent contexts.
 
 Defined results: a null, empty or blank text is its end alone; without
 training texts every probability is 1 (score 0); a null doc_id hashes like
@@ -38,9 +41,7 @@ the empty text; repeated rows each count. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,26 +49,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import crc32_bucket, drop_stored, stored
-from colloquy.operators.skew import lookup_join
+from colloquy.llm.common import crc32_bucket, drop_stored, free_shuffles, stored
+from colloquy.operators.indexing import dense_index
 
 BLOCK_TOKENS = 1_000_000
 MIN_COUNT = 3
 MIN_DIVERGENCE, MIN_GAIN = 0.005, 10.0
 MAX_DEPTH = 6
-SLICES = 4  # blocks are renewed in so many steps, each of which frees its old blocks
+SLICES = 3
+SETTLE_S = 1.0  # large shuffle files are freed after so long, see free_shuffles
 DISCOUNT = 0.75
 END = b""  # a word is never empty
 GROUP_TOKENS = 2_000_000
+FREQUENT = 2
 _CODEC = pa.Codec("zstd")
 
 _BLOCK_SCHEMA = ("block long, words array<binary>, counts array<long>, doc_ids array<long>, "
                  "held array<boolean>, sizes array<long>, tokens binary")
 _BODY_SCHEMA = ("block long, doc_ids array<long>, held array<boolean>, sizes array<long>, known array<long>, base array<double>, "
-                "score array<double>, gids array<long>, tokens binary, state binary, edge binary")
-_CHUNK_SCHEMA = "part long, block long, k long, a binary, x binary, n binary"
-_MERGED_SCHEMA = "part long, block long, k long, at binary, gram binary, a array<long>, x array<long>, n array<long>"
-_REPLY_SCHEMA = "of long, k long, part long, at binary, id binary, v binary"
+                "score array<double>, gids array<long>, tokens binary")
+_WINDOW_SCHEMA = "part long, block long, k long, y binary, before binary, flag binary, text binary, n binary"
+_REPLY_SCHEMA = "of long, k long, text binary, v binary"
 
 
 class _Local(dict):
@@ -130,202 +132,302 @@ def _unpacked(value: pa.Scalar, kind, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
-@dataclass
-class _Body:
-    """One block as arrays. ``gids``: global ids of its words, -1 without one.
-    Per token: ``state`` before it, ``edge`` that it is, both of the depth
-    reached and -1 where there is none."""
-
-    row: dict
-    sizes: np.ndarray
-    held: np.ndarray
-    gids: np.ndarray
-    tokens: np.ndarray
-    state: np.ndarray
-    edge: np.ndarray
-
-    @classmethod
-    def read(cls, batch: pa.RecordBatch, i: int = 0) -> _Body:
-        row = {c: batch.column(c)[i] for c in batch.schema.names}
-        get = lambda c: row[c].values.to_numpy(zero_copy_only=False)
-        n = int(get("sizes").sum())
-        tokens, gids = _unpacked(row["tokens"], np.uint32, n), get("gids")
-        if row["state"].is_valid:
-            state, edge = (_unpacked(row[c], np.int64, n) for c in ("state", "edge"))
-        else:  # depth 0: every token is after the root, and an edge of it if its word has an id
-            state, edge = np.zeros(n, np.int64), gids[tokens]
-        return cls(row, get("sizes"), get("held").astype(bool), gids, tokens, state, edge)
-
-    @property
-    def first(self) -> np.ndarray:
-        return np.cumsum(self.sizes) - self.sizes
-
-    def longer(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(places, local ids of the word before the state, whether training
-        text) where the state of ``depth`` words can be lengthened."""
-        at = np.flatnonzero(self.state >= 0)
-        text = np.searchsorted(self.first, at, side="right") - 1
-        inside = at - self.first[text] > depth
-        at, text = at[inside], text[inside]
-        # the longer context is the gram that ends one token earlier: an edge, if its state was looked at
-        rare = (self.state[at - 1] >= 0) & (self.edge[at - 1] < 0)
-        x = self.tokens[at - depth - 1].astype(np.int64)
-        keep = ~rare & (self.gids[x] >= 0)
-        return at[keep], x[keep], ~self.held[text[keep]]
-
-
-@dataclass
-class _Grams:
-    """Distinct grams of a block, by group: ``a`` is an edge, or -1 - state for
-    the context itself, ``x`` the word before, ``n`` the training count.
-    ``ends``: where each group ends. ``uses``: places and their grams, for
-    contexts and for edges."""
-
-    a: np.ndarray
-    x: np.ndarray
-    n: np.ndarray
-    ends: np.ndarray
-    uses: list[tuple[np.ndarray, np.ndarray]]
-
-    @classmethod
-    def of(cls, body: _Body, depth: int, groups: int) -> _Grams:
-        at, before, train = body.longer(depth)
-        live = body.edge[at] >= 0
-        found, uses, size = [], [], 0
-        for ids, places, x, counts in ((-1 - body.state[at], at, before, train), (body.edge[at[live]], at[live], before[live], train[live])):
-            distinct, i = np.unique(ids, return_inverse=True)
-            keys, which = np.unique((i.astype(np.int64) << np.int64(32)) | x, return_inverse=True)
-            found.append((distinct[keys >> np.int64(32)], body.gids[keys & _LOW], np.bincount(which[counts], minlength=len(keys))))
-            uses.append((places, which + size))
-            size += len(keys)
-        a, x, n = (np.concatenate(v) for v in zip(*found))
-        group = _group(a, x, groups)
-        order = np.argsort(group, kind="stable")
-        moved = np.empty(size, np.int64)
-        moved[order] = np.arange(size)
-        ends = np.cumsum(np.bincount(group, minlength=groups))
-        return cls(a[order], x[order], n[order], ends, [(places, moved[which]) for places, which in uses])
-
-
-def _group(a: np.ndarray, x: np.ndarray, groups: int) -> np.ndarray:
-    """A group of each gram, evenly by a mixing hash."""
+class _Windows:
+    """A block's tokens: ids (-1: none), their texts, whether training text."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        get = lambda c: batch.column(c)[i].values.to_numpy(zero_copy_only=False)
+        sizes = get("sizes")
+        n = int(sizes.sum())
+        self.ids = get("gids").astype(np.int32)[_unpacked(batch.column("tokens")[i], np.uint32, n)]
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.place = np.arange(n, dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+        self.train = np.repeat(~get("held").astype(bool), sizes)
+
+    def before(self, depth: int) -> Iterator[np.ndarray]:
+        """Ids of the words before, the nearest first; -1 beyond the context."""
+        reaches = np.ones(len(self.ids), bool)
+        for k in range(1, depth + 1):
+            words = np.full(len(self.ids), -1, np.int32)
+            words[k:] = self.ids[:-k]
+            reaches &= (self.place >= k) & (words >= 0)
+            words[~reaches] = -1
+            yield words
+
+
+def _mixed(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """A hash of each pair."""
     h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + x.astype(np.uint64)
     for shift in (32, 29):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)
+    return h >> np.uint64(16)
+
+
+def _pairs(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return (a.astype(np.int64) << np.int64(32)) | x.astype(np.int64)
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and which of them each is; keys that are small
+    numbers need no sort."""
+    if len(keys) and keys.max() < 4 * len(keys):
+        there = np.zeros(int(keys.max()) + 1, bool)
+        there[keys] = True
+        return np.flatnonzero(there), (np.cumsum(there) - 1)[keys]
+    return np.unique(keys, return_inverse=True)
+
+
+class _Frequent:
+    """Contexts with more windows than a group should hold, numbered from 1 (0
+    is the empty context), and the groups that windows are dealt to.
+    ``found``: (words, nearest first, and their windows), parents included."""
+
+    def __init__(self, found: list[tuple[tuple[int, ...], int]], groups: int, limit: int):
+        found = sorted(found, key=lambda f: (len(f[0]), f[0]))
+        number = {(): 0} | {path: i for i, (path, _) in enumerate(found, 1)}
+        self.paths = list(number)
+        self.groups = groups
+        self.parents = np.array([number[path[:-1]] for path in self.paths], np.int64)
+        self.spread = np.array([groups, *(min(groups, 1 + 2 * n // limit) for _, n in found)], np.int64)
+        ids = np.arange(len(self.paths))
+        self.start = np.where(ids > 0, _mixed(ids, ids) % np.uint64(groups), 0).astype(np.int64)
+        keys = _pairs(self.parents[1:], np.array([path[-1] for path, _ in found], np.int64))
+        order = np.argsort(keys)
+        self.keys, self.numbers = keys[order], order + 1
+        self.depth = max(map(len, self.paths))
+        self.lots = 1 + sum(n for _, n in found) // GROUP_TOKENS
+        self.targets = [set() for _ in self.paths]  # groups with windows of a frequent context
+        for i in ids[:0:-1].tolist():
+            mine = self.targets[i]
+            mine.update(((self.start[i] + np.arange(self.spread[i])) % groups).tolist())
+            if self.parents[i]:
+                self.targets[self.parents[i]] |= mine
+
+    def longest(self, before: Iterable[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number, length) of the longest frequent context of ``n`` windows."""
+        number, length = np.zeros(n, np.int64), np.zeros(n, np.int8)
+        live = np.arange(n)
+        for k, words in zip(range(self.depth), before):
+            keys = _pairs(number[live], words[live])
+            live = live[(words[live] >= 0) & (keys <= self.keys[-1])]
+            keys = _pairs(number[live], words[live])
+            i = np.searchsorted(self.keys, keys)
+            hit = self.keys[i] == keys
+            live = live[hit]
+            number[live], length[live] = self.numbers[i[hit]], k + 1
+        return number, length
+
+    def group(self, before: np.ndarray, number: np.ndarray, length: np.ndarray) -> np.ndarray:
+        places = np.arange(before.shape[1])
+        word = np.where(length < len(before), before[np.minimum(length, len(before) - 1), places], -1)
+        h = _mixed(number, np.where(word >= 0, word, places + (1 << 32)))
+        return (self.start[number] + (h % self.spread[number].astype(np.uint64)).astype(np.int64)) % self.groups
+
+
+def _often(depth: int, blocks: int, limit: int):
+    """(path, n) of contexts that may be frequent. Where all blocks together
+    have more than ``limit`` windows of one, those named have more than half."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                windows, paths = _Windows(batch, i), [()]
+                live, number = np.arange(len(windows.ids)), np.zeros(len(windows.ids), np.int64)
+                for words in windows.before(depth):
+                    live = live[words[live] >= 0]
+                    keys, which = _numbered(_pairs(number[live], words[live]))
+                    n = np.bincount(which, minlength=len(keys))
+                    often = n * blocks * 2 > limit
+                    paths = [paths[k >> 32] + (k & ((1 << 32) - 1),) for k in keys[often].tolist()]
+                    if not paths:
+                        break
+                    yield pa.RecordBatch.from_arrays([pa.array([list(p) for p in paths], pa.list_(pa.int64())), pa.array(n[often])], names=["path", "n"])
+                    live, which = live[often[which]], which[often[which]]
+                    number[live] = (np.cumsum(often) - 1)[which]
+    return run
 
 
-_LOW = np.int64((1 << 32) - 1)
+def _next_symbols(frequent: _Frequent):
+    """Training counts of the symbols after frequent contexts, as one row of
+    packed arrays a block and lot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                windows, found = _Windows(batch, i), []
+                number, _ = frequent.longest(windows.before(frequent.depth), len(windows.ids))
+                at = np.flatnonzero(windows.train & (number > 0))
+                keys, which = _numbered(_pairs(number[at], windows.ids[at] + 1))
+                n = np.bincount(which, minlength=len(keys))
+                while len(keys):
+                    found.append((keys, n))
+                    context = frequent.parents[keys >> np.int64(32)]
+                    inner = context > 0
+                    keys, which = _numbered(_pairs(context[inner], keys[inner] & _LOW))
+                    n = np.bincount(which, n[inner], len(keys)).astype(np.int64)
+                if found:
+                    keys, n = (np.concatenate(v) for v in zip(*found))
+                    lot = (_mixed(keys >> np.int64(32), keys & _LOW) % np.uint64(frequent.lots)).astype(np.int64)
+                    for j in np.unique(lot).tolist():
+                        mine = np.flatnonzero(lot == j)
+                        yield pa.RecordBatch.from_arrays([pa.array([j], pa.int64()), pa.array([len(mine)], pa.int64()), _packed(keys[mine]), _packed(n[mine])],
+                                                         names=["lot", "k", "keys", "n"])
+    return run
 
 
-def _batch(schema: str, **columns) -> pa.RecordBatch:
-    """A record batch of one row; arrays become lists."""
-    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
-    names = [f.split() for f in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns[c], pa.Array) else pa.array([columns[c]], kinds[k]) for c, k in names],
-                                      names=[c for c, _ in names])
+_LOW = np.int64((1 << 32) - 1)
 
 
-def _steps(at: np.ndarray) -> pa.Array:
-    """Rising positions, packed as differences."""
-    return _packed(np.diff(at, prepend=0).astype(np.int32))
+def _row(part: int, block: int | None, y, before, flag, text, n) -> pa.RecordBatch:
+    none = pa.array([None], pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int64()), pa.array([block], pa.int64()), pa.array([len(y)], pa.int64()), _packed(y + 1), _packed((before + 1).reshape(-1)),
+         _packed(flag.astype(np.uint8)), none if text is None else _steps(text), none if n is None else _packed(n)],
+        names=["part", "block", "k", "y", "before", "flag", "text", "n"])
+
+
+def _weighted(depth: int, frequent: _Frequent):
+    """Counted symbols of frequent contexts as windows for the groups that
+    need them. Symbols that are no edge of a frequent context are none of a
+    longer one: one window a context for their sum."""
+    def run(lots: pa.Table) -> pa.Table:
+        read = lambda c: np.concatenate([_unpacked(v, np.int64, k.as_py()) for v, k in zip(lots.column(c), lots.column("k"))])
+        keys, which = np.unique(read("keys"), return_inverse=True)
+        n = np.bincount(which, read("n"), len(keys))
+        keys, which = np.unique(np.where(n >= MIN_COUNT, keys, keys & ~_LOW), return_inverse=True)
+        n = np.bincount(which, n, len(keys)).astype(np.int64)
+        context, y = keys >> np.int64(32), ((keys & _LOW) - 1).astype(np.int32)
+        paths = np.array([(*path, *(-1,) * (depth - len(path))) for path in frequent.paths], np.int32).reshape(-1, depth)
+        lengths = (paths >= 0).sum(axis=1)
+        for_group = np.zeros((len(paths), frequent.groups), bool)
+        for c in np.unique(context).tolist():
+            for_group[c, list(frequent.targets[c])] = True
+        out = []
+        for g in np.flatnonzero(for_group.any(axis=0)).tolist():
+            mine = for_group[context, g]
+            out.append(_row(g, None, y[mine], paths[context[mine]].T, 2 * lengths[context[mine]], None, n[mine]))
+        return pa.Table.from_batches(out)
+    return run
 
 
-def _chunks(depth: int, groups: int):
-    """One row per block and group: its grams as packed arrays."""
+def _dealt(depth: int, frequent: _Frequent, step: int):
+    """The windows of a block for the groups of one step, a row each. flag:
+    length of the shortest context that is not frequent, and whether training text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                grams = _Grams.of(_Body.read(batch, i), depth, groups)
+                windows = _Windows(batch, i)
+                before = np.stack(list(windows.before(depth)))
+                number, length = frequent.longest(before, len(windows.ids))
+                group = frequent.group(before, number, length)
+                flag = 2 * (length + 1) + windows.train
+                at = np.flatnonzero((before[0] >= 0) & (group % SLICES == step))
+                at = at[np.argsort(group[at].astype(np.min_scalar_type(frequent.groups)), kind="stable")]
+                ends = np.flatnonzero(np.diff(group[at], append=-1)) + 1
                 block, start = batch.column("block")[i].as_py(), 0
-                for part, end in enumerate(grams.ends.tolist()):
-                    if end > start:
-                        a = grams.a[start:end]
-                        yield _batch(_CHUNK_SCHEMA, part=part, block=block, k=end - start, a=_packed(np.diff(a, prepend=np.int64(0))),
-                                     x=_packed(grams.x[start:end]), n=_packed(grams.n[start:end].astype(np.int32)))
+                for end in ends.tolist() if len(at) else ():
+                    mine = at[start:end]
+                    yield _row(int(group[mine[0]]), block, windows.ids[mine], before[:, mine], flag[mine], windows.text[mine], None)
                     start = end
     return run
 
 
-def _merged(chunks: pa.Table) -> pa.Table:
-    """A group's grams that stay (one row without a block), and per block
-    which of them it uses (positions in its chunk and among those grams)."""
-    chunks = chunks.combine_chunks()
-    sizes = chunks.column("k").to_numpy()
-    read = lambda c, kind: [_unpacked(v, kind, k) for v, k in zip(chunks.column(c), sizes.tolist())]
-    a = np.concatenate([np.cumsum(v) for v in read("a", np.int64)])
-    x, n = np.concatenate(read("x", np.int64)), np.concatenate(read("n", np.int32)).astype(np.int64)
-    order = np.lexsort((x, a))
-    a, x = a[order], x[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (x[1:] != x[:-1])]
-    first = np.flatnonzero(new)
-    total = np.add.reduceat(n[order], first)
-    stays = total >= MIN_COUNT
-    number = np.where(stays, np.cumsum(stays) - 1, -1)
-    gram = np.empty(len(order), np.int32)
-    gram[order] = number[np.cumsum(new) - 1]
-    first = first[stays]
-    part, none = chunks.column("part")[0].as_py(), pa.array([None], pa.list_(pa.int64()))
-    out = [_batch(_MERGED_SCHEMA, part=part, block=None, k=len(first), at=None, gram=None, a=a[first], x=x[first], n=total[stays])]
-    for block, mine in zip(chunks.column("block").to_pylist(), np.split(gram, np.cumsum(sizes)[:-1])):
-        at = np.flatnonzero(mine >= 0)
-        if len(at):
-            out.append(_batch(_MERGED_SCHEMA, part=part, block=block, k=len(at), at=_steps(at), gram=_packed(mine[at]), a=none, x=none, n=none))
-    return pa.Table.from_batches(out)
-
-
-def _replies(uses: pa.Table, found: pa.Table) -> pa.Table:
-    """Per block of a group: ids and values of those of its grams that became
-    a state or an edge, by position in its chunk."""
-    kinds = {"of": pa.int64(), "k": pa.int64(), "part": pa.int64(), "at": pa.binary(), "id": pa.binary(), "v": pa.binary()}
-    out = [pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds.values()], names=list(kinds))]
-    i = found.column("i").to_numpy()
-    ids, values = np.full(i.max(initial=-1) + 1, -1, np.int64), np.zeros(i.max(initial=-1) + 1)
-    ids[i], values[i] = found.column("id").to_numpy(), found.column("v").to_numpy()
-    for row in uses.combine_chunks().to_batches():
-        for j in range(row.num_rows):
-            part, block, k = (row.column(c)[j].as_py() for c in ("part", "block", "k"))
-            at, gram = (_unpacked(row.column(c)[j], np.int32, k) for c in ("at", "gram"))
-            at = np.cumsum(at)
-            keep = gram < len(ids)
-            keep[keep] = ids[gram[keep]] >= 0
-            if keep.any():
-                at, gram = at[keep], gram[keep]
-                out.append(_batch(_REPLY_SCHEMA, of=block, k=len(at), part=part, at=_steps(at), id=_packed(ids[gram]), v=_packed(values[gram])))
-    return pa.Table.from_batches(out)
-
-
-def _extended(depth: int, groups: int):
-    """A block after a level: states, edges and scores from the replies to its
-    grams; v: log10 of what they change."""
-    def run(bodies: pa.Table, replies: pa.Table) -> pa.Table:
-        body = _Body.read(bodies.combine_chunks().to_batches()[0])
-        grams = _Grams.of(body, depth, groups)
-        ids, values = np.full(len(grams.a), -1, np.int64), np.zeros(len(grams.a))
-        starts = np.r_[0, grams.ends]
-        for part, k, at, new, v in zip(*(replies.column(c) for c in ("part", "k", "at", "id", "v"))):
-            at = starts[part.as_py()] + np.cumsum(_unpacked(at, np.int32, k.as_py()))
-            ids[at], values[at] = _unpacked(new, np.int64, k.as_py()), _unpacked(v, np.float64, k.as_py())
-        change, reached = np.zeros(len(body.tokens)), []
-        for places, which in grams.uses:
-            ids_, there = np.full(len(body.tokens), -1, np.int64), ids[which] >= 0
-            ids_[places] = ids[which]
-            change[places[there]] = values[which[there]]  # an edge, looked up second, replaces the factor of its state
-            reached.append(ids_)
-        score = body.row["score"].values.to_numpy(zero_copy_only=False) + np.add.reduceat(change, body.first)
-        return _body_table({**body.row, "score": score, "state": reached[0], "edge": reached[1]})
+def _steps(at: np.ndarray) -> pa.Array:
+    """Rising positions, packed as differences."""
+    return _packed(np.diff(at, prepend=0).astype(np.int32))
+
+
+def _scored(depth: int, root):
+    """What the states of a group change in the log10 scores of its texts."""
+    def run(chunks: pa.Table) -> pa.Table:
+        chunks = chunks.combine_chunks()
+        sizes = chunks.column("k").to_numpy()
+        read = lambda c, kind: [_unpacked(v, kind, k) if v.is_valid else None for v, k in zip(chunks.column(c), sizes.tolist())]
+        y = np.concatenate(read("y", np.int32)) - 1
+        before = np.concatenate([_unpacked(v, np.int32, depth * k).reshape(depth, k) for v, k in zip(chunks.column("before"), sizes.tolist())], axis=1) - 1
+        flags, counts = read("flag", np.uint8), read("n", np.int64)
+        weight = np.concatenate([f & 1 if n is None else n for f, n in zip(flags, counts)])
+        change = _changes(y, before, weight, np.concatenate(flags) >> 1, root)
+        out = [pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int64(), pa.int64(), pa.binary(), pa.binary())], names=["of", "k", "text", "v"])]
+        ends = np.cumsum(sizes)
+        for block, text, start, end in zip(chunks.column("block").to_pylist(), read("text", np.int32), (ends - sizes).tolist(), ends.tolist()):
+            if block is not None:
+                first = np.flatnonzero(np.r_[True, text[1:] != 0])
+                v = np.add.reduceat(change[start:end], first)
+                text = np.cumsum(text)[first][v != 0]
+                out.append(pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([len(text)], pa.int64()), _steps(text), _packed(v[v != 0])],
+                                                      names=["of", "k", "text", "v"]))
+        return pa.Table.from_batches(out)
     return run
 
 
+def _changes(y: np.ndarray, before: np.ndarray, weight: np.ndarray, counts_from: np.ndarray, root) -> np.ndarray:
+    """Per window, log10 of its symbol's probability after the longest state
+    less that after the root. A window counts with its weight in contexts of
+    ``counts_from`` words or more. root: ids to (share, probability)."""
+    change = np.zeros(len(y))
+    at, state, edge = np.arange(len(y)), np.zeros(len(y), np.int64), y >= 0
+    q, p = root(y)
+    for k, words in enumerate(before, 1):
+        longer = words[at] >= 0
+        at, state, edge, q, p = (v[longer] for v in (at, state, edge, q, p))
+        if not len(at):
+            break
+        n = np.where(counts_from[at] <= k, weight[at], 0)
+        contexts, context = _numbered(_pairs(state, words[at]))
+        m = np.bincount(context, n, len(contexts))
+        live = np.flatnonzero(edge)
+        grams, gram = _numbered(_pairs(context[live], y[at[live]]))
+        seen = np.bincount(gram, n[live], len(grams))
+        one = np.empty(len(grams), np.int64)
+        one[gram] = live  # a window of each gram
+        stays = seen >= MIN_COUNT
+        kept, factor = _retained(m, context[one[stays]], seen[stays], q[one[stays]], p[one[stays]])
+        here = kept[context]
+        edge[live] = stays[gram]
+        found = np.flatnonzero(edge[live] & here[live])
+        found, n = live[found], seen[gram[found]]
+        m = m[context[found]]
+        deeper = (n - DISCOUNT) / m
+        step = np.where(here, np.log10(np.where(kept, factor, 1.0))[context], 0.0)
+        step[found] = np.log10(deeper / p[found])
+        change[at] += step
+        q[found], p[found] = n / m, deeper
+        at, state, edge, q, p = (v[here] for v in (at, context, edge, q, p))
+    return change
+
+
+def _retained(m: np.ndarray, context: np.ndarray, n: np.ndarray, q: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which contexts are retained, and what each leaves to its parent. m:
+    their counts; context, n, q, p: of their edges, with count, and share and
+    probability in the parent state."""
+    total = lambda v: np.bincount(context, v, len(m))
+    edges, own, cross, q, p = total(np.ones(len(n))), total(n), total(n * np.log(n / q)), total(q), total(p)
+    some = edges > 0
+    m = np.where(some, m, 1.0)
+    rest = 1 - own / m
+    kl = (cross - own * np.log(m)) / m
+    kl += np.where(rest > 1e-12, rest * np.log(np.maximum(rest, 1e-12) / np.maximum(1 - q, 1e-12)), 0.0)
+    return some & (kl >= MIN_DIVERGENCE) & (kl * m >= MIN_GAIN), (1 - (own - DISCOUNT * edges) / m) / np.maximum(1 - p, 1e-9)
+
+
+def _root(steps: list, total: int, discount: float):
+    """Share and probability of words after the empty context; steps: rising
+    (first id, count of the ids from it on)."""
+    first, count = (np.array(v, np.int64) for v in zip(*steps))
+
+    def root(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        distinct, which = _numbered(np.maximum(ids, 0))
+        c = count[np.searchsorted(first, distinct, side="right") - 1][which]
+        return c / total, (c - discount) / total
+    return root
+
+
 def _body_table(row: dict) -> pa.Table:
     kinds = {"block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int64()),
              "known": pa.list_(pa.int64()), "base": pa.list_(pa.float64()), "score": pa.list_(pa.float64()), "gids": pa.list_(pa.int64()),
-             "tokens": pa.binary(), "state": pa.binary(), "edge": pa.binary()}
+             "tokens": pa.binary()}
 
     def column(name, kind):
         value = row[name]
-        if value is None:
-            return pa.array([None], kind)
         if isinstance(value, pa.Scalar):
             return pa.array([value.as_py()], kind) if not pa.types.is_list(kind) else pa.ListArray.from_arrays([0, len(value.values)], value.values)
         if pa.types.is_list(kind):
@@ -348,106 +450,78 @@ def _named(total: int, vocabulary: int, discount: float):
         root = np.log10(np.where(c > 0, c - discount, discount * vocabulary) / total) if total else np.zeros(width)
         first = np.cumsum(sizes) - sizes
         sums = [np.add.reduceat(v[tokens], first) for v in ((c > 0).astype(np.int64), base, root)]
-        return _body_table({**row, **dict(zip(("known", "base", "score"), sums)), "gids": gids, "state": None, "edge": None})
+        return _body_table({**row, **dict(zip(("known", "base", "score"), sums)), "gids": gids})
     return run
 
 
-def _slice(blocks: DataFrame, column: str, k: int) -> DataFrame:
-    return blocks.where(F.pmod(F.hash(column), F.lit(SLICES)) == k)
-
-
-def _level(body: list[DataFrame], edges: DataFrame, depth: int, groups: int) -> tuple[list[DataFrame], DataFrame] | None:
-    """The blocks and edges one word deeper, the old ones removed; None if no
-    context is retained. body: the slices of the blocks; edges: (id, n, q, p,
-    node): edge, count, share and probability in its state, and that state."""
-    merged = stored(reduce(DataFrame.unionAll, body).mapInArrow(_chunks(depth, groups), _CHUNK_SCHEMA).groupBy("part").applyInArrow(_merged, _MERGED_SCHEMA), "tree-merged")
-    gram = (merged.where("block is null").select("part", F.posexplode(F.arrays_zip("a", "x", "n")).alias("i", "g"))
-            .select("part", F.col("i").cast("long").alias("i"), "g.a", "g.x", "g.n"))
-    parents = edges.select(F.col("id").alias("a"), "node", "q", "p", F.col("n").alias("weight"))
-    longer = stored(lookup_join(gram.where("a >= 0"), parents, ["a"], "weight", F.col("x")), "tree-longer")
-    contexts = gram.where("a < 0").select("part", "i", (-1 - F.col("a")).alias("node"), "x", F.col("n").alias("m"))
-    states = stored(_states(contexts, longer).withColumn("id", F.monotonically_increasing_id()), "tree-states")
-    if states.isEmpty():
-        drop_stored(merged, longer, states)
-        return None
-    kept = states.select("node", "x", F.col("id").alias("state"), "m", F.col("m").alias("weight"))
-    p = (F.col("n") - DISCOUNT) / F.col("m")
-    deeper = stored(lookup_join(longer, kept, ["node", "x"], "weight", F.col("a")).where("state is not null")
-                    .select(F.monotonically_increasing_id().alias("id"), "n", (F.col("n") / F.col("m")).alias("q"), p.alias("p"),
-                            F.col("state").alias("node"), "part", "i", F.log10(p / F.col("p")).alias("v")), "tree-edges")
-    found = (deeper.select(F.col("part").alias("to"), "i", "id", "v")
-             .unionAll(states.select("part", "i", "id", F.log10("factor").alias("v"))))
-    uses = merged.where("block is not null").select("part", "block", "k", "at", "gram")
-    replies = stored(uses.groupBy("part").cogroup(found.groupBy("to")).applyInArrow(_replies, _REPLY_SCHEMA), "tree-replies")
-    drop_stored(merged, longer, states, edges)
-    out = []
-    for k, old in enumerate(body):
-        mine = _slice(replies, "of", k)
-        out.append(stored(old.groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(_extended(depth, groups), _BODY_SCHEMA), "tree-body"))
-        drop_stored(old)
-    drop_stored(replies)
-    return out, deeper
-
-
-def _states(contexts: DataFrame, longer: DataFrame) -> DataFrame:
-    """(part, i, node, x, m, factor) of the contexts that are retained: x before
-    node. contexts: (part, i, node, x, m); longer: their edges (node, x, n, q, p) with share
-    and probability in the parent state."""
-    n, m = F.col("n"), F.col("m")
-    sums = longer.groupBy("node", "x").agg(
-        F.count(F.lit(1)).alias("edges"), F.sum("n").alias("own"), F.sum(n * F.log(n / F.col("q"))).alias("cross"),
-        F.sum("q").alias("q"), F.sum("p").alias("p"))
-    tiny, rest, rest_parent = F.lit(1e-12), 1 - F.col("own") / m, 1 - F.col("q")
-    kl = (F.col("cross") - F.col("own") * F.log(m.cast("double"))) / m
-    kl = kl + F.when(rest > tiny, rest * F.log(rest / F.greatest(rest_parent, tiny))).otherwise(0.0)
-    factor = (1 - (F.col("own") - DISCOUNT * F.col("edges")) / m) / F.greatest(1 - F.col("p"), F.lit(1e-9))
-    return (contexts.join(sums, ["node", "x"]).where((kl >= MIN_DIVERGENCE) & (kl * m >= MIN_GAIN))
-            .select("part", "i", "node", "x", "m", factor.alias("factor")))
-
-
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def _results(total: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                doc, held, sizes, known, base, score = (batch.column(c)[i].values for c in ("doc_ids", "held", "sizes", "known", "base", "score"))
-                yield pa.RecordBatch.from_arrays([doc, held, sizes, known, pa.array(np.full(len(doc), total, np.int64)), base, score],
-                                                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    def run(heads: pa.Table, replies: pa.Table) -> pa.Table:
+        doc, held, sizes, known, base, score = (heads.column(c).combine_chunks().values for c in ("doc_ids", "held", "sizes", "known", "base", "score"))
+        score = score.to_numpy().copy()
+        for k, text, v in zip(*(replies.column(c) for c in ("k", "text", "v"))):
+            score[np.cumsum(_unpacked(text, np.int32, k.as_py()))] += _unpacked(v, np.float64, k.as_py())
+        return pa.table([doc, held, sizes, known, pa.array(np.full(len(doc), total, np.int64)), base, pa.array(score)],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
+def frequent_contexts(body: DataFrame, depth: int, blocks: int, groups: int, limit: int) -> _Frequent:
+    """Contexts with more than ``limit`` windows (some with half of it)."""
+    rows = (body.select("block", "sizes", "held", "gids", "tokens").mapInArrow(_often(depth, blocks, limit), "path array<long>, n long")
+            .groupBy("path").agg(F.sum("n").alias("n")).where(F.col("n") * 2 > limit).collect())
+    return _Frequent([(tuple(r.path), r.n) for r in rows], groups, limit)
+
+
 def score_texts(docs: DataFrame, held_out, max_depth: int | None = None) -> DataFrame:
     """Scores of all texts under the tree learned from those not held out."""
+    depth = MAX_DEPTH if max_depth is None else max_depth
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held"))
     blocks = stored(rows.mapInArrow(_to_blocks, _BLOCK_SCHEMA), "tree-blocks")
     local = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    counts = local.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("c")).where("c > 0")
-    # ids are fixed by this write; any distinct numbers will do
-    gid = F.when(F.col("c") >= MIN_COUNT, F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    counts = stored(counts.withColumn("gid", gid), "tree-words")
+    counts = stored(local.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("c")).where("c > 0"), "tree-words")
     total, vocabulary, n1, n2 = (int(x or 0) for x in counts.agg(
         F.sum("c"), F.count(F.lit(1)), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first())
     discount = min(max(n1 / (n1 + 2 * n2), 0.1), 0.9) if n1 else 0.5
-
-    named = blocks.select("block", F.posexplode("words").alias("id", "word")).join(counts, "word").select(F.col("block").alias("of"), "id", "c", "gid")
+    often = counts.where(F.col("c") >= MIN_COUNT)
+    steps, ids = [], 0
+    for c, k in often.groupBy("c").count().orderBy(F.desc("c")).collect():
+        steps.append((ids, c))
+        ids += k
+    if ids >= 1 << 31:
+        raise ValueError("more than 2**31 words to tell apart")
+    free_shuffles(counts.sparkSession, SETTLE_S)
+    with_ids = dense_index(often, [F.desc("c"), "word"], "gid").unionByName(counts.where(F.col("c") < MIN_COUNT).withColumn("gid", F.lit(-1).cast("long")))
+
+    named = stored(blocks.select("block", F.posexplode("words").alias("id", "word")).join(with_ids, "word")
+                   .select(F.col("block").alias("of"), "id", "c", "gid"), "tree-named")
+    drop_stored(counts, wait=SETTLE_S)
     body = stored(blocks.select("block", "doc_ids", "held", "sizes", "tokens").groupBy("block").cogroup(named.groupBy("of"))
                   .applyInArrow(_named(total, vocabulary, discount), _BODY_SCHEMA), "tree-body")
-    share = F.col("c") / max(total, 1)
-    edges = stored(counts.where("gid >= 0").select(F.col("gid").alias("id"), F.col("c").alias("n"), share.alias("q"),
-                                                   ((F.col("c") - discount) / max(total, 1)).alias("p"), F.lit(0).cast("long").alias("node")), "tree-edges")
-    groups = int(blocks.agg(F.ceil(F.sum(F.expr("aggregate(sizes, 0L, (s, k) -> s + k)")) / GROUP_TOKENS)).first()[0] or 1)
-    drop_stored(blocks, counts)
-    whole, body = body, [stored(_slice(body, "block", k), "tree-body") for k in range(SLICES)]
-    drop_stored(whole)
-    for depth in range(MAX_DEPTH if max_depth is None else max_depth):
-        deeper = _level(body, edges, depth, groups)
-        if deeper is None:
-            break
-        body, edges = deeper
-    drop_stored(edges)
-    return reduce(DataFrame.unionAll, body).mapInArrow(_results(total), _SCORES)
+    n_blocks, tokens = body.agg(F.count(F.lit(1)), F.sum(F.expr("aggregate(sizes, 0L, (s, k) -> s + k)"))).first()
+    drop_stored(blocks, named, wait=SETTLE_S)
+    replies = body.sparkSession.createDataFrame([], _REPLY_SCHEMA)
+    if steps and depth:
+        for part in _replies(body, depth, _root(steps, total, discount), n_blocks, -(-tokens // GROUP_TOKENS)):
+            replies = replies.unionAll(part)
+    heads = body.select("block", "doc_ids", "held", "sizes", "known", "base", "score")
+    return heads.groupBy("block").cogroup(replies.groupBy("of")).applyInArrow(_results(total), _SCORES)
+
+
+def _replies(body: DataFrame, depth: int, root, blocks: int, groups: int) -> Iterator[DataFrame]:
+    """Per block and group, what its texts gain; one table a step."""
+    frequent = frequent_contexts(body, depth, blocks, groups, GROUP_TOKENS // FREQUENT)
+    arrays = body.select("block", "sizes", "held", "gids", "tokens")
+    symbols = arrays.mapInArrow(_next_symbols(frequent), "lot long, k long, keys binary, n binary")
+    weighted = stored(symbols.groupBy("lot").applyInArrow(_weighted(depth, frequent), _WINDOW_SCHEMA), "tree-frequent")
+    for step in range(SLICES):
+        mine = stored(weighted.where(F.col("part") % SLICES == step), "tree-weighted")
+        windows = arrays.mapInArrow(_dealt(depth, frequent, step), _WINDOW_SCHEMA).unionAll(mine)
+        yield stored(windows.groupBy("part").applyInArrow(_scored(depth, root), _REPLY_SCHEMA), "tree-replies")
+        drop_stored(mine, wait=SETTLE_S)  # and the shuffle files of the step
+    drop_stored(weighted)
 
 
 def op7_query(docs: DataFrame) -> DataFrame:

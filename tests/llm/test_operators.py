@@ -375,6 +375,31 @@ def test_suffix_tree_learns_contexts_of_four_words(spark, monkeypatch):
     assert max(map(len, held_to_brute_tree(spark, out))) == 2
 
 
+def test_suffix_tree_deals_frequent_contexts_to_many_groups(spark, monkeypatch):
+    """A passage whose contexts of any length have more windows than a group holds."""
+    monkeypatch.setattr(suffix_tree, "GROUP_TOKENS", 600)
+    made = []
+    contexts = suffix_tree.frequent_contexts
+    monkeypatch.setattr(suffix_tree, "frequent_contexts", lambda *a: made.append(contexts(*a)) or made[-1])
+    rng = np.random.default_rng(7)
+    out = []
+    for i in range(400):
+        w = []
+        for _ in range(4):
+            w += "in the old house by the sea we met".split()
+            w += [f"{a}{rng.integers(2)}" for a in "pq"] + [f"n{rng.integers(40)}", f"u{rng.integers(4000)}"]
+        out.append((i, " ".join(w), "en", "s"))
+    out += [(400, "the old house", "en", "s"), (401, "met in the", "en", "s")]
+    assert len(held_to_brute_tree(spark, out)) > 5
+    frequent = made[0]
+    assert max(map(len, frequent.paths)) == suffix_tree.MAX_DEPTH
+    # the passage's windows, all alike for six words, lie in several groups
+    path = next(p for p in frequent.paths if len(p) == suffix_tree.MAX_DEPTH)
+    before = np.repeat(np.array(path, np.int32)[:, None], 5000, axis=1)
+    sizes = np.bincount(frequent.group(before, *frequent.longest(before, 5000)))
+    assert (sizes > 0).sum() > 3 and sizes.max() < 2500
+
+
 # ------------------------------------------------------------------ 8
 def test_packing_round_trip(spark, rows):
     import public_tokenizers

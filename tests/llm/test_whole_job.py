@@ -7,7 +7,7 @@ import zlib
 
 import pytest
 
-from colloquy.llm import langid, suffix_tree
+from colloquy.llm import common, langid, suffix_tree
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -23,6 +23,31 @@ def test_rare_contexts_stay_in_a_large_corpus(spark):
     assert got.score == pytest.approx(math.log10((6 - 0.5) / total) + 2 * math.log10((6 - suffix_tree.DISCOUNT) / 6), rel=1e-9)
 
 
+def test_tree_keeps_little_beside_the_tokens(spark, monkeypatch):
+    """Tables written on the way stay small beside the text, as many levels as there are."""
+    written = []
+
+    def stored(df, name):
+        table = common.stored(df, name)
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
+        written.append(files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(files).getLength())
+        return table
+
+    monkeypatch.setattr(suffix_tree, "stored", stored)
+    rng = random.Random(3)
+    chain = {w: [rng.randrange(400) for _ in range(12)] for w in range(400)}
+    rows, size = [], 0
+    for i in range(300):
+        w, text = rng.randrange(400), []
+        for _ in range(400):
+            w = chain[w][min(int(rng.expovariate(0.5)), 11)]
+            text.append(f"w{w}")
+        rows.append((i, " ".join(text), "en", "s"))
+        size += len(rows[-1][1])
+    assert suffix_tree.op7_query(spark.createDataFrame(rows, DOCS)).count() == 300
+    assert sum(written) < 2 * size
+
+
 # ------------------------------------------------------------------ 4, pipeline
 def test_noise_and_unlearned_languages_go(spark):
     rng = random.Random(1)
