@@ -57,7 +57,7 @@ MIN_COUNT = 3
 MIN_DIVERGENCE, MIN_GAIN = 0.005, 10.0
 MAX_DEPTH = 6
 SLICES = 3
-SETTLE_S = 1.0  # large shuffle files are freed after so long, see free_shuffles
+SETTLE_S = 2.0  # large shuffle files are freed after so long, see free_shuffles
 DISCOUNT = 0.75
 END = b""  # a word is never empty
 GROUP_TOKENS = 2_000_000
