@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import cut, drop_stored, stored
+from colloquy.llm.common import cut, drop_stored, free_shuffles, stored
 from colloquy.llm.components import connected_components
 from colloquy.llm.runs import blocks, local_components, unit_runs
 from colloquy.operators.indexing import dense_index
@@ -270,6 +270,7 @@ def _grouped(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
                      .agg(F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("r"))
                      .select("fp", F.col("r.doc_id").alias("doc"), F.col("r.n_shingles").alias("n"), "r.sig", "r.bands"),
                      "minhash-classes")
+    free_shuffles(docs.sparkSession)  # after each large step, so that the driver keeps none of its plans and metrics
     twice = classes.groupBy("doc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc")
     top = classes.agg(F.coalesce(F.max("doc"), F.lit(0))).first()[0]
     numbered = stored(dense_index(classes.select("fp", "doc").join(twice, "doc"), ["doc", "fp"], "_at")
@@ -278,10 +279,12 @@ def _grouped(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
     keyed = reps.select("rep", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
     members = stored(keyed.join(shared, "key").distinct(), "minhash-buckets")
+    free_shuffles(docs.sparkSession)
     involved = members.select("rep").distinct()
     brief = stored(reps.join(involved, "rep"), "minhash-involved")
     sets = stored(docs.join(brief.select("rep", "doc", "fp"), F.col("doc_id") == F.col("doc")).select("rep", "fp", "text")
                   .mapInPandas(_sets(shingle), "rep long, hashes array<long>"), "minhash-sets")
+    free_shuffles(docs.sparkSession)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         full = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("hashes").alias("_ha")), "a")
@@ -309,7 +312,10 @@ def _grouped(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
                   .where(100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb"))
                   .withColumn("_e", estimate(_agreeing("_sa", "_sb"))).where(F.col("_e") >= _floor(threshold)))
         best = scored.groupBy("a").agg(F.max(F.struct("_e", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        best = cut(best)
+        free_shuffles(docs.sparkSession)
         new = cut(confirmed(best))
+        free_shuffles(docs.sparkSession)
         edges = new if edges is None else edges.unionAll(new)
         labels = connected_components(edges)
     rows = labelled(members, labels)
@@ -318,6 +324,7 @@ def _grouped(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
     needed = cut(blocks(rows.join(mixed, "key"), ["key"], "rep", BLOCK, shape)
                  .select(*_UNIT, "_c", "rep", "comp", "n", "sig", "bands")
                  .mapInPandas(_to_confirm(threshold), "key long, _i int, _j int, _c int, rep long, comp long, n long"))
+    free_shuffles(docs.sparkSession)
     full = (needed.join(shape.drop("n"), "rep").join(sets, "rep")
             .select(*_UNIT, "_c", "rep", "comp", "n", "sig", "bands", "hashes")
             .repartition(*_UNIT).sortWithinPartitions(*_UNIT))

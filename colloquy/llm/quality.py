@@ -10,8 +10,9 @@ and the tail probability P(grade >= top), by which documents are selected.
 Grades come from ``labels``: 0 for quality 0, 1 for quality 1 but toxic,
 2 for quality 1 and not toxic. The fit takes a bounded sample of the rated
 rows, the ``SAMPLE_ROWS`` first ones by a hash of their id (a documented
-parameter); features that fewer than ``MIN_DOCS`` or a ``MIN_SHARE`` of them
-show are left out.
+parameter) and runs in one task, so that the driver gets the model alone;
+features that fewer than ``MIN_DOCS`` or a ``MIN_SHARE`` of them show are
+left out.
 Scoring covers every document and whole texts.
 
 Defined results: a rating with a null id or quality is ignored, a null toxic
@@ -42,6 +43,7 @@ PREFIX = 4
 SHARE_SCALE = 4.0
 KEEP_TAIL = 0.5
 MEMO = 100_000
+ROWS_AT_ONCE = 256
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
@@ -115,17 +117,22 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = GRADES) -> Model:
     """Maximum likelihood with a lasso, which drops words that do not tell
-    grades apart; full-batch proximal Adam in numpy on the sample."""
+    grades apart; full-batch proximal Adam in numpy on the sample, whose
+    products are made for ROWS_AT_ONCE rows at a time."""
     shown = np.zeros(BUCKETS, np.int64)
     for ids, _ in rows:
         shown[ids] += 1
     names = np.flatnonzero(shown >= max(MIN_DOCS, MIN_SHARE * len(rows)))
     number = np.full(BUCKETS, -1, np.int32)
     number[names] = np.arange(len(names))
-    rows = [(number[i][k], v[k]) for i, v in rows for k in [number[i] >= 0]]
-    col = np.concatenate([r[0] for r in rows])
-    values = np.concatenate([r[1] for r in rows])
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
+    sizes = np.array([np.count_nonzero(number[i] >= 0) for i, _ in rows])
+    ends = np.r_[0, np.cumsum(sizes)]
+    col, values = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
+    for r, (i, v) in enumerate(rows):
+        known = number[i] >= 0
+        col[ends[r]:ends[r + 1]], values[ends[r]:ends[r + 1]] = number[i][known], v[known]
+    parts = [(slice(r, r + ROWS_AT_ONCE), slice(ends[r], ends[min(r + ROWS_AT_ONCE, len(rows))]))
+             for r in range(0, len(rows), ROWS_AT_ONCE)]
     w = np.zeros(len(names))
     share = np.array([np.clip(np.mean(grades < k), 1e-3, 1 - 1e-3) for k in range(1, n_grades)])
     first = np.log(share / (1 - share))
@@ -136,7 +143,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
     for step in range(1, STEPS + 1):
         w, t = theta[:len(names)], theta[len(names):]
         cuts = np.r_[t[0], t[0] + np.cumsum(np.exp(t[1:]))]
-        eta = np.bincount(doc, values * w[col], minlength=len(rows))
+        eta = np.empty(len(rows))
+        for at, cells in parts:
+            n = sizes[at]
+            eta[at] = np.bincount(np.repeat(np.arange(len(n)), n), values[cells] * w[col[cells]], minlength=len(n))
         edge = np.c_[np.full(len(rows), -np.inf), np.broadcast_to(cuts, (len(rows), len(cuts))), np.full(len(rows), np.inf)]
         low, high = edge[np.arange(len(rows)), grades] - eta, edge[np.arange(len(rows)), grades + 1] - eta
         p_low, p_high = _sigmoid(low), _sigmoid(high)
@@ -145,7 +155,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
         g_eta = (d_high - d_low) / len(rows)  # of the negative log-likelihood
         g_cut = np.array([np.sum(d_low[grades == k + 1]) - np.sum(d_high[grades == k]) for k in range(len(cuts))]) / len(rows)
         g_t = np.r_[g_cut.sum(), [np.exp(t[j]) * g_cut[j:].sum() for j in range(1, len(cuts))]]
-        grad = np.r_[np.bincount(col, values * g_eta[doc], minlength=len(names)), g_t]
+        g_w = np.zeros(len(names))
+        for at, cells in parts:
+            np.add.at(g_w, col[cells], values[cells] * np.repeat(g_eta[at], sizes[at]))
+        grad = np.r_[g_w, g_t]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         pace = RATE / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         theta = theta - pace * (m / (1 - 0.9 ** step))
@@ -179,16 +192,21 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["h"], "ids": [g[0].astype("<i4").tobytes() for g in got],
                                 "vals": [g[1].astype("<f4").tobytes() for g in got]})
 
-    # at most sample_rows ids are broadcast and as many sparse rows collected
+    # at most sample_rows ids are broadcast and as many sparse rows gathered in the task that fits
     sparse = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
               .mapInPandas(run, "doc_id long, h long, ids binary, vals binary")
-              .groupBy("doc_id").agg(F.min(F.struct("h", "ids", "vals")).alias("r")).select("doc_id", "r.ids", "r.vals").toPandas())
-    grades = chosen.select("doc_id", "_grade").toPandas()
-    both = grades.merge(sparse, on="doc_id").sort_values(["doc_id", "_grade"])
-    if not len(both):
-        return None
+              .groupBy("doc_id").agg(F.min(F.struct("h", "ids", "vals")).alias("r")).select("doc_id", "r.ids", "r.vals"))
+    grades = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "_grade")
+    got = grades.join(sparse, "doc_id").groupBy().applyInPandas(_fitted, "weights binary, thresholds array<double>").collect()
+    return Model(np.frombuffer(got[0].weights, "<f4"), np.array(got[0].thresholds)) if got else None
+
+
+def _fitted(both: pd.DataFrame) -> pd.DataFrame:
+    """The model of the gathered sample (doc_id, _grade, ids, vals) as a row."""
+    both = both.sort_values(["doc_id", "_grade"])
     rows = [(np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4")) for i, v in zip(both["ids"], both["vals"])]
-    return fit(rows, both["_grade"].to_numpy(np.int64))
+    model = fit(rows, both["_grade"].to_numpy(np.int64))
+    return pd.DataFrame({"weights": [model.weights.astype("<f4").tobytes()], "thresholds": [model.thresholds.tolist()]})
 
 
 def rate(df: DataFrame, model: Model | None, grade: str = "expected_grade", tail: str = "tail_prob") -> DataFrame:

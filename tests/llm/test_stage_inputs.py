@@ -62,3 +62,42 @@ def test_quality_reads_one_text_of_an_id(spark):
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "language ID", "MinHash near-dedup",
                                                       "mixing sources to target weights", "packing"]
+
+
+def test_quality_driver_gets_the_model_alone(spark, monkeypatch):
+    rows = [(i, f"a good and calm text {i}" if i % 2 else f"bad noise zzz {i}", "en", "s") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    whole = quality.train(docs(spark, rows), labels)
+
+    def here(*_):
+        raise AssertionError("the sample came to the driver")
+
+    monkeypatch.setattr(quality, "fit", here)
+    got = quality.train(docs(spark, rows), labels)
+    assert (got.weights == whole.weights).all() and (got.thresholds == whole.thresholds).all()
+    assert quality.train(docs(spark, rows), labels.limit(0)) is None
+
+
+def test_quality_fit_holds_little_beside_its_cells():
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    rows = [(np.arange(s, s + 500, dtype="<i4"), rng.random(500).astype("<f4")) for s in rng.integers(0, 500, 2000)]
+    tracemalloc.start()
+    quality.fit(rows, rng.integers(0, 3, 2000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 8 * 2000 * 500  # an int32 column and a float32 value a cell
+
+
+def test_minhash_frees_driver_state_between_steps(spark, monkeypatch):
+    freed = []
+    collect = minhash.free_shuffles
+    monkeypatch.setattr(minhash, "free_shuffles", lambda s: (freed.append(1), collect(s)))
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[:40 - i % 2] + [f"x{i // 4}"] * (i % 4 == 3)), "en", "s") for i in range(12)]
+    found = minhash.near_duplicates(docs(spark, rows), 2, 0.8).collect()
+    assert len(found) == 12 and {r.component_id for r in found} == {0}
+    assert len(freed) >= 2 * minhash.STAR_ROUNDS + 4
