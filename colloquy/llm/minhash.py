@@ -362,7 +362,8 @@ def keep_one(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataF
     row = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
                       *[c.alias(f"_{n}") for c, n in zip(_text_hashes(), ("t1", "t2"))])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    groups = _grouped(texts, shingle, threshold)
+    groups = stored(_grouped(texts, shingle, threshold), "minhash-groups")  # read twice below
+    free_shuffles(docs.sparkSession)
     first = (groups.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("r"))
              .select("r.doc_id", "r.t1", "r.t2"))
     empty = groups.where(F.col("group").isNull()).select("doc_id", "t1", "t2").distinct()
